@@ -1,0 +1,15 @@
+"""All registered queries of the engine and the SQL that they must equal."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
