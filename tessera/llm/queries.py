@@ -7,17 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, packing, secrets, simhash
 from .common import table
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["stop"] - h["start"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secrets.scan_history(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text"))
+    counts = [F.size(r.kind).cast("long").alias(f"n_{r.kind}") for r in secrets.RULES]
+    return found.withColumn("spans", secrets.listed()).select(F.col("path").alias("doc_id"), *counts, F.sha2("spans", 256).alias("base_sha256"), "spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_simhash": op5_simhash}
+    return {"op3_decontaminate": op3_decontaminate, "op5_simhash": op5_simhash, "op6_packing": op6_packing, "op7_secrets": op7_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
