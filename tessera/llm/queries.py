@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets, simhash
-from .common import table
+from . import decontaminate, langid, packing, secrets, simhash, toxicity
+from .common import held_out, table
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.scored(docs, net).select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -32,8 +38,15 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("spans", secrets.listed()).select(F.col("path").alias("doc_id"), *counts, F.sha2("spans", 256).alias("base_sha256"), "spans")
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out(4, 2)))
+    return langid.identified(docs.select("doc_id", "text"), model).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_decontaminate": op3_decontaminate, "op5_simhash": op5_simhash, "op6_packing": op6_packing, "op7_secrets": op7_secrets}
+    mine = (op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op9_langid)
+    return {f.__name__: f for f in mine}
 
 
 def oracle_sql() -> dict[str, str]:
