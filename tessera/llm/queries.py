@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, secrets, simhash, toxicity
+from . import decontaminate, html, langid, packing, secrets, simhash, toxicity
 from .common import held_out, table
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["stop"] - h["start"])
@@ -45,7 +50,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    mine = (op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op9_langid)
+    mine = (op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op9_langid)
     return {f.__name__: f for f in mine}
 
 
