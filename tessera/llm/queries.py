@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, packing, secrets, simhash, toxicity
+from . import decontaminate, html, langid, neighbours, packing, secrets, simhash, toxicity
 from .common import held_out, table
 
 
@@ -43,6 +43,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("spans", secrets.listed()).select(F.col("path").alias("doc_id"), *counts, F.sha2("spans", 256).alias("base_sha256"), "spans")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~held_out(4, 2)))
@@ -50,7 +55,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    mine = (op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op9_langid)
+    mine = (op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op8_neighbours, op9_langid)
     return {f.__name__: f for f in mine}
 
 
