@@ -140,15 +140,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, shingle: int = 2
 
     ``hits`` are the maximal runs of hit words, ``items`` the ids (as strings,
     sorted) of items of which a window occurs. Null and empty texts have no
-    words; items without words are never found; repeated items and documents
-    each count; an empty benchmark finds nothing.
+    words; items without words or id are never found; repeated items count
+    once, repeated documents each; an empty benchmark finds nothing; carried
+    columns with a name of the results are replaced by these.
     """
+    carry = tuple(c for c in carry if c not in ("n_words", "hits", "items"))
     weight = benchmark.agg(F.coalesce(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-int(weight) // BLOCK_BYTES))
     none = "cast(array() as array<struct<start:int,stop:int>>)"
     out = docs.select(*carry, F.col("text").alias("_text"), F.lit(0).cast("long").alias("n_words"), F.expr(none).alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
     for k in range(blocks):
-        part = benchmark.select("item_id", F.col("text").cast("binary").alias("text"))
+        part = benchmark.where("item_id is not null").select("item_id", F.col("text").cast("binary").alias("text"))
         part = part.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else part
         items = Items([(r[0], r[1]) for r in part.toLocalIterator()], size, shingle)
         counted = docs.select("text").mapInArrow(_counting(items), "shingle int, n long") if items.of else None
@@ -161,5 +163,5 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, shingle: int = 2
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, all columns kept."""
-    kept = scan(docs.select("*"), benchmark, carry=tuple(docs.columns) if "text" in docs.columns else ("doc_id",))
-    return kept.where(F.size("hits") == 0).select(*docs.columns)
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    return scan(rows, benchmark, carry=("row",)).where(F.size("hits") == 0).select("row.*")

@@ -354,7 +354,8 @@ def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """``pages(html, ...)`` -> the same rows and ``main_text``.
 
     Null and empty pages give an empty text; other columns pass through, one
-    called ``main_text`` must not be there; repeated rows stay.
+    called ``main_text`` is replaced; repeated rows stay; no rows give no rows.
     """
+    pages = pages.drop("main_text")
     schema = T.StructType([*pages.schema.fields, T.StructField("main_text", T.StringType())])
     return pages.mapInArrow(_extracting(model or trained()), schema)

@@ -144,8 +144,9 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     """``docs(text, ...)`` -> the same rows with ``lang_pred`` and ``score``.
 
     ``und`` with score 0 for null texts, texts without a letter, and where no
-    language was learned. Other columns pass through; none may be called
-    ``lang_pred`` or ``score``.
+    language was learned. Other columns pass through; those called
+    ``lang_pred`` or ``score`` are replaced. No rows give no rows.
     """
+    docs = docs.drop("lang_pred", "score")
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(_predicting(model), schema)

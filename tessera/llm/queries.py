@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, neighbours, packing, secrets, simhash, substrings, toxicity
+from . import decontaminate, html, langid, lines, neighbours, packing, secrets, simhash, substrings, toxicity
 from .common import held_out, table
 
 
@@ -60,8 +60,13 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(docs.select("doc_id", "text"), model).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_lines_removed", "n_chunks_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    mine = (op1_substrings, op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op8_neighbours, op9_langid)
+    mine = (op1_substrings, op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op8_neighbours, op9_langid, op10_lines)
     return {f.__name__: f for f in mine}
 
 

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut
 from .graph import components
@@ -91,14 +92,16 @@ def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     import xxhash
 
     for b in batches:
-        texts = b.column(1).cast(pa.binary())
+        texts = b.column("text").cast(pa.binary())
         prints = np.array([fingerprint(t.as_py(), xxhash.xxh64_intdigest) for t in texts], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+        names = [x for x in b.schema.names if x != "text"]
+        yield pa.RecordBatch.from_arrays([*map(b.column, names), pa.array(prints, pa.int64())], [*names, "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``(doc_id, fp)``, fp the 64 bits as a signed long."""
-    return docs.select("doc_id", "text").mapInArrow(_print_batches, "doc_id long, fp long")
+    """``docs(text, ...)`` -> the other columns and ``fp``, the 64 bits as a signed long."""
+    schema = T.StructType([*(f for f in docs.schema.fields if f.name not in ("text", "fp")), T.StructField("fp", T.LongType())])
+    return docs.drop("fp").mapInArrow(_print_batches, schema)
 
 
 def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,24 +187,41 @@ def near_links(distinct: DataFrame) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_link_batches, "src long, dst long")
 
 
+def classes(prints: DataFrame) -> DataFrame:
+    """``prints(fp)`` -> ``(fp, root)`` for each distinct fingerprint; copies meet before any key is made."""
+    distinct = cut(prints.select("fp").distinct())
+    roots = components(near_links(distinct))
+    return distinct.join(roots, distinct.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` -> ``(doc_id, fp, component_id)``.
 
     Null and empty texts have fingerprint zero and are linked like any other.
-    Copies meet in one row of the distinct fingerprints, with a map-side
-    minimum, before any key is made. Repeated doc_ids keep their rows. Other
-    columns are ignored; an empty table gives an empty table.
+    Repeated rows and doc_ids keep their rows. Null ids are never the least.
+    Other columns are ignored; an empty table gives an empty table.
     """
-    prints = cut(fingerprints(docs))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(near_links(distinct.select("fp")))
-    classed = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    prints = cut(fingerprints(docs.select("doc_id", "text")))
+    # the least id of each fingerprint first, with a map-side minimum, so that a large group joins as one row
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    classed = cut(least.join(classes(prints), "fp"))
     named = classed.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classed.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classed.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that stay: of each component the one with the least doc_id."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """The documents that stay: one of each component, that with the least doc_id.
+
+    Null ids come last; among rows with one id the hash of the text decides;
+    of a row that is there twice one stays. Columns stay as they are.
+    """
+    text = F.xxhash64("text")
+    prints = cut(fingerprints(docs.select("doc_id", text.alias("tie"), "text")))
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("w")
+    least = prints.groupBy("fp").agg(order)
+    winners = least.join(classes(prints), "fp").groupBy("root").agg(F.min("w").alias("w")).select(F.col("w.doc_id").alias("id2"), F.col("w.tie").alias("tie2"))
+    rows = docs.select(F.col("doc_id").alias("id1"), text.alias("tie1"), F.struct(*docs.columns).alias("row"))
+    kept = rows.join(winners, F.col("id1").eqNullSafe(F.col("id2")) & (F.col("tie1") == F.col("tie2")), "left_semi")
+    if prints.groupBy("doc_id", "tie").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["id1", "tie1"])
+    return kept.select("row.*")
