@@ -1,13 +1,57 @@
-"""A corpus pipeline of five stages over documents."""
+"""A corpus pipeline of five stages over documents.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it
+kept. The first four return the columns of documents; the last one returns a
+row for each packed piece.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.llm import decontaminate, lines, packing, simhash, toxicity
+from tessera.llm.common import table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for toxic go."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Chunks of lines that occurred before are cut out of their texts; all documents stay."""
+    return lines.cleaned(docs)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id stays."""
+    return simhash.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left is tokenised and packed to sequences."""
+    return packing.pack(packing.pieces(docs))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", cut_repeated_lines),
+    ("near dedup", keep_one_of_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
+]
+
+#: Tokens, fingerprints and the classifier can't be expressed in SQL; tests compare with plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
