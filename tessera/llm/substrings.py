@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 GRAM = 32
 #: Keys of eight bytes that the quicksort looks at, after the anchor's number.
 SHALLOW = 8
@@ -375,7 +377,8 @@ def without_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     base = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("rid"))
     marks = base.select("rid", "text").mapInArrow(_anchoring(span), "h long, c long, rid long")
     often = marks.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1")
-    seen = marks.join(often.select("h", (F.col("c0") != F.col("c1")).alias("mixed")), "h")
+    # the anchors that occur again, written once: all that follows starts from them
+    seen = cut(marks.join(often.select("h", (F.col("c0") != F.col("c1")).alias("mixed")), "h"))
     mixed = seen.where("mixed").select("h", "c", "rid")
     kinds = mixed.groupBy("h", "c").agg(F.count("*").alias("n"), F.min("rid").alias("first"))
     alone = kinds.where("n = 1").select("h").distinct()
