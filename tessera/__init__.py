@@ -1 +1,8 @@
 """Spark-native analytics over very large labelled volumes."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so these need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
