@@ -25,7 +25,7 @@ def label_sets(spark: SparkSession, path: str) -> DataFrame:
     line = F.split("value", ":", 2)
     rows = spark.read.text(path).where(F.contains("value", F.lit(":")))
     labels = F.filter(F.split(F.trim(line[1]), r"\s+"), lambda x: x != "")
-    return rows.select(F.trim(line[0]).alias("key"), F.explode(labels).cast("long").alias("label"))
+    return rows.select(F.trim(line[0]).alias("key"), F.explode(labels.cast("array<long>")).alias("label"))
 
 
 def feature_tables(spark: SparkSession, path: str, schema: str, least: int = 0) -> DataFrame:
