@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,23 +11,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is
-    unset (tests on one machine) a folder of our own is used.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tessera-"))
-    return df.checkpoint(eager=True)
-
-
-def parts(spark: SparkSession) -> int:
-    """The session's number of shuffle partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def held_out(folds: int, out: int) -> Column:
     """Whether crc32 of ``doc_id`` as text, modulo the folds, is ``out``; a null id is not."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == out, F.lit(False))

@@ -136,7 +136,7 @@ def features(node: Node) -> np.ndarray:
     x[f + 4] = min(node.chars, 400) / 400
     x[f + 5] = min(node.stops, 5) / 5
     x[f + 6] = node.chars == 0
-    x[f + 7] = node.tag in KEEPS_P and 0 < node.chars and node.links == 0
+    x[f + 7] = node.tag in KEEPS_P and 2 * node.links < node.chars
     return x
 
 
@@ -242,8 +242,11 @@ def labelled_page(r: random.Random) -> str:
             return f"<blockquote><p>{MARK}{p(5, 40)}</p></blockquote>"
         if t < 0.93:
             return f"<table><tr><td>{MARK}{p(1, 4)}</td><td>{MARK}{p(1, 4)}</td></tr></table>"
-        if t < 0.97:
-            return f"<p>{MARK}{p(3, 20)} <a href='/x'>{p(1, 3)}</a> {p(2, 9)}</p>"
+        if t < 0.96:
+            links = "".join(f"<a href='/x'>{MARK}{p(1, 3)}</a> {MARK}{p(2, 9)} " for _ in range(r.randint(1, 3)))
+            return f"<p>{MARK}{p(3, 20)} {links}{r.choice(('</p>', '', '<script>x()</script>'))}"
+        if t < 0.98:
+            return f"<div><p>{MARK}{p(3, 30)}</p><img src=x></div><script>y()</script>"
         return away("div")
 
     shell = r.choice(("article", "article", "article", "main", "div", "section"))
@@ -267,9 +270,10 @@ def example(page: str) -> tuple[list[Node], np.ndarray, np.ndarray]:
         marked[id(n)] = sum(len(k) for k in own if MARK in k) + sum(marked[id(k)] for k in kids)
         other[id(n)] = sum(len(k) for k in own if MARK not in k) + sum(other[id(k)] for k in kids)
     y = np.array([marked[id(n)] > other[id(n)] for n in nodes], float)
+    at = {id(n): i for i, n in enumerate(nodes)}
     for i, n in enumerate(nodes):  # an element without text takes after its parent
         if not marked[id(n)] + other[id(n)] and n.parent is not None:
-            y[i] = y[nodes.index(n.parent)] and n.tag not in NEVER
+            y[i] = y[at[id(n.parent)]]
     return nodes, np.stack([features(n) for n in nodes]), y
 
 

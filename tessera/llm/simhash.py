@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
-from .graph import components
+from ..runtime import components, cut
 
 # The generator polynomial of the binary Golay code [23, 12, 7].
 GOLAY = 0b110001110101
