@@ -82,3 +82,28 @@ def zip_touching(labels: DataFrame, seam: str, at: int, least: int = 1) -> DataF
     b = labels.where((F.col(seam) == at) & (F.col("label") > 0)).select(*others, F.col("label").alias("dst"))
     edges = a.join(b, others).where("src != dst").groupBy("src", "dst").count().where(F.col("count") >= least).select("src", "dst")
     return graph_components(edges).select(F.col("node").alias("label"), F.col("root").alias("merged"))
+
+
+def zip_watershed(labels: DataFrame, seam: str, at: int, reach: int) -> DataFrame:
+    """Segment anew what touches a seam: ``(z, y, x, label)`` of the strip of ``reach`` voxels on both sides.
+
+    Only labels that touch the seam and lie within the strip as a whole are
+    flagged; their voxels are parted by distance peaks and flooding. New
+    labels are negative numbers of the first voxel, so they meet no old one;
+    all other voxels keep theirs. A strip is one group, so its size is the
+    seam's area times ``2 reach``; cut long seams to pieces by blocks first.
+    """
+    strip = labels.where((F.col(seam) >= at - reach) & (F.col(seam) < at + reach)).select(*KEY, "label")
+    touch = strip.where(F.col(seam).isin(at - 1, at) & (F.col("label") > 0)).select("label").distinct()
+    reaching_out = labels.where((F.col(seam) < at - reach) | (F.col(seam) >= at + reach)).select("label").distinct()
+    flagged = touch.join(reaching_out, "label", "left_anti").withColumn("flag", F.lit(True))
+    marked = strip.join(flagged, "label", "left").select(*KEY, "label", F.coalesce("flag", F.lit(False)).alias("flag"), F.lit(at).alias("seam"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        mask, _, at_ = kernels.dense(rows, "flag", False)
+        new = kernels.seeded(mask)[at_]
+        number = (rows["z"] * 100_000 + rows["y"]) * 100_000 + rows["x"]
+        first = number.groupby(new).transform("min")
+        return rows[[*KEY]].assign(label=rows["label"].where(~rows["flag"] | (new == 0), -first - 1))
+
+    return marked.groupBy("seam").applyInPandas(run, "z long, y long, x long, label long")

@@ -141,3 +141,21 @@ def by_block(vox: DataFrame, full: dict[str, int], size: dict[str, int], margin:
 def margin_of(sigma: float) -> int:
     """The margin at which a block's Gaussian equals that of the whole volume inside."""
     return int(ceil(4 * sigma + 0.5))
+
+
+def peaks(a: np.ndarray, threshold: float, r: int = 1) -> np.ndarray:
+    """Voxels above the threshold and no smaller than any around; of equal neighbours the first."""
+    best = np.full(a.shape, -np.inf)
+    padded = np.pad(a, r, constant_values=-np.inf)
+    for o in np.ndindex(*(2 * r + 1,) * a.ndim):
+        if o != (r,) * a.ndim:
+            v = padded[tuple(slice(k, k + s) for k, s in zip(o, a.shape))]
+            # an equal neighbour that comes earlier wins
+            best = np.maximum(best, np.where(o < (r,) * a.ndim, np.nextafter(v, np.inf), v))
+    return (a > threshold) & (a >= best)
+
+
+def seeded(mask: np.ndarray, step: tuple[float, float] = (1.0, 1.0), least: float = 0.5, r: int = 1) -> np.ndarray:
+    """Objects of a mask parted at their waists: peaks of the distance to background, flooded downwards."""
+    d = distance_in_planes(np.pad(mask, [(0, 0), (1, 1), (1, 1)]), *step)[:, 1:-1, 1:-1]
+    return watershed(-d, components(peaks(d, least, r), True), mask)

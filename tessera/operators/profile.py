@@ -92,3 +92,32 @@ def communities(edges: DataFrame, rounds: int = 8) -> DataFrame:
         top = seen.groupBy("src").agg(F.max_by("community", F.struct("n", -F.col("community"))).alias("c"))
         label = cut(label.join(top, label["node"] == top["src"], "left").select("node", F.when(F.pmod("node", F.lit(2)) == k % 2, F.coalesce("c", "community")).otherwise(F.col("community")).alias("community")))
     return label
+
+
+def yeo_johnson(x, lam: float):
+    """The Yeo-Johnson transform of a column."""
+    up = F.log1p(x) if abs(lam) < 1e-9 else (F.pow(x + 1, F.lit(lam)) - 1) / lam
+    down = -F.log1p(-x) if abs(lam - 2) < 1e-9 else -(F.pow(1 - x, F.lit(2 - lam)) - 1) / (2 - lam)
+    return F.when(x >= 0, up).otherwise(down)
+
+
+def yeo_johnson_lambda(df: DataFrame, column: str, grid: tuple[float, ...] = tuple(k / 4 for k in range(-8, 13))) -> float:
+    """The grid's most likely exponent; one pass gives the sums for all of them."""
+    x = F.col(column)
+    shift = F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s")
+    row = df.agg(F.count(x).alias("n"), shift, *(F.var_pop(yeo_johnson(x, g)).alias(f"v{k}") for k, g in enumerate(grid))).first()
+    likely = [(-row["n"] / 2 * np.log(max(row[f"v{k}"], 1e-300)) + (g - 1) * row["s"], -abs(g - 1), g) for k, g in enumerate(grid)] if row["n"] else [(0, 0, 1.0)]
+    return max(likely)[2]
+
+
+def pseudotime(edges: DataFrame, root: int, rounds: int = 64) -> DataFrame:
+    """``(node, steps)``: the least number of edges from the root, frontier by frontier; unreached nodes are absent."""
+    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    seen = cut(both.where(F.col("src") == root).select(F.col("src").alias("node"), F.lit(0).alias("steps")).distinct())
+    front = seen
+    for k in range(1, rounds + 1):
+        front = cut(both.join(front, both["src"] == front["node"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("steps", F.lit(k)))
+        if front.limit(1).count() == 0:
+            break
+        seen = cut(seen.unionByName(front))
+    return seen

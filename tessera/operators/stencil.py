@@ -129,3 +129,21 @@ def expand_labels(vox: DataFrame, r: float, label: str = "label") -> DataFrame:
     seen = vox.where(f"{label} > 0").select(*KEY, label, F.explode(far).alias("o"))
     best = seen.groupBy(*((F.col(a) + F.col(f"o.d{a}")).alias(a) for a in KEY)).agg(F.min(F.struct("o.d2", label)).alias("near"))
     return vox.join(best, list(KEY), "left").withColumn(label, F.when(F.col(label) > 0, F.col(label)).otherwise(F.coalesce(F.col(f"near.{label}"), F.lit(0).cast("long")))).drop("near")
+
+
+def upsample_linear(low: DataFrame, axis: str, factor: int, value: str = "v") -> DataFrame:
+    """Linear interpolation along one axis between the centres of coarse voxels; ends are held.
+
+    Each coarse value goes, weighted, to the fine voxels between its
+    neighbours' centres, where two weighted values meet. Axes one after
+    another give the trilinear field.
+    """
+    others = [a for a in KEY if a != axis]
+    ends = low.agg(F.max(axis).alias("_last"))
+    steps = F.explode(F.sequence(F.col(axis) * factor - factor, F.col(axis) * factor + 2 * factor - 1))
+    fine = low.join(ends).select(*others, axis, value, "_last", steps.alias("_f"))
+    place = (F.col("_f") + 0.5) / factor - 0.5
+    place = F.least(F.greatest(place, F.lit(0.0)), F.col("_last").cast("double"))
+    w = 1 - F.abs(place - F.col(axis))
+    fine = fine.where((F.col("_f") >= 0) & (F.col("_f") < (F.col("_last") + 1) * factor)).withColumn("_w", w).where("_w > 0")
+    return fine.groupBy(*others, F.col("_f").alias(axis)).agg(F.sum(F.col("_w") * F.col(value)).alias(value))

@@ -204,3 +204,30 @@ def test_empty_block(spark):
     assert objects.regions(empty).count() == 0
     assert objects.relabel_blocks(empty).count() == 0
     assert iterative.components(empty, dict.fromkeys("zyx", 4), dict.fromkeys("zyx", 2)).count() == 0
+
+
+def test_seam_is_segmented_anew(spark):
+    """An object cut in two by a seam becomes one; what only lies near the seam stays."""
+    a = np.zeros((1, 7, 12), int)
+    a[0, 1:6, 3:6], a[0, 1:6, 6:9], a[0, 0, 0] = 1, 2, 7
+    got = array(iterative.zip_watershed(table(spark, a, "label"), "x", 6, 5), a.shape, "label")
+    assert len(np.unique(got[0, 1:6, 3:9])) == 1 and got[0, 3, 3] < 0
+    assert (got[a == 0] == 0).all()
+
+
+def test_waist_parts_an_object():
+    y, x = np.indices((15, 29))
+    mask = (((y - 7) ** 2 + (x - 7) ** 2 <= 36) | ((y - 7) ** 2 + (x - 21) ** 2 <= 36) | ((y == 7) & (x > 7) & (x < 21)))[None]
+    parts = kernels.seeded(mask, least=3.0)
+    assert parts[0, 7, 7] != parts[0, 7, 21] and (parts[mask] > 0).all() and (parts[~mask] == 0).all()
+
+
+def test_linear_upsampling_of_a_ramp(spark):
+    low = spark.createDataFrame([(0, 0, k, float(k)) for k in range(5)], "z long, y long, x long, v double")
+    got = [r.v for r in stencil.upsample_linear(low, "x", 2).orderBy("x").collect()]
+    assert np.allclose(got, np.clip((np.arange(10) + 0.5) / 2 - 0.5, 0, 4))
+
+
+def test_pseudotime_counts_steps(spark):
+    e = spark.createDataFrame([(0, 1), (1, 2), (2, 3), (0, 3), (8, 9)], "src long, dst long")
+    assert {r.node: r.steps for r in profile.pseudotime(e, 0).collect()} == {0: 0, 1: 1, 2: 2, 3: 1}
