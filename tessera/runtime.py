@@ -3,23 +3,37 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is
-    unset (tests on one machine) a folder of our own is used.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where that is unset (tests on one machine) a folder of our own."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tessera-"))
+    return sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and continue from there; Spark removes the files once nothing refers to them."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and read it again.
+
+    For wide tables, of which later steps read some columns. The files stay
+    until the folder is cleared, since the result may be read at any time.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges(src, dst)`` of longs -> ``(node, root)``, root the least node reachable.
 
