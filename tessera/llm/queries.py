@@ -70,5 +70,55 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in mine}
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Bytes as pairs of hex digits, all windows of 200, those whose digest occurs twice, and the bytes that they cover.
+OP1_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, k, md5(substr(h, 2 * k + 1, 400)) AS m FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS k FROM d)),
+r AS (SELECT doc_id, k FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+b AS (SELECT doc_id, unnest(range(0, length(h) // 2)) AS p FROM d),
+c AS (SELECT b.doc_id, b.p, r.k IS NOT NULL AND b.p - r.k < 200 AS gone FROM b ASOF LEFT JOIN r ON b.doc_id = r.doc_id AND b.p >= r.k),
+e AS (SELECT doc_id, p, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS starts FROM c),
+g AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE starts) AS n_spans FROM e GROUP BY doc_id),
+t AS (SELECT c.doc_id, string_agg(substr(d.h, 2 * c.p + 1, 2), '' ORDER BY c.p) AS kept FROM c JOIN d USING (doc_id) WHERE NOT gone GROUP BY c.doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+#: Windows of items and of documents as strings of words, joined where they are equal.
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents), i AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+iw AS (SELECT item_id, least(10, len(w)) AS n, array_to_string(list_slice(w, k + 1, k + least(10, len(w))), ' ') AS s FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 9, 1))) AS k FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, k, n, array_to_string(list_slice(w, k + 1, k + n), ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(0, greatest(len(w) - n + 1, 0))) AS k FROM d, (SELECT DISTINCT n FROM iw))),
+hit AS (SELECT doc_id, k, dw.n AS n, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.s = iw.s),
+p AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM hit) GROUP BY doc_id),
+q AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN q USING (doc_id)
+"""
+
+
+def _op7_sql() -> str:
+    """Each rule's matches walked one by one, placed by the lengths of all before."""
+    parts = []
+    for k, r in enumerate(secrets.RULES):
+        regex = r.pattern.replace("'", "''")
+        keep = {"assign": f"regexp_matches(h, '{secrets.ASSIGN_KEPT.replace(chr(39), chr(39) * 2)}')", "access": "length(h) >= 20", "hex": "length(h) >= 24"}[r.kind]
+        walk = rf"(?s)(.*?)(?:({regex})|\z)"
+        parts.append(
+            f"""SELECT doc_id, {k} AS k, '{r.kind}' AS kind, a, z FROM (
+ SELECT doc_id, h, sum(length(g)) OVER o + coalesce(sum(length(h)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, a + length(h) AS z
+ FROM (SELECT doc_id, unnest(range(1, len(gs) + 1)) AS i, unnest(gs) AS g, unnest(hs) AS h FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{walk}', 1) AS gs, regexp_extract_all(coalesce(text, ''), '{walk}', 2) AS hs FROM documents))
+ WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE h <> '' AND {keep}"""
+        )
+    each = " UNION ALL ".join(parts)
+    return f"""WITH s AS ({each}), g AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+ string_agg(kind || ':' || a::BIGINT || ':' || z::BIGINT, ',' ORDER BY a, k) AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN g USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Fingerprints by XXH64, tokens, trained models and hashed boundaries have no SQL; tests compare those with plain Python."""
+    return {"op1_substrings": OP1_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql()}
