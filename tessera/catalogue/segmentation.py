@@ -45,7 +45,7 @@ def components_numbered(vox: DataFrame) -> DataFrame:
  reach AS (SELECT n FROM bg WHERE y = 0 OR y = 24 OR x = 0 OR x = 19 UNION SELECT b.n FROM reach JOIN bg a ON a.n = reach.n JOIN bg b ON a.z = b.z AND abs(a.y - b.y) + abs(a.x - b.x) = 1)
  SELECT z, y, x, mask OR n NOT IN (SELECT n FROM reach) AS mask FROM m""")
 def fill_holes(vox: DataFrame) -> DataFrame:
-    return iterative.fill_holes_2d(vox.where("z < 2").withColumn("mask", F.col("v") > 900))
+    return iterative.fill_holes_2d(vox.where("z < 2").withColumn("mask", F.col("v") > 900), {"z": 2, "y": 25, "x": 20}, SIZE)
 
 
 @volume(""", t AS (SELECT a.label AS u, b.label AS w FROM vox a JOIN vox b ON a.z = b.z AND a.y = b.y AND b.x = a.x + 1 WHERE a.x = 9 AND a.label > 0 AND b.label > 0 GROUP BY ALL HAVING count(*) >= 8),

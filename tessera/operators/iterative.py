@@ -33,16 +33,18 @@ def _in_blocks(mask: DataFrame, size: dict[str, int], full: bool) -> DataFrame:
     return mask.select(*KEY, "voxel", block.alias("b")).groupBy("b").applyInPandas(run, "z long, y long, x long, id long")
 
 
-def components(mask: DataFrame, full_size: dict[str, int], block: dict[str, int], full: bool = False) -> DataFrame:
+def components(mask: DataFrame, full_size: dict[str, int], block: dict[str, int], full: bool = False, planes: bool = False) -> DataFrame:
     """``mask(z, y, x)`` of true voxels -> ``(z, y, x, component)``, named after its first voxel.
 
-    Faces connect; with ``full`` edges and corners do too.
+    Faces connect; with ``full`` edges and corners do too; with ``planes``
+    only voxels of one plane.
     """
+    block = {**block, "z": 1} if planes else block
     number = (F.col("z") * full_size["y"] + F.col("y")) * full_size["x"] + F.col("x")
     inner = cut(_in_blocks(mask.select(*KEY).withColumn("voxel", number), block, full))
-    steps = [o for o in ((dz, dy, dx) for dz in (-1, 0, 1) for dy in (-1, 0, 1) for dx in (-1, 0, 1)) if o > (0, 0, 0) and (full or sum(d != 0 for d in o) == 1)]
+    steps = [o for o in ((dz, dy, dx) for dz in (-1, 0, 1) for dy in (-1, 0, 1) for dx in (-1, 0, 1)) if o > (0, 0, 0) and (full or sum(d != 0 for d in o) == 1) and not (planes and o[0])]
     faces = F.lit(False)
-    for a in KEY:
+    for a in KEY[planes:]:
         faces = faces | (F.col(a) % block[a] == 0) | (F.col(a) % block[a] == block[a] - 1)
     skin = inner.where(faces)
     meet = spread(skin, [(0, 0, 0), *steps], "id").groupBy(*KEY).agg(F.max(F.when(F.col("own"), F.col("id"))).alias("dst"), F.collect_set("id").alias("near"))
@@ -62,14 +64,15 @@ def numbered(parts: DataFrame) -> DataFrame:
     return parts.join(order, "component").drop("component")
 
 
-def fill_holes_2d(mask: DataFrame, value: str = "mask") -> DataFrame:
-    """Holes of each plane filled; a plane is one group."""
+def fill_holes_2d(mask: DataFrame, full_size: dict[str, int], block: dict[str, int], value: str = "mask") -> DataFrame:
+    """Holes of each plane filled: background whose component does not reach the plane's border.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        a, _, at = kernels.dense(rows, value, False)
-        return rows[[*KEY]].assign(**{value: kernels.filled(a[0])[at[1:]]})
-
-    return mask.select(*KEY, value).groupBy("z").applyInPandas(run, f"z long, y long, x long, {value} boolean")
+    Planes are labelled block by block, so none has to fit into one task.
+    """
+    back = components(mask.where(~F.col(value)), full_size, block, planes=True)
+    edge = (F.col("y") == 0) | (F.col("y") == full_size["y"] - 1) | (F.col("x") == 0) | (F.col("x") == full_size["x"] - 1)
+    holes = back.join(back.where(edge).select("component").distinct(), "component", "left_anti").select(*KEY, F.lit(True).alias("_hole"))
+    return mask.select(*KEY, value).join(holes, list(KEY), "left").select(*KEY, (F.col(value) | F.coalesce("_hole", F.lit(False))).alias(value))
 
 
 def zip_touching(labels: DataFrame, seam: str, at: int, least: int = 1) -> DataFrame:

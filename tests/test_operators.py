@@ -105,7 +105,9 @@ def test_fill_and_erode_and_dilate(spark):
     ring[0, 1:6, 1:6] = True
     ring[0, 2:5, 2:5] = False
     t = table(spark, ring, "mask")
-    assert array(iterative.fill_holes_2d(t), ring.shape, "mask").sum() == 25
+    for size in (2, 3, 7):
+        got = array(iterative.fill_holes_2d(t, {"z": 1, "y": 7, "x": 7}, dict.fromkeys("zyx", size)), ring.shape, "mask")
+        assert got.sum() == 25 and (got[0] == kernels.filled(ring[0])).all()
     e = array(stencil.erode(t, stencil.disk(1)), ring.shape, "mask")
     d = array(stencil.dilate(t, stencil.disk(1)), ring.shape, "mask")
     assert (e <= ring).all() and (ring <= d).all() and e.sum() == 0
