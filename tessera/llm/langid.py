@@ -72,11 +72,15 @@ class Model:
 
     def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the leading language of each text, and its proportion in the chosen set."""
+        shares = self.mixtures(texts)
+        return (shares.argmax(axis=1), shares.max(axis=1)) if self.langs else (np.zeros(len(texts), int), np.zeros(len(texts)))
+
+    def mixtures(self, texts: list[bytes]) -> np.ndarray:
+        """Of each text the proportions of all languages, 0 outside the chosen set."""
         k, (h, first, words) = len(self.langs), grams(texts)
-        lead, share = np.zeros(len(texts), int), np.full(len(texts), 1 / max(1, k))
-        live = np.flatnonzero(words)
+        out, live = np.full((len(texts), k), 1 / max(1, k)), np.flatnonzero(words)
         if not k or not len(live):
-            return lead, share
+            return out
         ll = np.stack([np.add.reduceat(row[h], first) for row in self.table])
         ll = np.maximum(ll - ll.max(axis=0), -CLIP)
         p, n = np.exp(ll, dtype=np.float32), words[live]
@@ -86,16 +90,16 @@ class Model:
             r = p * np.repeat(pi, n, axis=1)
             r /= r.sum(axis=0)
             pi = np.add.reduceat(r, starts, axis=1) / n
-        order = np.argsort(-pi, axis=0, kind="stable")
-        best, chosen = np.full(len(live), -np.inf), np.ones(len(live))
+        place = np.argsort(np.argsort(-pi, axis=0, kind="stable"), axis=0)
+        best, chosen = np.full(len(live), -np.inf), pi
         for m in range(1, min(k, 5) + 1):
-            kept = np.where(np.argsort(order, axis=0) < m, pi, 0)
+            kept = np.where(place < m, pi, 0)
             kept = kept / kept.sum(axis=0)
             fits = np.add.reduceat(np.log(np.maximum((p * np.repeat(kept, n, axis=1)).sum(axis=0), 1e-12)), starts) - m * PENALTY * np.log(n + 1) / 2
             better = fits > best
-            best, chosen = np.where(better, fits, best), np.where(better, kept.max(axis=0), chosen)
-        lead[live], share[live] = order[0], np.clip(chosen, 0, 1)
-        return lead, share
+            best, chosen = np.where(better, fits, best), np.where(better, kept, chosen)
+        out[live] = np.clip(chosen.T, 0, 1)
+        return out
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
@@ -115,6 +119,9 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return Model(counts)
 
 
+MIXTURE = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
+
+
 def _predicting(model: Model):
     def blocks(texts: list[bytes], size: int = 1 << 20) -> Iterator[list[bytes]]:
         block, n = [], 0
@@ -131,22 +138,28 @@ def _predicting(model: Model):
         for b in batches:
             texts = [x if (x := t.as_py()) is not None and LETTER.search(x) else None for t in b.column("text")]
             raw = [(t or "").encode() for t in texts]
-            found = [model.predict(block) for block in blocks(raw)]
-            lead, share = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0))
-            known = [t is not None and bool(model.langs) for t in texts]
-            lang = [model.langs[i] if ok else "und" for i, ok in zip(lead.tolist(), known)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(np.where(known, share, 0.0), pa.float64())], [*b.schema.names, "lang_pred", "score"])
+            shares = np.concatenate([model.mixtures(block) for block in blocks(raw)]) if raw else np.zeros((0, len(model.langs)))
+            lang, score, mixture = [], [], []
+            for t, row in zip(texts, shares):
+                known = t is not None and bool(model.langs)
+                lead = int(row.argmax()) if known else -1
+                lang.append(model.langs[lead] if known else "und")
+                score.append(float(row[lead]) if known else 0.0)
+                mixture.append([{"lang": model.langs[i], "share": float(row[i])} for i in np.flatnonzero(row).tolist()] if known else [])
+            new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(mixture, MIXTURE)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], [*b.schema.names, "lang_pred", "score", "mixture"])
 
     return predict
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs(text, ...)`` -> the same rows with ``lang_pred`` and ``score``.
+    """``docs(text, ...)`` -> the same rows with ``lang_pred``, ``score`` and ``mixture``.
 
-    ``und`` with score 0 for null texts, texts without a letter, and where no
-    language was learned. Other columns pass through; those called
-    ``lang_pred`` or ``score`` are replaced. No rows give no rows.
+    ``mixture`` lists the chosen languages with their proportions; ``score`` is
+    that of the leading one. ``und`` with score 0 for null texts, texts without a letter, and where no
+    language was learned. Other columns pass through; those with
+    one of these names are replaced. No rows give no rows.
     """
-    docs = docs.drop("lang_pred", "score")
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    docs = docs.drop("lang_pred", "score", "mixture")
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("mixture", T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("share", T.DoubleType())])))])
     return docs.mapInArrow(_predicting(model), schema)

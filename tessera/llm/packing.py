@@ -61,7 +61,7 @@ def cuts(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, min(n, first))] + [(s, size) for s in range(first, n, size)]
 
 
-def _pieces(size: int, name: str):
+def _pieces(size: int, name: str, with_ids: bool = False):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(name)
         for b in batches:
@@ -69,10 +69,13 @@ def _pieces(size: int, name: str):
             for doc, text in zip(b.column(0), b.column(1)):
                 ids = np.array([*encode(text.as_py() or ""), 0], "<u4")
                 for k, (start, n) in enumerate(cuts(len(ids), size)):
-                    out.append((doc.as_py(), k, start, n, zlib.crc32(ids[start : start + n].tobytes())))
-            doc, *rest = zip(*out) if out else [()] * 5
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(doc, b.schema.types[0]), *map(pa.array, rest, types)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                    own = ids[start : start + n]
+                    out.append((doc.as_py(), k, start, n, zlib.crc32(own.tobytes()), own.astype("i4") if with_ids else None))
+            doc, *rest = zip(*out) if out else [()] * 6
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+            columns = [pa.array(doc, b.schema.types[0]), *map(pa.array, rest, types)]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+            yield pa.RecordBatch.from_arrays(columns[: 5 + with_ids], names[: 5 + with_ids])
 
     return pieces
 
@@ -177,3 +180,17 @@ def pack(cut_pieces: DataFrame, size: int = 2048, per_task: int = PER_TASK) -> D
             return done
         pool = out.where("open").select(*COLUMNS)
         n, turn = pool.count(), turn + 1
+
+
+def sequences(docs: DataFrame, packed_pieces: DataFrame, size: int = 2048, tokenizer: str = TOKENIZER) -> DataFrame:
+    """``(sequence_id, ids)``: the token ids of each sequence, from the documents and their packing.
+
+    Documents are encoded again, so only the training set itself moves, once.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids array<int>"
+    key = [F.struct("doc_id").alias("d"), "piece", "ids_crc32"]
+    ids = docs.select("doc_id", "text").mapInArrow(_pieces(size, tokenizer, True), schema).select(*key, "ids").dropDuplicates(["d", "piece", "ids_crc32"])
+    placed = packed_pieces.select(*key, "sequence_id", "offset").join(ids, ["d", "piece", "ids_crc32"])
+    whole = F.transform(F.sort_array(F.collect_list(F.struct("offset", "ids"))), lambda s: s["ids"])
+    return placed.groupBy("sequence_id").agg(F.flatten(whole).alias("ids"))

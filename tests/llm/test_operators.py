@@ -318,6 +318,17 @@ def test_packing_is_whole_and_tight(spark):
     assert max(bins.values()) <= 2048 and len(bins) <= -(-total // 2048) + 1
 
 
+def test_sequences_hold_the_ids(spark):
+    docs = documents(spark)
+    packed = packing.pack(packing.pieces(docs, 64), 64)
+    ids = {r.sequence_id: r.ids for r in packing.sequences(docs, packed, 64).collect()}
+    rows = packed.collect()
+    assert set(ids) == {r.sequence_id for r in rows} and max(map(len, ids.values())) <= 64
+    for r in rows:
+        own = np.array(ids[r.sequence_id][r.offset : r.offset + r.length], "<u4")
+        assert len(own) == r.length and zlib.crc32(own.tobytes()) == r.ids_crc32
+
+
 def test_ids_are_those_of_the_json_file():
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -459,6 +470,9 @@ def test_mixtures_are_found(spark):
     a, b = rows[0][1].encode(), rows[-1][1].encode()
     lead, share = model.predict([a, b, a + b[: len(b) // 2]])
     assert [model.langs[i] for i in lead] == ["de", "en", "de"] and share[0] > 0.99 and 0.5 < share[2] < 0.9
+    both = langid.identified(spark.createDataFrame([((a + b).decode(),), (a.decode(),), (None,)], "text string"), model).collect()
+    assert [sorted(m.lang for m in r.mixture) for r in both] == [["de", "en"], ["de"], []]
+    assert all(sum(m.share for m in r.mixture) == pytest.approx(1, abs=1e-5) for r in both[:2])
 
 
 def test_nothing_learned_or_no_letter(spark):
