@@ -376,11 +376,13 @@ def without_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     base = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("rid"))
     marks = base.select("rid", "text").mapInArrow(_anchoring(span), "h long, c long, rid long")
-    often = marks.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1")
+    # counts are written before they are joined: both sides of the join are then exchanges, so that one very common
+    # anchor can be split over tasks, which it can't where the counting and the join share an exchange
+    often = cut(marks.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1"))
     # the anchors that occur again, written once: all that follows starts from them
     seen = cut(marks.join(often.select("h", (F.col("c0") != F.col("c1")).alias("mixed")), "h"))
     mixed = seen.where("mixed").select("h", "c", "rid")
-    kinds = mixed.groupBy("h", "c").agg(F.count("*").alias("n"), F.min("rid").alias("first"))
+    kinds = cut(mixed.groupBy("h", "c").agg(F.count("*").alias("n"), F.min("rid").alias("first")))
     alone = kinds.where("n = 1").select("h").distinct()
     # contexts that occur once are searched for; of the others with such a one beside them, one is shown to it
     flags = kinds.where("n = 1").select(F.col("first").alias("rid"), "c", F.lit(1).alias("flag")).unionByName(
