@@ -86,14 +86,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHA
 
     The ``k`` rows found with the largest inner products, ties to the smaller
     vec_id; a query's own row is none of them. Unusable vectors take no part.
-    Vectors whose length is not that of the queries' are an error. Without
-    vectors or queries there are no rows.
+    Vectors of another length than a query's are none of its candidates.
+    Without vectors or queries there are no rows.
     """
     x, q = cut(usable(vectors)), cut(usable(queries))
     shards, blocks = max(1, -(-x.count() // shard)), max(1, -(-q.count() // block))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = x.select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), every(blocks).alias("block"))
-    right = q.select("vec_id", "v", every(shards).alias("shard"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
+    # only vectors of one length can be compared, so the length is part of the key
+    left = x.select("vec_id", "v", F.size("v").alias("n"), F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), every(blocks).alias("block"))
+    right = q.select("vec_id", "v", F.size("v").alias("n"), every(shards).alias("shard"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
 
     def one(rows: pa.Table, asked: pa.Table) -> pa.Table:
         def matrix(t: pa.Table) -> np.ndarray:
@@ -106,7 +107,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHA
             found = nearest(rows.column("vec_id").to_numpy(), matrix(rows), asked.column("vec_id").to_numpy(), matrix(asked), k)
         return pa.Table.from_pandas(found, schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]), preserve_index=False)
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(one, "query_id long, vec_id long, score double")
+    found = left.groupBy("n", "shard", "block").cogroup(right.groupBy("n", "shard", "block")).applyInArrow(one, "query_id long, vec_id long, score double")
     # a heap of k rows a query and task, merged: no task sees more than that of any query
     best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))), 1, k)
     ranked = found.groupBy("query_id").agg(best.alias("best")).select("query_id", F.posexplode("best").alias("rank", "x"))

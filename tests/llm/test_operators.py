@@ -445,7 +445,7 @@ def test_recall_and_scores(spark):
 
 
 def test_vectors_that_take_no_part(spark):
-    rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [None, 1.0]), (6, [0.5, 0.5]), (7, [0.5, 0.5]), (20, [0.0, 2.0]), (None, [1.0, 1.0])]
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [None, 1.0]), (6, [0.5, 0.5]), (7, [0.5, 0.5]), (20, [0.0, 2.0]), (None, [1.0, 1.0]), (8, [9.0, 9.0, 9.0]), (9, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {(r.query_id, r["rank"]): r.vec_id for r in neighbours.search(df, df.where("vec_id % 20 = 0"), 20).collect()}
     assert got == {(0, 1): 6, (0, 2): 7, (0, 3): 20, (20, 1): 6, (20, 2): 7, (20, 3): 0}
