@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 
 from ..runtime import cut
 
-#: Lines that the rolling hash sees; a boundary comes after one in ``EVERY`` lines; no chunk has over ``MOST`` lines.
-ROLL, EVERY, MOST = 2, 4, 64
+#: Lines that the rolling hash sees; a boundary comes after about one in ``EVERY`` lines, so that short passages hold whole
+#: chunks too; no chunk has over ``MOST`` lines.
+ROLL, EVERY, MOST = 2, 2, 64
 #: Chunks of fewer lines or bytes are no passages and stay.
 LEAST_LINES, LEAST_BYTES = 2, 40
 
