@@ -52,8 +52,18 @@ class Node:
 def parse(source: str) -> Node:
     """A tree of the page, by the usual rules for end tags that are left out."""
     root = here = Node("#root", "", None)
-    open_p: list[Node] = []
+    within: dict[str, int] = {}  # how many elements of a tag are open, so that an end tag without one costs nothing
     at, lower = 0, None
+
+    def leave(node: Node) -> Node:
+        """End ``node`` and all open elements in it."""
+        x = here
+        while x is not node:
+            within[x.tag] -= 1
+            x = x.parent
+        within[node.tag] -= 1
+        return node.parent
+
     for m in iter(lambda: TOKEN.search(source, at), None):
         if m.start() > at:
             here.kids.append(html.unescape(source[at : m.start()]))
@@ -62,11 +72,11 @@ def parse(source: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            up = here
+            up = here if within.get(tag) else root
             while up is not root and up.tag != tag and not (tag in INLINE and up.tag in BLOCK):
                 up = up.parent
             if up.tag == tag and up is not root:
-                here = up.parent
+                here = leave(up)
             elif tag == "p":
                 here.kids.append(Node("p", "", here))
             elif tag == "br":
@@ -77,23 +87,23 @@ def parse(source: str) -> Node:
             while up is not root and up.tag in INLINE:
                 up = up.parent
             if up.tag == "p":
-                here = up.parent
+                here = leave(up)
             elif up.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-                here = up.parent
+                here = leave(up)
         elif tag in SIBLINGS:
-            up = here
+            up = here if any(within.get(x) for x in SIBLINGS[tag]) else root
             while up is not root and up.tag not in SIBLINGS[tag] and up.tag not in SCOPE[tag]:
                 up = up.parent
             if up.tag in SIBLINGS[tag]:
-                here = up.parent
-                if tag == "tr" and up.tag in ("td", "th"):
-                    here = here.parent if here.tag == "tr" and here.parent else here
+                here = leave(up)
+                if tag == "tr" and up.tag in ("td", "th") and here.tag == "tr":
+                    here = leave(here)
         elif tag == "body":
-            up = here
+            up = here if within.get("head") else root
             while up is not root and up.tag != "head":
                 up = up.parent
             if up.tag == "head":
-                here = up.parent
+                here = leave(up)
         node = Node(tag, m[3], here)
         here.kids.append(node)
         if tag in RAW:
@@ -108,6 +118,7 @@ def parse(source: str) -> Node:
                 at = close + 1 if close >= 0 else len(source)
         elif tag not in VOID and not m[3].rstrip().endswith("/") or tag in BLOCK and tag not in VOID:
             here = node
+            within[tag] = within.get(tag, 0) + 1
     if at < len(source):
         here.kids.append(html.unescape(source[at:]))
     return root
