@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.sources import codecs, files, sinks
-from tessera.sources.voxels import Volume, default_axes, voxels
+from tessera.sources.voxels import Volume, box, default_axes, voxels
 from tessera.streaming import blocks as stream
 
 DATA = "/root/testdata/sf0.001"
@@ -97,3 +97,31 @@ def test_folder_of_planes_and_png(spark, tmp_path):
     assert all(a[k] == v for k, v in got.items()) and len(got) == 24
     png = codecs.to_png(a[0])
     assert png[:8] == b"\x89PNG\r\n\x1a\n" and b"IEND" in png
+
+
+def test_slices_reach_the_scan(spark, tmp_path):
+    """A hyper-rectangle is pushed to Parquet, blocks are pruned, and unused columns are not read."""
+    path = str(tmp_path / "vol")
+    sinks.write_volume(voxels(spark, DATA).select("block", "z", "y", "x", "v", "label"), path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 4000)
+    plan = spark.read.parquet(path).where(box(z=(0, 1), y=(2, 9)) & F.col("block").isin(0, 1)).select("v")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed, pruned, schema = (plan[plan.index(k) :].split("]")[0] if k != "ReadSchema" else plan[plan.index(k) :] for k in ("PushedFilters", "PartitionFilters", "ReadSchema"))
+    assert "GreaterThanOrEqual(z,0)" in pushed and "LessThan(y,9)" in pushed and "block" in pruned
+    assert "label" not in schema and "v:bigint" in schema
+
+
+def test_stencils_shuffle_once(spark):
+    from tessera.operators import stencil
+
+    plan = stencil.stencil(voxels(spark, DATA), stencil.square(1), "v", m=F.max("v"))._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+    full = stencil.stencil(voxels(spark, DATA), stencil.square(1), "v", m=F.max("v"))._jdf.queryExecution().executedPlan().toString()
+    assert full.count("Exchange hashpartitioning") == 1
+
+
+def test_halo_reads_do_not_shuffle(spark):
+    from tessera.operators import blocks
+
+    h = blocks.halo_join(voxels(spark, DATA), {"z": 2, "y": 25, "x": 20}, dict.fromkeys("zyx", 10), 2)
+    assert "Exchange" not in h._jdf.queryExecution().executedPlan().toString()
