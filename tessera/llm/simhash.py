@@ -6,9 +6,9 @@ fingerprints differ in at most two bits, then for one of the pairs (1, 2),
 bit (pigeonhole: checked for all distributions of two errors in the tests).
 The binary Golay code [23, 12, 7] is perfect, so each 23-bit word decodes to
 one codeword within distance 3. A word emits the codeword of itself and of
-all its 23 neighbours, about six different ones: two words at distance one
+all its 23 neighbours, about five different ones: two words at distance one
 always share one. A key is the pair, the exact first segment, and a codeword
-index: about 18 keys for each distinct fingerprint.
+index: about 16 keys for each distinct fingerprint.
 
 Fingerprints that share a key are compared bit by bit, and only edges of a
 spanning forest leave a bucket. Large buckets never compare all pairs: there
