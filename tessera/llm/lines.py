@@ -1,11 +1,14 @@
-"""Line dedup over content-defined chunks of lines.
-
-A rolling hash over the hashes of the last lines decides where a chunk ends,
-so boundaries depend on nearby lines only and move along with inserted or
-deleted text. Chunks of several lines that occur more than once anywhere, the
-same document included, are removed but for their first occurrence (least
-doc_id, then place). Chunks are grouped by their hash and their bytes, so a
-removal rests on a comparison of bytes.
+"""Line dedup over all repeated runs of lines.
+
+A run of two or more lines, of a least number of bytes, that occurs at an
+earlier place (less doc_id, then place, the same document included) is removed
+wherever it begins and whatever stands around it. Every such run is the union
+of its least windows: those from one of its lines on, and those up to one of
+its lines, that just reach the least lines and bytes. So it is enough to
+compare these windows, about one for each line. They overlap, so their bytes are
+not sent: bytes are compared line by line, and where no hash of a line stands
+for two contents, windows with equal hashes of all lines are equal. Otherwise
+the windows' own bytes are compared. The first occurrence of any line stays.
 """
 
 from __future__ import annotations
@@ -20,15 +23,17 @@ from pyspark.sql import types as T
 
 from ..runtime import cut
 
-#: Lines that the rolling hash sees; a boundary comes after about one in ``EVERY`` lines, so that short passages hold whole
-#: chunks too; no chunk has over ``MOST`` lines.
+#: Lines that the rolling hash of ``chunks`` sees; a boundary comes after about one in ``EVERY`` lines. No chunk or window has
+#: over ``MOST`` lines; a least window can only be longer where its first or last lines are blank.
 ROLL, EVERY, MOST = 2, 2, 64
-#: Chunks of fewer lines or bytes are no passages and stay.
+#: Runs of fewer lines or bytes are no passages and stay.
 LEAST_LINES, LEAST_BYTES = 2, 40
+#: Bytes of windows in one batch.
+BATCH = 4 << 20
 
 
 def chunks(text: bytes) -> list[tuple[int, int]]:
-    """(first line, end) of the chunks of a text's lines."""
+    """(first line, end) of content-defined chunks that tile a text's lines; dedup itself compares all windows."""
     import xxhash
 
     lines = text.split(b"\n")
@@ -50,72 +55,123 @@ def chunks(text: bytes) -> list[tuple[int, int]]:
     return out
 
 
+def _windows(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first lines, ends) of the least windows, and where each line begins."""
+    lines = text.split(b"\n")
+    n = len(lines)
+    begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lines), np.int64, n) + 1)])
+    # the first byte that is no space from a line on, the last one up to a line: both grow with the line
+    left, right = (np.fromiter((len(x) for x in map(f, lines)), np.int64, n) for f in (bytes.lstrip, bytes.rstrip))
+    from_, to = np.where(left > 0, begin[1:] - 1 - left, len(text)), np.where(right > 0, begin[:-1] + right, 0)
+    from_, to = np.minimum.accumulate(from_[::-1])[::-1], np.maximum.accumulate(to)
+    k = np.arange(n)
+    ends = np.maximum(k + LEAST_LINES, np.searchsorted(to, from_ + LEAST_BYTES) + 1)
+    firsts = np.minimum(k + 1 - LEAST_LINES, np.searchsorted(from_, to - LEAST_BYTES, "right") - 1)
+    a, z = np.concatenate([k, firsts]), np.concatenate([ends, k + 1])
+    fine = (a >= 0) & (z <= n) & (z - a <= MOST)
+    key = np.unique(a[fine] * (MOST + 1) + (z - a)[fine])
+    a = key // (MOST + 1)
+    return a, a + key % (MOST + 1), begin
+
+
 def passages(text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
-    """(hash, first line, end, bytes) of each chunk that may be removed."""
+    """(hash, first line, end, bytes) of each window that may be removed."""
     import xxhash
 
-    lines = text.split(b"\n")
-    for a, z in chunks(text):
-        joined = b"\n".join(lines[a:z])
-        if z - a >= LEAST_LINES and len(joined.strip()) >= LEAST_BYTES:
-            yield xxhash.xxh3_64_intdigest(joined) - (1 << 63), a, z, joined
+    first, end, begin = _windows(text)
+    for a, z, i, j in zip(first.tolist(), end.tolist(), begin[first].tolist(), (begin[end] - 1).tolist()):
+        joined = text[i:j]
+        yield xxhash.xxh3_64_intdigest(joined) - (1 << 63), a, z, joined
+
+
+def line_hash(line: bytes) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(line)
 
 
-def _chunking(with_bytes: bool):
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and bytes of the lines of texts that have windows."""
+    for b in batches:
+        for t in b.column("text").cast(pa.binary()):
+            lines = list(set((t.as_py() or b"").split(b"\n")))
+            if len(lines) > 1 or (t.as_py() or b"").count(b"\n"):
+                yield pa.RecordBatch.from_arrays([pa.array([line_hash(x) - (1 << 63) for x in lines], pa.int64()), pa.array(lines, pa.binary())], ["h", "line"])
+
+
+def _chunking(by: str | None):
+    """Windows with their places; ``chunk`` holds their bytes, or by ``lines`` the hashes of their lines."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "doc_id", "tie", "line", *(["chunk"] if with_bytes else [])]
+        names = ["h", "doc_id", "tie", "line", "upto", *(["chunk"] if by else [])]
+
+        def batch(b: pa.RecordBatch, rows: list, which: list) -> pa.RecordBatch:
+            h, line, upto, chunk = zip(*rows) if rows else ((), (), (), ())
+            which = pa.array(which, pa.int64())
+            columns = [pa.array(h, pa.int64()), b.column("doc_id").take(which), b.column("tie").take(which), pa.array(line, pa.int32()), pa.array(upto, pa.int32())]
+            return pa.RecordBatch.from_arrays([*columns, *([pa.array(chunk, pa.binary())] if by else [])], names)
+
         for b in batches:
-            rows, which = [], []
+            rows, which, held = [], [], 0
             for i, t in enumerate(b.column("text").cast(pa.binary())):
-                for h, a, _, joined in passages(t.as_py() or b""):
-                    rows.append((h, a, joined))
+                text = t.as_py() or b""
+                known = np.array([line_hash(x) for x in text.split(b"\n")], np.uint64).tobytes() if by == "lines" else b""
+                for h, a, z, joined in passages(text):
+                    chunk = (known[8 * a : 8 * z] if by == "lines" else joined) if by else b""
+                    rows.append((h, a, z, chunk))
                     which.append(i)
-            h, line, joined = zip(*rows) if rows else ((), (), ())
-            which = pa.array(which, pa.int64())
-            columns = [pa.array(h, pa.int64()), b.column("doc_id").take(which), b.column("tie").take(which), pa.array(line, pa.int32())]
-            yield pa.RecordBatch.from_arrays([*columns, *([pa.array(joined, pa.binary())] if with_bytes else [])], names)
+                    held += 64 + len(chunk)
+                    if held > BATCH:
+                        yield batch(b, rows, which)
+                        rows, which, held = [], [], 0
+            yield batch(b, rows, which)
 
     return run
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, tie, text)`` -> ``(doc_id, tie, lines)``: the first lines of the chunks to remove."""
+    """``docs(doc_id, tie, text)`` -> ``(doc_id, tie, gone)``: first lines and ends of the windows to remove."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"h long, doc_id {kind}, tie long, line int"
-    place = F.struct("doc_id", "tie", "line")
-    whole = docs.mapInArrow(_chunking(True), schema + ", chunk binary")
+    schema = f"h long, doc_id {kind}, tie long, line int, upto int"
+    place = F.struct("doc_id", "tie", "line", "upto")
+    contents = docs.mapInArrow(_lines, "h long, line binary").distinct().groupBy("h").count()
+    told = not contents.where("count > 1").limit(1).count()
+    whole = docs.mapInArrow(_chunking("lines" if told else "bytes"), schema + ", chunk binary")
     many = whole.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     # a hash almost never stands for two contents; where it does, the bytes decide again below
     by_hash = many.groupBy("h").agg(F.count("*").alias("contents"), F.max("n").alias("n"), F.min("first").alias("first")).where("n > 1")
     by_hash = cut(by_hash)
     one, several = by_hash.where("contents = 1").select("h", "first"), by_hash.where("contents > 1").select("h")
-    gone = docs.mapInArrow(_chunking(False), schema).join(one, "h").where(~place.eqNullSafe(F.col("first")))
-    gone = gone.select("doc_id", "tie", "line")
+    gone = docs.mapInArrow(_chunking(None), schema).join(one, "h").where(~place.eqNullSafe(F.col("first")))
+    gone = gone.select("doc_id", "tie", "line", "upto")
     if several.limit(1).count():
         split = whole.join(several, "h", "left_semi")
         firsts = split.groupBy("h", "chunk").agg(F.min(place).alias("first"))
-        gone = gone.unionByName(split.join(firsts, ["h", "chunk"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "tie", "line"))
-    return gone.groupBy("doc_id", "tie").agg(F.collect_set("line").alias("gone"))
+        gone = gone.unionByName(split.join(firsts, ["h", "chunk"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "tie", "line", "upto"))
+    return gone.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("line", "upto")).alias("gone"))
 
 
 def _removing(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            total, removed, kept = [], [], []
-            for t, gone in zip(b.column("text").cast(pa.binary()), b.column("gone").to_pylist()):
+            total, removed, runs, kept = [], [], [], []
+            gone = b.column("gone")
+            for k, t in enumerate(b.column("text").cast(pa.binary())):
                 text = t.as_py()
                 lines = text.split(b"\n") if text else []
                 total.append(len(lines))
-                if gone:
-                    ends = dict(chunks(text))
-                    out = set()
-                    for a in gone:
-                        out.update(range(a, ends[a]))
-                    lines = [x for i, x in enumerate(lines) if i not in out]
+                runs.append(0)
+                if gone[k].is_valid:
+                    out, ranges = np.zeros(len(lines) + 1, np.int64), gone[k].values
+                    np.add.at(out, ranges.field("line").to_numpy(), 1)
+                    np.add.at(out, ranges.field("upto").to_numpy(), -1)
+                    out = np.cumsum(out)[:-1] > 0
+                    runs[-1] = int(out[0]) + int((out[1:] & ~out[:-1]).sum())
+                    lines = [x for x, drop in zip(lines, out.tolist()) if not drop]
                     text = b"\n".join(lines)
                 removed.append(total[-1] - len(lines))
                 kept.append(text)
-            new = {"text": pa.array(kept, pa.binary()).cast(pa.string()), "n_lines": pa.array(total, pa.int64()), "n_lines_removed": pa.array(removed, pa.int64()), "n_chunks_removed": pa.array([len(x or ()) for x in b.column("gone").to_pylist()], pa.int64())}
+            new = {"text": pa.array(kept, pa.binary()).cast(pa.string()), "n_lines": pa.array(total, pa.int64()), "n_lines_removed": pa.array(removed, pa.int64()), "n_chunks_removed": pa.array(runs, pa.int64())}
             yield pa.RecordBatch.from_arrays([new[x] if x in new else b.column(x) for x in names], names)
 
     return run
@@ -135,9 +191,9 @@ def _deduped(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text, ...)`` -> the same rows, text without repeated chunks, and three counts.
+    """``docs(doc_id, text, ...)`` -> the same rows, text without repeated runs of lines, and three counts.
 
-    ``n_lines``, ``n_lines_removed`` and ``n_chunks_removed`` are added, or
+    ``n_lines``, ``n_lines_removed`` and ``n_chunks_removed`` (runs of removed lines) are added, or
     take the place of columns so called. Null and empty texts have no lines
     and stay as they are. A row that is there twice counts as one document.
     Rows with equal or null ids and different texts are told apart by their
@@ -147,7 +203,7 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """The documents with repeated chunks cut out, same columns; ``n_chars``, where there, counts again."""
+    """The documents with repeated runs of lines cut out, same columns; ``n_chars``, where there, counts again."""
 
     def column(c: str):
         if c == "n_chars":

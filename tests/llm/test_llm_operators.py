@@ -530,6 +530,33 @@ def test_chunks_tile_and_resist_shifts():
     assert sum(kept) / len(kept) > 0.9
 
 
+def test_repeated_runs_go_wherever_they_begin(spark):
+    """Against all runs of all lengths, without chunks or windows."""
+    r = random.Random(18)
+    pool = ["", " ", "x", "short", "a line of some length", "another line, " * 3, "and a long one with many words, " * 4]
+    rows = [(k, "\n".join(r.choice(pool) + (f" {r.randint(0, 40)}" if r.random() < 0.7 else "") for _ in range(r.randint(1, 14)))) for k in range(70)]
+    for n in (2, 3, 4, 6, 12):
+        passage = "\n".join(f"line {k} of a passage of {n} lines" for k in range(n))
+        rows += [(100 + 2 * n + k, f"own begin {n} {k}\n{passage}\nown end {n} {k}") for k in (0, 1)]
+    seen, want = set(), {}
+    for i, t in rows:
+        ls = t.encode().split(b"\n")
+        gone = set()
+        for a in range(len(ls)):
+            for z in range(a + 2, len(ls) + 1):
+                run = b"\n".join(ls[a:z])
+                if len(run.strip()) >= 40:
+                    gone.update(range(a, z) if run in seen else ())
+                    seen.add(run)
+        want[i] = b"\n".join(x for k, x in enumerate(ls) if k not in gone).decode()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {x.doc_id: x for x in lines.dedup(df).collect()}
+    assert {i: x.text for i, x in got.items()} == want
+    for n in (2, 3, 4, 6, 12):
+        last = got[100 + 2 * n + 1]
+        assert (last.text, last.n_lines_removed, last.n_chunks_removed) == (f"own begin {n} 1\nown end {n} 1", n, 1)
+
+
 def test_colliding_hashes_are_told_apart(spark, monkeypatch):
     real = lines.passages
     rows = [(1, "alpha beta gamma delta\nepsilon zeta eta theta\n" * 2), (2, "iota kappa lambda mu nu\nxi omicron pi rho sigma"), (3, "iota kappa lambda mu nu\nxi omicron pi rho sigma")]
@@ -540,6 +567,15 @@ def test_colliding_hashes_are_told_apart(spark, monkeypatch):
     assert got == want
 
 
+def test_colliding_hashes_of_lines_are_told_apart(spark, monkeypatch):
+    rows = [(1, "alpha beta gamma delta\nepsilon zeta eta theta iota"), (2, "kappa lambda mu nu xi\nomicron pi rho sigma tau"), (3, "alpha beta gamma delta\nepsilon zeta eta theta iota")]
+    monkeypatch.setattr(lines, "line_hash", lambda x: 7)
+    real = lines.passages
+    monkeypatch.setattr(lines, "passages", lambda t: ((7, a, z, j) for _, a, z, j in real(t)))
+    got = {x.doc_id: x.text for x in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: rows[1][1], 3: ""}
+
+
 # all of them
 
 
