@@ -233,3 +233,15 @@ def test_linear_upsampling_of_a_ramp(spark):
 def test_pseudotime_counts_steps(spark):
     e = spark.createDataFrame([(0, 1), (1, 2), (2, 3), (0, 3), (8, 9)], "src long, dst long")
     assert {r.node: r.steps for r in profile.pseudotime(e, 0).collect()} == {0: 0, 1: 1, 2: 2, 3: 1}
+
+
+def test_iterative_split_reaches_all_planes(spark):
+    from tessera.catalogue import segmentation
+
+    a = np.zeros((14, 9, 9), np.int64)
+    a[1:3, 2:4, 2:4] = a[6:10, 2:5, 2:5] = a[11:14, 6:8, 6:8] = 1000
+    z, y, x = np.indices(a.shape)
+    vox = spark.createDataFrame(pd.DataFrame({"z": z.ravel(), "y": y.ravel(), "x": x.ravel(), "v": a.ravel()}))
+    number = np.arange(a.size).reshape(a.shape)
+    want = {(number[1, 2, 2], 8), (number[6, 2, 2], 36), (number[11, 6, 6], 12)}
+    assert {(r.component, r.n) for r in segmentation.iterative_split(vox).collect()} == want
