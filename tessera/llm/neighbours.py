@@ -4,7 +4,9 @@ Each tree is a sorted array of long hash strings, one bit for the side of
 each of ``BITS`` random hyperplanes. A query descends every tree to its
 longest common prefix, and then ascends all trees together, one bit a step,
 until the rows below the reached nodes are enough candidates; these are
-scored exactly. So prefixes are of variable length, and no bucket has a cap.
+scored exactly. What is enough is measured: some queries of each block are
+compared with all rows of the shard, and the count grows until their recall
+reaches ``TARGET``. Copies of a vector count as one row. So prefixes are of variable length, and no bucket has a cap.
 
 Rows are dealt to shards of about ``SHARD`` rows and queries to blocks of
 about ``BLOCK``; a forest serves one block on one shard, so memory is bounded
@@ -24,8 +26,10 @@ from pyspark.sql import functions as F
 from ..runtime import cut
 
 BITS, TREES, SHARD, BLOCK = 32, 48, 8192, 4096
-#: Share of a shard that becomes candidates of a query, counted over all trees, and the least number.
+#: Share of a shard that becomes candidates of a query at first, counted over all trees, and the least number.
 SHARE, LEAST = 0.7, 400
+#: Recall to be reached on so many queries of a block, and by what the count grows until it is.
+TARGET, ASKED, GROWTH = 0.95, 64, 1.25
 
 
 class Forest:
@@ -65,12 +69,41 @@ class Forest:
 
 def nearest(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, share: float = SHARE, least: int = LEAST) -> pd.DataFrame:
     """The ``k`` best rows of one shard for each query of one block."""
-    forest, out = Forest(x), []
-    for own, v, rows in zip(query_ids, q, forest.candidates(q, max(least, int(share * len(x))))):
-        rows = rows[ids[rows] != own]
-        score = x[rows] @ v
-        best = np.lexsort((ids[rows], -score))[:k]
-        out.append((np.full(len(best), own), ids[rows][best], score[best]))
+    distinct, which = np.unique(x, axis=0, return_inverse=True)
+    which = which.reshape(-1)
+    order = np.argsort(which, kind="stable")
+    start = np.searchsorted(which[order], np.arange(len(distinct) + 1))
+    forest, out = Forest(distinct), []
+
+    def best(own: int, v: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and scores of the best among the copies of some distinct vectors."""
+        score = distinct[rows] @ v
+        if len(rows) > k + 1:
+            # every distinct vector has a copy that is not the query's own, but for one
+            enough = score >= np.partition(score, -k - 1)[-k - 1]
+            rows, score = rows[enough], score[enough]
+        n = start[rows + 1] - start[rows]
+        rows, score = np.concatenate([order[start[r] : start[r + 1]] for r in rows] or [order[:0]]), np.repeat(score, n)
+        other = ids[rows] != own
+        rows, score = rows[other], score[other]
+        first = np.lexsort((ids[rows], -score))[:k]
+        return rows[first], score[first]
+
+    asked = np.unique(np.linspace(0, len(q) - 1, ASKED).astype(int)) if len(q) else np.array([], int)
+    all_rows = np.arange(len(distinct))
+    floor = [s[-1] if len(s) else -np.inf for s in (best(query_ids[i], q[i], all_rows)[1] for i in asked)]
+    full = [len(best(query_ids[i], q[i], all_rows)[1]) for i in asked]
+    enough, most = max(least, int(share * len(distinct))), len(forest.planes) * len(distinct)
+    while enough < most and len(asked):
+        scores = [best(query_ids[i], q[i], rows)[1] for i, rows in zip(asked, forest.candidates(q[asked], enough))]
+        # equal scores may differ in their last bits with the rows that are multiplied at once
+        hit = sum(int((s >= f - 1e-9 * abs(f)).sum()) for s, f in zip(scores, floor))
+        if hit >= TARGET * sum(full):
+            break
+        enough = int(enough * GROWTH) + 1
+    for own, v, rows in zip(query_ids, q, forest.candidates(q, min(enough, most))):
+        rows, score = best(own, v, rows)
+        out.append((np.full(len(rows), own), ids[rows], score))
     a, b, c = (np.concatenate(z) for z in zip(*out)) if out else ([], [], [])
     return pd.DataFrame({"query_id": a, "vec_id": b, "score": c}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 

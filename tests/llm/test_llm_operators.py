@@ -452,6 +452,25 @@ def test_vectors_that_take_no_part(spark):
     assert neighbours.search(df.where("false"), df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["lengths", "copies"])
+def test_recall_holds_for_uneven_vectors(kind):
+    r = np.random.default_rng(8)
+    x = r.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "lengths":
+        x *= r.lognormal(0, 0.5, (3000, 1))
+    else:
+        x[:1000] = x[0]
+    asked = np.arange(0, 3000, 20) if kind == "lengths" else np.arange(1000, 3000, 20)
+    got = neighbours.nearest(np.arange(3000), x, asked, x[asked], 20).groupby("query_id")["vec_id"].agg(set)
+    hit = []
+    for i in asked:
+        score = x @ x[i]
+        score[i] = -np.inf
+        hit.append(len(got[i] & set(np.lexsort((np.arange(3000), -score.round(12)))[:20].tolist())) / 20)
+    assert np.mean(hit) >= 0.92 and min(hit) >= 0.5
+
+
 # 9. languages
 
 
