@@ -170,14 +170,14 @@ def pseudotime(read) -> DataFrame:
 
 @tables()
 def regress(read) -> DataFrame:
-    """A linear model of one marker from the others, fitted on even ids, applied to odd ones."""
+    """A linear model of one marker from the others, fitted on even ids, applied to all; odd ids are held out."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import LinearRegression
 
     e = read("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
     rows = e.select("vec_id", F.col("e")[0].alias("label"), array_to_vector(F.slice("e", 2, 20)).alias("features"))
     model = LinearRegression(maxIter=10, regParam=0.01).fit(rows.where("vec_id % 2 = 0"))
-    return model.transform(rows.where("vec_id % 2 = 1")).select("vec_id", "label", "prediction")
+    return model.transform(rows).select("vec_id", "label", "prediction", (F.col("vec_id") % 2 != 0).alias("held_out"))
 
 
 @tables("SELECT p_partkey, round(CASE WHEN x = 0 THEN 0 ELSE round_even(x / pow(10, floor(log10(abs(x)))), 0) * pow(10, floor(log10(abs(x)))) END, 6) AS one_digit FROM (SELECT p_partkey, p_retailprice * 1.0 AS x FROM part)")

@@ -23,3 +23,10 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("name", ["classify", "regress"])
+def test_every_row_is_predicted(spark, name):
+    got = catalogue.queries()[name](spark, oracle.DATA)
+    assert got.count() == spark.read.parquet(f"{oracle.DATA}/embeddings.parquet").count()
+    assert {r[0] for r in got.select("held_out").distinct().collect()} == {True, False}
