@@ -1,14 +1,20 @@
-"""Line dedup over all repeated runs of lines.
-
-A run of two or more lines, of a least number of bytes, that occurs at an
-earlier place (less doc_id, then place, the same document included) is removed
-wherever it begins and whatever stands around it. Every such run is the union
-of its least windows: those from one of its lines on, and those up to one of
-its lines, that just reach the least lines and bytes. So it is enough to
-compare these windows, about one for each line. They overlap, so their bytes are
-not sent: bytes are compared line by line, and where no hash of a line stands
-for two contents, windows with equal hashes of all lines are equal. Otherwise
-the windows' own bytes are compared. The first occurrence of any line stays.
+"""Line dedup over content-defined chunks of lines.
+
+A rolling hash over the hashes of the last ``ROLL`` lines chooses where chunks
+end, so boundaries follow the content and move with it.
+
+1. Chunks of two or more lines that occur at an earlier place (less doc_id,
+   then place, the same document included) are removed whole.
+2. A repeated run need not begin or end at a boundary. So matches are extended
+   line by line: of the chunks that stay, and over the edge from each chunk to
+   the next, two lines in a row that occur at an earlier place go as well. Any
+   repeated run of two or more lines is a union of such pairs and chunks, so
+   it goes wherever it begins, and where the boundaries fall decides only how
+   much is left to compare line by line.
+
+Bytes are compared through the lines: a table of all distinct lines shows that
+no hash of a line stands for two contents (else lines are hashed anew with
+another seed), so equal hashes of lines are equal bytes.
 """
 
 from __future__ import annotations
@@ -23,132 +29,88 @@ from pyspark.sql import types as T
 
 from ..runtime import cut
 
-#: Lines that the rolling hash of ``chunks`` sees; a boundary comes after about one in ``EVERY`` lines. No chunk or window has
-#: over ``MOST`` lines; a least window can only be longer where its first or last lines are blank.
-ROLL, EVERY, MOST = 2, 2, 64
-#: Runs of fewer lines or bytes are no passages and stay.
-LEAST_LINES, LEAST_BYTES = 2, 40
-#: Bytes of windows in one batch.
-BATCH = 4 << 20
+#: Lines that the rolling hash sees, and after one in how many of them a chunk ends.
+ROLL, EVERY = 2, 4
 
 
-def chunks(text: bytes) -> list[tuple[int, int]]:
-    """(first line, end) of content-defined chunks that tile a text's lines; dedup itself compares all windows."""
+def line_hash(line: bytes, seed: int = 0) -> int:
+    """64 bits as a signed integer, the last one 0 for lines of nothing but white space."""
     import xxhash
 
-    lines = text.split(b"\n")
-    h = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], np.uint64)
+    return (xxhash.xxh3_64_intdigest(line, seed) - (1 << 63)) & ~1 | bool(line.strip())
+
+
+def boundaries(hashes: np.ndarray) -> np.ndarray:
+    """Ends of the chunks of a text's lines, from the hashes of its lines; the last one ends the text."""
+    h = hashes.view(np.uint64)
     rolled = h.copy()
     for k in range(1, ROLL):
         rolled[k:] += h[:-k] * np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (1 << 64) - 1)
     rolled ^= rolled >> np.uint64(31)
     rolled *= np.uint64(0xD6E8FEB86659FD93)
     ends = np.flatnonzero((rolled >> np.uint64(33)) % np.uint64(EVERY) == 0) + 1
-    out, start = [], 0
-    for end in (*ends.tolist(), len(lines)):
-        while end - start > MOST:
-            out.append((start, start + MOST))
-            start += MOST
-        if end > start and (end - start >= LEAST_LINES or end == len(lines)):
-            out.append((start, end))
-            start = end
-    return out
-
-
-def _windows(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first lines, ends) of the least windows, and where each line begins."""
-    lines = text.split(b"\n")
-    n = len(lines)
-    begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lines), np.int64, n) + 1)])
-    # the first byte that is no space from a line on, the last one up to a line: both grow with the line
-    left, right = (np.fromiter((len(x) for x in map(f, lines)), np.int64, n) for f in (bytes.lstrip, bytes.rstrip))
-    from_, to = np.where(left > 0, begin[1:] - 1 - left, len(text)), np.where(right > 0, begin[:-1] + right, 0)
-    from_, to = np.minimum.accumulate(from_[::-1])[::-1], np.maximum.accumulate(to)
-    k = np.arange(n)
-    ends = np.maximum(k + LEAST_LINES, np.searchsorted(to, from_ + LEAST_BYTES) + 1)
-    firsts = np.minimum(k + 1 - LEAST_LINES, np.searchsorted(from_, to - LEAST_BYTES, "right") - 1)
-    a, z = np.concatenate([k, firsts]), np.concatenate([ends, k + 1])
-    fine = (a >= 0) & (z <= n) & (z - a <= MOST)
-    key = np.unique(a[fine] * (MOST + 1) + (z - a)[fine])
-    a = key // (MOST + 1)
-    return a, a + key % (MOST + 1), begin
-
-
-def passages(text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
-    """(hash, first line, end, bytes) of each window that may be removed."""
-    import xxhash
+    return ends if len(ends) and ends[-1] == len(h) else np.append(ends, len(h))
 
-    first, end, begin = _windows(text)
-    for a, z, i, j in zip(first.tolist(), end.tolist(), begin[first].tolist(), (begin[end] - 1).tolist()):
-        joined = text[i:j]
-        yield xxhash.xxh3_64_intdigest(joined) - (1 << 63), a, z, joined
-
-
-def line_hash(line: bytes) -> int:
-    import xxhash
 
-    return xxhash.xxh3_64_intdigest(line)
+def _lines(seed: int):
+    """Hash and bytes of the lines of texts that have more than one."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column("text").cast(pa.binary()):
+                lines = t.as_py().split(b"\n")
+                if len(lines) > 1:
+                    lines = list(set(lines))
+                    yield pa.RecordBatch.from_arrays([pa.array([line_hash(x, seed) for x in lines], pa.int64()), pa.array(lines, pa.binary())], ["h", "line"])
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash and bytes of the lines of texts that have windows."""
-    for b in batches:
-        for t in b.column("text").cast(pa.binary()):
-            lines = list(set((t.as_py() or b"").split(b"\n")))
-            if len(lines) > 1 or (t.as_py() or b"").count(b"\n"):
-                yield pa.RecordBatch.from_arrays([pa.array([line_hash(x) - (1 << 63) for x in lines], pa.int64()), pa.array(lines, pa.binary())], ["h", "line"])
+    return run
 
 
-def _chunking(by: str | None):
-    """Windows with their places; ``chunk`` holds their bytes, or by ``lines`` the hashes of their lines."""
+def _chunking(seed: int):
+    """A row for each chunk: its place, the hashes of its lines, and that of the line behind it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "doc_id", "tie", "line", "upto", *(["chunk"] if by else [])]
-
-        def batch(b: pa.RecordBatch, rows: list, which: list) -> pa.RecordBatch:
-            h, line, upto, chunk = zip(*rows) if rows else ((), (), (), ())
-            which = pa.array(which, pa.int64())
-            columns = [pa.array(h, pa.int64()), b.column("doc_id").take(which), b.column("tie").take(which), pa.array(line, pa.int32()), pa.array(upto, pa.int32())]
-            return pa.RecordBatch.from_arrays([*columns, *([pa.array(chunk, pa.binary())] if by else [])], names)
-
         for b in batches:
-            rows, which, held = [], [], 0
+            which, first, hashes, behind = [], [], [], []
             for i, t in enumerate(b.column("text").cast(pa.binary())):
-                text = t.as_py() or b""
-                known = np.array([line_hash(x) for x in text.split(b"\n")], np.uint64).tobytes() if by == "lines" else b""
-                for h, a, z, joined in passages(text):
-                    chunk = (known[8 * a : 8 * z] if by == "lines" else joined) if by else b""
-                    rows.append((h, a, z, chunk))
-                    which.append(i)
-                    held += 64 + len(chunk)
-                    if held > BATCH:
-                        yield batch(b, rows, which)
-                        rows, which, held = [], [], 0
-            yield batch(b, rows, which)
+                lines = t.as_py().split(b"\n")
+                if len(lines) > 1:
+                    h = np.array([line_hash(x, seed) for x in lines], np.int64)
+                    start = 0
+                    for end in boundaries(h).tolist():
+                        which.append(i)
+                        first.append(start)
+                        hashes.append(h[start:end])
+                        behind.append(int(h[end]) if end < len(h) else None)
+                        start = end
+            at = pa.array(which, pa.int64())
+            columns = [b.column("doc_id").take(at), b.column("tie").take(at), pa.array(first, pa.int32()), pa.array(hashes, pa.list_(pa.int64())), pa.array(behind, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "line", "hashes", "behind"])
 
     return run
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, tie, text)`` -> ``(doc_id, tie, gone)``: first lines and ends of the windows to remove."""
+    """``docs(doc_id, tie, text)``, no text null -> ``(doc_id, tie, gone)``: first lines and ends of the runs to remove."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"h long, doc_id {kind}, tie long, line int, upto int"
-    place = F.struct("doc_id", "tie", "line", "upto")
-    contents = docs.mapInArrow(_lines, "h long, line binary").distinct().groupBy("h").count()
-    told = not contents.where("count > 1").limit(1).count()
-    whole = docs.mapInArrow(_chunking("lines" if told else "bytes"), schema + ", chunk binary")
-    many = whole.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    # a hash almost never stands for two contents; where it does, the bytes decide again below
-    by_hash = many.groupBy("h").agg(F.count("*").alias("contents"), F.max("n").alias("n"), F.min("first").alias("first")).where("n > 1")
-    by_hash = cut(by_hash)
-    one, several = by_hash.where("contents = 1").select("h", "first"), by_hash.where("contents > 1").select("h")
-    gone = docs.mapInArrow(_chunking(None), schema).join(one, "h").where(~place.eqNullSafe(F.col("first")))
-    gone = gone.select("doc_id", "tie", "line", "upto")
-    if several.limit(1).count():
-        split = whole.join(several, "h", "left_semi")
-        firsts = split.groupBy("h", "chunk").agg(F.min(place).alias("first"))
-        gone = gone.unionByName(split.join(firsts, ["h", "chunk"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "tie", "line", "upto"))
-    return gone.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("line", "upto")).alias("gone"))
+    seed = 0
+    while docs.mapInArrow(_lines(seed), "h long, line binary").distinct().groupBy("h").count().where("count > 1").limit(1).count():
+        seed += 1
+    chunks = cut(docs.mapInArrow(_chunking(seed), f"doc_id {kind}, tie long, line int, hashes array<long>, behind long"))
+    place = F.struct("doc_id", "tie", "line")
+    # counts are written before they are joined, so that a very common chunk or pair can be split over tasks
+    first = cut(chunks.where("size(hashes) > 1 and exists(hashes, h -> h & 1 = 1)").groupBy("hashes").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    marked = chunks.join(first, "hashes", "left").withColumn("gone", F.col("first").isNotNull() & ~place.eqNullSafe(F.col("first")))
+    inside = F.expr("transform(sequence(0, size(hashes) - 2), i -> struct(hashes[i] as a, hashes[i + 1] as b, line + i as line))")
+    over = F.expr("struct(element_at(hashes, -1) as a, behind as b, cast(line + size(hashes) - 1 as int) as line)")
+    none = F.expr("cast(array() as array<struct<a:long,b:long,line:int>>)")
+    pairs = F.concat(F.when(~F.col("gone") & (F.size("hashes") > 1), inside).otherwise(none), F.when(F.col("behind").isNotNull(), F.array(over)).otherwise(none))
+    pairs = marked.select("doc_id", "tie", F.inline(pairs)).where("(a | b) & 1 = 1")
+    firsts = cut(pairs.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    later = pairs.join(firsts, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
+    runs = marked.where("gone").select("doc_id", "tie", "line", (F.col("line") + F.size("hashes")).alias("upto"))
+    runs = runs.unionByName(later.select("doc_id", "tie", "line", (F.col("line") + 2).alias("upto")))
+    return runs.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("line", "upto")).alias("gone"))
 
 
 def _removing(names: list[str]):
@@ -194,10 +156,11 @@ def dedup(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> the same rows, text without repeated runs of lines, and three counts.
 
     ``n_lines``, ``n_lines_removed`` and ``n_chunks_removed`` (runs of removed lines) are added, or
-    take the place of columns so called. Null and empty texts have no lines
+    take the place of columns so called. Of a repeated run the occurrence with the least doc_id and place stays
+    (null ids first). Runs that hold nothing but white space are no repeats. Null and empty texts have no lines
     and stay as they are. A row that is there twice counts as one document.
     Rows with equal or null ids and different texts are told apart by their
-    content. No rows give no rows.
+    content. Texts of any length are taken whole; a text's lines are held by one task. No rows give no rows.
     """
     return _deduped(docs).select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in COUNTS), *COUNTS)
 
