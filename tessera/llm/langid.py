@@ -6,7 +6,8 @@ the likelihood of its trigrams under each language. A document is a mixture:
 each word comes from one of its languages, and expectation-maximisation
 estimates their proportions. Languages are then ranked by proportion, and the
 set of leading languages is taken whose likelihood, less a penalty for each
-member, is best. All words of a text take part, however long it is.
+member, is best; it may hold any number of the learned languages. All words of
+a text take part, however long it is.
 """
 
 from __future__ import annotations
@@ -28,10 +29,15 @@ ROUNDS = 12
 PENALTY = 4.0
 #: No word weighs more than so much in favour of one language over another.
 CLIP = 12.0
-LETTER = re.compile(r"[^\W\d_]")
+#: What may be a letter; numbers such as a half or a Roman eight are among these and are none.
+MAYBE = re.compile(r"[^\W\d_]")
 _KEPT = np.array([0x20 if c < 0x80 and not chr(c).isalpha() else c for c in range(256)], np.uint8)
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in MAYBE.finditer(text))
+
+
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashed trigram at each letter, where words start among them, words of each text).
 
@@ -92,7 +98,10 @@ class Model:
             pi = np.add.reduceat(r, starts, axis=1) / n
         place = np.argsort(np.argsort(-pi, axis=0, kind="stable"), axis=0)
         best, chosen = np.full(len(live), -np.inf), pi
-        for m in range(1, min(k, 5) + 1):
+        for m in range(1, k + 1):
+            # a likelihood is 1 at most here, so the penalty alone may rule out this size and all larger ones
+            if (best >= -m * PENALTY * np.log(n + 1) / 2).all():
+                break
             kept = np.where(place < m, pi, 0)
             kept = kept / kept.sum(axis=0)
             fits = np.add.reduceat(np.log(np.maximum((p * np.repeat(kept, n, axis=1)).sum(axis=0), 1e-12)), starts) - m * PENALTY * np.log(n + 1) / 2
@@ -136,7 +145,7 @@ def _predicting(model: Model):
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [x if (x := t.as_py()) is not None and LETTER.search(x) else None for t in b.column("text")]
+            texts = [x if (x := t.as_py()) is not None and has_letter(x) else None for t in b.column("text")]
             raw = [(t or "").encode() for t in texts]
             shares = np.concatenate([model.mixtures(block) for block in blocks(raw)]) if raw else np.zeros((0, len(model.langs)))
             lang, score, mixture = [], [], []
@@ -156,9 +165,11 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     """``docs(text, ...)`` -> the same rows with ``lang_pred``, ``score`` and ``mixture``.
 
     ``mixture`` lists the chosen languages with their proportions; ``score`` is
-    that of the leading one. ``und`` with score 0 for null texts, texts without a letter, and where no
-    language was learned. Other columns pass through; those with
-    one of these names are replaced. No rows give no rows.
+    that of the leading one, of equal ones the first by name. ``und`` with score 0 for null
+    and empty texts, texts without a letter, and where no language was learned. Texts of any
+    length are read whole; no word weighs more than ``CLIP`` in favour of one language over
+    another. Repeated rows each have a result. Other columns pass through; those
+    with one of these names are replaced. No rows give no rows.
     """
     docs = docs.drop("lang_pred", "score", "mixture")
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("mixture", T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("share", T.DoubleType())])))])

@@ -452,25 +452,82 @@ def test_vectors_that_take_no_part(spark):
     assert neighbours.search(df.where("false"), df.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("kind", ["lengths", "copies"])
-def test_recall_holds_for_uneven_vectors(kind):
+def neighbours_by_hand(rows, asked, k=20):
+    """Correctly rounded sums over all rows."""
+    import math
+
+    out = {}
+    for i, v in asked:
+        best = sorted((-math.fsum(a * b for a, b in zip(v, w)), j) for j, w in rows if (j, w) != (i, v) and len(v) == len(w))
+        out[i] = [j for _, j in best[:k]]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["lengths", "copies", "clusters"])
+def test_recall_holds_for_uneven_vectors(spark, kind):
     r = np.random.default_rng(8)
     x = r.normal(size=(3000, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     if kind == "lengths":
         x *= r.lognormal(0, 0.5, (3000, 1))
-    else:
+    elif kind == "copies":
         x[:1000] = x[0]
-    asked = np.arange(0, 3000, 20) if kind == "lengths" else np.arange(1000, 3000, 20)
-    got = neighbours.nearest(np.arange(3000), x, asked, x[asked], 20).groupby("query_id")["vec_id"].agg(set)
+    else:
+        x = x[r.integers(0, 60, 3000)] + r.normal(0, 0.03, (3000, 64))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for g in neighbours.search(df, df.where("vec_id % 20 = 0"), 20, shard=500, block=60).collect():
+        got.setdefault(g.query_id, set()).add(g.vec_id)
     hit = []
-    for i in asked:
+    for i in range(0, 3000, 20):
         score = x @ x[i]
         score[i] = -np.inf
         hit.append(len(got[i] & set(np.lexsort((np.arange(3000), -score.round(12)))[:20].tolist())) / 20)
     assert np.mean(hit) >= 0.92 and min(hit) >= 0.5
 
 
+def test_exact_copies_come_in_the_order_of_their_ids(spark):
+    for seed in range(4):
+        r = np.random.default_rng(seed)
+        x = r.normal(size=(400, 37)) * np.sqrt(2)
+        x[r.choice(np.arange(1, 400), 30, replace=False)] = x[7]
+        x[0] = x[7] + 0.01 * r.normal(size=37)
+        rows = [(k, v.tolist()) for k, v in enumerate(x)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+        got = {}
+        for g in sorted(neighbours.search(df, df.where("vec_id in (0, 7)"), 20, shard=60).collect(), key=lambda g: g["rank"]):
+            got.setdefault(g.query_id, []).append(g.vec_id)
+        assert got == neighbours_by_hand(rows, [rows[0], rows[7]])
+
+
+def test_repeated_ids_and_other_columns(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.9, 0.1]), (2, [1.0, 0.0]), (3, [0.5, 0.5])]
+    df = spark.createDataFrame([(*x, "kept", 0) for x in rows], "vec_id long, embedding array<double>, score string, q int")
+    got = sorted((g.query_id, g["rank"], g.vec_id, g.score) for g in neighbours.search(df, df.where("vec_id = 1"), 5).collect())
+    first = [(2, 1.0), (1, 0.9), (3, 0.5)]
+    second = [(1, 0.9), (2, 0.9), (3, 0.5)]
+    assert got == sorted((1, k + 1, *x) for found in (first, second) for k, x in enumerate(found))
+
+
+def test_clusters_need_few_candidates():
+    r = np.random.default_rng(3)
+    x = r.normal(size=(8000, 64))[r.integers(0, 200, 8000)] + r.normal(0, 0.05, (8000, 64))
+    forest, q = neighbours.Forest(x), x[::100]
+    share = [len(rows) / len(x) for rows in forest.candidates(q, 400)]
+    hit = [len(set(np.argsort(-x @ v)[:20]) & set(rows.tolist())) for v, rows in zip(q, forest.candidates(q, 400))]
+    assert np.mean(share) < 0.1 and sum(hit) / (20 * len(q)) > 0.9
+
+
+def test_every_row_lies_below_one_prefix():
+    r = np.random.default_rng(4)
+    x = np.vstack([r.normal(size=(4000, 16)), np.ones((600, 16)) + 1e-12 * r.normal(size=(600, 16))])
+    router = neighbours.Router(x[::2], 16, len(x), float((x * x).sum(axis=1).max()), 300)
+    sizes = np.bincount(router.shards(x), minlength=len(router.leaves)) / np.array(router.parts)
+    assert len(router.leaves) > 10 and sizes.max() < 500
+    code = neighbours.coded(np.hstack([x[:50], np.zeros((50, 1))]), router.planes)
+    assert (router.order(x[:50])[:, 0] == np.searchsorted(router.first, code, side="right") - 1).all()
+
+
 # 9. languages
 
 
@@ -503,23 +560,94 @@ def test_nothing_learned_or_no_letter(spark):
         assert (r.lang_pred == "und") == (r.text is None or not any(c.isalpha() for c in r.text)) and 0 <= r.score <= 1
 
 
+def test_numbers_are_no_letters(spark):
+    model = langid.fit(spark.createDataFrame([("en", "plain words here"), ("de", "hier sind andere")], "lang string, text string"))
+    rows = [("½ ²",), ("Ⅷ",), ("12 _ -",), ("½ a",), ("ª",), ("数据",), ("א",)]
+    got = [r.lang_pred for r in langid.identified(spark.createDataFrame(rows, "text string"), model).collect()]
+    assert [x == "und" for x in got] == [True, True, True, False, False, False, False]
+
+
+def test_a_mixture_may_hold_more_than_five_languages():
+    r = random.Random(31)
+    letters = "abcdefghijklmnopqrstuvwx"
+    words = {f"l{k}": ["".join(r.choice(letters[3 * k : 3 * k + 3]) for _ in range(6)) for _ in range(20)] for k in range(8)}
+    counts = {x: np.bincount(langid.grams([" ".join(w * 30).encode()])[0], minlength=1 << langid.BITS) for x, w in words.items()}
+    text = " ".join(r.choice(words[f"l{k % 7}"]) for k in range(700)).encode()
+    shares = langid.Model(counts).mixtures([text])[0]
+    assert (shares[:7] > 0.1).all() and shares[7] == 0 and shares.sum() == pytest.approx(1, abs=1e-4)
+
+
+def mixture_by_hand(model, text):
+    """The same model, word by word in plain Python."""
+    from math import exp, log
+
+    words = re.findall(rb"[A-Za-z\x80-\xff]+", text.lower())
+    if not words or not model.langs:
+        return None
+    like = []
+    for w in words:
+        ll = []
+        for row in model.table:
+            total = 0.0
+            for a, b, c in zip(b" " + w[:-1], w, w[1:] + b" "):
+                h = (a * 0x9E3779B1 ^ b * 0x85EBCA6B ^ c * 0xC2B2AE35) & 0xFFFFFFFF
+                total += float(row[(h * 0x27D4EB2F & 0xFFFFFFFF) >> 32 - langid.BITS])
+            ll.append(total)
+        like.append([exp(max(x - max(ll), -langid.CLIP)) for x in ll])
+    k, n = len(model.langs), len(words)
+    pi = [1 / k] * k
+    for _ in range(langid.ROUNDS):
+        new = [0.0] * k
+        for p in like:
+            total = sum(a * b for a, b in zip(p, pi))
+            for i in range(k):
+                new[i] += p[i] * pi[i] / total / n
+        pi = new
+    order, best = sorted(range(k), key=lambda i: -pi[i]), None
+    for m in range(1, k + 1):
+        kept = [pi[i] if i in order[:m] else 0 for i in range(k)]
+        kept = [x / sum(kept) for x in kept]
+        fit = sum(log(max(sum(a * b for a, b in zip(p, kept)), 1e-12)) for p in like) - m * langid.PENALTY * log(n + 1) / 2
+        if best is None or fit > best[0]:
+            best = fit, kept
+    return best[1]
+
+
+def test_mixtures_equal_plain_python(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = langid.fit(docs)
+    rows = [r.text for r in docs.orderBy("doc_id").limit(60).collect()]
+    texts = [*rows[:40], " ".join(rows[40].split()[:40] + rows[52].split()[:40]), "a", "ß"]
+    got = model.mixtures([t.encode() for t in texts])
+    for t, mine in zip(texts, got):
+        if (want := mixture_by_hand(model, t.encode())) is not None:
+            assert mine == pytest.approx(want, abs=2e-3)
+
+
 # 10. lines
 
 
 def lines_by_hand(rows):
+    """Every run of two or more lines, of any length, that occurs at an earlier place goes; no chunks, no hashes."""
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0))
     seen, out = set(), {}
     for k in order:
-        text = (rows[k][1] or "").encode()
-        ls, gone = text.split(b"\n") if text else [], set()
-        for _, a, z, joined in lines.passages(text) if text else ():
-            if joined in seen:
-                gone.update(range(a, z))
-            seen.add(joined)
+        ls = (rows[k][1] or "").encode().split(b"\n") if rows[k][1] else []
+        gone = set()
+        for a in range(len(ls)):
+            for z in range(a + 2, len(ls) + 1):
+                run = tuple(ls[a:z])
+                if any(x.strip() for x in run):
+                    gone.update(range(a, z) if run in seen else ())
+                    seen.add(run)
         out[rows[k][0]] = (len(ls), len(gone), b"\n".join(x for i, x in enumerate(ls) if i not in gone))
     return out
 
 
+def lines_found(df):
+    return {x.doc_id: (x.n_lines, x.n_lines_removed, (x.text or "").encode()) for x in lines.dedup(df).collect()}
+
+
 def test_lines_equal_brute_force(spark):
     r = random.Random(15)
     pool = [f"this is line number {k} of the pool" for k in range(60)]
@@ -531,68 +659,44 @@ def test_lines_equal_brute_force(spark):
             at = r.randint(0, len(ls))
             ls[at:at] = passage
         rows.append((k, "\n".join(ls)))
-    rows += [(100, None), (101, ""), (102, rows[3][1]), (103, "\n\n\n\n"), (104, "\n".join(["same"] * 300))]
+    rows += [(100, None), (101, ""), (102, rows[3][1]), (103, "\n\n\n\n"), (104, "\n".join(["same"] * 90)), (105, "x\n \ny"), (106, "x\n\ny"), (107, "x\n \nz")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    got = {x.doc_id: (x.n_lines, x.n_lines_removed, (x.text or "").encode()) for x in lines.dedup(df).collect()}
     want = lines_by_hand(rows)
-    assert got == want and want[102][2] != rows[3][1].encode()
+    assert lines_found(df) == want and want[102][2] == b"" and want[104][2] == b"same" and want[107][2] == b"z"
 
 
 def test_chunks_tile_and_resist_shifts():
     r = random.Random(16)
-    ls = [f"line {r.random()}" for _ in range(400)]
-    whole = "\n".join(ls).encode()
-    parts = lines.chunks(whole)
-    assert parts[0][0] == 0 and parts[-1][1] == 400 and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
-    moved = {p[3] for p in lines.passages(("new first line\n" + "\n".join(ls)).encode())}
-    kept = [p[3] in moved for p in lines.passages(whole)]
-    assert sum(kept) / len(kept) > 0.9
+    h = np.array([lines.line_hash(b"line %d" % r.getrandbits(40)) for _ in range(400)], np.int64)
+    ends = lines.boundaries(h).tolist()
+    assert ends == sorted(set(ends)) and ends[-1] == 400 and 60 < len(ends) < 150
+    moved = lines.boundaries(np.concatenate([h[:1] + 2, h])).tolist()
+    assert len(set(e + 1 for e in ends) - set(moved)) <= 1
 
 
 def test_repeated_runs_go_wherever_they_begin(spark):
-    """Against all runs of all lengths, without chunks or windows."""
     r = random.Random(18)
     pool = ["", " ", "x", "short", "a line of some length", "another line, " * 3, "and a long one with many words, " * 4]
     rows = [(k, "\n".join(r.choice(pool) + (f" {r.randint(0, 40)}" if r.random() < 0.7 else "") for _ in range(r.randint(1, 14)))) for k in range(70)]
     for n in (2, 3, 4, 6, 12):
         passage = "\n".join(f"line {k} of a passage of {n} lines" for k in range(n))
         rows += [(100 + 2 * n + k, f"own begin {n} {k}\n{passage}\nown end {n} {k}") for k in (0, 1)]
-    seen, want = set(), {}
-    for i, t in rows:
-        ls = t.encode().split(b"\n")
-        gone = set()
-        for a in range(len(ls)):
-            for z in range(a + 2, len(ls) + 1):
-                run = b"\n".join(ls[a:z])
-                if len(run.strip()) >= 40:
-                    gone.update(range(a, z) if run in seen else ())
-                    seen.add(run)
-        want[i] = b"\n".join(x for k, x in enumerate(ls) if k not in gone).decode()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert lines_found(df) == lines_by_hand(rows)
     got = {x.doc_id: x for x in lines.dedup(df).collect()}
-    assert {i: x.text for i, x in got.items()} == want
     for n in (2, 3, 4, 6, 12):
         last = got[100 + 2 * n + 1]
         assert (last.text, last.n_lines_removed, last.n_chunks_removed) == (f"own begin {n} 1\nown end {n} 1", n, 1)
 
 
-def test_colliding_hashes_are_told_apart(spark, monkeypatch):
-    real = lines.passages
-    rows = [(1, "alpha beta gamma delta\nepsilon zeta eta theta\n" * 2), (2, "iota kappa lambda mu nu\nxi omicron pi rho sigma"), (3, "iota kappa lambda mu nu\nxi omicron pi rho sigma")]
-    want = lines_by_hand(rows)
-    monkeypatch.setattr(lines, "passages", lambda t: ((7, a, z, j) for _, a, z, j in real(t)))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {x.doc_id: (x.n_lines, x.n_lines_removed, (x.text or "").encode()) for x in lines.dedup(df).collect()}
-    assert got == want
-
-
 def test_colliding_hashes_of_lines_are_told_apart(spark, monkeypatch):
     rows = [(1, "alpha beta gamma delta\nepsilon zeta eta theta iota"), (2, "kappa lambda mu nu xi\nomicron pi rho sigma tau"), (3, "alpha beta gamma delta\nepsilon zeta eta theta iota")]
-    monkeypatch.setattr(lines, "line_hash", lambda x: 7)
-    real = lines.passages
-    monkeypatch.setattr(lines, "passages", lambda t: ((7, a, z, j) for _, a, z, j in real(t)))
+    real, seeds = lines.line_hash, []
+    monkeypatch.setattr(lines, "line_hash", lambda x, seed=0: real(x, seed) if seed else 7)
+    chunking = lines._chunking
+    monkeypatch.setattr(lines, "_chunking", lambda seed: seeds.append(seed) or chunking(seed))
     got = {x.doc_id: x.text for x in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: rows[0][1], 2: rows[1][1], 3: ""}
+    assert got == {1: rows[0][1], 2: rows[1][1], 3: ""} and seeds == [1]
 
 
 # all of them
