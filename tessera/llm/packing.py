@@ -16,8 +16,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,14 +102,14 @@ def best_fit(lengths: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def lower_bound(lengths: np.ndarray, size: int) -> int:
+def lower_bound(lengths: np.ndarray, size: int, times: np.ndarray | None = None) -> int:
     """Bins that any packing needs: the best of a family of dual-feasible functions.
 
     u_k rounds sizes down to k-ths of a bin but keeps multiples of 1/(k+1);
     before it, sizes over ``size - e`` may count as whole bins where those
-    under ``e`` count as nothing.
+    under ``e`` count as nothing. With ``times`` each length stands for so many.
     """
-    x, n = np.unique(np.asarray(lengths, np.int64), return_counts=True)
+    x, n = np.unique(np.asarray(lengths, np.int64), return_counts=True) if times is None else (lengths[np.argsort(lengths)], times[np.argsort(lengths)])
     best = -(-int((x * n).sum()) // size) if len(x) else 0
     cut_at = x[x <= size // 2]
     for e in [0, *np.unique(cut_at[np.linspace(0, len(cut_at) - 1, min(len(cut_at), 64)).astype(int)] if len(cut_at) else []).tolist()]:
@@ -121,57 +121,75 @@ def lower_bound(lengths: np.ndarray, size: int) -> int:
     return best
 
 
-def packed(rows: pd.DataFrame, size: int, last: bool) -> pd.DataFrame:
-    """One partition's pieces with bin, offset and ``open`` (to be exchanged)."""
-    rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], ignore_index=True)
-    n = rows["length"].to_numpy()
+COLUMNS = ("doc_id", "piece", "start", "length", "ids_crc32")
+PLACED = ("sequence_id", "offset", "bins", "bound", "certified")
+
+
+def packed(rows: pa.Table, size: int, last: bool) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """One partition's pieces in the order of packing, their bins, offsets, and whether the bin is open (to be exchanged); bins and their bound."""
+    rows = rows.take(pc.sort_indices(rows, sort_keys=[("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")]))
+    n = rows.column("length").to_numpy()
     bins = best_fit(n, size)
     filled = np.bincount(bins, weights=n).astype(np.int64)
-    gap = len(filled) - lower_bound(n, size)
-    out = rows.assign(bin=bins, offset=rows.groupby(bins)["length"].cumsum() - n)
+    bound = lower_bound(n, size)
+    together = np.argsort(bins, kind="stable")
+    offset = np.empty(len(n), np.int64)
+    offset[together] = np.cumsum(n[together]) - n[together]
+    offset -= (np.cumsum(filled) - filled)[bins]
     give = np.zeros(len(filled), bool)
-    if not last and len(filled):
-        order = np.argsort(filled, kind="stable")[: 1 + 4 * gap]
+    if not last:
+        order = np.argsort(filled, kind="stable")[: 1 + 4 * (len(filled) - bound)]
         give[order] = filled[order] < size
-    return out.assign(open=give[bins])
-
-
-COLUMNS = ("doc_id", "piece", "start", "length", "ids_crc32")
+    return rows, bins, offset, give[bins], len(filled), bound
 
 
 def _packing(size: int, turn: int, last: bool):
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [f for f in frames if len(f)]
-        if rows:
-            out = packed(pd.concat(rows, ignore_index=True), size, last)
-            base = (turn << 56) + (TaskContext.get().partitionId() << 32)
-            yield out.assign(sequence_id=out["bin"] + base)[[*COLUMNS, "sequence_id", "offset", "open"]]
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if len(b)]
+        if held:
+            rows, bins, offset, still, many, bound = packed(pa.Table.from_batches(held), size, last)
+            base, n = (turn << 56) + (TaskContext.get().partitionId() << 32), len(bins)
+            columns = [rows.column(c).combine_chunks() for c in COLUMNS]
+            columns += [pa.array(bins + base), pa.array(offset), pa.array(np.full(n, many)), pa.array(np.full(n, bound)), pa.array(np.full(n, many == bound)), pa.array(still)]
+            whole = pa.RecordBatch.from_arrays(columns, [*COLUMNS, *PLACED, "open"])
+            for at in range(0, n, 10_000):
+                yield whole.slice(at, 10_000)
 
     return pack
 
 
 def pieces(docs: DataFrame, size: int = 2048, tokenizer: str = TOKENIZER) -> DataFrame:
-    """``docs(doc_id, text)`` -> one row a piece, with the checksum of its ids."""
+    """``docs(doc_id, text)`` -> one row a piece, with the checksum of its ids.
+
+    A null or empty text has the closing id 0 alone, and so one piece. Texts of
+    any length are cut, never shortened. Null ids and repeated rows have their
+    pieces like any other; ids are never converted. Other columns are ignored;
+    no rows give no rows.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(_pieces(size, tokenizer), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def pack(cut_pieces: DataFrame, size: int = 2048, per_task: int = PER_TASK) -> DataFrame:
-    """Pieces -> the same rows with ``sequence_id`` and ``offset``.
+def pack(cut_pieces: DataFrame, size: int = 2048, per_task: int = PER_TASK, turns: int = 20) -> DataFrame:
+    """Pieces -> the same rows with ``sequence_id`` and ``offset``, and the certificate of the partition that packed them.
 
+    ``bins`` is how many sequences that partition's packing took, ``bound`` how
+    many any packing of its pieces takes, ``certified`` whether both are equal.
     Every piece is in one sequence; sequences hold ``size`` ids at most and
-    have no gaps. Repeated rows are packed one by one; no rows give no rows.
+    have no gaps. Repeated rows are packed one by one; of equal lengths the
+    less id comes first, null ids last. After ``turns`` exchanges what is left
+    is packed as it is, which may leave gaps, never pieces. No rows give no rows.
     """
     kind = cut_pieces.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, open boolean"
+    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, bins long, bound long, certified boolean, open boolean"
     pool, done, turn = cut(cut_pieces.select(*COLUMNS)), None, 0
     n = pool.count()
     while True:
         tasks = max(1, -(-n // per_task))
-        last = tasks == 1 or turn >= 20
+        last = tasks == 1 or turn >= turns
         # dealt in an order that hashing alone fixes, so that a task run again packs the same rows
         dealt = pool.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32")) if tasks > 1 else pool.coalesce(1)
-        out = dealt.mapInPandas(_packing(size, turn, last), schema)
+        out = dealt.mapInArrow(_packing(size, turn, last), schema)
         if not last:
             out = cut(out)
         ready = out.where("not open").drop("open")
@@ -182,6 +200,17 @@ def pack(cut_pieces: DataFrame, size: int = 2048, per_task: int = PER_TASK) -> D
         n, turn = pool.count(), turn + 1
 
 
+def certificate(packed_pieces: DataFrame, size: int = 2048) -> DataFrame:
+    """One row for a whole packing: ``sequences``, the ``bound`` of all pieces together, ``certified`` if they are equal.
+
+    The bound needs how often each length occurs, at most ``size`` rows. No
+    pieces take no sequences, which is certified.
+    """
+    lengths = packed_pieces.groupBy("length").count().collect()
+    bound = lower_bound(np.array([r["length"] for r in lengths], np.int64), size, np.array([r["count"] for r in lengths], np.int64))
+    return packed_pieces.agg(F.count_distinct("sequence_id").alias("sequences")).select("sequences", F.lit(bound).cast("long").alias("bound"), (F.col("sequences") == bound).alias("certified"))
+
+
 def sequences(docs: DataFrame, packed_pieces: DataFrame, size: int = 2048, tokenizer: str = TOKENIZER) -> DataFrame:
     """``(sequence_id, ids)``: the token ids of each sequence, from the documents and their packing.
 
