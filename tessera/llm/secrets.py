@@ -45,6 +45,8 @@ RULES = (
     Rule("hex", 1, "[0-9a-f]+", "text rlike '[0-9a-f]{24}'", "length(hit) >= 24"),
 )
 SPANS = "array<struct<start:int,stop:int>>"
+#: Matches whose lengths are summed up at a time. A list that grows is copied at each step, so steps are taken within parts of this size.
+PART = 256
 
 
 def _quoted(text: str) -> str:
@@ -52,16 +54,24 @@ def _quoted(text: str) -> str:
 
 
 def matches(rule: Rule) -> Column:
-    """Spans of a rule in ``text``, as an array of (start, stop)."""
+    """Spans of a rule in ``text``, as an array of (start, stop).
+
+    The text is matched once for the gaps and once for the hits, outside of
+    all lambdas; their lengths are summed up part by part, and then the parts.
+    """
     # a run of hex digits or an access key that is too short can't overlap a long one, so it need not be matched
     walk = {"hex": "[0-9a-f]{24,}", "access": "AKIA[A-Z0-9]{16,}"}.get(rule.kind, rule.pattern)
     regex = _quoted(rf"(?s)(.*?)(?:({walk})|\z)")
-    keep = f"x.hit rlike {_quoted(ASSIGN_KEPT)}" if rule.keep == "long_value" else rule.keep.replace("hit", "x.hit")
-    walked = f"transform(regexp_extract_all(text, {regex}, 2), (h, i) -> named_struct('gap', length(get(gaps, i)), 'hit', h))"
-    step = "named_struct('at', a.at + x.gap + length(x.hit), 'out', if(length(x.hit) > 0 and (KEEP), array_append(a.out, named_struct('start', a.at + x.gap, 'stop', a.at + x.gap + length(x.hit))), a.out))"
-    start = f"named_struct('at', 0, 'out', cast(array() as {SPANS}))"
-    sql = f"aggregate({walked.replace('gaps', f'regexp_extract_all(text, {regex}, 1)')}, {start}, (a, x) -> {step.replace('KEEP', keep)}, a -> a.out)"
-    return F.expr(f"case when {rule.likely} then {sql} else cast(array() as {SPANS}) end")
+    keep = f"x.`1` rlike {_quoted(ASSIGN_KEPT)}" if rule.keep == "long_value" else rule.keep.replace("hit", "x.`1`")
+    both = f"arrays_zip(regexp_extract_all(text, {regex}, 1), regexp_extract_all(text, {regex}, 2))"
+    span = "named_struct('start', a.at + length(x.`0`), 'stop', a.at + length(x.`0`) + length(x.`1`))"
+    step = f"named_struct('at', a.at + length(x.`0`) + length(x.`1`), 'out', if(length(x.`1`) > 0 and ({keep}), array_append(a.out, {span}), a.out))"
+    part = f"aggregate(slice(z, k * {PART} + 1, {PART}), named_struct('at', 0, 'out', cast(array() as {SPANS})), (a, x) -> {step})"
+    parts = f"transform(sequence(0, (size(z) - 1) div {PART}), k -> {part})"
+    moved = "transform(p.out, s -> named_struct('start', s.start + a.at, 'stop', s.stop + a.at))"
+    joined = f"aggregate({parts}, named_struct('at', 0, 'out', cast(array() as array<{SPANS}>)), (a, p) -> named_struct('at', a.at + p.at, 'out', if(size(p.out) > 0, array_append(a.out, {moved}), a.out)), a -> flatten(a.out))"
+    # the array of one holds what was matched, so that it is looked up and not matched anew for each part
+    return F.expr(f"case when {rule.likely} then get(transform(array({both}), z -> {joined}), 0) else cast(array() as {SPANS}) end")
 
 
 def scan_unseen(blobs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...] = RULES) -> DataFrame:

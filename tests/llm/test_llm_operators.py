@@ -351,6 +351,27 @@ def test_exchange_reaches_the_bound(spark):
     assert max(fill.values()) <= 2048 and len(fill) <= alone * 1.03 + 1
 
 
+def test_ids_of_any_size_stay_beside_null_ids(spark):
+    ids = [2**53 + 1, None, -(2**60) - 1, 5]
+    docs = spark.createDataFrame([(i, "some text") for i in ids], "doc_id long, text string")
+    assert sorted(r.doc_id for r in packing.pack(packing.pieces(docs)).collect() if r.doc_id) == sorted(i for i in ids if i)
+    named = docs.selectExpr("cast(doc_id as string) as doc_id", "text")
+    assert {r.doc_id for r in packing.pack(packing.pieces(named)).collect()} == {None if i is None else str(i) for i in ids}
+
+
+def test_certificates(spark):
+    rows = [(k, 0, 0, n, k) for k, n in enumerate([1200] * 40 + [800] * 40 + [700] * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(df)
+    assert {(r.bins, r.bound, r.certified) for r in got.collect()} == {(42, 42, True)}
+    assert [tuple(r) for r in packing.certificate(got).collect()] == [(42, 42, True)]
+    assert [tuple(r) for r in packing.certificate(got.where("false")).collect()] == [(0, 0, True)]
+    many = packing.pack(df, per_task=10)
+    whole = packing.certificate(many).first()
+    assert whole.bound == 42 and whole.sequences >= 42 and whole.certified == (whole.sequences == 42)
+    assert all(r.bound <= r.bins and r.certified == (r.bound == r.bins) for r in many.collect())
+
+
 def test_lower_bounds_are_lower():
     r = random.Random(12)
     for _ in range(40):
@@ -403,6 +424,21 @@ def test_secrets_equal_brute_force(spark):
     assert spans(found) == {k: secrets_by_hand(t) for k, t in enumerate(texts)}
 
 
+def test_many_matches_take_linear_time(spark):
+    import time
+
+    one = "token=abcdef%d deadbeefdeadbeefdeadbeef "
+    took = []
+    for n in (300, 8000, 100_000):
+        text = "".join(one % k for k in range(n))
+        rows = spark.createDataFrame([(1, text)], "path long, text string")
+        began = time.time()
+        got = spans(secrets.scan_history(rows)[0])[1]
+        took.append(time.time() - began)
+        assert got.count("assign") == n and (got == secrets_by_hand(text) if n < 10_000 else got.count("hex") == n)
+    assert took[1] < took[0] + 4 and took[2] < 15 * (took[1] + 1)
+
+
 def test_ledger_scans_only_what_it_has_not_seen(spark):
     v = spark.createDataFrame([(1, SECRETS[0]), (2, SECRETS[1]), (3, SECRETS[0])], "path long, text string")
     found, ledger = secrets.scan_history(v)
