@@ -99,37 +99,140 @@ def test_sum_product_equals_enumeration():
     r = np.random.default_rng(7)
     parent = [-1, 0, 0, 1, 1, 2]
     score = r.normal(size=6)
-    pot = np.exp(r.normal(size=(2, 2)))
+    pot, kind = np.exp(r.normal(size=(3, 2, 2))), [0, 0, 1, 2, 1, 2]
     total, on = 0.0, np.zeros(6)
     for k in range(64):
         y = [k >> i & 1 for i in range(6)]
-        p = np.exp(sum(s for s, v in zip(score, y) if v)) * np.prod([pot[y[parent[i]], y[i]] for i in range(1, 6)])
+        p = np.exp(sum(s for s, v in zip(score, y) if v)) * np.prod([pot[kind[i], y[parent[i]], y[i]] for i in range(1, 6)])
         total += p
         on += p * np.array(y)
-    got = html.sum_product(parent, score.tolist(), *pot.ravel().tolist())
+    got = html.sum_product(parent, score.tolist(), kind, pot.reshape(-1, 4).tolist())
     assert np.allclose(got, on / total)
 
 
-def test_held_out_nodes():
-    r, model = random.Random(99), html.trained()
-    right = n = 0
-    for _ in range(60):
-        nodes, x, y = html.example(html.labelled_page(r))
-        right += ((model.marginals(nodes, x) >= 0.5) == (y > 0.5)).sum()
-        n += len(y)
-    assert right / n > 0.95
+ARTICLE = "<html><body><nav><a href=1>Home</a></nav><article><h1>Title here</h1><p>A first paragraph of real text, long enough to count as such.</p>%s<p>Another paragraph that follows it, with words.</p></article><footer>c 2020</footer></body></html>"
+INSIDE = {
+    '<div class="share-price"><p>The price rose by three.</p></div>': ["The price rose by three."],
+    '<div class="header-image-text"><p>Text of an image here.</p></div>': ["Text of an image here."],
+    "<dl><dt>Term</dt><dd>What it means.</dd></dl>": ["Term", "What it means."],
+    "<figure><img src=x><figcaption>A caption</figcaption></figure>": ["A caption"],
+    "<table><tr><th>Name<th>Age<tr><td>Bob<td>3</table>": ["Name", "Age", "Bob", "3"],
+    "<p><a href=x>See the whole report</a></p>": ["See the whole report"],
+    "<p>One <i>two</i> <a href=x>three</a> four</p>": ["One two three four"],
+    '<div class="ad">Buy this now</div>': [],
+    "<section><h3>Comments</h3><p>Great post, thanks for it.</p></section>": [],
+    '<ul class="share"><li><a href=1>Tweet</a></li></ul>': [],
+    '<div class="newsletter-signup"><p>Sign up for our letter.</p></div>': [],
+    '<p a="x>y" class=\'q\'>Quoted &gt; signs</p>': ["Quoted > signs"],
+}
+
+
+@pytest.mark.parametrize("inside", INSIDE)
+def test_what_stays_inside_an_article(inside):
+    assert html.extract(ARTICLE % inside, html.trained()).split("\n")[2:-1] == INSIDE[inside]
+
+
+def test_pages_without_the_usual_elements():
+    def text(page):
+        return html.extract(page, html.trained())
+
+    bare = "Plain text in a bare box, that goes on for a while. " * 3
+    assert text(f"<div>{bare}</div>") == bare.strip()
+    assert text("Intro <b>bold</b> text <i>more</i>") == "Intro bold text more"
+    assert text("<head><title>T</title><p>Text without a body, that goes on.") == "Text without a body, that goes on."
+    assert text("<html><body><p>Just one paragraph of text.</p></body></html>") == "Just one paragraph of text."
+    # an unclosed quote reaches to the next one, as the standard has it
+    assert text('<p class="x>lost</p><p id="b">More text after the quote, here it is.</p>') == "More text after the quote, here it is."
+
+
+def tree(node):
+    return [node.tag, *(k if isinstance(k, str) else tree(k) for k in node.kids)]
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>a<p>b", ["#root", ["p", "a"], ["p", "b"]]),
+        ("<p><b>a<div>c</div>", ["#root", ["p", ["b", "a"]], ["div", "c"]]),
+        ("<ul><li>a<ul><li>b</ul><li>c</ul>", ["#root", ["ul", ["li", "a", ["ul", ["li", "b"]]], ["li", "c"]]]),
+        ("<div><table><tr><td>x</div>y</table>z</div>", ["#root", ["div", ["table", ["tr", ["td", "x", "y"]]], "z"]]),
+        ("<b><div>a</b>b</div>", ["#root", ["b", ["div", "a", "b"]]]),
+        ("<script>'<p>'</script>x<!--><b>--><!-- <i> --!>y", ["#root", ["script", "'<p>'"], "x", ["b", "-->", "y"]]),
+        ("1 < 2 </ x> &lt;<?php a>b</>", ["#root", "1 <", " 2 ", " <", "b"]),
+        ("<br/>a</p><h1>b<h2>c", ["#root", ["br"], "a", ["p"], ["h1", "b"], ["h2", "c"]]),
+        ("<head><meta charset=x>y<p>z", ["#root", ["head", ["meta"]], "y", ["p", "z"]]),
+    ],
+)
+def test_trees(page, want):
+    assert tree(html.parse(page)) == want
+
+
+@pytest.mark.parametrize("page", ["<a " * 300_000 + '"', "<b>" * 50_000 + "<p></p>" * 50_000, "<div>" + "<i>" * 80_000 + "</b>" * 80_000, "<ul><li><ul>" + "<b>" * 50_000 + "<li></li>" * 50_000, "<!-- x -->" * 100_000, "<" * 500_000, "<a b='" * 100_000, "&am" * 200_000])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    html.trained()
+    took = []
+    for part in (page[: len(page) // 4], page):
+        began = time.time()
+        html.extract(part, html.trained())
+        took.append(time.time() - began)
+    assert took[1] < 8 * took[0] + 1.5
 
 
-def test_pages_query_keeps_only_articles(spark):
-    rows = queries.queries()["op2_html"](spark, DATA).collect()
-    source = {r.page_id: r.html for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+@pytest.mark.parametrize("family, nodes_right, lines_lost, lines_too_many", [(0, 0.97, 0.02, 0.03), (1, 0.9, 0.1, 0.03)])
+def test_labelled_pages_that_were_not_trained_on(family, nodes_right, lines_lost, lines_too_many):
+    """Against the marks put into made pages; family 1 has layouts of its own."""
+    r, model = random.Random(99), html.trained()
+    right = n = marks = kept = foreign = 0
+    for _ in range(150):
+        page = html.labelled_page(r, family)
+        nodes, x, y = html.example(page)
+        right, n = right + ((model.marginals(nodes, x) >= 0.5) == (y > 0.5)).sum(), n + len(y)
+        got = html.extract(page, model)
+        marks, kept, foreign = marks + page.count(html.MARK), kept + got.count(html.MARK), foreign + sum(html.MARK not in line for line in got.split("\n") if line)
+    assert right / n > nodes_right and (marks - kept) / marks < lines_lost and foreign / marks < lines_too_many
+
+
+def articles_by_hand(page):
+    """The text of the article elements, with the standard library's parser and no model."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.hidden, self.blocks = 0, 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            self.hidden += tag in ("script", "style") or (tag == "div" and dict(attrs).get("class") == "ad")
+            if tag not in html.INLINE:
+                self.blocks.append("")
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            self.hidden -= tag in ("script", "style") or tag == "div" and self.hidden > 0
+            if tag not in html.INLINE:
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            if self.inside and not self.hidden:
+                self.blocks[-1] += data
+
+    reader = Reader()
+    reader.feed(page or "")
+    reader.close()
+    return "\n".join(b for b in (" ".join(x.split()) for x in reader.blocks) if b)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_pages_equal_brute_force(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    source = {r.page_id: r for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    rows = queries.queries()["op2_html"](spark, folder).collect()
     assert len(rows) == len(source)
     for r in rows:
-        assert r.n_chars == len(r.text) and r.text
-        ad = re.search(r'<div class="ad">([^<]*)', source[r.page_id])[1]
-        assert html.html.unescape(ad) not in r.text.split("\n")
-        h1 = re.search(r"<h1>([^<]*)", source[r.page_id])[1]
-        assert r.text.startswith(" ".join(html.html.unescape(h1).split()))
+        assert (r.text, r.n_chars, r.url) == (articles_by_hand(source[r.page_id].html), len(r.text), source[r.page_id].url)
 
 
 # 3. decontamination
