@@ -274,6 +274,43 @@ def test_decontamination_in_blocks_is_the_same(spark, monkeypatch):
     assert any(x[2] for x in whole)
 
 
+def test_words_in_parts_are_those_of_the_whole(monkeypatch):
+    r = random.Random(33)
+    texts = ["".join(r.choice("aB1 .-_é数\n") for _ in range(r.randint(0, 90))).encode() for _ in range(60)] + [b"x" * 400, b"", b"one"]
+    whole = decontaminate.Words(texts)
+    monkeypatch.setattr(decontaminate, "SLICE", 37)
+    parts = decontaminate.Words(texts)
+    assert (whole.hash == parts.hash).all() and (whole.begin == parts.begin).all() and (whole.first == parts.first).all()
+    for i, t in enumerate(texts):
+        assert [whole.bytes_of(k, 1) for k in range(whole.first[i], whole.first[i + 1])] == decontaminate.words(t)
+    for k in (1, 2, 3):
+        h, at = whole.shingles(k)
+        inside = [a for i in range(len(texts)) for a in range(whole.first[i], whole.first[i + 1] - k + 1)]
+        assert at.tolist() == inside
+        same = {}
+        for x, a in zip(h.tolist(), at.tolist()):
+            same.setdefault(whole.bytes_of(a, k), set()).add(x)
+        assert all(len(x) == 1 for x in same.values()) and len(set(h.tolist())) == len(same)
+
+
+def test_a_block_of_items_is_small():
+    import pickle
+    import resource
+
+    r = random.Random(34)
+    vocab = [f"word{k}" for k in range(20_000)]
+    rows = [(k, " ".join(r.choice(vocab) for _ in range(100)).encode()) for k in range(6000)]
+    text = sum(len(t) for _, t in rows)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    block = decontaminate.Items(rows, 10, 2, np.zeros(decontaminate.BUCKETS, np.int64))
+    assert len(pickle.dumps(block)) < 10 * text
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200 << 10
+    w = decontaminate.Words([rows[5][1], b"nothing of it", b"begin " + rows[9][1][:300] + b" end"])
+    docs, starts, found = block.found(w)
+    assert {block.names[block.owners[block.owner_at[e]]] for d, e in zip(docs, found) if d == 0} == {"5"} and len(found[docs == 0]) == 91
+    assert not (docs == 1).any() and (docs == 2).any()
+
+
 # 4. toxicity
 
 

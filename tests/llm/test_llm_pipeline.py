@@ -58,8 +58,7 @@ def test_each_stage_takes_effect(spark, tmp_path):
         left -= group
     assert set(one.doc_id) == {min(g) for g in groups}
     # benchmark: those with a window go
-    items = decontaminate.Items([(r.item_id, r.text.encode()) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()], 10, 2)
-    wins = set(items.of)
+    wins = {w for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect() for w in decontaminate.windows(r.text.encode(), 10)}
     sizes = {len(w) for w in wins}
 
     def hit(t):
