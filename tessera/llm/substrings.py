@@ -6,9 +6,11 @@ repeated window shows as an anchor string that occurs twice. Of an anchor at
 byte a only its context matters, the ``span - GRAM`` bytes before it and
 ``span`` from it on: it holds all windows around the anchor.
 
-1. Anchors are counted by hash. Where all contexts of an anchor are equal, or
-   one of them occurs twice, those contexts are repeated as they are.
-2. The other contexts are sent to the task of their anchor, where they are
+1. Anchors are counted by hash. Equal contexts of an anchor meet by a hash of
+   128 bits; they are repeated as they are, so one of them stands for all. (Two different
+   contexts of one anchor are taken for equal with a chance of 2^-128 a pair.)
+2. Of each anchor with different contexts, every different one is sent to the task of
+   the anchor, where they are
    sorted as suffixes from the anchor on, and as reversed prefixes up to it,
    by deep-shallow sorting: a multikey quicksort, eight bytes a key, down to
    a shallow depth, and a blind trie for each group that still agrees there.
@@ -17,6 +19,9 @@ byte a only its context matters, the ``span - GRAM`` bytes before it and
    the windows that occur twice. Work grows as n log n in the contexts of an
    anchor, and no pairs are formed.
 3. What the windows cover is cut out of each document.
+
+Documents of any length are taken whole; anchors are looked for in slices that
+overlap by a window, so that little more than the text itself is in memory.
 """
 
 from __future__ import annotations
@@ -35,39 +40,55 @@ GRAM = 32
 SHALLOW = 8
 #: Contexts that a task sorts together; an anchor's own are never split.
 TOGETHER = 20_000
-#: Bytes of text in which anchors are looked for at a time, but for longer documents.
-BLOCK = 1 << 18
+#: Bytes of text that are taken together, but for longer documents, and windows of which anchors are looked for at a time.
+BLOCK, SLICE = 1 << 18, 1 << 20
+#: Low bits that hold the place in a slice while hashes are compared; the hashes keep the others, alike in every slice.
+PLACE = 22
 
 
 def anchors(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position, hash) of the anchors of all windows inside the documents [start, end)."""
-    windows, width = ends - starts - span + 1, span - GRAM + 1
-    n = len(buffer) - GRAM + 1
-    if n < width or not (windows > 0).any():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    eight = np.lib.stride_tricks.as_strided(buffer[:8].view("<u8") if len(buffer) >= 8 else buffer, (len(buffer) - 7,), (1,)).copy()
+    """(position, hash) of the anchors of all windows inside the documents [start, end); 8 bytes follow the last one."""
+    windows, total = ends - starts - span + 1, len(buffer) - 8 - span + 1
+    ok = windows > 0
+    begin, stop = starts[ok], (starts + windows)[ok]
+    at, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for first in range(0, max(0, total), SLICE):
+        count = min(SLICE, total - first)
+        a, z = np.searchsorted(stop, first, side="right"), np.searchsorted(begin, first + count)
+        if a >= z:
+            continue
+        h, least = _least(buffer[first : first + count + span - 1 + 8], span)
+        inside = np.zeros(count + 1, np.int32)
+        np.add.at(inside, np.maximum(begin[a:z] - first, 0), 1)
+        np.add.at(inside, np.minimum(stop[a:z] - first, count), -1)
+        here = (least[np.cumsum(inside[:-1]) > 0] & np.uint64((1 << PLACE) - 1)).astype(np.int64)
+        here = here[np.concatenate([[True], here[1:] != here[:-1]])]
+        # windows move on, and so do their anchors: only the first one may be that of the slice before
+        here = here[1:] if len(at[-1]) and at[-1][-1] == here[0] + first else here
+        if len(here):
+            at.append(here + first)
+            hashes.append(h[here].view(np.int64))
+    return np.concatenate(at), np.concatenate(hashes)
+
+
+def _least(part: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all grams of a slice, and of each window the least one with its place."""
+    n, width = len(part) - 8 - GRAM + 1, span - GRAM + 1
+    eight = np.lib.stride_tricks.as_strided(part[:8].view("<u8"), (len(part) - 7,), (1,)).copy()
     h = eight[:n] * np.uint64(0x9E3779B97F4A7C15)
     for k, prime in ((8, 0xC2B2AE3D27D4EB4F), (16, 0x165667B19E3779F9), (24, 0xD6E8FEB86659FD93)):
         h ^= h >> np.uint64(29)
         h += eight[k : k + n]
         h *= np.uint64(prime)
     h ^= h >> np.uint64(32)
-    del eight
-    bits = np.uint64(max(1, int(n).bit_length()))
-    least = (h >> bits << bits) | np.arange(n, dtype=np.uint64)
+    least = (h >> np.uint64(PLACE) << np.uint64(PLACE)) | np.arange(n, dtype=np.uint64)
     size = 1
     while size * 2 <= width:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     if size < width:
         least = np.minimum(least[: len(least) - (width - size)], least[width - size :])
-    inside = np.zeros(len(least) + 1, np.int32)
-    ok = windows > 0
-    np.add.at(inside, starts[ok], 1)
-    np.add.at(inside, starts[ok] + windows[ok], -1)
-    at = (least[np.cumsum(inside[:-1]) > 0] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    at = at[np.concatenate([[True], at[1:] != at[:-1]])]
-    return at, h[at].view(np.int64)
+    return h, least
 
 
 class Text:
@@ -84,8 +105,10 @@ class Text:
         self.doc = np.searchsorted(self.ends, self.at, side="right")
         self.lo = np.maximum(self.at - (span - GRAM), self.starts[self.doc]) if len(self.at) else self.at
         self.hi = np.minimum(self.at + span, self.ends[self.doc]) if len(self.at) else self.at
-        digest, whole = xxhash.xxh3_64_intdigest, self.whole
-        self.c = np.array([digest(whole[a:z], left) for a, z, left in zip(self.lo.tolist(), self.hi.tolist(), (self.at - self.lo).tolist())], np.uint64).view(np.int64)
+        digest, whole = xxhash.xxh3_128_digest, self.whole
+        both = b"".join([digest(whole[a:z], left) for a, z, left in zip(self.lo.tolist(), self.hi.tolist(), (self.at - self.lo).tolist())])
+        # two halves of one hash; within a document the first one alone tells contexts apart
+        self.c, self.d = np.ascontiguousarray(np.frombuffer(both or bytes(16), "<i8").reshape(-1, 2)[: len(self.at)].T)
 
 
 def blocked(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
@@ -108,7 +131,7 @@ def _anchoring(span: int):
             rid = b.column(0).to_numpy(zero_copy_only=False)
             for first, texts in blocked(b.column(1)):
                 t = Text(texts, span)
-                yield pa.RecordBatch.from_arrays([pa.array(t.h), pa.array(t.c), pa.array(rid[first + t.doc])], ["h", "c", "rid"])
+                yield pa.RecordBatch.from_arrays([pa.array(t.h), pa.array(t.c), pa.array(t.d), pa.array(rid[first + t.doc])], ["h", "c", "d", "rid"])
 
     return run
 
@@ -370,25 +393,24 @@ def without_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     bytes that also start elsewhere, in the same text or another; ``kept`` is
     the rest. Texts are judged as they come in, as UTF-8 bytes. A null text
     is empty; a text shorter than ``span`` stays whole; a row that is there
-    twice is a repeat of itself; an empty table gives an empty table.
+    twice is a repeat of itself; null and repeated ids are told apart by their texts; other
+    columns are ignored; an empty table gives an empty table.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce("text", F.lit(""))
     base = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("rid"))
-    marks = base.select("rid", "text").mapInArrow(_anchoring(span), "h long, c long, rid long")
+    marks = base.select("rid", "text").mapInArrow(_anchoring(span), "h long, c long, d long, rid long")
     # counts are written before they are joined: both sides of the join are then exchanges, so that one very common
     # anchor can be split over tasks, which it can't where the counting and the join share an exchange
-    often = cut(marks.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1"))
+    context = F.struct("c", "d")
+    often = cut(marks.groupBy("h").agg(F.count("*").alias("n"), F.min(context).alias("c0"), F.max(context).alias("c1")).where("n > 1"))
     # the anchors that occur again, written once: all that follows starts from them
     seen = cut(marks.join(often.select("h", (F.col("c0") != F.col("c1")).alias("mixed")), "h"))
-    mixed = seen.where("mixed").select("h", "c", "rid")
-    kinds = cut(mixed.groupBy("h", "c").agg(F.count("*").alias("n"), F.min("rid").alias("first")))
-    alone = kinds.where("n = 1").select("h").distinct()
-    # contexts that occur once are searched for; of the others with such a one beside them, one is shown to it
-    flags = kinds.where("n = 1").select(F.col("first").alias("rid"), "c", F.lit(1).alias("flag")).unionByName(
-        kinds.where("n > 1").join(alone, "h", "left_semi").select(F.col("first").alias("rid"), "c", F.lit(2).alias("flag"))
-    ).unionByName(
-        mixed.join(kinds.where("n > 1").select("h", "c"), ["h", "c"], "left_semi").select("rid", "c", F.lit(0).alias("flag"))
+    mixed = seen.where("mixed").select("h", "c", "d", "rid")
+    kinds = cut(mixed.groupBy("h", "c", "d").agg(F.count("*").alias("n"), F.min("rid").alias("first")))
+    # contexts that occur once are searched for; of the others one is shown to them, and all are repeated as they are
+    flags = kinds.select(F.col("first").alias("rid"), "c", F.when(F.col("n") == 1, 1).otherwise(2).alias("flag")).unionByName(
+        mixed.join(kinds.where("n > 1").select("h", "c", "d"), ["h", "c", "d"], "left_semi").select("rid", "c", F.lit(0).alias("flag"))
     ).unionByName(seen.where("not mixed").select("rid", "c", F.lit(0).alias("flag")))
     of = lambda k: F.collect_set(F.when(F.col("flag") == k, F.col("c")))
     lists = flags.groupBy("rid").agg(of(0).alias("full"), of(1).alias("lone"), of(2).alias("shown"))

@@ -64,6 +64,28 @@ def test_substrings_when_many_share_a_passage(spark):
     assert found(substrings.without_repeats(df)) == dict(enumerate(cut_by_hand(texts, 200)))
 
 
+def test_anchors_do_not_depend_on_slices_or_neighbours(monkeypatch):
+    r = random.Random(17)
+    texts = ["".join(r.choice("abc ") for _ in range(r.randint(0, 900))).encode() for _ in range(30)] + [b"ab" * 900, b"z" * 700]
+    whole = substrings.Text(texts, 200)
+    alone = [substrings.Text([t], 200) for t in texts]
+    assert (whole.at - whole.starts[whole.doc]).tolist() == [a for t in alone for a in t.at.tolist()]
+    assert whole.h.tolist() == [h for t in alone for h in t.h.tolist()] and whole.c.tolist() == [c for t in alone for c in t.c.tolist()]
+    for size in (1, 7, 100, 333):
+        monkeypatch.setattr(substrings, "SLICE", size)
+        sliced = substrings.Text(texts, 200)
+        assert (sliced.at == whole.at).all() and (sliced.h == whole.h).all() and (sliced.d == whole.d).all()
+
+
+def test_anchors_of_a_long_text_take_little_memory():
+    import resource
+
+    text = np.random.default_rng(5).integers(97, 123, 60 << 20).astype(np.uint8).tobytes()
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = substrings.Text([text], 200)
+    assert len(found.at) > 400_000 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500 << 10
+
+
 def test_deep_shallow_order():
     r = np.random.default_rng(6)
     base = r.integers(0, 3, 200).astype(np.uint8)
