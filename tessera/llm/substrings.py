@@ -17,7 +17,9 @@ byte a only its context matters, the ``span - GRAM`` bytes before it and
    The longest common prefixes of neighbours then give, for each offset r,
    which contexts agree on r bytes before and span - r bytes from the anchor:
    the windows that occur twice. Work grows as n log n in the contexts of an
-   anchor, and no pairs are formed.
+   anchor, and no pairs are formed. An anchor with more than ``HOT`` different
+   contexts is too much for one task; its contexts are split into their windows, which
+   are counted by a hash of 128 bits instead, with partial counts in every task.
 3. What the windows cover is cut out of each document.
 
 Documents of any length are taken whole; anchors are looked for in slices that
@@ -40,6 +42,8 @@ GRAM = 32
 SHALLOW = 8
 #: Contexts that a task sorts together; an anchor's own are never split.
 TOGETHER = 20_000
+#: Different contexts of an anchor beyond which its windows are counted over all tasks.
+HOT = 4096
 #: Bytes of text that are taken together, but for longer documents, and windows of which anchors are looked for at a time.
 BLOCK, SLICE = 1 << 18, 1 << 20
 #: Low bits that hold the place in a slice while hashes are compared; the hashes keep the others, alike in every slice.
@@ -111,27 +115,29 @@ class Text:
         self.c, self.d = np.ascontiguousarray(np.frombuffer(both or bytes(16), "<i8").reshape(-1, 2)[: len(self.at)].T)
 
 
-def blocked(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts in blocks of about ``BLOCK`` bytes, and the row where each begins."""
-    block, n, first = [], 0, 0
+def blocked(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Texts in blocks of about ``BLOCK`` bytes, with their rows; only the wanted ones."""
+    rows, block, n = [], [], 0
     for i, t in enumerate(column.cast(pa.binary())):
-        t = t.as_py() or b""
-        if block and n + len(t) > BLOCK:
-            yield first, block
-            block, n, first = [], 0, i
-        block.append(t)
-        n += len(t)
+        if wanted is None or wanted[i]:
+            t = t.as_py() or b""
+            if block and n + len(t) > BLOCK:
+                yield rows, block
+                rows, block, n = [], [], 0
+            rows.append(i)
+            block.append(t)
+            n += len(t)
     if block:
-        yield first, block
+        yield rows, block
 
 
 def _anchoring(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rid = b.column(0).to_numpy(zero_copy_only=False)
-            for first, texts in blocked(b.column(1)):
+            for rows, texts in blocked(b.column(1)):
                 t = Text(texts, span)
-                yield pa.RecordBatch.from_arrays([pa.array(t.h), pa.array(t.c), pa.array(t.d), pa.array(rid[first + t.doc])], ["h", "c", "d", "rid"])
+                yield pa.RecordBatch.from_arrays([pa.array(t.h), pa.array(t.c), pa.array(t.d), pa.array(rid[rows][t.doc])], ["h", "c", "d", "rid"])
 
     return run
 
@@ -156,15 +162,13 @@ def _contexts(span: int):
             rid = b.column("rid").to_numpy(zero_copy_only=False)
             offset, lone = _members(b, "lone")
             offset2, shown = _members(b, "shown")
-            for first, texts in blocked(b.column("text")):
+            for rows, texts in blocked(b.column("text"), (np.diff(offset) > 0) | (np.diff(offset2) > 0)):
                 t, out = Text(texts, span), []
-                if offset[first] == offset[first + len(texts)] and offset2[first] == offset2[first + len(texts)]:
-                    continue
-                mine = {(d, x) for d in range(len(texts)) for x in lone[offset[first + d] : offset[first + d + 1]].tolist()}
-                other = {(d, x) for d in range(len(texts)) for x in shown[offset2[first + d] : offset2[first + d + 1]].tolist()}
+                mine = {(d, x) for d, i in enumerate(rows) for x in lone[offset[i] : offset[i + 1]].tolist()}
+                other = {(d, x) for d, i in enumerate(rows) for x in shown[offset2[i] : offset2[i + 1]].tolist()}
                 for d, c, h, a, lo, hi in zip(t.doc.tolist(), t.c.tolist(), t.h.tolist(), t.at.tolist(), t.lo.tolist(), t.hi.tolist()):
                     if (single := (d, c) in mine) or (d, c) in other:
-                        out.append((h, single, a - lo, t.whole[lo:hi], rid[first + d], check_of(texts[d]), a - t.starts[d]))
+                        out.append((h, single, a - lo, t.whole[lo:hi], rid[rows[d]], check_of(texts[d]), a - t.starts[d]))
                 if out:
                     types = (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), types)], names)
@@ -172,6 +176,29 @@ def _contexts(span: int):
     return run
 
 
+def _hot_windows(span: int):
+    """The windows around the very common anchors, each place of a document once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for b in batches:
+            rid = b.column("rid").to_numpy(zero_copy_only=False)
+            offset, hot = _members(b, "hot")
+            for rows, texts in blocked(b.column("text"), np.diff(offset) > 0):
+                t = Text(texts, span)
+                for d, i in enumerate(rows):
+                    mine = np.flatnonzero((t.doc == d) & np.isin(t.c, hot[offset[i] : offset[i + 1]]))
+                    runs = covered(len(t.whole), t.lo[mine], t.hi[mine] - span + 1)
+                    starts = np.concatenate([np.arange(a, z) for a, z in runs] or [np.zeros(0, np.int64)])
+                    keys = b"".join([xxhash.xxh3_128_digest(t.whole[a : a + span]) for a in starts.tolist()])
+                    w1, w2 = np.ascontiguousarray(np.frombuffer(keys or bytes(16), "<i8").reshape(-1, 2)[: len(starts)].T)
+                    n = len(starts)
+                    yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), pa.array(np.full(n, rid[i])), pa.array(np.full(n, check_of(texts[d]))), pa.array(starts - t.starts[d])], ["w1", "w2", "rid", "verify", "lo"])
+
+    return run
+
+
 def quicksorted(words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Multikey quicksort of rows by their first ``depth`` words.
 
@@ -362,12 +389,16 @@ def _cutting(span: int, schema_names: list[str]):
         for b in batches:
             offset, full = _members(b, "full")
             verify, lows, highs = (_members(b, x) for x in ("verify", "lo", "hi"))
-            spans, kept = [], []
-            for first, texts in blocked(b.column("text")):
+            column = b.column("text").cast(pa.binary())
+            touched = (np.diff(offset) > 0) | (np.diff(lows[0]) > 0)
+            spans: list[list[dict]] = [[] for _ in range(len(b))]
+            kept = [None if on else (t.as_py() or b"") for on, t in zip(touched, column)]
+            total = np.array([len(t) if t is not None else 0 for t in kept], np.int64)
+            for rows, texts in blocked(column, touched):
                 t = Text(texts, span)
                 place = np.searchsorted(t.doc, np.arange(len(texts) + 1))
-                for d, text in enumerate(texts):
-                    i, (p, q) = first + d, place[d : d + 2]
+                for d, (i, text) in enumerate(zip(rows, texts)):
+                    p, q = place[d : d + 2]
                     hit = np.isin(t.c[p:q], full[offset[i] : offset[i + 1]])
                     mine = slice(lows[0][i], lows[0][i + 1])
                     ours = verify[1][mine] == check_of(text) if mine.stop > mine.start else np.zeros(0, bool)
@@ -378,9 +409,9 @@ def _cutting(span: int, schema_names: list[str]):
                     for a, z in runs:
                         pieces.append(text[at:a])
                         at = z
-                    spans.append([{"start": a, "stop": z} for a, z in runs])
-                    kept.append(b"".join((*pieces, text[at:])))
-            new = {"n_bytes": pa.array([len(t.as_py() or b"") for t in b.column("text").cast(pa.binary())], pa.int64()), "removed": pa.array(spans, spans_type), "kept": pa.array(kept, pa.binary())}
+                    spans[i] = [{"start": a, "stop": z} for a, z in runs]
+                    kept[i], total[i] = b"".join((*pieces, text[at:])), len(text)
+            new = {"n_bytes": pa.array(total), "removed": pa.array(spans, spans_type), "kept": pa.array(kept, pa.binary())}
             yield pa.RecordBatch.from_arrays([new[x] if x in new else b.column(x) for x in schema_names], schema_names)
 
     return run
@@ -409,14 +440,21 @@ def without_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     mixed = seen.where("mixed").select("h", "c", "d", "rid")
     kinds = cut(mixed.groupBy("h", "c", "d").agg(F.count("*").alias("n"), F.min("rid").alias("first")))
     # contexts that occur once are searched for; of the others one is shown to them, and all are repeated as they are
-    flags = kinds.select(F.col("first").alias("rid"), "c", F.when(F.col("n") == 1, 1).otherwise(2).alias("flag")).unionByName(
+    hot = cut(kinds.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > HOT))
+    # a row for every HOT contexts at most; beyond a million of them the planner's way is taken
+    told = kinds.join(F.broadcast(hot) if hot.count() < 1_000_000 else hot, "h", "left")
+    wanted = F.when(F.col("many").isNotNull(), 3).when(F.col("n") == 1, 1).otherwise(2)
+    flags = told.select(F.col("first").alias("rid"), "c", wanted.alias("flag")).unionByName(
         mixed.join(kinds.where("n > 1").select("h", "c", "d"), ["h", "c", "d"], "left_semi").select("rid", "c", F.lit(0).alias("flag"))
     ).unionByName(seen.where("not mixed").select("rid", "c", F.lit(0).alias("flag")))
     of = lambda k: F.collect_set(F.when(F.col("flag") == k, F.col("c")))
-    lists = flags.groupBy("rid").agg(of(0).alias("full"), of(1).alias("lone"), of(2).alias("shown"))
+    lists = flags.groupBy("rid").agg(of(0).alias("full"), of(1).alias("lone"), of(2).alias("shown"), of(3).alias("hot"))
     known = base.join(lists, "rid", "left")
     contexts = known.mapInArrow(_contexts(span), "h long, single boolean, near int, context binary, rid long, verify long, at long")
     found = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_windows(span), "rid long, verify long, lo long, hi long")
+    windows = cut(known.where("size(hot) > 0").mapInArrow(_hot_windows(span), "w1 long, w2 long, rid long, verify long, lo long"))
+    again = cut(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
+    found = found.unionByName(windows.join(again, ["w1", "w2"], "left_semi").select("rid", "verify", "lo", (F.col("lo") + span).alias("hi")))
     mine = found.groupBy("rid").agg(F.collect_list(F.struct("verify", "lo", "hi")).alias("runs"))
     mine = mine.select("rid", *(F.col(f"runs.{x}").alias(x) for x in ("verify", "lo", "hi")))
     schema = f"doc_id {kind}, n_bytes long, removed array<struct<start:long,stop:long>>, kept binary"
