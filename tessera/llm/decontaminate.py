@@ -216,10 +216,10 @@ def _parts(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def _bucketing(size: int, width: int):
-    """Buckets of the shingles of all windows."""
+    """(words, bucket) of the shingles of all windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some = np.zeros(BUCKETS, bool)
+        some = np.zeros((width + 1, BUCKETS), bool)
         for b in batches:
             for _, texts in _parts(b.column(0)):
                 w = Words(texts)
@@ -227,8 +227,9 @@ def _bucketing(size: int, width: int):
                 for k in range(1, width + 1):
                     h, at = w.shingles(k)
                     mine = length[np.searchsorted(w.first, at, side="right") - 1]
-                    some[buckets(h[np.minimum(np.minimum(mine, size), width) == k])] = True
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(some))], ["bucket"])
+                    some[k, buckets(h[np.minimum(np.minimum(mine, size), width) == k])] = True
+        k, bucket = np.nonzero(some)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(bucket)], ["k", "bucket"])
 
     return run
 
@@ -246,7 +247,8 @@ def _counting(some: np.ndarray, sizes: list[int]):
                     bucket = buckets(h)
                     on = np.flatnonzero(some[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8) & 1)
                     doc = np.searchsorted(w.first, at[on], side="right") - 1
-                    total += np.bincount(np.unique(doc * BUCKETS + bucket[on]) % BUCKETS, minlength=BUCKETS) if len(on) else 0
+                    seen, n = np.unique(np.unique(doc * BUCKETS + bucket[on]) % BUCKETS, return_counts=True)
+                    total[seen] += n
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
 
@@ -294,10 +296,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, shingle: int = 2
     weight = items.agg(F.coalesce(F.sum(F.octet_length(F.coalesce("text", F.lit(b""))) + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-int(weight) // BLOCK_BYTES))
     some = np.zeros(BUCKETS, bool)
-    some[items.select("text").mapInArrow(_bucketing(size, shingle), "bucket long").distinct().toArrow().column(0).to_numpy()] = True
+    used = items.select("text").mapInArrow(_bucketing(size, shingle), "k long, bucket long").distinct().toArrow()
+    some[used.column("bucket").to_numpy()] = True
     counts = np.zeros(BUCKETS, np.int64)
     if some.any():
-        counted = docs.select("text").mapInArrow(_counting(np.packbits(some), list(range(1, shingle + 1))), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+        counted = docs.select("text").mapInArrow(_counting(np.packbits(some), np.unique(used.column("k").to_numpy()).tolist()), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
         counts[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
     none = "cast(array() as array<struct<start:int,stop:int>>)"
     out = docs.select(*carry, F.col("text").alias("_text"), F.lit(0).cast("long").alias("n_words"), F.expr(none).alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
