@@ -9,8 +9,8 @@ byte a only its context matters, the ``span - GRAM`` bytes before it and
 1. Anchors are counted by hash. Equal contexts of an anchor meet by a hash of
    128 bits; they are repeated as they are, so one of them stands for all. (Two different
    contexts of one anchor are taken for equal with a chance of 2^-128 a pair.)
-2. Of each anchor with different contexts, every different one is sent to the task of
-   the anchor, where they are
+2. Of each anchor with a context that occurs once, every different context is sent to
+   the task of the anchor, where they are
    sorted as suffixes from the anchor on, and as reversed prefixes up to it,
    by deep-shallow sorting: a multikey quicksort, eight bytes a key, down to
    a shallow depth, and a blind trie for each group that still agrees there.
@@ -42,8 +42,8 @@ GRAM = 32
 SHALLOW = 8
 #: Contexts that a task sorts together; an anchor's own are never split.
 TOGETHER = 20_000
-#: Different contexts of an anchor beyond which its windows are counted over all tasks.
-HOT = 4096
+#: Different contexts of an anchor that one task sorts at most, in about 1 KB each; beyond, its windows are counted over all tasks.
+HOT = 50_000
 #: Bytes of text that are taken together, but for longer documents, and windows of which anchors are looked for at a time.
 BLOCK, SLICE = 1 << 18, 1 << 20
 #: Low bits that hold the place in a slice while hashes are compared; the hashes keep the others, alike in every slice.
@@ -443,6 +443,9 @@ def without_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     hot = cut(kinds.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > HOT))
     # a row for every HOT contexts at most; beyond a million of them the planner's way is taken
     told = kinds.join(F.broadcast(hot) if hot.count() < 1_000_000 else hot, "h", "left")
+    # written, so that anchors with many contexts can be split over tasks here too
+    alone = cut(kinds.where("n = 1").select("h").distinct())
+    told = told.where("n = 1").unionByName(told.where("n > 1").join(alone, "h", "left_semi"))
     wanted = F.when(F.col("many").isNotNull(), 3).when(F.col("n") == 1, 1).otherwise(2)
     flags = told.select(F.col("first").alias("rid"), "c", wanted.alias("flag")).unionByName(
         mixed.join(kinds.where("n > 1").select("h", "c", "d"), ["h", "c", "d"], "left_semi").select("rid", "c", F.lit(0).alias("flag"))
