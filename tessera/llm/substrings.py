@@ -17,9 +17,8 @@ byte a only its context matters, the ``span - GRAM`` bytes before it and
    The longest common prefixes of neighbours then give, for each offset r,
    which contexts agree on r bytes before and span - r bytes from the anchor:
    the windows that occur twice. Work grows as n log n in the contexts of an
-   anchor, and no pairs are formed. An anchor with more than ``HOT`` different
-   contexts is too much for one task; its contexts are split into their windows, which
-   are counted by a hash of 128 bits instead, with partial counts in every task.
+   anchor, and no pairs are formed. An
+   anchor's different contexts are sorted by one task, in about 1 KB each.
 3. What the windows cover is cut out of each document.
 
 Documents of any length are taken whole; anchors are looked for in slices that
@@ -42,8 +41,6 @@ GRAM = 32
 SHALLOW = 8
 #: Contexts that a task sorts together; an anchor's own are never split.
 TOGETHER = 20_000
-#: Different contexts of an anchor that one task sorts at most, in about 1 KB each; beyond, its windows are counted over all tasks.
-HOT = 50_000
 #: Bytes of text that are taken together, but for longer documents, and windows of which anchors are looked for at a time.
 BLOCK, SLICE = 1 << 18, 1 << 20
 #: Low bits that hold the place in a slice while hashes are compared; the hashes keep the others, alike in every slice.
@@ -176,29 +173,6 @@ def _contexts(span: int):
     return run
 
 
-def _hot_windows(span: int):
-    """The windows around the very common anchors, each place of a document once."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for b in batches:
-            rid = b.column("rid").to_numpy(zero_copy_only=False)
-            offset, hot = _members(b, "hot")
-            for rows, texts in blocked(b.column("text"), np.diff(offset) > 0):
-                t = Text(texts, span)
-                for d, i in enumerate(rows):
-                    mine = np.flatnonzero((t.doc == d) & np.isin(t.c, hot[offset[i] : offset[i + 1]]))
-                    runs = covered(len(t.whole), t.lo[mine], t.hi[mine] - span + 1)
-                    starts = np.concatenate([np.arange(a, z) for a, z in runs] or [np.zeros(0, np.int64)])
-                    keys = b"".join([xxhash.xxh3_128_digest(t.whole[a : a + span]) for a in starts.tolist()])
-                    w1, w2 = np.ascontiguousarray(np.frombuffer(keys or bytes(16), "<i8").reshape(-1, 2)[: len(starts)].T)
-                    n = len(starts)
-                    yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), pa.array(np.full(n, rid[i])), pa.array(np.full(n, check_of(texts[d]))), pa.array(starts - t.starts[d])], ["w1", "w2", "rid", "verify", "lo"])
-
-    return run
-
-
 def quicksorted(words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Multikey quicksort of rows by their first ``depth`` words.
 
@@ -440,24 +414,19 @@ def without_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     mixed = seen.where("mixed").select("h", "c", "d", "rid")
     kinds = cut(mixed.groupBy("h", "c", "d").agg(F.count("*").alias("n"), F.min("rid").alias("first")))
     # contexts that occur once are searched for; of the others one is shown to them, and all are repeated as they are
-    hot = cut(kinds.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > HOT))
-    # a row for every HOT contexts at most; beyond a million of them the planner's way is taken
-    told = kinds.join(F.broadcast(hot) if hot.count() < 1_000_000 else hot, "h", "left")
     # written, so that anchors with many contexts can be split over tasks here too
     alone = cut(kinds.where("n = 1").select("h").distinct())
-    told = told.where("n = 1").unionByName(told.where("n > 1").join(alone, "h", "left_semi"))
-    wanted = F.when(F.col("many").isNotNull(), 3).when(F.col("n") == 1, 1).otherwise(2)
-    flags = told.select(F.col("first").alias("rid"), "c", wanted.alias("flag")).unionByName(
+    # contexts that occur once are searched for; of the others with such a one beside them, one is shown to it
+    flags = kinds.where("n = 1").select(F.col("first").alias("rid"), "c", F.lit(1).alias("flag")).unionByName(
+        kinds.where("n > 1").join(alone, "h", "left_semi").select(F.col("first").alias("rid"), "c", F.lit(2).alias("flag"))
+    ).unionByName(
         mixed.join(kinds.where("n > 1").select("h", "c", "d"), ["h", "c", "d"], "left_semi").select("rid", "c", F.lit(0).alias("flag"))
     ).unionByName(seen.where("not mixed").select("rid", "c", F.lit(0).alias("flag")))
     of = lambda k: F.collect_set(F.when(F.col("flag") == k, F.col("c")))
-    lists = flags.groupBy("rid").agg(of(0).alias("full"), of(1).alias("lone"), of(2).alias("shown"), of(3).alias("hot"))
+    lists = flags.groupBy("rid").agg(of(0).alias("full"), of(1).alias("lone"), of(2).alias("shown"))
     known = base.join(lists, "rid", "left")
     contexts = known.mapInArrow(_contexts(span), "h long, single boolean, near int, context binary, rid long, verify long, at long")
     found = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_windows(span), "rid long, verify long, lo long, hi long")
-    windows = cut(known.where("size(hot) > 0").mapInArrow(_hot_windows(span), "w1 long, w2 long, rid long, verify long, lo long"))
-    again = cut(windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").drop("n"))
-    found = found.unionByName(windows.join(again, ["w1", "w2"], "left_semi").select("rid", "verify", "lo", (F.col("lo") + span).alias("hi")))
     mine = found.groupBy("rid").agg(F.collect_list(F.struct("verify", "lo", "hi")).alias("runs"))
     mine = mine.select("rid", *(F.col(f"runs.{x}").alias(x) for x in ("verify", "lo", "hi")))
     schema = f"doc_id {kind}, n_bytes long, removed array<struct<start:long,stop:long>>, kept binary"
