@@ -407,13 +407,11 @@ def without_repeats(docs: DataFrame, span: int = 200) -> DataFrame:
     marks = base.select("rid", "text").mapInArrow(_anchoring(span), "h long, c long, d long, rid long")
     # counts are written before they are joined: both sides of the join are then exchanges, so that one very common
     # anchor can be split over tasks, which it can't where the counting and the join share an exchange
-    context = F.struct("c", "d")
-    often = cut(marks.groupBy("h").agg(F.count("*").alias("n"), F.min(context).alias("c0"), F.max(context).alias("c1")).where("n > 1"))
+    often = cut(marks.groupBy("h").agg(F.count("*").alias("n"), *(f(x).alias(f"{x}{k}") for x in "cd" for k, f in enumerate((F.min, F.max)))).where("n > 1"))
     # the anchors that occur again, written once: all that follows starts from them
-    seen = cut(marks.join(often.select("h", (F.col("c0") != F.col("c1")).alias("mixed")), "h"))
+    seen = cut(marks.join(often.select("h", F.expr("c0 != c1 or d0 != d1").alias("mixed")), "h"))
     mixed = seen.where("mixed").select("h", "c", "d", "rid")
     kinds = cut(mixed.groupBy("h", "c", "d").agg(F.count("*").alias("n"), F.min("rid").alias("first")))
-    # contexts that occur once are searched for; of the others one is shown to them, and all are repeated as they are
     # written, so that anchors with many contexts can be split over tasks here too
     alone = cut(kinds.where("n = 1").select("h").distinct())
     # contexts that occur once are searched for; of the others with such a one beside them, one is shown to it
