@@ -106,6 +106,14 @@ def filename_coordinates(vox: DataFrame) -> DataFrame:
     return named.select("*", *naming.coordinates("name"))
 
 
+@volume("""SELECT block, min(x) - 5 AS x0, max(x) + 1 - 5 AS x1, min(y) AS y0, max(y) + 1 AS y1, min(z) + 2 AS z0, max(z) + 1 + 2 AS z1, 'run_00001-00002_vol' AS stem FROM vox GROUP BY block""")
+def filename_offsets(vox: DataFrame) -> DataFrame:
+    """The last three ranges count although stem and folder hold others, less the block's offset."""
+    g = vox.groupBy("block").agg(*(e.alias(a + s) for a in "xyz" for e, s in ((F.min(a), "0"), (F.max(a) + 1, "1"))))
+    named = g.select("block", F.concat(F.lit("/data/00009-00010/"), naming.block_name("run_00001-00002_vol", *(f"{a}{s}" for a in "xyz" for s in "01"))).alias("name"))
+    return named.select("block", *naming.coordinates("name", (5, 0, -2)), naming.stem("name").alias("stem"))
+
+
 @volume("SELECT v FROM vox, (SELECT max(z) + 1 AS n FROM vox) WHERE z = n // 2 AND c = 2")
 def centre_plane(vox: DataFrame) -> DataFrame:
     return vox.join(vox.agg((F.max("z") + 1).alias("n"))).where("z = n div 2 and c = 2").select("v")
@@ -121,23 +129,25 @@ def centre_planes(vox: DataFrame) -> DataFrame:
     return vox.join(n).select("v", hit.alias("axis")).groupBy("axis").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
 
 
-@volume("SELECT z, y, CAST(max(CASE WHEN x = 0 THEN v END) AS BIGINT) AS x0, CAST(max(CASE WHEN x = 1 THEN v END) AS BIGINT) AS x1, CAST(max(CASE WHEN x = 2 THEN v END) AS BIGINT) AS x2 FROM vox WHERE x < 3 GROUP BY z, y")
+COLUMNS = ", ".join(f"CAST(max(CASE WHEN x = {k} THEN v END) AS BIGINT) AS x{k}" for k in range(20))
+
+
+@volume(f"SELECT z, y, {COLUMNS} FROM vox GROUP BY z, y")
 def voxel_matrix(vox: DataFrame) -> DataFrame:
-    p = vox.where("x < 3").groupBy("z", "y").pivot("x", [0, 1, 2]).agg(F.first("v"))
-    return p.toDF("z", "y", "x0", "x1", "x2")
+    p = vox.groupBy("z", "y").pivot("x", list(range(20))).agg(F.first("v"))
+    return p.toDF("z", "y", *(f"x{k}" for k in range(20)))
 
 
-@volume("SELECT event_id, v FROM vox WHERE block IN (SELECT block FROM vox GROUP BY block HAVING count(*) > 700) AND z < 20")
+@volume("SELECT event_id, v FROM vox WHERE block IN (SELECT block FROM vox GROUP BY block HAVING count(*) > 700)")
 def parts_with_enough_rows(vox: DataFrame) -> DataFrame:
     enough = vox.groupBy("block").count().where("count > 700").select("block")
-    return vox.where("z < 20").join(enough, "block", "left_semi").select("event_id", "v")
+    return vox.join(enough, "block", "left_semi").select("event_id", "v")
 
 
-@volume("SELECT z, 24 - y AS y, 19 - x AS x, v FROM vox WHERE z < 2 UNION ALL SELECT z, y, -1, 0 FROM vox WHERE z < 2 AND x = 0")
+@volume("SELECT z, 24 - y AS y, 19 - x AS x, v FROM vox UNION ALL SELECT z, y, -1, 0 FROM vox WHERE x = 0")
 def pad_and_flip(vox: DataFrame) -> DataFrame:
-    s = vox.where("z < 2")
-    flipped = s.select("z", (24 - F.col("y")).alias("y"), (19 - F.col("x")).alias("x"), "v")
-    return flipped.unionByName(s.where("x = 0").select("z", "y", F.lit(-1).cast("long").alias("x"), F.lit(0).cast("long").alias("v")))
+    flipped = vox.select("z", (24 - F.col("y")).alias("y"), (19 - F.col("x")).alias("x"), "v")
+    return flipped.unionByName(vox.where("x = 0").select("z", "y", F.lit(-1).cast("long").alias("x"), F.lit(0).cast("long").alias("v")))
 
 
 @volume("""SELECT level, count(*) AS n, sum(v)::BIGINT AS total FROM (SELECT unnest([0, 1, 2]) AS level) l JOIN vox ON y % (1 << level) = 0 AND x % (1 << level) = 0 GROUP BY level""")
@@ -146,10 +156,10 @@ def pyramid_levels(vox: DataFrame) -> DataFrame:
     return vox.select("v", level.alias("level")).groupBy("level").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
 
 
-@volume("""SELECT event_id, round(0.5::DOUBLE * z - 2.0 * y + 10, 6) AS z2, round(x::DOUBLE, 6) AS x2 FROM vox WHERE z < 2""")
+@volume("""SELECT event_id, round(0.5::DOUBLE * z - 2.0 * y + 10, 6) AS z2, round(x::DOUBLE, 6) AS x2 FROM vox""")
 def linear_transform(vox: DataFrame) -> DataFrame:
     from ..functions.maths import transformed
 
     m = [[0.5, -2.0, 0.0, 10.0], [0.0, 1.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]]
     z, _, x = transformed(m, "z", "y", "x")
-    return vox.where("z < 2").select("event_id", F.round(z, 6).alias("z2"), F.round(x, 6).alias("x2"))
+    return vox.select("event_id", F.round(z, 6).alias("z2"), F.round(x, 6).alias("x2"))

@@ -28,14 +28,24 @@ def clipped_any(vox: DataFrame) -> DataFrame:
 MEAN = "mn AS (SELECT z, y, x // 2 AS x, CAST(floor(avg(v)) AS BIGINT) AS m FROM vox GROUP BY ALL), md AS (SELECT z, median(m) AS med FROM mn GROUP BY z)"
 
 
+def _two_channels(vox: DataFrame) -> DataFrame:
+    """The view has one channel a voxel, so voxels side by side stand for the two channels of one place."""
+    return vox.withColumn("x", F.expr("x div 2"))
+
+
+@volume("SELECT z, y, x, CAST(floor(avg(v)) AS BIGINT) AS m FROM vox GROUP BY z, y, x")
+def channel_means(vox: DataFrame) -> DataFrame:
+    return correct.channel_mean(vox)
+
+
 @volume(f", {MEAN} SELECT z, round(med, 6) AS med, round(greatest(1000.0, med / 3), 6) AS threshold FROM md")
 def slice_thresholds(vox: DataFrame) -> DataFrame:
-    return correct.slice_thresholds(correct.channel_mean(vox), 1000.0, 3).select("z", F.round("med", 6).alias("med"), F.round("threshold", 6).alias("threshold"))
+    return correct.slice_thresholds(correct.channel_mean(_two_channels(vox)), 1000.0, 3).select("z", F.round("med", 6).alias("med"), F.round("threshold", 6).alias("threshold"))
 
 
 @volume(f", {MEAN} SELECT z, count(*) FILTER (WHERE m > greatest(1000.0, med / 3)) AS n_mask FROM mn JOIN md USING (z) GROUP BY z")
 def slice_mask(vox: DataFrame) -> DataFrame:
-    mean = correct.channel_mean(vox)
+    mean = correct.channel_mean(_two_channels(vox))
     return mean.join(correct.slice_thresholds(mean, 1000.0, 3), "z").groupBy("z").agg(F.count_if(F.col("m") > F.col("threshold")).alias("n_mask"))
 
 

@@ -47,9 +47,9 @@ def inertia_fa(vox: DataFrame) -> DataFrame:
     return e.select("label", *(F.round(c, 5).alias(c) for c in e.columns if c != "label"))
 
 
-@volume("SELECT label, i, j, k, sum(CAST(pow(z, i) AS BIGINT) * CAST(pow(y, j) AS BIGINT) * CAST(pow(x, k) AS BIGINT))::BIGINT AS value FROM vox, (SELECT unnest([0,1,2,3])::INTEGER AS i), (SELECT unnest([0,1,2,3])::INTEGER AS j), (SELECT unnest([0,1,2,3])::INTEGER AS k) WHERE label BETWEEN 1 AND 40 GROUP BY label, i, j, k")
+@volume("SELECT label, i, j, k, sum(CAST(pow(z, i) AS BIGINT) * CAST(pow(y, j) AS BIGINT) * CAST(pow(x, k) AS BIGINT))::BIGINT AS value FROM vox, (SELECT unnest([0,1,2,3])::INTEGER AS i), (SELECT unnest([0,1,2,3])::INTEGER AS j), (SELECT unnest([0,1,2,3])::INTEGER AS k) WHERE label <> 0 GROUP BY label, i, j, k")
 def moments_raw(vox: DataFrame) -> DataFrame:
-    return objects.moments(vox.where("label between 1 and 40"))
+    return objects.moments(vox)
 
 
 @volume(""", c AS (SELECT label, avg(z) mz, avg(y) my, avg(x) mx, count(*) n FROM vox WHERE label <> 0 GROUP BY label)
@@ -60,10 +60,10 @@ def moments_central(vox: DataFrame) -> DataFrame:
     return s.select("label", F.round(mu("z", "z"), 5).alias("mu200"), F.round(mu("y", "y"), 5).alias("mu020"), F.round(mu("x", "x"), 5).alias("mu002"), (F.round(mu("z", "y"), 5) + 0.0).alias("mu110"), F.round(mu("z", "z") / F.pow("n", F.lit(5.0 / 3)), 6).alias("nu200"))
 
 
-@volume(""", d(d) AS (VALUES (-1), (0), (1)), cells AS (SELECT DISTINCT label, 2*z+a.d AS z, 2*y+b.d AS y, 2*x+c.d AS x, CASE WHEN (abs(a.d)+abs(b.d)+abs(c.d)) % 2 = 1 THEN 1 ELSE -1 END AS s FROM vox, d a, d b, d c WHERE label BETWEEN 1 AND 60)
+@volume(""", d(d) AS (VALUES (-1), (0), (1)), cells AS (SELECT DISTINCT label, 2*z+a.d AS z, 2*y+b.d AS y, 2*x+c.d AS x, CASE WHEN (abs(a.d)+abs(b.d)+abs(c.d)) % 2 = 1 THEN 1 ELSE -1 END AS s FROM vox, d a, d b, d c WHERE label <> 0)
  SELECT label, sum(s)::BIGINT AS euler_number FROM cells GROUP BY label""")
 def euler_number(vox: DataFrame) -> DataFrame:
-    return objects.euler_number(vox.where("label between 1 and 60"))
+    return objects.euler_number(vox)
 
 
 @volume("SELECT label, c, min(v) AS min_intensity, max(v) AS max_intensity, round(avg(v), 6) AS mean_intensity, round(median(v), 6) AS median_intensity, round((count(*)*sum(v*v)::BIGINT-sum(v)::BIGINT*sum(v)::BIGINT)/(count(*)*count(*)::DOUBLE), 4) AS variance, round(quantile_cont(v, 0.95), 6) AS quantile95, round(sum(z*v)::DOUBLE/nullif(sum(v), 0), 6) AS weighted_centroid_z, round(sum(y*v)::DOUBLE/nullif(sum(v), 0), 6) AS weighted_centroid_y, round(sum(x*v)::DOUBLE/nullif(sum(v), 0), 6) AS weighted_centroid_x FROM vox WHERE label <> 0 GROUP BY label, c")
@@ -142,9 +142,9 @@ def unique_labels(vox: DataFrame) -> DataFrame:
     return vox.select("label").distinct().where("label <> 0")
 
 
-@volume("SELECT c, string_agg(DISTINCT label::VARCHAR, ' ' ORDER BY label::VARCHAR) AS labels FROM vox WHERE label BETWEEN 1 AND 20 GROUP BY c")
+@volume("SELECT c, string_agg(DISTINCT label::VARCHAR, ' ' ORDER BY label::VARCHAR) AS labels FROM vox WHERE label <> 0 GROUP BY c")
 def label_sets(vox: DataFrame) -> DataFrame:
-    s = vox.where("label between 1 and 20").groupBy("c").agg(F.sort_array(F.collect_set(F.col("label").cast("string"))).alias("s"))
+    s = vox.where("label <> 0").groupBy("c").agg(F.sort_array(F.collect_set(F.col("label").cast("string"))).alias("s"))
     return s.select("c", F.array_join("s", " ").alias("labels"))
 
 
@@ -232,9 +232,9 @@ def sensitivity_specificity(vox: DataFrame) -> DataFrame:
     return c.withColumn("sensitivity", F.round(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), 6))
 
 
-@volume("SELECT a.z AS z, a.label AS label, b.label AS next_label, count(*) AS n FROM vox a JOIN vox b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x WHERE a.label <> 0 AND b.label <> 0 AND a.z % 4 = 3 GROUP BY ALL")
+@volume("SELECT a.z AS z, a.label AS label, b.label AS next_label, count(*) AS n FROM vox a JOIN vox b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x WHERE a.label <> 0 AND b.label <> 0 GROUP BY ALL")
 def consecutive_planes(vox: DataFrame) -> DataFrame:
-    a = vox.where("label <> 0 and z % 4 = 3").select("z", "y", "x", "label")
+    a = vox.where("label <> 0").select("z", "y", "x", "label")
     b = vox.where("label <> 0").select((F.col("z") - 1).alias("z"), "y", "x", F.col("label").alias("next_label"))
     return a.join(b, ["z", "y", "x"]).groupBy("z", "label", "next_label").agg(F.count("*").alias("n"))
 

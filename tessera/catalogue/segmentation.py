@@ -15,38 +15,45 @@ from ..sources.voxels import dims
 from .registry import volume
 
 SIZE = {"z": 4, "y": 10, "x": 10}
-CLOSURE = """, p AS (SELECT event_id AS n, z, y, x FROM vox WHERE z < 2 AND v > 3000),
- e AS (SELECT a.n AS u, b.n AS w FROM p a JOIN p b ON abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) = 1),
- r AS (SELECT n AS u, n AS w FROM p UNION SELECT r.u, e.w FROM r JOIN e ON e.u = r.w),
- cc AS (SELECT u AS n, min(w) AS component FROM r GROUP BY u)"""
+BLOCK = {"z": 10, "y": 25, "x": 20}
+#: Least voxel number of each component, spread over faces until nothing changes.
+CLOSURE = """, p AS (SELECT event_id AS n, z, y, x FROM vox WHERE v > 3000),
+ f AS (SELECT a.n AS u, b.n AS w FROM p a JOIN p b ON b.z = a.z AND b.y = a.y AND b.x = a.x + 1 UNION ALL SELECT a.n, b.n FROM p a JOIN p b ON b.z = a.z AND b.y = a.y + 1 AND b.x = a.x UNION ALL SELECT a.n, b.n FROM p a JOIN p b ON b.z = a.z + 1 AND b.y = a.y AND b.x = a.x),
+ e AS (SELECT u, w FROM f UNION ALL SELECT w, u FROM f),
+ cc(n, component) USING KEY (n) AS (SELECT n, n FROM p UNION SELECT e.w, min(cc.component) FROM cc JOIN e ON e.u = cc.n JOIN recurring.cc AS old ON old.n = e.w WHERE cc.component < old.component GROUP BY e.w)"""
 
 
-def _bright(vox: DataFrame) -> DataFrame:
-    return vox.where("z < 2 and v > 3000")
+def _parts(vox: DataFrame) -> DataFrame:
+    return iterative.components(vox.where("v > 3000"), dims(vox), SIZE)
 
 
 @volume(CLOSURE + " SELECT z, y, x, component FROM cc JOIN p USING (n)")
 def connected_components(vox: DataFrame) -> DataFrame:
-    return iterative.components(_bright(vox), {"z": 2, "y": 25, "x": 20}, SIZE)
+    return _parts(vox)
 
 
 @volume(CLOSURE + " SELECT component, count(*) AS n FROM cc GROUP BY component HAVING count(*) >= 5")
 def small_components_removed(vox: DataFrame) -> DataFrame:
-    parts = iterative.without_small(iterative.components(_bright(vox), {"z": 2, "y": 25, "x": 20}, SIZE), 5)
-    return parts.groupBy("component").agg(F.count("*").alias("n"))
+    return iterative.without_small(_parts(vox), 5).groupBy("component").agg(F.count("*").alias("n"))
 
 
 @volume(CLOSURE + " SELECT label, count(*) AS n FROM (SELECT CAST(dense_rank() OVER (ORDER BY component) AS INTEGER) AS label FROM cc) GROUP BY label")
 def components_numbered(vox: DataFrame) -> DataFrame:
-    parts = iterative.components(_bright(vox), {"z": 2, "y": 25, "x": 20}, SIZE)
-    return iterative.numbered(parts).groupBy("label").agg(F.count("*").alias("n"))
+    return iterative.numbered(_parts(vox)).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@volume(""", m AS (SELECT event_id AS n, z, y, x, v > 900 AS mask FROM vox WHERE z < 2), bg AS (SELECT * FROM m WHERE NOT mask),
+@volume(""", m AS (SELECT event_id AS n, z, y, x, v > 900 AS mask FROM vox), bg AS (SELECT * FROM m WHERE NOT mask),
  reach AS (SELECT n FROM bg WHERE y = 0 OR y = 24 OR x = 0 OR x = 19 UNION SELECT b.n FROM reach JOIN bg a ON a.n = reach.n JOIN bg b ON a.z = b.z AND abs(a.y - b.y) + abs(a.x - b.x) = 1)
  SELECT z, y, x, mask OR n NOT IN (SELECT n FROM reach) AS mask FROM m""")
 def fill_holes(vox: DataFrame) -> DataFrame:
-    return iterative.fill_holes_2d(vox.where("z < 2").withColumn("mask", F.col("v") > 900), {"z": 2, "y": 25, "x": 20}, SIZE)
+    return iterative.fill_holes_2d(vox.withColumn("mask", F.col("v") > 900), dims(vox), SIZE)
+
+
+@volume(""", m AS (SELECT event_id AS n, z, y, x, v > 900 AS mask FROM vox), bg AS (SELECT * FROM m WHERE NOT mask),
+ reach AS (SELECT n FROM bg WHERE y = 0 OR y = 24 OR x = 0 OR x = 19 OR z = 0 OR z = (SELECT max(z) FROM vox) UNION SELECT b.n FROM reach JOIN bg a ON a.n = reach.n JOIN bg b ON b.z BETWEEN a.z - 1 AND a.z + 1 AND abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) = 1)
+ SELECT z, y, x, mask OR n NOT IN (SELECT n FROM reach) AS mask FROM m""")
+def fill_holes_3d(vox: DataFrame) -> DataFrame:
+    return iterative.fill_holes(vox.withColumn("mask", F.col("v") > 900), dims(vox), SIZE)
 
 
 @volume(""", t AS (SELECT a.label AS u, b.label AS w FROM vox a JOIN vox b ON a.z = b.z AND a.y = b.y AND b.x = a.x + 1 WHERE a.x = 9 AND a.label > 0 AND b.label > 0 GROUP BY ALL HAVING count(*) >= 8),
@@ -55,10 +62,10 @@ def zip_touching(vox: DataFrame) -> DataFrame:
     return iterative.zip_touching(vox, "x", 10, 8)
 
 
-@volume(""", m AS (SELECT z, y, x, v > 900 AS mask FROM vox WHERE z < 3)
+@volume(""", m AS (SELECT z, y, x, v > 900 AS mask FROM vox)
  SELECT a.z, a.y, a.x, round(min(sqrt((2.0 * (a.y - b.y))^2 + (a.x - b.x)^2)), 6) AS distance FROM m a JOIN m b ON a.z = b.z AND NOT b.mask WHERE a.mask GROUP BY ALL""")
 def distance_transform(vox: DataFrame) -> DataFrame:
-    m = vox.where("z < 3").select("z", "y", "x", (F.col("v") > 900).alias("mask"))
+    m = vox.select("z", "y", "x", (F.col("v") > 900).alias("mask"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         a, _, at = kernels.dense(rows, "mask", False)
@@ -73,61 +80,97 @@ def _weights(sigma: float) -> str:
     return ", ".join(f"({k - len(w) // 2}, {float(x)!r}::DOUBLE)" for k, x in enumerate(w))
 
 
-@volume(f""", w(k, g) AS (VALUES {_weights(1.0)}), fx AS (SELECT z, y, a.x, sum(g * b.v) AS s FROM (SELECT DISTINCT x FROM vox) a, w, LATERAL (SELECT CASE WHEN a.x + k < 0 THEN -1 - a.x - k WHEN a.x + k > 19 THEN 39 - a.x - k ELSE a.x + k END AS src) q JOIN vox b ON b.x = q.src WHERE b.z < 2 GROUP BY ALL)
- SELECT z, a.y, x, round(sum(g * s), 4) AS smooth FROM (SELECT DISTINCT y FROM vox) a, w, LATERAL (SELECT CASE WHEN a.y + k < 0 THEN -1 - a.y - k WHEN a.y + k > 24 THEN 49 - a.y - k ELSE a.y + k END AS src) q JOIN fx ON fx.y = q.src GROUP BY ALL""")
+def mirrored(axis: str, last: str, c: str = "p") -> str:
+    """SQL of the place that a coordinate beyond an end stands for: mirrored, the end value included, as often as it takes."""
+    period = f"(2 * ({last} + 1))"
+    place = f"((({c}.{axis} + k) % {period} + {period}) % {period})"
+    return f"least({place}, {period} - 1 - {place})"
+
+
+def smooth_sql(name: str, sigma: dict[str, float], source: str = "vox", value: str = "v", last: dict[str, str] | None = None) -> str:
+    """Common table expressions of a separable Gaussian, one an axis; the last one is called ``name`` with the value ``s``."""
+    last = last or {"z": "(SELECT max(z) FROM vox)", "y": "24", "x": "19"}
+    out, parts = source, []
+    for a, s in sigma.items():
+        others = [k for k in "zyx" if k != a]
+        here = f"{name}_{a}" if a != list(sigma)[-1] else name
+        rows = f"SELECT q.{others[0]}, q.{others[1]}, p.{a}, sum(g * q.{value}) AS s FROM (SELECT DISTINCT {a} FROM vox) p, (VALUES {_weights(s)}) w(k, g) JOIN {out} q ON q.{a} = {mirrored(a, last[a])} GROUP BY ALL"
+        parts.append(f"{here} AS ({rows})")
+        out, value = here, "s"
+    return ", ".join(parts)
+
+
+@volume(f", {smooth_sql('sm', {'x': 1.0, 'y': 1.0})} SELECT z, y, x, round(s, 4) AS smooth FROM sm")
 def gaussian_inplane(vox: DataFrame) -> DataFrame:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         a, _, at = kernels.dense(rows, "v")
         return rows[["z", "y", "x"]].assign(smooth=np.round(kernels.gaussian(a, (0, 1.0, 1.0))[at], 4))
 
-    return vox.where("z < 2").select("z", "y", "x", "v").groupBy("z").applyInPandas(run, "z long, y long, x long, smooth double")
+    return vox.select("z", "y", "x", "v").groupBy("z").applyInPandas(run, "z long, y long, x long, smooth double")
 
 
-@volume()
+@volume(f", {smooth_sql('sm', {'x': 0.7, 'y': 0.7, 'z': 0.7})} SELECT z, y, x, round(s, 4) AS out FROM sm")
 def gaussian_blocks(vox: DataFrame) -> DataFrame:
-    """Over halo blocks; equal to the whole volume's inside, as the tests check."""
-    return kernels.by_block(vox, dims(vox), {"z": 10, "y": 10, "x": 10}, kernels.margin_of(0.7), lambda a: kernels.gaussian(a, (0.7, 0.7, 0.7)))
+    """Over halo blocks; equal to the whole volume's."""
+    return kernels.by_block(vox, dims(vox), {"z": 10, "y": 10, "x": 10}, kernels.margin_of(0.7), lambda a: np.round(kernels.gaussian(a, (0.7, 0.7, 0.7)), 4))
 
 
-@volume()
+@volume(f", {smooth_sql('s1', {'x': 0.5, 'y': 0.5, 'z': 0.5})}, {smooth_sql('s2', {'x': 1.2, 'y': 1.2, 'z': 1.2})} SELECT z, y, x, round(s1.s - s2.s, 3) + 0.0 AS dog FROM s1 JOIN s2 USING (z, y, x)")
 def difference_of_gaussians(vox: DataFrame) -> DataFrame:
-    return kernels.by_block(vox, dims(vox), {"z": 10, "y": 10, "x": 10}, kernels.margin_of(1.2), lambda a: kernels.gaussian(a, (0.5,) * 3) - kernels.gaussian(a, (1.2,) * 3), to="dog")
+    return kernels.by_block(vox, dims(vox), {"z": 10, "y": 10, "x": 10}, kernels.margin_of(1.2), lambda a: np.round(kernels.gaussian(a, (0.5,) * 3) - kernels.gaussian(a, (1.2,) * 3), 3) + 0.0, to="dog")
 
 
 @volume()
 def structure_tensor(vox: DataFrame) -> DataFrame:
-    """Planarity from the eigenvalues of the structure tensor."""
+    """Planarity from the eigenvalues of the structure tensor; a test compares blocks with the whole volume."""
+    return kernels.by_block(vox, dims(vox), BLOCK, kernels.margin_of(1.6) + 2, planarity, to="planarity")
+
+
+def planarity(a: np.ndarray) -> np.ndarray:
+    e = kernels.structure_tensor(a, 0.6, 1.0)
+    return (e[..., 2] - e[..., 1]) / (e[..., 2] + 1e-12)
 
-    def planarity(a: np.ndarray) -> np.ndarray:
-        e = kernels.structure_tensor(a, 0.6, 1.0)
-        return (e[..., 2] - e[..., 1]) / (e[..., 2] + 1e-12)
 
-    return kernels.by_block(vox, dims(vox), {"z": 10, "y": 25, "x": 20}, kernels.margin_of(1.6), planarity, to="planarity")
+def bright_regions(a: np.ndarray) -> np.ndarray:
+    return kernels.flooded(a, kernels.components(a > 12000), a > 500, invert=True)
 
 
 @volume()
 def watershed(vox: DataFrame) -> DataFrame:
-    """Flooding of each block from its bright voxels; seeds stay and the mask bounds it."""
+    """Flooding from bright voxels over blocks with margins, stitched where they overlap; regions have names of their own over all blocks."""
+    return kernels.regions_by_block(vox, dims(vox), BLOCK, 3, bright_regions)
 
-    def flood(a: np.ndarray) -> np.ndarray:
-        return kernels.watershed(-a.astype(float), kernels.components(a > 12000), a > 500)
 
-    return kernels.by_block(vox, dims(vox), {"z": 10, "y": 25, "x": 20}, 0, flood, to="region", kind="long")
+@volume(", m AS (SELECT z, y, x, event_id, v > 500 AS mask FROM vox) SELECT z, count(*) FILTER (WHERE mask) AS n_mask FROM m GROUP BY z")
+def watershed_stays_in_its_mask(vox: DataFrame) -> DataFrame:
+    """Every voxel of the mask belongs to the negative seed's region or another one, and none outside of it."""
+    full = dims(vox)
+    negative = lambda a: kernels.flooded(a, kernels.components(a > 12000), a > 500, invert=True, negative=a > 600)
+    post = lambda a: kernels.flooded(a, np.where(a > 12000, 1, 2), invert=True, post=a > 500)
+    regions = kernels.by_block(vox, full, BLOCK, 0, lambda a: np.where(negative(a) > 0, post(a), 0), to="region", kind="long")
+    seeds = kernels.by_block(vox, full, BLOCK, 0, post, to="region", kind="long")
+    return seeds.join(regions.withColumnRenamed("region", "again"), ["z", "y", "x"]).groupBy("z").agg(F.count_if(F.col("region") > 0).alias("n_mask"))
 
 
 @volume()
-def blobs(vox: DataFrame) -> DataFrame:
-    """Maxima of the scale-normalised Laplacian of Gaussians over three scales."""
+def seeds(vox: DataFrame) -> DataFrame:
+    """Seeds as segmentation takes them: distance to background times a difference of Gaussians, its peaks numbered, flooded downhill."""
+    spacing = (2.0, 1.0, 1.0)
+    find = lambda a: kernels.seeds_of(a, a > 900, spacing, above=8.0, dog=(1.0, 2.0), peak=(1, 0.5), flood=0.5)
+    return kernels.regions_by_block(vox, dims(vox), BLOCK, 6, find)
 
-    def scale(a: np.ndarray) -> np.ndarray:
-        best = np.zeros(a.shape)
-        for s in (0.8, 1.1, 1.5):
-            g = kernels.gaussian(a, (s, s, s))
-            lap = sum(np.gradient(np.gradient(g, axis=k), axis=k) if a.shape[k] > 1 else 0 for k in range(3))
-            best = np.maximum(best, -(s**2) * lap)
-        return best
 
-    return kernels.by_block(vox, dims(vox), {"z": 10, "y": 25, "x": 20}, kernels.margin_of(1.5), scale, to="response").where(F.col("response") > 1000)
+SIGMAS = tuple(float(s) for s in np.linspace(0.8, 1.7, 10))
+
+
+@volume()
+def blobs(vox: DataFrame) -> DataFrame:
+    """Blobs with their radii: peaks over place and ten scales of the Laplacian of Gaussians."""
+    find = lambda k: lambda a: kernels.log_blobs(a.astype(float), SIGMAS, 1000.0)[k]
+    margin = kernels.margin_of(max(SIGMAS)) + 2
+    response = kernels.by_block(vox, dims(vox), BLOCK, margin, find(0), to="response").where("response > 0")
+    sigma = kernels.by_block(vox, dims(vox), BLOCK, margin, find(1), to="sigma").where("sigma > 0")
+    return response.join(sigma, ["z", "y", "x"]).withColumn("radius", F.col("sigma") * math.sqrt(3))
 
 
 @volume()
@@ -138,7 +181,7 @@ def iterative_split(vox: DataFrame) -> DataFrame:
     parts = cut(iterative.components(mask, full, SIZE))
     from ..operators.stencil import cross, expand_labels, erode
 
-    for least in (200, 100):
+    for least in (200, 100):  # up to three passes, each with its own size and distances
         n = parts.groupBy("component").count()
         large = parts.join(n.where(F.col("count") >= least).select("component"), "component", "left_semi")
         small = parts.join(n.where(F.col("count") < least).select("component"), "component", "left_semi")

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import maths
 from ..operators import blocks, features, iterative, kernels, objects, profile, stencil
 from ..sources.voxels import box, dims
+from .labels import INERTIA
 from .registry import tables, volume
+from .segmentation import smooth_sql
+
+BLOCK = {"z": 10, "y": 25, "x": 20}
 
 
 def _plain(df: DataFrame, digits: int = 5) -> DataFrame:
@@ -24,7 +28,7 @@ def feature_set_minimal(vox: DataFrame) -> DataFrame:
 
 @volume()
 def feature_set_maximal(vox: DataFrame) -> DataFrame:
-    return _plain(features.morphology(vox.where("label between 1 and 20"), "maximal"))
+    return _plain(features.morphology(vox, "maximal"))
 
 
 @volume(""", b AS (SELECT DISTINCT label FROM vox WHERE label <> 0 AND (y = 0 OR y = 24)), f AS (SELECT label, count(*) AS area_full, round(avg(z), 5) AS centroid_0_full, round(avg(y), 5) AS centroid_1_full, round(avg(x), 5) AS centroid_2_full, round(avg(v), 5) AS mean_intensity_full FROM vox WHERE label <> 0 GROUP BY label),
@@ -77,13 +81,33 @@ def seam_waves(vox: DataFrame) -> DataFrame:
 
 @volume()
 def zip_watershed(vox: DataFrame) -> DataFrame:
-    return iterative.zip_watershed(vox.where("z < 10"), "x", 10, 5)
+    """Labels along the middle seam that fit into a strip of one to two margins, segmented anew; all planes."""
+    return iterative.zip_watershed(vox, "x", 10, 3, most=2)
+
+
+@volume("SELECT label, CAST(greatest(ceil(greatest(max(x) - 9, 10 - min(x)) / 2.0), 1) AS INTEGER) AS n FROM vox WHERE label > 0 GROUP BY label HAVING bool_or(x IN (9, 10)) AND greatest(ceil(greatest(max(x) - 9, 10 - min(x)) / 2.0), 1) <= 4")
+def zip_strips(vox: DataFrame) -> DataFrame:
+    """How many margins of 2 a strip along the middle seam needs for each label that touches it."""
+    return iterative.strips(vox, "x", 10, 2, iterative.margins_that_fit({"y": 25, "x": 8}, 2), least=1)
+
+
+@volume("SELECT a.z, count(*) FILTER (WHERE label > 0) AS n_labelled, count(*) AS n FROM vox a WHERE x BETWEEN 4 AND 15 GROUP BY a.z")
+def zip_covers(vox: DataFrame) -> DataFrame:
+    """Zipping changes labels, but neither which voxels have one nor the strip."""
+    z = iterative.zip_watershed(vox, "x", 10, 3, most=2)
+    return z.groupBy("z").agg(F.count_if(F.col("label") != 0).alias("n_labelled"), F.count("*").alias("n"))
 
 
 @volume()
 def split_by_distance(vox: DataFrame) -> DataFrame:
-    """Objects of a mask parted at their waists, block by block."""
-    return kernels.by_block(vox, dims(vox), {"z": 10, "y": 25, "x": 20}, 0, lambda a: kernels.seeded(a > 900), to="region", kind="long")
+    """Objects of a mask parted at their waists over blocks with margins, stitched where they overlap."""
+    return kernels.regions_by_block(vox, dims(vox), BLOCK, 3, lambda a: kernels.seeded(a > 900))
+
+
+@volume("SELECT z, y, x FROM vox WHERE v > 900")
+def split_covers(vox: DataFrame) -> DataFrame:
+    """Parting objects leaves no voxel of the mask out and takes none in."""
+    return kernels.regions_by_block(vox, dims(vox), BLOCK, 3, lambda a: kernels.seeded(a > 900)).where("region > 0").select("z", "y", "x")
 
 
 @volume("SELECT label, CAST(row_number() OVER (ORDER BY (label * 7919) % 1009, label) AS INTEGER) AS sequential FROM (SELECT DISTINCT label FROM vox WHERE label <> 0)")
@@ -120,18 +144,19 @@ def distance_to_centre(vox: DataFrame) -> DataFrame:
     return vox.groupBy(F.when(F.col("z") % 2 == 0, "even").otherwise("odd").alias("part")).agg(F.count("*").alias("n"), F.round(F.avg(d), 5).alias("mean_distance"))
 
 
-@volume()
+@volume(f", {smooth_sql('sm', {'x': 2.0, 'y': 2.0})} SELECT vox.z, vox.y, vox.x, round(sm.s, 4) AS bias, round(coalesce(v / nullif(sm.s, 0), 0), 6) AS corrected FROM vox JOIN sm USING (z, y, x)")
 def bias_corrected(vox: DataFrame) -> DataFrame:
-    """Values over a smooth field: a Gaussian of each plane in place of external bias estimation."""
-    smooth = kernels.by_block(vox, dims(vox), {"z": 10, "y": 25, "x": 20}, 0, lambda a: kernels.gaussian(a, (0, 3.0, 3.0)), to="bias")
-    return vox.select("z", "y", "x", "v").join(smooth, ["z", "y", "x"]).withColumn("corrected", F.coalesce(F.try_divide("v", "bias"), F.lit(0.0)))
+    """Values over a smooth field: a Gaussian of each plane, over blocks with its margin, in place of external bias estimation."""
+    smooth = kernels.by_block(vox, dims(vox), {"z": 10, "y": 12, "x": 20}, kernels.margin_of(2.0), lambda a: kernels.gaussian(a, (0, 2.0, 2.0)), to="bias")
+    out = vox.select("z", "y", "x", "v").join(smooth, ["z", "y", "x"]).withColumn("corrected", F.coalesce(F.try_divide("v", "bias"), F.lit(0.0)))
+    return out.select("z", "y", "x", F.round("bias", 4).alias("bias"), F.round("corrected", 6).alias("corrected"))
 
 
-@volume(""", h AS (SELECT z, least(63, CAST(floor((v - lo) * 64.0 / (hi - lo)) AS INTEGER)) AS bin, count(*) AS n FROM vox, (SELECT min(v) AS lo, max(v) AS hi FROM vox) WHERE z < 4 GROUP BY ALL) SELECT z, bin, n FROM h""")
+@volume(""", h AS (SELECT z, least(63, CAST(floor((v - lo) * 64.0 / (hi - lo)) AS INTEGER)) AS bin, count(*) AS n FROM vox, (SELECT min(v) AS lo, max(v) AS hi FROM vox) GROUP BY ALL) SELECT z, bin, n FROM h""")
 def plane_histograms(vox: DataFrame) -> DataFrame:
     ends = vox.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     at = F.least(F.lit(63), F.floor((F.col("v") - F.col("lo")) * 64.0 / (F.col("hi") - F.col("lo"))).cast("int"))
-    return vox.where("z < 4").join(ends).groupBy("z", at.alias("bin")).agg(F.count("*").alias("n"))
+    return vox.join(ends).groupBy("z", at.alias("bin")).agg(F.count("*").alias("n"))
 
 
 @volume("SELECT block, round(quantile_cont(v, 0.01), 5) AS p0, round(quantile_cont(v, 0.998), 5) AS p1 FROM vox GROUP BY block")
@@ -161,7 +186,11 @@ def cluster_sizes(read) -> DataFrame:
     return e.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg(F.col("embedding")[0].cast("double")), 6).alias("mean")).where("n > 10").orderBy("label")
 
 
-@tables()
+KNN5 = """WITH RECURSIVE e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings), d AS (SELECT a.id, b.id AS other, sqrt(greatest(list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 0)) AS distance FROM e a JOIN e b ON a.id <> b.id),
+ k AS MATERIALIZED (SELECT id, other FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, other) AS rank FROM d) WHERE rank <= 5), g AS MATERIALIZED (SELECT id AS u, other AS w FROM k UNION SELECT other, id FROM k)"""
+
+
+@tables(KNN5 + """, bfs(node, steps) USING KEY (node) AS (SELECT 0::BIGINT, 0 UNION SELECT g.w, min(bfs.steps) + 1 FROM bfs JOIN g ON g.u = bfs.node LEFT JOIN recurring.bfs AS old ON old.node = g.w WHERE old.node IS NULL GROUP BY g.w) SELECT node, CAST(steps AS INTEGER) AS steps FROM bfs""")
 def pseudotime(read) -> DataFrame:
     v = read("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
     n = profile.knn(v, 5)

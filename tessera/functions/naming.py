@@ -13,10 +13,20 @@ def block_name(stem: str, *coordinates: str, suffix: str = ".h5") -> Column:
     return F.format_string(f"{stem}_%05d-%05d_%05d-%05d_%05d-%05d{suffix}", *coordinates)
 
 
-def coordinates(name: str) -> list[Column]:
-    """x0, x1, y0, y1, z0 and z1 out of such a name."""
-    runs = F.regexp_extract_all(F.col(name), F.lit("([0-9]{5})-([0-9]{5})"), F.lit(0))
-    return [F.split(runs[k], "-")[s].cast("long").alias(f"{a}{s}") for k, a in enumerate("xyz") for s in (0, 1)]
+def coordinates(name: str, offset: tuple[int, int, int] = (0, 0, 0)) -> list[Column]:
+    """x0, x1, y0, y1, z0 and z1 out of such a name, less a block's offset along x, y and z.
+
+    The last three ranges of the file's name count, whatever its folders and stem hold.
+    """
+    tail = F.element_at(F.split(F.col(name), "/"), -1)
+    runs = F.regexp_extract_all(tail, F.lit("([0-9]{5})-([0-9]{5})"), F.lit(0))
+    return [(F.split(F.try_element_at(runs, F.lit(k - 3)), "-")[s].cast("long") - offset[k]).alias(f"{a}{s}") for k, a in enumerate("xyz") for s in (0, 1)]
+
+
+def stem(name: str) -> Column:
+    """What stands before the last three ranges of a name, without its folders and extension."""
+    tail = F.regexp_replace(F.element_at(F.split(F.col(name), "/"), -1), r"\.[^./]*$", "")
+    return F.regexp_replace(tail, r"_?[0-9]{5}-[0-9]{5}_[0-9]{5}-[0-9]{5}_[0-9]{5}-[0-9]{5}$", "")
 
 
 def path_parts(path: str) -> dict[str, Column]:

@@ -17,7 +17,7 @@ def classes(v: Column, noise: float, tissue: float, signal: float, clip: float)
 
 def channel_mean(vox: DataFrame) -> DataFrame:
     """Mean of the channels at each place, truncated to an integer."""
-    return vox.groupBy("z", "y", F.expr("x div 2").alias("x")).agg(F.floor(F.avg("v")).cast("long").alias("m"))
+    return vox.groupBy("z", "y", "x").agg(F.floor(F.avg("v")).cast("long").alias("m"))
 
 
 def slice_thresholds(mean: DataFrame, least: float, factor: float) -> DataFrame:
@@ -61,14 +61,21 @@ def normalize_profile(profile: DataFrame) -> DataFrame:
 
 
 def polyfit(points: DataFrame, x: str, y: str, order: int) -> list[float]:
-    """Least-squares coefficients, lowest first; sums of powers of the centred abscissa come to the driver."""
+    """Least-squares coefficients, lowest first; sums of powers of the centred abscissa come to the driver.
+
+    With fewer different points than coefficients those of the highest order are 0, without points all are.
+    """
+    order, asked = min(order, points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x).distinct().limit(order + 1).count() - 1), order
+    if order < 0:
+        return [0.0] * (asked + 1)
     mid = points.agg(F.avg(x), F.stddev_pop(x)).first()
     m, s = mid[0] or 0.0, mid[1] or 1.0
     t = (F.col(x) - m) / s
     sums = points.agg(*(F.sum(F.pow(t, F.lit(k))).alias(f"p{k}") for k in range(2 * order + 1)), *(F.sum(F.pow(t, F.lit(k)) * F.col(y)).alias(f"q{k}") for k in range(order + 1))).first()
     a = np.array([[sums[f"p{i + j}"] for j in range(order + 1)] for i in range(order + 1)])
     c = np.linalg.solve(a, np.array([sums[f"q{i}"] for i in range(order + 1)]))
-    return np.polynomial.Polynomial(c)(np.polynomial.Polynomial([-m / s, 1 / s])).coef.tolist()
+    found = np.polynomial.Polynomial(c)(np.polynomial.Polynomial([-m / s, 1 / s])).coef.tolist()
+    return found + [0.0] * (asked + 1 - len(found))
 
 
 def plane_stats(vox: DataFrame) -> DataFrame:

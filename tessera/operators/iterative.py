@@ -10,11 +10,13 @@ diameter in voxels.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import components as graph_components
 from ..runtime import cut
+from ..runtime import numbered as in_order
+from ..sources.voxels import dims
 from . import kernels
 from .stencil import KEY, spread
 
@@ -60,7 +62,7 @@ def without_small(parts: DataFrame, least: int) -> DataFrame:
 
 def numbered(parts: DataFrame) -> DataFrame:
     """Components numbered from 1 in the order of their first voxels."""
-    order = parts.select("component").distinct().withColumn("label", F.row_number().over(Window.orderBy("component")))
+    order = in_order(parts.select("component").distinct(), "label", "component").withColumn("label", F.col("label").cast("int"))
     return parts.join(order, "component").drop("component")
 
 
@@ -87,26 +89,53 @@ def zip_touching(labels: DataFrame, seam: str, at: int, least: int = 1) -> DataF
     return graph_components(edges).select(F.col("node").alias("label"), F.col("root").alias("merged"))
 
 
-def zip_watershed(labels: DataFrame, seam: str, at: int, reach: int) -> DataFrame:
-    """Segment anew what touches a seam: ``(z, y, x, label)`` of the strip of ``reach`` voxels on both sides.
+def fill_holes(mask: DataFrame, full_size: dict[str, int], block: dict[str, int], value: str = "mask") -> DataFrame:
+    """Holes of a volume filled: background whose component, over faces, does not reach the volume's border. Block by block."""
+    back = components(mask.where(~F.col(value)), full_size, block)
+    edge = F.lit(False)
+    for a in KEY:
+        edge = edge | (F.col(a) == 0) | (F.col(a) == full_size[a] - 1)
+    holes = back.join(back.where(edge).select("component").distinct(), "component", "left_anti").select(*KEY, F.lit(True).alias("_hole"))
+    return mask.select(*KEY, value).join(holes, list(KEY), "left").select(*KEY, (F.col(value) | F.coalesce("_hole", F.lit(False))).alias(value))
+
+
+def strips(labels: DataFrame, seam: str, at: int, margin: int, most: int, least: int = 3) -> DataFrame:
+    """``(label, n)``: of each label that touches a seam the margins that a strip must have on both sides to hold it whole.
+
+    Strips grow from ``least`` margins to ``most``; what fits into none has no row.
+    """
+    far = F.greatest(F.max(F.col(seam)) - at + 1, F.lit(at) - F.min(F.col(seam)))
+    touches = F.bool_or(F.col(seam).isin(at - 1, at))
+    g = labels.where("label > 0").groupBy("label").agg(far.alias("far"), touches.alias("touches")).where("touches")
+    return g.select("label", F.greatest(F.ceil(F.col("far") / margin), F.lit(least)).cast("int").alias("n")).where(F.col("n") <= most)
+
+
+def margins_that_fit(size: dict[str, int], margin: int, cap: int = 10) -> int:
+    """How many margins a strip may have on each side in blocks of a size; under 2 a seam is left alone."""
+    return min(cap, min(size.values()) // margin) if margin else 0
+
+
+def zip_watershed(labels: DataFrame, seam: str, at: int, margin: int, most: int = 1, least: int = 1, spacing: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
+    """Segment anew what touches a seam: ``(z, y, x, label)`` of the strip of ``most`` margins on both sides.
 
-    Only labels that touch the seam and lie within the strip as a whole are
-    flagged; their voxels are parted by distance peaks and flooding. New
-    labels are negative numbers of the first voxel, so they meet no old one;
-    all other voxels keep theirs. A strip is one group, so its size is the
-    seam's area times ``2 reach``; cut long seams to pieces by blocks first.
+    Only labels that touch the seam and fit into a strip of ``least`` up to ``most``
+    margins as a whole are flagged; their voxels are parted by distance peaks
+    and flooding, one connected group of them at a time, so no task holds
+    a whole seam. New labels are negative numbers of the first voxel, so they meet no
+    old one and need no running maximum; all other voxels keep theirs.
     """
+    full = dims(labels)
+    reach = most * margin
     strip = labels.where((F.col(seam) >= at - reach) & (F.col(seam) < at + reach)).select(*KEY, "label")
-    touch = strip.where(F.col(seam).isin(at - 1, at) & (F.col("label") > 0)).select("label").distinct()
-    reaching_out = labels.where((F.col(seam) < at - reach) | (F.col(seam) >= at + reach)).select("label").distinct()
-    flagged = touch.join(reaching_out, "label", "left_anti").withColumn("flag", F.lit(True))
-    marked = strip.join(flagged, "label", "left").select(*KEY, "label", F.coalesce("flag", F.lit(False)).alias("flag"), F.lit(at).alias("seam"))
+    flagged = strips(labels, seam, at, margin, most, least).select("label", F.lit(True).alias("flag"))
+    marked = cut(strip.join(flagged, "label", "left").select(*KEY, "label", F.coalesce("flag", F.lit(False)).alias("flag")))
+    groups = components(marked.where("flag").select(*KEY), full, dict.fromkeys(KEY, max(8, 2 * reach)), full=True)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        mask, _, at_ = kernels.dense(rows, "flag", False)
-        new = kernels.seeded(mask)[at_]
-        number = (rows["z"] * 100_000 + rows["y"]) * 100_000 + rows["x"]
-        first = number.groupby(new).transform("min")
-        return rows[[*KEY]].assign(label=rows["label"].where(~rows["flag"] | (new == 0), -first - 1))
+        mask, _, at_ = kernels.dense(rows.assign(on=True), "on", False)
+        new = kernels.seeded(mask, spacing)[at_]
+        number = (rows["z"] * full["y"] + rows["y"]) * full["x"] + rows["x"]
+        return rows[[*KEY]].assign(label=-number.groupby(new).transform("min") - 1)
 
-    return marked.groupBy("seam").applyInPandas(run, "z long, y long, x long, label long")
+    new = groups.groupBy("component").applyInPandas(run, "z long, y long, x long, label long")
+    return marked.where("not flag").select(*KEY, "label").unionByName(new)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.maths import variance
+from ..runtime import numbered
 
 AXES = ("z", "y", "x")
 
@@ -131,7 +132,8 @@ def relabel_blocks(vox: DataFrame, by: str = "block", label: str = "label") -> D
 
 def sequential(vox: DataFrame, label: str = "label", order: Column | None = None) -> DataFrame:
     """(label, sequential): labels numbered from 1 in their order, or in another."""
-    return vox.where(F.col(label) != 0).select(label).distinct().withColumn("sequential", F.row_number().over(Window.orderBy(order if order is not None else F.col(label))))
+    labels = vox.where(F.col(label) != 0).select(label).distinct()
+    return numbered(labels, "sequential", order if order is not None else F.col(label)).withColumn("sequential", F.col("sequential").cast("int"))
 
 
 def contingency(vox: DataFrame, seg: str = "label", truth: str = "truth") -> DataFrame:

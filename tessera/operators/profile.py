@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import cut
+from ..runtime import REMAINDER, cut, numbered
 
 
 def scaled(df: DataFrame, columns: list[str], how: str) -> DataFrame:
@@ -30,7 +32,10 @@ def pca(vectors: DataFrame, k: int = 3, column: str = "v") -> DataFrame:
 
     Signs are fixed so that each component's largest weight is positive.
     """
-    n = len(vectors.select(column).first()[0])
+    one = vectors.select(column).first()
+    if one is None:
+        return vectors.withColumn("pc", F.array(*(F.lit(0.0) for _ in range(k))))
+    n = len(one[0])
 
     def sums(frames):
         s, ss, m = np.zeros(n), np.zeros((n, n)), 0
@@ -55,23 +60,23 @@ def knn(vectors: DataFrame, k: int, block: int = 2048) -> DataFrame:
     """Exact neighbours ``(id, rank, other, distance)`` of ``vectors(id, v)``, block by block.
 
     Every pair of blocks is one task with a bounded matrix; each keeps the k
-    best of its rows only, and these are merged.
+    best of its rows only, and these are merged. Work is quadratic, as exact neighbours need.
     """
     x = cut(vectors.select("id", F.col("v").cast("array<double>").alias("v")))
-    blocks = max(1, -(-x.count() // block))
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    sides = max(1, ceil(x.count() / block))
+    own = F.pmod(F.xxhash64("id"), F.lit(sides)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(sides - 1)))
     left = x.select("id", "v", own.alias("a"), every.alias("b"))
     right = x.select("id", "v", every.alias("a"), own.alias("b"))
 
     def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "other": [], "distance": []})
-        p, q = np.stack(a["v"]), np.stack(b["v"])
+        p, q, ids = np.stack(a["v"]), np.stack(b["v"]), b["id"].to_numpy()
         d = np.sqrt(np.maximum((p * p).sum(1)[:, None] + (q * q).sum(1) - 2 * p @ q.T, 0))
-        d[a["id"].to_numpy()[:, None] == b["id"].to_numpy()] = np.inf
-        o = np.stack([np.lexsort((b["id"].to_numpy(), row))[:k] for row in d])
-        rows = pd.DataFrame({"id": np.repeat(a["id"].to_numpy(), o.shape[1]), "other": b["id"].to_numpy()[o].ravel(), "distance": np.take_along_axis(d, o, 1).ravel()})
+        d[a["id"].to_numpy()[:, None] == ids] = np.inf
+        o = np.stack([np.lexsort((ids, row))[:k] for row in d])
+        rows = pd.DataFrame({"id": np.repeat(a["id"].to_numpy(), o.shape[1]), "other": ids[o].ravel(), "distance": np.take_along_axis(d, o, 1).ravel()})
         return rows[np.isfinite(rows["distance"])]
 
     found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(best, "id long, other long, distance double")
@@ -79,19 +84,105 @@ def knn(vectors: DataFrame, k: int, block: int = 2048) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("id", "rank", "other", "distance")
 
 
-def communities(edges: DataFrame, rounds: int = 8) -> DataFrame:
-    """Label propagation: each node takes the commonest label around, ties to the smaller; ``(node, community)``.
+def undirected(edges: DataFrame) -> DataFrame:
+    """Both directions of each edge, once."""
+    return edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src != dst").distinct()
+
+
+def modularity(both: DataFrame, label: DataFrame, resolution: float = 1.0) -> float:
+    """Of a partition ``label(node, community)``: the share of edges inside communities less what chance would give."""
+    ends = both.join(label, both["src"] == label["node"]).select("src", "dst", F.col("community").alias("c1"))
+    near = ends.join(label, ends["dst"] == label["node"]).groupBy("c1").agg(F.count("*").alias("k"), F.count_if(F.col("c1") == F.col("community")).alias("inside"))
+    r = near.agg(F.sum("inside"), F.sum("k"), F.sum(F.col("k").cast("double") ** 2)).first()
+    return r[0] / r[1] - resolution * r[2] / r[1] / r[1] if r[1] else 0.0
+
+
+def _half(node, turn: int):
+    """Whether a node may move in a round: each half in one of two rounds, halves drawn anew for each pair."""
+    return (node % 1_000_003 * 7_919 + turn // 2 * 104_729) % 65_537 % 2 == turn % 2
+
+
+def _settled(src: np.ndarray, dst: np.ndarray, resolution: float, patience: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rounds of ``communities`` over edges of one task."""
+    nodes, at = np.unique(src, return_inverse=True)
+    to, m = np.searchsorted(nodes, dst), len(src)
+    k = np.bincount(at, minlength=len(nodes))
+    label = np.arange(len(nodes))
 
-    It stands in for modularity clustering, which has no counterpart here.
+    def quality(x: np.ndarray) -> float:
+        total = np.bincount(x, k, len(nodes))
+        return (x[at] == x[to]).sum() / m - resolution * (total**2).sum() / m / m
+
+    best, top, worse, turn = label, quality(label), 0, 0
+    while worse < 2 * patience:
+        turn += 1
+        total = np.bincount(label, k, len(nodes))
+        pair, n = np.unique(at * len(nodes) + label[to], return_counts=True)
+        node, near = pair // len(nodes), pair % len(nodes)
+        gain = n - resolution * k[node] * (total[near] - np.where(near == label[node], k[node], 0)) / m
+        order = np.lexsort((near, -gain, node))
+        lead = order[np.concatenate([[True], node[order][1:] != node[order][:-1]])]
+        stay = -resolution * k * (total[label] - k) / m
+        mine = near == label[node]
+        stay[node[mine]] = gain[mine]
+        moves = (gain[lead] > stay[node[lead]] + 1e-12) & _half(nodes[node[lead]], turn)
+        label = label.copy()
+        label[node[lead][moves]] = near[lead][moves]
+        now = quality(label)
+        best, top, worse = (label, now, 0) if now > top + 1e-12 else (best, top, worse + 1)
+    name = np.full(len(nodes), len(nodes))
+    np.minimum.at(name, best, np.arange(len(nodes)))
+    return nodes, nodes[name[best]]
+
+
+def communities(edges: DataFrame, resolution: float = 1.0, patience: int = 2, alone: int = REMAINDER) -> DataFrame:
+    """Communities by moves that raise modularity: ``(node, community)``, the community named after its least node.
+
+    In a round each node of one half may go to the
+    community around it that gains most, ties to the smaller name. Rounds go on until none has
+    raised modularity for ``patience`` pairs of rounds; the best partition counts. The higher the
+    ``resolution``, the smaller the communities. Up to ``alone`` edges one task makes all
+    rounds; more take a few joins over the edges a round. No edges give no rows.
     """
-    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    label = both.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node"))
-    for k in range(rounds):
-        # nodes of one parity move at a time, so that two neighbours do not swap for ever
-        seen = both.join(label, both["dst"] == label["node"]).groupBy("src", "community").agg(F.count("*").alias("n"))
-        top = seen.groupBy("src").agg(F.max_by("community", F.struct("n", -F.col("community"))).alias("c"))
-        label = cut(label.join(top, label["node"] == top["src"], "left").select("node", F.when(F.pmod("node", F.lit(2)) == k % 2, F.coalesce("c", "community")).otherwise(F.col("community")).alias("community")))
-    return label
+    both = cut(undirected(edges))
+    m = both.count()
+    if m <= alone:
+
+        def settle(frames):
+            held = [f for f in frames if len(f)]
+            if held:
+                f = pd.concat(held)
+                node, community = _settled(f["src"].to_numpy(), f["dst"].to_numpy(), resolution, patience)
+                yield pd.DataFrame({"node": node, "community": community})
+
+        return both.coalesce(1).mapInPandas(settle, "node long, community long")
+    degree = cut(both.groupBy("src").agg(F.count("*").alias("k")).withColumnRenamed("src", "node"))
+    label = degree.select("node", F.col("node").alias("community"))
+    best, top, worse, turn = label, modularity(both, label, resolution), 0, 0
+    while worse < 2 * patience:
+        turn += 1
+        known = label.join(degree, "node")
+        weight = known.groupBy("community").agg(F.sum("k").alias("all_k"))
+        links = both.join(label, both["dst"] == label["node"]).groupBy("src", "community").agg(F.count("*").alias("n"))
+        here = known.join(weight, "community").select(F.col("node").alias("src"), F.col("community").alias("mine"), "k", F.col("all_k").alias("mine_k"))
+        around = links.join(here, "src").join(weight, "community")
+        # a node's own edges do not count towards the community that it would leave
+        gain = F.col("n") - resolution * F.col("k") * (F.col("all_k") - F.when(F.col("community") == F.col("mine"), F.col("k")).otherwise(0)) / m
+        leave = F.max(-resolution * F.col("k") * (F.col("mine_k") - F.col("k")) / m)
+        pick = around.withColumn("gain", gain).groupBy("src").agg(F.max(F.struct("gain", (-F.col("community")).alias("name"))).alias("to"), F.coalesce(F.max(F.when(F.col("community") == F.col("mine"), F.col("gain"))), leave).alias("stay"))
+        moves = pick.where(F.col("to.gain") > F.col("stay") + 1e-12).where(_half(F.pmod("src", F.lit(1_000_003)), turn))
+        label = cut(label.join(moves.select(F.col("src").alias("node"), (-F.col("to.name")).alias("new")), "node", "left").select("node", F.coalesce("new", "community").alias("community")))
+        now = modularity(both, label, resolution)
+        best, top, worse = (label, now, 0) if now > top + 1e-12 else (best, top, worse + 1)
+    name = best.groupBy("community").agg(F.min("node").alias("name"))
+    return best.join(name, "community").select("node", F.col("name").alias("community"))
+
+
+def numbered_communities(label: DataFrame) -> DataFrame:
+    """Communities numbered from 1, the largest first, ties to the less name; as strings, as cluster columns have them."""
+    size = label.groupBy("community").count()
+    order = numbered(size, "number", F.col("count").desc(), F.col("community"))
+    return label.join(order, "community").select("node", F.col("number").cast("string").alias("cluster"))
 
 
 def yeo_johnson(x, lam: float):
@@ -110,14 +201,74 @@ def yeo_johnson_lambda(df: DataFrame, column: str, grid: tuple[float, ...] = tup
     return max(likely)[2]
 
 
-def pseudotime(edges: DataFrame, root: int, rounds: int = 64) -> DataFrame:
-    """``(node, steps)``: the least number of edges from the root, frontier by frontier; unreached nodes are absent."""
-    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    seen = cut(both.where(F.col("src") == root).select(F.col("src").alias("node"), F.lit(0).alias("steps")).distinct())
-    front = seen
-    for k in range(1, rounds + 1):
-        front = cut(both.join(front, both["src"] == front["node"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("steps", F.lit(k)))
-        if front.limit(1).count() == 0:
-            break
-        seen = cut(seen.unionByName(front))
+def pseudotime(edges: DataFrame, root: int) -> DataFrame:
+    """``(node, steps)``: the least number of edges from the root, frontier by frontier until none is left; unreached nodes are absent."""
+    both = cut(undirected(edges))
+    seen = front = cut(both.where(F.col("src") == root).select(F.col("src").alias("node"), F.lit(0).alias("steps")).distinct())
+    step = 0
+    while front.limit(1).count():
+        step += 1
+        front = cut(both.join(front, both["src"] == front["node"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("steps", F.lit(step)))
+        seen = seen.unionByName(front)
     return seen
+
+
+def diffusion_map(edges: DataFrame, k: int = 5, rounds: int = 200, tolerance: float = 1e-4, seed: int = 1, spare: int = 4) -> DataFrame:
+    """``(node, dc)``: the ``k`` leading non-trivial eigenvectors of the random walk on a graph, each times its eigenvalue.
+
+    Orthogonal iteration on the symmetric walk D^-1/2 A D^-1/2, half of it
+    staying in place so that eigenvalues are positive; a round is one join and one
+    grouping over the edges, and only small matrices come to the driver. ``spare`` more vectors
+    make it settle sooner. It ends once the eigenvalues asked for
+    move by less than ``tolerance``, or after ``rounds``. Signs are such that the largest entry is positive.
+    """
+    both = cut(undirected(edges))
+    degree = cut(both.groupBy("src").agg(F.count("*").cast("double").alias("k")).withColumnRenamed("src", "node"))
+    total = degree.agg(F.sum("k")).first()[0]
+    start = [F.sin((F.xxhash64("node", F.lit(seed), F.lit(j)) % 1_000_003).cast("double")) for j in range(k + spare)]
+    # the first one is known: it is the root of the degrees
+    state = degree.select("node", F.sqrt("k").alias("r"), F.array(F.sqrt(F.col("k") / (total or 1.0)), *start).alias("v"))
+    if not total:
+        return state.select("node", F.array(*(F.lit(0.0) for _ in range(k))).alias("dc"))
+    n, before, values = k + 1 + spare, None, np.zeros(k + 1 + spare)
+
+    def gram(a: str, b: str) -> list:
+        return [F.sum(F.col(a)[i] * F.col(b)[j]).alias(f"g{i}_{j}") for i in range(n) for j in range(n)]
+
+    def mixed(matrix: np.ndarray, column: str = "v"):
+        return F.array(*(sum((F.col(column)[i] * float(matrix[i, j]) for i in range(n)), F.lit(0.0)) for j in range(n)))
+
+    for _ in range(rounds):
+        g = np.array(state.agg(*gram("v", "v")).first()).reshape(n, n)
+        state = cut(state.select("node", "r", mixed(np.linalg.inv(np.linalg.cholesky(g + 1e-14 * np.eye(n))).T).alias("v")))
+        near = both.join(state.select(F.col("node").alias("dst"), F.transform("v", lambda x: x / F.col("r")).alias("u")), "dst")
+        walked = near.groupBy("src").agg(F.array(*(F.sum(F.col("u")[i]) for i in range(n))).alias("w")).withColumnRenamed("src", "node")
+        new = cut(state.join(walked, "node").select("node", "r", "v", F.zip_with("v", F.transform("w", lambda x: x / F.col("r")), lambda a, b: (a + b) / 2).alias("w")))
+        ritz, turn = np.linalg.eigh((lambda h: (h + h.T) / 2)(np.array(new.agg(*gram("v", "w")).first()).reshape(n, n)))
+        values, turn = ritz[::-1], turn[:, ::-1]
+        state = new.select("node", "r", mixed(turn, "w").alias("v"))
+        if before is not None and np.abs(values - before)[: k + 1].max() < tolerance:
+            break
+        before = values
+    state = cut(state)
+    g = np.array(state.agg(*gram("v", "v")).first()).reshape(n, n)
+    scale = [(2 * float(values[j]) - 1) / float(np.sqrt(g[j, j])) for j in range(1, k + 1)]
+    dc = state.select("node", *((F.col("v")[j] / F.col("r") * scale[j - 1]).alias(f"d{j}") for j in range(1, k + 1)))
+    sign = dc.agg(*(F.max_by(F.signum(f"d{j}"), F.abs(f"d{j}")).alias(f"s{j}") for j in range(1, k + 1))).first()
+    return dc.select("node", F.array(*(F.col(f"d{j}") * float(sign[f"s{j}"] or 1.0) for j in range(1, k + 1))).alias("dc"))
+
+
+def diffusion_pseudotime(edges: DataFrame, root: int, k: int = 5) -> DataFrame:
+    """``(node, time)``: distance from the root in the diffusion map, over the largest one; 0 for nodes that the root does not reach."""
+    dc = cut(diffusion_map(edges, k))
+    reached = pseudotime(edges, root).select("node")
+    start = dc.where(F.col("node") == root).select(F.col("dc").alias("dc0"))
+    square = F.aggregate(F.zip_with("dc", "dc0", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    far = cut(dc.join(reached, "node").join(start).select("node", F.sqrt(square).alias("d")))
+    top = far.agg(F.max("d").alias("top"))
+    return dc.select("node").join(far.join(top).select("node", F.coalesce(F.try_divide("d", "top"), F.lit(0.0)).alias("time")), "node", "left").select("node", F.coalesce("time", F.lit(0.0)).alias("time"))
+
+
+def drawn(rows: DataFrame, key: str, size: int, seed: int = 0) -> DataFrame:
+    """``size`` rows without replacement, all if 0, in an order that a digest of key and seed gives, so that every run draws the same ones."""
+    return rows if not size else rows.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(size)

@@ -8,6 +8,7 @@ join; its cost is the number of offsets. Larger radii go to ``kernels``.
 from __future__ import annotations
 
 from itertools import product
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,9 +47,13 @@ def ellipsoid(planes: int, diameter: int) -> list[tuple[int, int, int]]:
 
 
 def odd_extent(micrometres: float, elsize: float) -> int:
-    """A physical distance as an odd number of voxels."""
-    n = int(round(micrometres / elsize))
-    return n + 1 - n % 2
+    """The voxels that a physical distance reaches to both sides of a voxel, and that voxel: always odd."""
+    return 2 * ceil(micrometres / elsize) + 1
+
+
+def physical(distance: float, elsize: dict[str, float]) -> list[tuple[int, int, int]]:
+    """The ellipsoid of a physical distance, of voxels of one size in the plane."""
+    return ellipsoid(odd_extent(distance, elsize["z"]), odd_extent(distance, elsize["y"]))
 
 
 def spread(vox: DataFrame, offsets: list[tuple[int, int, int]], *carry: str) -> DataFrame:
@@ -58,11 +63,15 @@ def spread(vox: DataFrame, offsets: list[tuple[int, int, int]], *carry: str) ->
     return out.select(*((F.col(a) - F.col(f"o.d{a}")).alias(a) for a in KEY), *carry, F.expr("o.dz = 0 and o.dy = 0 and o.dx = 0").alias("own"))
 
 
-def stencil(vox: DataFrame, offsets: list[tuple[int, int, int]], value: str, **aggregates: Column) -> DataFrame:
-    """Aggregates over each voxel's neighbourhood; neighbours outside the table do not count."""
-    near = spread(vox, offsets, value)
-    out = near.groupBy(*KEY).agg(F.max("own").alias("own"), *(c.alias(n) for n, c in aggregates.items()))
-    return out.where("own").drop("own")
+def stencil(vox: DataFrame, offsets: list[tuple[int, int, int]], value: str, keep: tuple[str, ...] = (), **aggregates: Column) -> DataFrame:
+    """Aggregates over each voxel's neighbourhood; neighbours outside the table do not count.
+
+    The voxel's own columns named by ``keep`` come out of the same grouping.
+    """
+    near = spread(vox, offsets, *dict.fromkeys((value, *keep)))
+    own = [F.max(F.when(F.col("own"), F.col(k))).alias(f"_{k}") for k in keep]
+    out = near.groupBy(*KEY).agg(F.max("own").alias("own"), *own, *(c.alias(n) for n, c in aggregates.items()))
+    return out.where("own").drop("own").withColumnsRenamed({f"_{k}": k for k in keep})
 
 
 def erode(vox: DataFrame, offsets: list[tuple[int, int, int]], mask: str = "mask") -> DataFrame:
@@ -93,12 +102,12 @@ def boundaries(vox: DataFrame, offsets: list[tuple[int, int, int]], label: str =
     return near.where(F.col(label).isNotNull() & (F.col(label) > 0)).select(*KEY, label, (F.col("lo") != F.col("hi")).alias("boundary"))
 
 
-def sauvola(vox: DataFrame, r: int, k: float, dynamic: float) -> DataFrame:
+def sauvola(vox: DataFrame, r: int, k: float, dynamic: float, keep: tuple[str, ...] = ()) -> DataFrame:
     """Local threshold m (1 + k (s / R - 1)) over a square in the plane."""
-    out = stencil(vox, square(r), "v", n=F.count("*"), s1=F.sum("v"), s2=F.sum(F.col("v") * F.col("v")))
+    out = stencil(vox, square(r), "v", ("v", *keep), n=F.count("*"), s1=F.sum("v"), s2=F.sum(F.col("v") * F.col("v")))
     mean = F.col("s1") / F.col("n")
     sd = F.sqrt((F.col("n") * F.col("s2") - F.col("s1") * F.col("s1")) / (F.col("n") * F.col("n").cast("double")))
-    return out.join(vox.select(*KEY, "v"), list(KEY)).select(*KEY, "v", (mean * (1 + F.lit(k) * (sd / dynamic - 1))).alias("threshold")).withColumn("mask", F.col("v") > F.col("threshold"))
+    return out.select(*KEY, "v", *keep, (mean * (1 + F.lit(k) * (sd / dynamic - 1))).alias("threshold")).withColumn("mask", F.col("v") > F.col("threshold"))
 
 
 def shift_planes(vox: DataFrame, n: int, value: str = "v") -> DataFrame:

@@ -20,7 +20,22 @@ def statistics(vox: DataFrame) -> DataFrame:
     return vox.groupBy("block").agg(F.count("*").alias("n"), F.sum("v").alias("total"), F.min("v").alias("least"), F.max("v").alias("most"), F.max("label").alias("maxlabel"))
 
 
-def follow(spark: SparkSession, path: str, name: str, checkpoint: str):
-    """Start a query that keeps the table ``name`` in memory; stops once all files there are read."""
-    q = statistics(arriving(spark, path)).writeStream.outputMode("complete").format("memory").queryName(name)
+def follow(spark: SparkSession, path: str, out: str, checkpoint: str):
+    """Start a query that writes the blocks which new files have changed to ``out``; stops once all files there are read.
+
+    Statistics are kept by the stream's state store; the driver holds none. A
+    batch that is run again replaces its own folder.
+    """
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    q = statistics(arriving(spark, path)).writeStream.outputMode("update").foreachBatch(write)
     return q.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def followed(spark: SparkSession, out: str) -> DataFrame:
+    """The latest statistics of each block."""
+    rows = spark.read.parquet(out)
+    names = [c for c in rows.columns if c not in ("block", "batch")]
+    return rows.groupBy("block").agg(F.max_by(F.struct(*names), "batch").alias("s")).select("block", "s.*")

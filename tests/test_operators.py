@@ -201,6 +201,158 @@ def test_communities_and_neighbours(spark):
         assert r.other == np.argsort(d[r.id])[r["rank"] - 1]
 
 
+def test_communities_in_one_task_and_over_all(spark):
+    r = np.random.default_rng(5)
+    edges = {(int(a), int(b)) for base in (0, 12, 24) for a, b in r.integers(base, base + 12, (50, 2)) if a < b} | {(3, 15), (20, 30)}
+    e = spark.createDataFrame(sorted(edges), "src long, dst long")
+    one = {r.node: r.community for r in profile.communities(e).collect()}
+    far = {r.node: r.community for r in profile.communities(e, alone=0).collect()}
+    assert one == far and 2 <= len(set(one.values())) <= 5
+    names = profile.numbered_communities(profile.communities(e)).collect()
+    assert {r.cluster for r in names} == {str(k + 1) for k in range(len(set(one.values())))}
+    finer = {r.community for r in profile.communities(e, resolution=4.0).collect()}
+    assert len(finer) > len(set(one.values()))
+
+
+def test_diffusion_map_against_numpy(spark):
+    r = np.random.default_rng(6)
+    edges = sorted({(i, i + 1) for i in range(24)} | {(int(a), int(b)) for a, b in r.integers(0, 25, (16, 2)) if 0 < b - a < 9})
+    n = 25
+    a = np.zeros((n, n))
+    for i, j in edges:
+        a[i, j] = a[j, i] = 1
+    d = a.sum(axis=1)
+    w, v = np.linalg.eigh(a / np.sqrt(d[:, None] * d))
+    order = np.argsort(-w)[1:3]
+    want = v[:, order] / np.sqrt(d)[:, None] * w[order] / 1.0
+    want *= np.sign(want[np.abs(want).argmax(axis=0), range(2)])
+    got = {x.node: x.dc for x in profile.diffusion_map(spark.createDataFrame(edges, "src long, dst long"), 2, tolerance=1e-6).collect()}
+    assert np.allclose([got[i] for i in range(n)], want, atol=0.03)
+    time = {x.node: x.time for x in profile.diffusion_pseudotime(spark.createDataFrame([*edges, (40, 41)], "src long, dst long"), 0, 2).collect()}
+    assert time[0] == 0 and time[41] == 0 and max(time.values()) == 1 and time[24] > time[4]
+
+
+def test_steps_go_on_to_the_last_node(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(70)], "src long, dst long")
+    assert {r.node: r.steps for r in profile.pseudotime(chain, 0).collect()} == {i: i for i in range(71)}
+
+
+def test_nothing_to_fit(spark):
+    empty = spark.createDataFrame([], "id long, v array<double>, x double, y double")
+    assert profile.pca(empty).count() == 0 and profile.communities(empty.selectExpr("id as src", "id as dst")).count() == 0
+    assert correct.polyfit(empty, "x", "y", 2) == [0.0, 0.0, 0.0]
+    two = spark.createDataFrame([(1.0, 5.0), (2.0, 7.0), (2.0, 7.0)], "x double, y double")
+    assert np.allclose(correct.polyfit(two, "x", "y", 3), [3, 2, 0, 0])
+
+
+def test_extent_of_a_distance():
+    assert [stencil.odd_extent(*x) for x in ((3, 1), (5, 1), (2.5, 1), (0, 1), (3, 2))] == [7, 11, 7, 1, 5]
+
+
+def test_the_last_ranges_of_a_name_count(spark):
+    names = ["vol_00001-00002_00003-00004_00005-00006.h5", "/a/00009-00010/run_00007-00008_00001-00002_00003-00004_00005-00006.h5", "none.h5"]
+    got = spark.createDataFrame([(n,) for n in names], "name string").select(*naming.coordinates("name", (1, 0, -1)), naming.stem("name").alias("stem")).collect()
+    assert [tuple(r) for r in got] == [(0, 1, 3, 4, 6, 7, "vol"), (0, 1, 3, 4, 6, 7, "run_00007-00008"), (None,) * 6 + ("none",)]
+
+
+def test_mean_of_channels(spark):
+    rows = [(0, 0, x, c, v) for x, vs in enumerate([(1, 2), (5, 5), (7, 10)]) for c, v in enumerate(vs)]
+    got = correct.channel_mean(spark.createDataFrame(rows, "z int, y int, x int, c int, v long")).collect()
+    assert {r.x: r.m for r in got} == {0: 1, 1: 5, 2: 8}
+
+
+def test_regions_over_blocks_are_those_of_the_whole(spark):
+    """Flooded blocks, stitched, against the whole volume at once."""
+    r = np.random.default_rng(7)
+    z, y, x = np.indices((6, 24, 30))
+    centres = [(3, 4, 4), (3, 5, 15), (2, 18, 6), (3, 17, 24), (3, 11, 14)]
+    a = np.max([900 - 150 * np.sqrt((z - c) ** 2 + (y - d) ** 2 + (x - e) ** 2) for c, d, e in centres], axis=0).clip(0).astype(int)
+    kernel = lambda b: kernels.flooded(b, kernels.components(b > 700), b > 100, invert=True)
+    whole = kernel(a)
+    got = array(kernels.regions_by_block(table(spark, a), dict(zip("zyx", a.shape)), {"z": 6, "y": 10, "x": 10}, 5, kernel), a.shape, "region")
+    assert ((got > 0) == (whole > 0)).all()
+    pairs = {(p, q) for p, q in zip(whole.ravel().tolist(), got.ravel().tolist()) if p}
+    assert len(pairs) == len(centres) == len({q for _, q in pairs})
+
+
+def test_flooding_options():
+    image = np.array([[[5, 1, 4, 0, 6, 2, 2]]])
+    seeds = np.array([[[0, 1, 0, 0, 0, 2, 0]]])
+    on = np.ones_like(image, bool)
+    assert kernels.flooded(image, seeds).ravel().tolist() == [1, 1, 1, 1, 1, 2, 2]
+    negative = np.array([[[True, True, True, False, True, True, True]]])
+    assert kernels.flooded(image, seeds, negative=negative).ravel().tolist() == [1, 1, 1, 3, 3, 2, 2]
+    assert kernels.flooded(image, seeds, post=image > 1).ravel().tolist() == [1, 0, 1, 0, 1, 2, 2]
+    flat = np.zeros((1, 1, 9))
+    two = np.array([[[1, 0, 0, 0, 0, 0, 0, 0, 2]]])
+    assert kernels.flooded(flat, two, compactness=1.0).ravel().tolist() == [1] * 5 + [2] * 4
+    assert kernels.flooded(image, seeds, on & (image != 4)).ravel().tolist() == [1, 1, 0, 2, 2, 2, 2]
+    holes = np.array([[[0, 1, 1, 1, 0, 1, 0]]])
+    assert kernels.flooded(holes, seeds, edt=True, spacing=(1.0, 1.0, 2.0)).shape == (1, 1, 7)
+
+
+def test_seeds_and_blobs():
+    y, x = np.indices((21, 41))
+    mask = (((y - 10) ** 2 + (x - 10) ** 2 <= 64) | ((y - 10) ** 2 + (x - 30) ** 2 <= 64) | ((abs(y - 10) < 2) & (x > 10) & (x < 30)))[None]
+    data = np.where(mask, 100.0, 0.0)
+    for options in ({"threshold": 4.0}, {"peak": (1, 4.0)}, {"threshold": 4.0, "dog": (1.0, 2.0)}):
+        s = kernels.seeds_of(data, mask, (1.0, 1.0, 1.0), **options)
+        assert s[0, 10, 10] != s[0, 10, 30] and s[0, 10, 10] and s[0, 10, 30] and s[0, 10, 20] == 0
+    full = kernels.seeds_of(data, mask, (1.0, 1.0, 1.0), threshold=4.0, flood=0.0)
+    assert (full[mask] > 0).all() and set(np.unique(full)) == {0, 1, 2}
+    assert kernels.seeds_of(data, mask, (1.0, 1.0, 1.0), above=4.0, threshold=0.0)[0, 10, 10] == 0
+    z, y, x = np.indices((21, 21, 41))
+    a = sum(1000 * np.exp(-((z - 10) ** 2 + (y - 10) ** 2 + (x - c) ** 2) / (2 * s * s)) for c, s in ((10, 1.5), (30, 2.5)))
+    response, sigma = kernels.log_blobs(a, (1.0, 1.5, 2.0, 2.5, 3.0), 100.0)
+    assert {tuple(p) for p in np.argwhere(response)} == {(10, 10, 10), (10, 10, 30)}
+    assert sigma[10, 10, 10] == 1.5 and sigma[10, 10, 30] == 2.0
+
+
+def test_floods_follow_the_lowest_pass():
+    r = np.random.default_rng(8)
+    for _ in range(8):
+        image, mask = r.permutation(6 * 7 * 5).reshape(6, 7, 5).astype(float), r.random((6, 7, 5)) < 0.85
+        seeds = np.zeros(image.shape, int)
+        for k in range(1, 5):
+            seeds[tuple(r.integers(0, n) for n in image.shape)] = k
+        got = kernels.watershed(image, seeds, mask)
+        levels = np.sort(image[mask])
+        best = np.full(image.shape, np.inf)
+        reach = {k: np.full(image.shape, np.inf) for k in range(1, 5)}
+        for level in levels:
+            part = kernels.components(mask & (image <= level))
+            for k, low in reach.items():
+                names = np.unique(part[(seeds == k) & mask & (part > 0)])
+                low[np.isin(part, names) & (part > 0) & np.isinf(low)] = level
+        best = np.minimum.reduce(list(reach.values()))
+        for p in map(tuple, np.argwhere(mask & (seeds == 0))):
+            assert (got[p] == 0) == np.isinf(best[p]) and (got[p] == 0 or reach[got[p]][p] == best[p])
+
+
+def test_distances_against_all_pairs():
+    r = np.random.default_rng(9)
+    for shape, dense in (((3, 7, 9), 0.4), ((1, 12, 12), 0.95), ((4, 4, 4), 1.0)):
+        mask, spacing = r.random(shape) < dense, (2.0, 1.0, 0.7)
+        off = np.argwhere(~mask)
+        want = [np.inf if not len(off) else np.sqrt((((off - p) * spacing) ** 2).sum(axis=1).min()) for p in np.argwhere(mask)]
+        assert np.allclose(kernels.distance(mask, spacing)[mask], want)
+
+
+def test_numbers_in_order_over_ranges(spark):
+    from tessera.runtime import numbered
+
+    df = spark.createDataFrame([((k * 7919) % 1009,) for k in range(1009)], "k long").repartition(7)
+    assert all(r.n == r.k + 1 for r in numbered(df, "n", "k").collect())
+    assert numbered(df.where("false"), "n", "k").count() == 0
+
+
+def test_strips_grow_with_labels(spark):
+    a = np.zeros((1, 3, 40), int)
+    a[0, 0, 19:22], a[0, 1, 12:21], a[0, 2, 2:38] = 1, 2, 3
+    got = {r.label: r.n for r in iterative.strips(table(spark, a, "label"), "x", 20, 2, 8).collect()}
+    assert got == {1: 3, 2: 4} and iterative.margins_that_fit({"y": 640, "x": 640}, 64) == 10 and iterative.margins_that_fit({"y": 100}, 64) == 1
+
+
 def test_empty_block(spark):
     empty = spark.createDataFrame([], "z long, y long, x long, v long, label long, block long")
     assert objects.regions(empty).count() == 0

@@ -44,10 +44,11 @@ def test_blocks_are_replaced_alone(spark, tmp_path):
 
 def test_stream_equals_batch(spark, tmp_path):
     vox = voxels(spark, DATA).select("block", "z", "y", "x", "v", "label")
-    vox.repartition(3).write.parquet(str(tmp_path / "in"))
-    q = stream.follow(spark, str(tmp_path / "in"), "block_statistics", str(tmp_path / "cp"))
-    q.awaitTermination(120)
-    got = {tuple(r) for r in spark.table("block_statistics").collect()}
+    halves = vox.randomSplit([0.5, 0.5], seed=1)
+    for half in halves:
+        half.repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+        assert stream.follow(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
+    got = {tuple(r) for r in stream.followed(spark, str(tmp_path / "out")).collect()}
     assert got == {tuple(r) for r in stream.statistics(vox).collect()}
 
 
