@@ -208,19 +208,153 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(classed.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that stay: one of each component, that with the least doc_id.
+# Near duplicates by similarity: the corpus pipeline's rule.
+
+#: Words of a shingle, and the similarity (cosine of the counts of shingles, which is what a SimHash estimates) from which on two texts are near copies.
+WORDS, SIMILAR = 5, 0.8
+#: The most bits of 128 in which their fingerprints differ: an angle's share of a half turn.
+APART = int(128 * np.arccos(SIMILAR) / np.pi)
+WIDE = ((0, 23), (23, 23), (46, 23))
+
+
+def majority(features: list[bytes]) -> np.ndarray:
+    """128 bits, as two words, each set if it is in over half of the features' hashes; none: zero."""
+    import xxhash
+
+    total, n = np.zeros(128, np.int64), len(features)
+    for at in range(0, n, 65536):
+        h = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x) for x in features[at : at + 65536]]), np.uint8).reshape(-1, 16)
+        total += np.unpackbits(h, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(total * 2 > n, bitorder="little").view("<i8")
+
+
+def _wide_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text the fingerprint of its five-word shingles, which decides, and that of its different words, which few edits change."""
+    for b in batches:
+        out = np.zeros((4, len(b)), np.int64)
+        for i, t in enumerate(b.column("text").cast(pa.binary())):
+            words = (t.as_py() or b"").lower().split()
+            shingles = [b" ".join(x) for x in zip(*(words[k:] for k in range(WORDS)))] if len(words) >= WORDS else [b" ".join(words)] if words else []
+            out[:2, i], out[2:, i] = majority(shingles), majority(sorted(set(words)))
+        names = [x for x in b.schema.names if x != "text"]
+        yield pa.RecordBatch.from_arrays([*map(b.column, names), *map(pa.array, out)], [*names, "f1", "f2", "w1", "w2"])
+
+
+def wide_keys(w1: np.ndarray, w2: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row): for each two of three segments of 23 bits the codewords near both; about 75 keys each.
+
+    A word emits the codewords of itself and of its 23 neighbours, so words at
+    distance two or less share one. If in two of the segments fingerprints differ by two bits or
+    less, they share a key; more errors may share one too.
+    """
+    flips = np.concatenate([[0], 1 << np.arange(23, dtype=np.int64)])
+    whole = w1.view(np.uint64), w2.view(np.uint64)
+    segments = [((whole[0] >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64) if at + n <= 64 else ((whole[0] >> np.uint64(at) | whole[1] << np.uint64(64 - at)) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in WIDE]
+    codes, starts, sizes = [], [], []
+    for s in segments:
+        near = np.sort(codewords(s[:, None] ^ flips, errors), axis=1)
+        new = np.ones(near.shape, bool)
+        new[:, 1:] = near[:, 1:] != near[:, :-1]
+        row, col = np.nonzero(new)
+        codes.append(near[row, col])
+        sizes.append(new.sum(axis=1))
+        starts.append(np.cumsum(sizes[-1]) - sizes[-1])
+    keys_, rows = [], []
+    for k, (i, j) in enumerate(PAIRS):
+        both = sizes[i] * sizes[j]
+        row = np.repeat(np.arange(len(both)), both)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(both) - both, both)
+        a, b = codes[i][starts[i][row] + nth // sizes[j][row]], codes[j][starts[j][row] + nth % sizes[j][row]]
+        keys_.append(k << 24 | a << 12 | b)
+        rows.append(row)
+    return np.concatenate(keys_), np.concatenate(rows)
 
-    Null ids come last; among rows with one id the hash of the text decides;
-    of a row that is there twice one stays. Columns stay as they are.
+
+def _wide_key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    errors = decoder()
+    for b in batches:
+        w1, w2 = (b.column(x).to_numpy(zero_copy_only=False) for x in ("w1", "w2"))
+        for at in range(0, len(b), 2048):
+            key, row = wide_keys(w1[at : at + 2048], w2[at : at + 2048], errors)
+            which = pa.array(row + at)
+            yield pa.RecordBatch.from_arrays([pa.array(key), *(b.column(x).take(which) for x in ("id", "f1", "f2"))], ["key", "id", "f1", "f2"])
+
+
+def wide_links(fp: np.ndarray, apart: int = APART) -> list[tuple[int, int]]:
+    """A spanning forest of the graph of 128-bit words (n x 2) that differ in ``apart`` bits at most.
+
+    From one word after another its neighbours among those not reached yet are
+    found, so a dense group of n words takes a few n comparisons, not n squared.
+    """
+    out, left = [], np.arange(len(fp))
+    while len(left) > 1:
+        todo, left = [int(left[0])], left[1:]
+        while todo and len(left):
+            x = todo.pop()
+            near = np.bitwise_count(fp[left] ^ fp[x]).sum(axis=1) <= apart
+            out += [(x, y) for y in left[near].tolist()]
+            todo += left[near].tolist()
+            left = left[~near]
+    return out
+
+
+def _wide_link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by key within the partition; a key never leaves it."""
+
+    def linked(key: np.ndarray, node: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        ends = np.append(starts[1:], len(key))
+        pair = starts[ends - starts == 2]
+        near = np.bitwise_count(fp[pair] ^ fp[pair + 1]).sum(axis=1) <= APART
+        src, dst = [node[pair[near]]], [node[pair[near] + 1]]
+        for a, z in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist()):
+            if found := wide_links(fp[a:z]):
+                at = np.array(found) + a
+                src.append(node[at[:, 0]])
+                dst.append(node[at[:, 1]])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(src)), pa.array(np.concatenate(dst))], ["src", "dst"])
+
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for b in batches:
+        if not len(b):
+            continue
+        key, node, f1, f2 = (b.column(x).to_numpy(zero_copy_only=False) for x in ("key", "id", "f1", "f2"))
+        fp = np.stack([f1, f2], axis=1).view(np.uint64)
+        last = int(np.searchsorted(key, key[-1]))
+        if last or held and held[-1][0][-1] != key[0]:
+            done = [np.concatenate(x) for x in zip(*held, (key[:last], node[:last], fp[:last]))] if held else [key[:last], node[:last], fp[:last]]
+            if len(done[0]):
+                yield linked(*done)
+            held = []
+        held.append((key[last:], node[last:], fp[last:]))
+    if held:
+        yield linked(*(np.concatenate(x) for x in zip(*held)))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents that stay: one of each group of near copies, that with the least doc_id.
+
+    Two texts are linked if the 128-bit SimHashes of their five-word shingles
+    (fewer words: the whole text) differ in ``APART`` bits at most, that is if their cosine is
+    estimated at 0.8 or more; groups are what links connect. Candidates share a Golay key of
+    the fingerprints of their different words, which holds nearly always for texts this similar; within a
+    key all links are found. Texts without words are one group. Null ids come last; among
+    rows with one id the hash of the text decides; of a row that is there twice one stays.
+    Columns stay as they are; no rows give no rows.
     """
     text = F.xxhash64("text")
-    prints = cut(fingerprints(docs.select("doc_id", text.alias("tie"), "text")))
+    rows = docs.select("doc_id", text.alias("tie"), "text")
+    schema = T.StructType([*(f for f in rows.schema.fields if f.name != "text"), *(T.StructField(c, T.LongType()) for c in ("f1", "f2", "w1", "w2"))])
+    prints = cut(rows.mapInArrow(_wide_batches, schema))
     order = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("w")
-    least = prints.groupBy("fp").agg(order)
-    winners = least.join(classes(prints), "fp").groupBy("root").agg(F.min("w").alias("w")).select(F.col("w.doc_id").alias("id2"), F.col("w.tie").alias("tie2"))
-    rows = docs.select(F.col("doc_id").alias("id1"), text.alias("tie1"), F.struct(*docs.columns).alias("row"))
-    kept = rows.join(winners, F.col("id1").eqNullSafe(F.col("id2")) & (F.col("tie1") == F.col("tie2")), "left_semi")
+    # equal texts meet first, with a map-side minimum, so that a large group of copies is one node
+    nodes = cut(prints.groupBy("f1", "f2", "w1", "w2").agg(order).withColumn("id", F.monotonically_increasing_id()))
+    keyed = nodes.select("id", "f1", "f2", "w1", "w2").mapInArrow(_wide_key_batches, "key long, id long, f1 long, f2 long")
+    links = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_link_batches, "src long, dst long")
+    roots = components(links)
+    winners = nodes.join(roots, nodes["id"] == roots["node"], "left").groupBy(F.coalesce("root", "id")).agg(F.min("w").alias("w")).select(F.col("w.doc_id").alias("id2"), F.col("w.tie").alias("tie2"))
+    whole = docs.select(F.col("doc_id").alias("id1"), text.alias("tie1"), F.struct(*docs.columns).alias("row"))
+    kept = whole.join(winners, F.col("id1").eqNullSafe(F.col("id2")) & (F.col("tie1") == F.col("tie2")), "left_semi")
     if prints.groupBy("doc_id", "tie").count().where("count > 1").limit(1).count():
         kept = kept.dropDuplicates(["id1", "tie1"])
     return kept.select("row.*")
