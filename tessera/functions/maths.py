@@ -59,6 +59,39 @@ def affine(translate: tuple[float, float, float], angles: tuple[float, float, fl
     return [[r[i][j] * spacing[j] for j in range(3)] + [translate[i]] for i in range(3)] + [[0.0, 0.0, 0.0, 1.0]]
 
 
+def rodrigues(vector: tuple[Column, Column, Column], axis: tuple[float, float, float], theta: float | Column) -> list[Column]:
+    """Vectors (x, y, z) turned by an angle about a unit axis."""
+    c, s = F.cos(theta) if isinstance(theta, Column) else F.lit(math.cos(theta)), F.sin(theta) if isinstance(theta, Column) else F.lit(math.sin(theta))
+    (x, y, z), (a, b, d) = vector, axis
+    cross = (b * z - d * y, d * x - a * z, a * y - b * x)
+    dot = a * x + b * y + d * z
+    return [v * c + w * s + k * dot * (1 - c) for v, w, k in zip(vector, cross, axis)]
+
+
+def scaling(elsize: dict[str, float], axes: str = "xyz") -> list[list[float]]:
+    """The 4 x 4 matrix that only scales."""
+    return [[elsize.get(a, 1.0) if i == j else 0.0 for j in range(4)] if i < 3 else [0.0, 0.0, 0.0, 1.0] for i, a in enumerate((*axes, ""))]
+
+
+def oriented(elsize: dict[str, float], dims: dict[str, int], angles: dict[str, float]) -> dict[str, list[float]]:
+    """Spacing, origin and direction (x, y, z) of a volume turned by angles in radians.
+
+    The origin follows the turn about y and is known for quarter turns; for other angles it is 0.
+    """
+    size = [elsize.get(a, 1.0) for a in "xyz"]
+    extent = [dims.get(a, 1) * s for a, s in zip("xyz", size)]
+    y = angles.get("y", 0.0)
+    corner = {0.0: [0.0, 0.0, 0.0], math.pi / 2: [extent[2], 0.0, 0.0], math.pi: [extent[0], 0.0, extent[2]], -math.pi / 2: [extent[2], 0.0, extent[0]]}
+    turn = rotation(*(math.degrees(angles.get(a, 0.0)) for a in "zyx"))
+    return {"spacing": size, "origin": corner.get(y, [0.0, 0.0, 0.0]), "direction": [v for row in turn for v in row]}
+
+
+def sampling_grid(extents: tuple[float, ...]) -> tuple[list[float], list[int]]:
+    """Anisotropy of objects with median extents, and the grid along each axis: 1 where they are over 1.5 times shorter than the longest, else 2."""
+    ratio = [max(extents) / e for e in extents]
+    return ratio, [1 if r > 1.5 else 2 for r in ratio]
+
+
 def transformed(matrix: list[list[float]], *coordinates: str) -> list[Column]:
     """Coordinates after an affine transform, as three linear expressions."""
     return [sum((F.lit(m) * F.col(c) for m, c in zip(row, coordinates)), F.lit(row[3])) for row in matrix[:3]]

@@ -405,6 +405,8 @@ def log_blobs(a: np.ndarray, sigmas: tuple[float, ...], threshold: float) -> tup
 
 
 def seeded(mask: np.ndarray, step: tuple[float, float] = (1.0, 1.0), least: float = 0.5, r: int = 1) -> np.ndarray:
-    """Objects of a mask parted at their waists: peaks of the distance to background, flooded downwards."""
+    """Objects of a mask parted at their waists: peaks of the distance to background, flooded downwards; what no peak reaches is an object of its own."""
     d = distance_in_planes(np.pad(mask, [(0, 0), (1, 1), (1, 1)]), *step)[:, 1:-1, 1:-1]
-    return watershed(-d, components(peaks(d, least, r), True), mask)
+    out = watershed(-d, components(peaks(d, least, r), True), mask)
+    alone = components(mask & (out == 0))
+    return np.where(alone > 0, out.max(initial=0) + alone, out)

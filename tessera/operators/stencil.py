@@ -156,3 +156,67 @@ def upsample_linear(low: DataFrame, axis: str, factor: int, value: str = "v") ->
     w = 1 - F.abs(place - F.col(axis))
     fine = fine.where((F.col("_f") >= 0) & (F.col("_f") < (F.col("_last") + 1) * factor)).withColumn("_w", w).where("_w > 0")
     return fine.groupBy(*others, F.col("_f").alias(axis)).agg(F.sum(F.col("_w") * F.col(value)).alias(value))
+
+
+def grid(spark, dims: dict[str, int]) -> DataFrame:
+    """All places of a volume; made where they are needed, plane by plane."""
+    z = spark.range(dims["z"]).withColumnRenamed("id", "z")
+    return z.select("z", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(dims["y"] - 1).cast("long"))).alias("y")).select("z", "y", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(dims["x"] - 1).cast("long"))).alias("x"))
+
+
+def resample(vox: DataFrame, dims: dict[str, int], matrix: list[list[float]], value: str = "v", order: int = 0) -> DataFrame:
+    """Values at the places that an affine transform sends a new grid to: of the nearest voxel, or (order 1) trilinear; 0 outside.
+
+    Every new voxel asks for one place, or for the eight around it, and meets
+    the old ones in one join.
+    """
+    from ..functions.maths import transformed
+
+    at = grid(vox.sparkSession, dims).select(*KEY, *(c.alias(f"_{a}") for a, c in zip(KEY, transformed(matrix, *KEY))))
+    old = vox.select(*(F.col(a).alias(f"_i{a}") for a in KEY), F.col(value).alias("_old"))
+    zero = F.lit(0).cast(vox.schema[value].dataType)
+    if order == 0:
+        asked = at.select(*KEY, *(F.floor(F.col(f"_{a}") + 0.5).alias(f"_i{a}") for a in KEY))
+        return asked.join(old, [f"_i{a}" for a in KEY], "left").select(*KEY, F.coalesce("_old", zero).alias(value))
+    corners = F.array(*(F.struct(*(F.lit(d).alias(f"d{a}") for a, d in zip(KEY, o))) for o in product((0, 1), repeat=3)))
+    asked = at.select(*KEY, *(F.col(f"_{a}") for a in KEY), F.explode(corners).alias("o"))
+    part = lambda a: F.col(f"_{a}") - F.floor(f"_{a}")
+    weight = F.lit(1.0)
+    for a in KEY:
+        weight = weight * F.when(F.col(f"o.d{a}") == 1, part(a)).otherwise(1 - part(a))
+    asked = asked.select(*KEY, weight.alias("_w"), *((F.floor(f"_{a}") + F.col(f"o.d{a}")).alias(f"_i{a}") for a in KEY))
+    met = asked.where("_w > 0").join(old, [f"_i{a}" for a in KEY], "left")
+    return met.groupBy(*KEY).agg(F.sum(F.col("_w") * F.coalesce("_old", zero)).alias(value))
+
+
+def augmented(vox: DataFrame, dims: dict[str, int], order: str = "zyx", flips: str = "", factor: float = 1.0, add: float = 0.0) -> DataFrame:
+    """Axes put in another order, some turned around, values scaled and moved: a sample for training out of another one."""
+    turned = {a: F.lit(dims[a] - 1) - F.col(a) if a in flips else F.col(a) for a in KEY}
+    return vox.withColumns({**{a: turned[b] for a, b in zip(KEY, order)}, "v": F.col("v") * factor + add})
+
+
+def random_turn(seed: int) -> tuple[str, str]:
+    """An order of axes and the axes to turn around, drawn by a seed."""
+    from random import Random
+
+    r = Random(seed)
+    return "".join(r.sample(KEY, 3)), "".join(a for a in KEY if r.random() < 0.5)
+
+
+def noise(key: str, sd: float, seed: int = 0) -> Column:
+    """Normal noise drawn from a digest of a key, so that it is the same in every run and on every machine."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    part = lambda k: (F.conv(F.substring(digest, k, 8), 16, 10).cast("double") + 0.5) / 4294967296.0
+    return sd * F.sqrt(-2 * F.log(part(1))) * F.cos(2 * 3.141592653589793 * part(9))
+
+
+def add_noise(vox: DataFrame, key: str, sd: float = 0.001, seed: int = 0, value: str = "v") -> DataFrame:
+    """Noise on all voxels that are not 0."""
+    return vox.withColumn(value, F.when(F.col(value) != 0, F.col(value) + noise(key, sd, seed)).otherwise(F.col(value).cast("double")))
+
+
+def low_window(centre: float, high_size: float, high_n: int, low_size: float, low_n: int, margin: float) -> tuple[int, int, int, int]:
+    """(start, stop, pad before, pad after) of the window of a coarse axis that holds a fine volume about a centre."""
+    extent = high_size * high_n / 2 / low_size + margin
+    first, last = int(centre - extent), int(centre + extent)
+    return max(0, first), min(low_n, last), max(0, -first), max(0, last - low_n)

@@ -111,6 +111,21 @@ def to_png(plane: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", *grey.shape[::-1], 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
 
 
+def png(raw: bytes) -> np.ndarray:
+    """A grey 8-bit PNG whose rows are not filtered, as ``to_png`` writes them."""
+    at, data, shape = 8, b"", (0, 0)
+    while at < len(raw):
+        n, name = struct.unpack(">I4s", raw[at : at + 8])
+        body = raw[at + 8 : at + 8 + n]
+        shape = struct.unpack(">II", body[:8])[::-1] if name == b"IHDR" else shape
+        data += body if name == b"IDAT" else b""
+        at += 12 + n
+    rows = np.frombuffer(zlib.decompress(data), "u1").reshape(shape[0], shape[1] + 1)
+    if rows[:, 0].any():
+        raise ValueError("rows of this PNG are filtered")
+    return rows[:, 1:]
+
+
 def hdf5(path: str, dataset: str) -> np.ndarray:
     """A dataset of an HDF5 file that this machine can open."""
     try:
@@ -125,7 +140,7 @@ def _decoding(axes: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, plane, raw in zip(*(b.column(c).to_pylist() for c in ("path", "plane", "content"))):
-                a = nifti(raw)[0] if ".nii" in path else tiff(raw)
+                a = nifti(raw)[0] if ".nii" in path else png(raw)[None] if ".png" in path else tiff(raw)
                 order = {k: i for i, k in enumerate("xyztc" if ".nii" in path else "zyx")}
                 a = np.moveaxis(a.reshape(a.shape + (1,) * (3 - a.ndim)), [order[k] for k in axes], range(3))
                 for z, page in enumerate(a):
@@ -136,6 +151,32 @@ def _decoding(axes: str):
     return run
 
 
+def encoded(vox: DataFrame, kind: str, by: str = "block", dtype: str = "i4") -> DataFrame:
+    """Voxels (z, y, x, v, ``by``) as files ``(path, content)``, one a block or plane, named after what they cover."""
+
+    def run(rows):
+        import pandas as pd
+
+        from ..operators.kernels import dense
+
+        a, first, _ = dense(rows, "v")
+        a = a.astype(dtype)
+        raw = to_nifti(a.T, {}) if kind == "nii" else to_png(a[0]) if kind == "png" else to_tiff(a)
+        ends = [f"{lo:05d}-{lo + n:05d}" for lo, n in zip(first[::-1], a.shape[::-1])]
+        return pd.DataFrame({"path": [f"vol_{'_'.join(ends)}.{kind}"], "content": [raw]})
+
+    return vox.select(*dict.fromkeys(("z", "y", "x", "v", by))).groupBy(by).applyInPandas(run, "path string, content binary")
+
+
+def decoded(files: DataFrame) -> DataFrame:
+    """Files ``(path, content)`` whose names tell what they cover, as voxels (z, y, x, v) of the whole."""
+    from ..functions.naming import coordinates
+
+    rows = files.select("path", F.lit(None).cast("long").alias("plane"), "content").mapInArrow(_decoding("zyx"), "path string, z long, y long, x long, v double")
+    at = dict(zip(("x", "x1", "y", "y1", "z", "z1"), coordinates("path")))
+    return rows.select(*((F.col(a) + at[a]).alias(a) for a in "zyx"), "v")
+
+
 def read(spark: SparkSession, path: str, planes: bool = False) -> DataFrame:
     """NIfTI or TIFF files as voxels (path, z, y, x, v); with ``planes`` each file is a plane, in the order of names."""
     f = spark.read.format("binaryFile").load(path).select("path", "content")

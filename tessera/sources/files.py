@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -20,6 +20,23 @@ def sniff(path: str) -> str:
     return "tifs" if path.endswith("/") else "dat"
 
 
+def format_of(path: str) -> Column:
+    """The same as a column."""
+    out = F.when(F.endswith(F.col(path), F.lit("/")), "tifs").otherwise("dat")
+    for mark, name in reversed(FORMATS):
+        out = F.when(F.contains(F.col(path), F.lit(mark)), name).otherwise(out)
+    return out
+
+
+def imaris_metadata(ext_min: str, ext_max: str, n: str) -> tuple[Column, Column]:
+    """World origin and voxel sizes (arrays along z, y, x) from extents and dimensions."""
+    return F.col(ext_min), F.zip_with(F.zip_with(ext_max, ext_min, lambda b, a: b - a), n, lambda d, k: F.try_divide(d, k))
+
+
+def micrometres(*metres: str) -> list[Column]:
+    return [F.col(c) * 1e6 for c in metres]
+
+
 def label_sets(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``key: l1 l2 …`` -> ``(key, label)``."""
     line = F.split("value", ":", 2)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,35 @@ def channels(vox: DataFrame, keep: list[int]) -> DataFrame:
     return vox.where(F.col("c").isin(keep)).withColumn("c", new[F.col("c")])
 
 
+def with_channel(vox: DataFrame, number: int) -> DataFrame:
+    """One more channel, empty, at the places of the first one."""
+    least = vox.agg(F.min("c").alias("_c"))
+    empty = vox.join(least).where("c = _c").drop("_c").withColumns({"c": F.lit(number).cast(vox.schema["c"].dataType), "v": F.lit(0).cast(vox.schema["v"].dataType)})
+    return vox.unionByName(empty)
+
+
+#: Display colours of channels, in turn.
+COLOURS = ("1 0 0", "0 1 0", "0 0 1", "1 1 0", "1 0 1", "0 1 1")
+
+
+def display(vox: DataFrame, names: dict[int, str] | None = None) -> DataFrame:
+    """A channel's name, colour, colour mode and range of values."""
+    name = F.lit(None).cast("string")
+    for c, n in (names or {}).items():
+        name = F.when(F.col("c") == c, n).otherwise(name)
+    colour = F.element_at(F.array(*map(F.lit, COLOURS)), F.pmod(F.col("c"), F.lit(len(COLOURS))).cast("int") + 1)
+    g = vox.groupBy("c").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    return g.select("c", F.coalesce(name, F.concat(F.lit("chan"), F.col("c").cast("string"))).alias("name"), colour.alias("colour"), F.lit("BaseColor").alias("mode"), "lo", "hi")
+
+
+def merged_files(spark: SparkSession, parts: str, out: str, read: Callable[[SparkSession, str], DataFrame], write: Callable[[DataFrame, str], None]) -> DataFrame:
+    """Apply a reader to the part files, write what it gives, and drop the parts once that is written."""
+    write(read(spark, parts), out)
+    path = spark._jvm.org.apache.hadoop.fs.Path(parts)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return read(spark, out)
+
+
 def template(vox: DataFrame, value: str = "v") -> DataFrame:
     """The same places, all zero."""
     return vox.withColumn(value, F.lit(0).cast(vox.schema[value].dataType))
