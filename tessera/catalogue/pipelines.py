@@ -44,3 +44,45 @@ def stacked_volumes(vox: DataFrame) -> DataFrame:
 @volume("SELECT c, count(*) AS n, sum(v)::BIGINT AS total FROM (SELECT CASE WHEN c = 4 THEN 0 ELSE 1 END AS c, v FROM vox WHERE c IN (4, 2)) GROUP BY c")
 def channel_subset(vox: DataFrame) -> DataFrame:
     return sinks.channels(vox, [4, 2]).groupBy("c").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
+
+
+FLOW = """
+prep_median: {input: vox, filter: {type: median, sigma: 3, blocksize: {z: 8, y: 12, x: 20}}}
+mask_bright: {input: prep_median, threshold: 3000}
+mask_raw: {input: vox, threshold: 200}
+combine_both: {inputs: [mask_bright, mask_raw]}
+"""
+
+
+@volume(""", d(k) AS (VALUES (-1), (0), (1)), m AS (SELECT a.event_id, median(b.v) AS med FROM vox a, d p, d q JOIN vox b ON b.z = a.z AND b.y = a.y + p.k AND b.x = a.x + q.k GROUP BY a.event_id)
+ SELECT z, count(*) FILTER (WHERE med > 3000 AND v > 200) AS n FROM vox JOIN m USING (event_id) GROUP BY z""")
+def step_file(vox: DataFrame) -> DataFrame:
+    """Steps from a YAML text: a median, two masks, and what both hold."""
+    out = steps.run_file({"vox": vox.select("z", "y", "x", "v")}, FLOW)["combine_both"]
+    return out.groupBy("z").agg(F.count_if("mask").alias("n"))
+
+
+SEGMENTS = """
+mask_cells: {input: vox, threshold: 900}
+seed_cells: {input: vox, mask: mask_cells, threshold: 0.5, blocksize: {z: 10, y: 25, x: 20}, blockmargin: 3}
+segment_cells: {input: vox, seeds: seed_cells, mask: mask_cells, invert: true, blocksize: {z: 10, y: 25, x: 20}, blockmargin: 3}
+filter_cells: {input: segment_cells, min_size: 1}
+"""
+
+
+@volume("SELECT z, count(*) FILTER (WHERE v > 900) AS n FROM vox GROUP BY z")
+def step_segments(vox: DataFrame) -> DataFrame:
+    """A whole segmentation by steps: mask, seeds, flooding, filter. Every voxel of the mask ends up with a label."""
+    out = steps.run_file({"vox": vox.select("z", "y", "x", "v")}, SEGMENTS)["filter_cells"]
+    return out.groupBy("z").agg(F.count_if(F.col("label") > 0).alias("n"))
+
+
+@steps.aggregate("spread")
+def _spread():
+    return F.max("v") - F.min("v")
+
+
+@volume("SELECT label, max(v) - min(v) AS spread FROM vox WHERE label <> 0 GROUP BY label")
+def user_aggregates(vox: DataFrame) -> DataFrame:
+    """An aggregate that a user has registered by name."""
+    return steps.with_aggregates(vox, ["spread"])

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import iterative, kernels
-from ..runtime import cut
 from ..sources.voxels import dims
 from .registry import volume
 
@@ -175,19 +174,6 @@ def blobs(vox: DataFrame) -> DataFrame:
 
 @volume()
 def iterative_split(vox: DataFrame) -> DataFrame:
-    """Large components eroded, labelled again, grown back, at one distance after another."""
-    full = dims(vox)
-    mask = vox.where("v > 800").select("z", "y", "x")
-    parts = cut(iterative.components(mask, full, SIZE))
-    from ..operators.stencil import cross, expand_labels, erode
-
-    for least in (200, 100):  # up to three passes, each with its own size and distances
-        n = parts.groupBy("component").count()
-        large = parts.join(n.where(F.col("count") >= least).select("component"), "component", "left_semi")
-        small = parts.join(n.where(F.col("count") < least).select("component"), "component", "left_semi")
-        here = vox.select("z", "y", "x").join(large, ["z", "y", "x"], "left").withColumn("mask", F.col("component").isNotNull())
-        core = erode(here, cross()).where("mask")
-        split = cut(iterative.without_small(iterative.components(core, full, SIZE), 3))
-        grown = expand_labels(here.select("z", "y", "x").join(split.withColumnRenamed("component", "label"), ["z", "y", "x"], "left").withColumn("label", F.coalesce(F.col("label") + 1, F.lit(0).cast("long"))), math.sqrt(3))
-        parts = cut(grown.where("label > 0").join(large.select("z", "y", "x"), ["z", "y", "x"], "left_semi").select("z", "y", "x", (F.col("label") - 1).alias("component")).unionByName(small.select("z", "y", "x", "component")))
+    """Large components eroded, labelled again, grown back, at one size after another."""
+    parts = iterative.split_large(vox.select("z", "y", "x", (F.col("v") > 800).alias("mask")), dims(vox), SIZE, [(200, 1), (100, 1)])
     return parts.groupBy("component").agg(F.count("*").alias("n"))

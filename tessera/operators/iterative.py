@@ -18,7 +18,7 @@ from ..runtime import cut
 from ..runtime import numbered as in_order
 from ..sources.voxels import dims
 from . import kernels
-from .stencil import KEY, spread
+from .stencil import KEY, cross, erode, expand_labels, spread
 
 
 def _in_blocks(mask: DataFrame, size: dict[str, int], full: bool) -> DataFrame:
@@ -139,3 +139,25 @@ def zip_watershed(labels: DataFrame, seam: str, at: int, margin: int, most: int
 
     new = groups.groupBy("component").applyInPandas(run, "z long, y long, x long, label long")
     return marked.where("not flag").select(*KEY, "label").unionByName(new)
+
+
+def split_large(mask: DataFrame, full: dict[str, int], block: dict[str, int], passes: list[tuple[int, float]], least: int = 3, reach: float = 3**0.5) -> DataFrame:
+    """``mask(z, y, x, mask)`` -> (z, y, x, component): components parted where they are thin, one pass after another.
+
+    In each pass components of so many voxels or more are eroded (by the cross, as
+    often as the pass says), labelled again, parts under ``least`` voxels
+    dropped, and the others grown back by ``reach`` within the old one; new parts are named after
+    their first voxel, so they meet no old name.
+    """
+    parts = cut(components(mask.where("mask"), full, block))
+    for large_from, times in passes:
+        n = parts.groupBy("component").count()
+        large = parts.join(n.where(F.col("count") >= large_from).select("component"), "component", "left_semi")
+        small = parts.join(n.where(F.col("count") < large_from).select("component"), "component", "left_semi")
+        here = core = mask.select(*KEY).join(large, list(KEY), "left").withColumn("mask", F.col("component").isNotNull()).select(*KEY, "mask")
+        for _ in range(int(times)):
+            core = erode(core, cross())
+        split = cut(without_small(components(core.where("mask"), full, block), least))
+        grown = expand_labels(here.select(*KEY).join(split.withColumnRenamed("component", "label"), list(KEY), "left").withColumn("label", F.coalesce(F.col("label") + 1, F.lit(0).cast("long"))), reach)
+        parts = cut(grown.where("label > 0").join(large.select(*KEY), list(KEY), "left_semi").select(*KEY, (F.col("label") - 1).alias("component")).unionByName(small.select(*KEY, "component")))
+    return parts
