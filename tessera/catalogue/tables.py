@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import maths
 from ..operators import blocks, features, iterative, kernels, objects, profile, stencil
 from ..sources.voxels import box, dims
-from .labels import INERTIA
+from .labels import INERTIA, REG
 from .registry import tables, volume
 from .segmentation import smooth_sql
 
@@ -26,7 +26,16 @@ def feature_set_minimal(vox: DataFrame) -> DataFrame:
     return _plain(features.morphology(vox, "minimal"))
 
 
-@volume()
+MOMENTS = ", ".join(f"sum(CAST(pow(z, {i}) AS BIGINT) * CAST(pow(y, {j}) AS BIGINT) * CAST(pow(x, {k}) AS BIGINT))::BIGINT AS moments_{16 * i + 4 * j + k}" for i in range(4) for j in range(4) for k in range(4))
+MAXIMAL = f"""{INERTIA}, {REG}, dd(d) AS (VALUES (-1), (0), (1)), cells AS (SELECT DISTINCT label, 2*z+a.d AS z, 2*y+b.d AS y, 2*x+c.d AS x, CASE WHEN (abs(a.d)+abs(b.d)+abs(c.d)) % 2 = 1 THEN 1 ELSE -1 END AS s FROM vox, dd a, dd b, dd c WHERE label <> 0),
+ eu AS (SELECT label, sum(s)::BIGINT AS euler_number FROM cells GROUP BY label), mo AS (SELECT label, {MOMENTS} FROM vox WHERE label <> 0 GROUP BY label), ei AS (SELECT label, greatest(eig0, 0) AS e0, greatest(eig1, 0) AS e1, greatest(eig2, 0) AS e2, (greatest(eig0, 0) + greatest(eig1, 0) + greatest(eig2, 0)) / 3 AS em FROM eig)
+ SELECT label, area, bbox_z0 AS bbox_0, bbox_y0 AS bbox_1, bbox_x0 AS bbox_2, bbox_z1 AS bbox_3, bbox_y1 AS bbox_4, bbox_x1 AS bbox_5, round(centroid_z, 5) AS centroid_0, round(centroid_y, 5) AS centroid_1, round(centroid_x, 5) AS centroid_2,
+ round(pow(6 * area / 3.141592653589793, 1.0 / 3), 5) AS equivalent_diameter, round(area / ((bbox_z1 - bbox_z0) * (bbox_y1 - bbox_y0) * (bbox_x1 - bbox_x0)), 5) AS extent, euler_number, mo.* EXCLUDE (label),
+ round(e0, 5) AS inertia_tensor_eigvals_0, round(e1, 5) AS inertia_tensor_eigvals_1, round(e2, 5) AS inertia_tensor_eigvals_2, round(4 * sqrt(e0), 5) AS major_axis_length, round(4 * sqrt(e2), 5) AS minor_axis_length,
+ round(sqrt(1.5) * sqrt((e0 - em)^2 + (e1 - em)^2 + (e2 - em)^2) / nullif(sqrt(e0 * e0 + e1 * e1 + e2 * e2), 0), 5) AS fractional_anisotropy FROM reg JOIN ei USING (label) JOIN eu USING (label) JOIN mo USING (label)"""
+
+
+@volume(MAXIMAL)
 def feature_set_maximal(vox: DataFrame) -> DataFrame:
     return _plain(features.morphology(vox, "maximal"))
 

@@ -397,3 +397,70 @@ def test_iterative_split_reaches_all_planes(spark):
     number = np.arange(a.size).reshape(a.shape)
     want = {(number[1, 2, 2], 8), (number[6, 2, 2], 36), (number[11, 6, 6], 12)}
     assert {(r.component, r.n) for r in segmentation.iterative_split(vox).collect()} == want
+
+
+def test_tensors_over_blocks_equal_the_whole(spark):
+    from tessera.catalogue import segmentation
+
+    a = np.random.default_rng(10).integers(0, 900, (7, 25, 20))
+    got = kernels.by_block(table(spark, a), dict(zip("zyx", a.shape)), {"z": 4, "y": 9, "x": 12}, kernels.margin_of(1.6) + 2, segmentation.planarity)
+    assert np.allclose(array(got, a.shape, "out"), segmentation.planarity(a), atol=1e-6)
+
+
+def test_components_of_most_variance(spark):
+    x = np.random.default_rng(11).normal(size=(300, 6)) * [5, 3, 2, 1, 1, 1] + 7
+    v = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "id long, v array<double>").repartition(5)
+    w = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)[2][:3].T
+    w = w * np.sign(w[np.abs(w).argmax(axis=0), range(3)])
+    got = {r.id: r.pc for r in profile.pca(v).collect()}
+    assert np.allclose([got[k] for k in range(300)], (x - x.mean(axis=0)) @ w)
+
+
+def test_split_reaches_thin_parts(spark):
+    a = np.zeros((3, 9, 24), bool)
+    a[:, 1:8, 1:9] = a[:, 1:8, 15:23] = a[1, 4, 9:15] = True
+    parts = iterative.split_large(table(spark, a, "mask"), dict(zip("zyx", a.shape)), {"z": 3, "y": 5, "x": 7}, [(50, 1)])
+    got = array(parts.withColumn("component", F.col("component") + 1), a.shape, "component")
+    assert got[1, 4, 4] != got[1, 4, 19] and got[1, 4, 4] and got[1, 4, 19] and not got[~a].any()
+    whole = iterative.split_large(table(spark, a, "mask"), dict(zip("zyx", a.shape)), {"z": 3, "y": 5, "x": 7}, [])
+    assert whole.select("component").distinct().count() == 1
+
+
+def test_resampling_and_turning(spark):
+    a = np.arange(2 * 3 * 4).reshape(2, 3, 4)
+    t = table(spark, a)
+    same = [[1.0, 0, 0, 0], [0, 1.0, 0, 0], [0, 0, 1.0, 0]]
+    for order in (0, 1):
+        assert (array(stencil.resample(t, {"z": 2, "y": 3, "x": 4}, same, order=order), a.shape, "v") == a).all()
+    half = [[1.0, 0, 0, 0], [0, 1.0, 0, 0], [0, 0, 0.5, 0]]
+    fine = array(stencil.resample(t, {"z": 2, "y": 3, "x": 7}, half, order=1), (2, 3, 7), "v")
+    assert np.allclose(fine[..., ::2], a) and np.allclose(fine[..., 1::2], (a[..., 1:] + a[..., :-1]) / 2)
+    turned = array(stencil.augmented(t, {"z": 2, "y": 3, "x": 4}, "xyz", "x"), (4, 3, 2), "v")
+    assert (turned == a[:, :, ::-1].transpose(2, 1, 0)).all()
+    x, y, z = (spark.range(1).select(*maths.rodrigues((F.lit(1.0), F.lit(0.0), F.lit(0.0)), (0.0, 0.0, 1.0), math.pi / 2)).first())
+    assert np.allclose([x, y, z], [0, 1, 0])
+
+
+def test_layouts():
+    from tessera.plans import layout
+
+    assert layout.block_size({"z": 5, "y": 9}, {"y": 4}, {"z": 2}) == {"z": 2, "y": 4} and layout.block_margin({"z": 2}) == {"z": 0}
+    assert layout.defaults({"z": 9, "y": 2000, "x": 3000}) == ({"z": 9, "y": 640, "x": 640}, {"z": 0, "y": 64, "x": 64})
+    assert layout.declared("zyxc", {"z": 3, "y": 4, "x": 5}, 2, "zc") == {"z": 3, "c": 2}
+    assert layout.flat(layout.parameters("a: {b: 1}\nc: [2]")) == {"a.b": "1", "c": "[2]"} and layout.parameters("") == {}
+
+
+def test_folders_off_local_masters(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tessera import runtime
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: SimpleNamespace(get=lambda k: None), master="spark://host:7077", setCheckpointDir=lambda p: None)
+    with pytest.raises(RuntimeError):
+        runtime.shared_folder(SimpleNamespace(sparkContext=sc))
+    kept = runtime.stored(spark.range(5))
+    path = runtime._STORED[-1]
+    runtime.clear(spark)
+    import os
+
+    assert not os.path.exists(path.removeprefix("file:")) and kept is not None
