@@ -133,6 +133,23 @@ class Forest:
         return True
 
 
+def whole_keys(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """Columns of batches that come sorted by the first one, joined so that no key is parted."""
+    held: list[list[np.ndarray]] = []
+    for b in batches:
+        if len(b):
+            columns = [b.column(x).to_numpy(zero_copy_only=False) for x in names]
+            last = int(np.searchsorted(columns[0], columns[0][-1]))
+            if held and (last or held[-1][0][-1] != columns[0][0]):
+                yield [np.concatenate(x) for x in zip(*held, [c[:last] for c in columns])]
+                held = []
+            elif last:
+                yield [c[:last] for c in columns]
+            held.append([c[last:] for c in columns])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
+
+
 def links(fp: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the graph of distinct words at distance 2 or less."""
     n = len(fp)
@@ -166,17 +183,7 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 dst.append(fp[a:z][found[:, 1]])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(src)), pa.array(np.concatenate(dst))], ["src", "dst"])
 
-    key, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for b in batches:
-        key = np.concatenate([key, b.column(0).to_numpy(zero_copy_only=False)])
-        fp = np.concatenate([fp, b.column(1).to_numpy(zero_copy_only=False)])
-        if not len(key):
-            continue
-        last = int(np.searchsorted(key, key[-1]))
-        if last:
-            yield linked(key[:last], fp[:last])
-            key, fp = key[last:], fp[last:]
-    if len(key):
+    for key, fp in whole_keys(batches, ("key", "fp")):
         yield linked(key, fp)
 
 
@@ -212,8 +219,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 #: Words of a shingle, and the similarity (cosine of the counts of shingles, which is what a SimHash estimates) from which on two texts are near copies.
 WORDS, SIMILAR = 5, 0.8
-#: The most bits of 128 in which their fingerprints differ: an angle's share of a half turn.
-APART = int(128 * np.arccos(SIMILAR) / np.pi)
+_SHARE = float(np.arccos(SIMILAR) / np.pi)
+#: The most bits of 128 in which their fingerprints differ: the angle's share of a half turn, and one standard error
+#: of this estimate more, so that few texts this similar are missed. Texts a little less similar may be linked too.
+APART = int(128 * _SHARE + np.sqrt(128 * _SHARE * (1 - _SHARE)))
 WIDE = ((0, 23), (23, 23), (46, 23))
 
 
@@ -314,29 +323,16 @@ def _wide_link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 dst.append(node[at[:, 1]])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(src)), pa.array(np.concatenate(dst))], ["src", "dst"])
 
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for b in batches:
-        if not len(b):
-            continue
-        key, node, f1, f2 = (b.column(x).to_numpy(zero_copy_only=False) for x in ("key", "id", "f1", "f2"))
-        fp = np.stack([f1, f2], axis=1).view(np.uint64)
-        last = int(np.searchsorted(key, key[-1]))
-        if last or held and held[-1][0][-1] != key[0]:
-            done = [np.concatenate(x) for x in zip(*held, (key[:last], node[:last], fp[:last]))] if held else [key[:last], node[:last], fp[:last]]
-            if len(done[0]):
-                yield linked(*done)
-            held = []
-        held.append((key[last:], node[last:], fp[last:]))
-    if held:
-        yield linked(*(np.concatenate(x) for x in zip(*held)))
+    for key, node, f1, f2 in whole_keys(batches, ("key", "id", "f1", "f2")):
+        yield linked(key, node, np.stack([f1, f2], axis=1).view(np.uint64))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents that stay: one of each group of near copies, that with the least doc_id.
 
     Two texts are linked if the 128-bit SimHashes of their five-word shingles
-    (fewer words: the whole text) differ in ``APART`` bits at most, that is if their cosine is
-    estimated at 0.8 or more; groups are what links connect. Candidates share a Golay key of
+    (fewer words: the whole text) differ in ``APART`` bits at most, that is if their cosine
+    may be 0.8 or more by that estimate; groups are what links connect. Candidates share a Golay key of
     the fingerprints of their different words, which holds nearly always for texts this similar; within a
     key all links are found. Texts without words are one group. Null ids come last; among
     rows with one id the hash of the text decides; of a row that is there twice one stays.

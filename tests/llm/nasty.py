@@ -22,6 +22,8 @@ TEXTS = [
     (9, "one\ntwo\none\ntwo\none\ntwo"),
     (10, "a\0b\0c and more"),
     (11, "12345 67890 --- !!!"),
+    (2**53 + 1, "½ ² Ⅷ"),
+    (-(2**60) - 1, '<p class="x><b><b><table><tr><li>' * 40 + "token=abcdef12 " * 300),
 ]
 
 

@@ -380,6 +380,80 @@ def test_toxicity_gradient():
     assert loss() < before
 
 
+def score_by_hand(net, text):
+    """The net's score of a text, word by word in plain Python."""
+    from math import exp
+
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    zero = [0.0] * toxicity.DIM
+
+    def vector(w):
+        a, b = zlib.crc32(w.encode()) % toxicity.BUCKETS, zlib.crc32(b"^" + w[: toxicity.STEM].encode()) % toxicity.BUCKETS
+        return [float(x) + float(y) for x, y in zip(net.table[a], net.table[b])]
+
+    x = [vector(w) for w in words]
+    z, out = float(net.const), iter(net.out)
+    for k in toxicity.WIDTHS:
+        # windows start at each word and right behind the last one, where only zeros follow
+        windows = [sum((x[i + j] if i + j < len(x) else zero for j in range(k)), []) for i in range(len(x) + 1)]
+        for f in range(toxicity.FILTERS):
+            best = max(sum(a * float(b) for a, b in zip(w, net.filters[k][:, f])) + float(net.bias[k][f]) for w in windows)
+            z += max(best, 0.0) * float(next(out))
+    votes = [sum(w in line.split() for w in words) for line in toxicity.FUNCTION_WORDS.values()]
+    lang = votes.index(max(votes)) if max(votes) else len(votes)
+    return 1 / (1 + exp(-(z + float(net.moved[lang]))))
+
+
+def test_scores_equal_plain_python(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").limit(25)
+    net = toxicity.fit(spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet"))
+    rows = [(r.doc_id, " ".join((r.text or "").split()[:150])) for r in docs.collect()] + [(-1, None), (-2, ""), (-3, "one"), (-4, "das und ist nicht"), (-5, "12 34")]
+    got = {r.doc_id: r.score for r in toxicity.scored(spark.createDataFrame(rows, "doc_id long, text string"), net).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(score_by_hand(net, t), abs=2e-4)
+
+
+def test_steps_follow_the_gradient():
+    w = toxicity.Words()
+    codes, y, weight = [w("aa bb cc dd ee ff gg"), w("hh ii"), w("jj kk ll aa")], np.array([1.0, 0.0, 1.0]), np.array([1.0, 2.0, 0.5])
+
+    def loss(net):
+        z = net.forward(codes).astype(float)
+        return float(np.mean(weight * (np.log1p(np.exp(-z)) * y + np.log1p(np.exp(z)) * (1 - y))))
+
+    def start():
+        net = toxicity.Net(3)
+        net.table = net.table.astype(np.float64) * 20
+        net.filters = {k: f.astype(np.float64) for k, f in net.filters.items()}
+        # away from 0, where a maximum with 0 has no slope
+        net.bias = {k: f.astype(np.float64) + 0.05 for k, f in net.bias.items()}
+        net.out = net.out.astype(np.float64)
+        return net
+
+    moved, rate, eps = start(), 1e-3, 1e-4
+    moved.step(codes, y, weight, rate)
+    touched = np.unique(np.concatenate([(c >> 20) % toxicity.BUCKETS for c in codes]))[:4]
+    for get, scale in ((lambda n: n.filters[2], 1), (lambda n: n.bias[1], 1), (lambda n: n.out, 1), (lambda n: n.table[touched], toxicity.EMBED)):
+        before, after = get(start()), get(moved)
+        for at in list(np.ndindex(before.shape))[:: max(1, before.size // 12)]:
+            side = []
+            for sign in (1, -1):
+                net = start()
+                if before.shape == (len(touched), toxicity.DIM):
+                    net.table[touched[at[0]], at[1]] += sign * eps
+                else:
+                    get(net)[at] += sign * eps
+                side.append(loss(net))
+            slope = (side[0] - side[1]) / (2 * eps)
+            assert (before[at] - after[at]) / rate / scale == pytest.approx(slope, abs=2e-3)
+
+
+def test_an_id_with_many_texts_does_not_flood_the_driver(spark):
+    docs = spark.createDataFrame([(k % 2, f"text number {k} of id {k % 2}") for k in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (1, 0), (None, 1), (0, 7)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels, per_class=20) is not None
+
+
 @pytest.mark.parametrize("labelled", [[], [(1, 0), (3, 0)], [(1, 1), (3, None)]])
 def test_toxicity_without_both_labels(spark, labelled):
     labels = spark.createDataFrame(labelled, "doc_id long, toxic int")

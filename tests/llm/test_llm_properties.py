@@ -78,3 +78,18 @@ def test_merged_spans_do_not_touch(spans):
 def test_any_markup_is_parsed(parts):
     out = html.extract("".join(parts), html.trained())
     assert all(line and line == line.strip() for line in out.split("\n")) or out == ""
+
+
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 99)), max_size=30), st.lists(st.integers(0, 6), max_size=12))
+def test_keys_are_never_parted(rows, sizes):
+    import pyarrow as pa
+
+    rows, at, batches = sorted(rows), 0, []
+    for n in [*sizes, 1000]:
+        part = rows[at : at + n]
+        at += n
+        batches.append(pa.RecordBatch.from_arrays([pa.array([k for k, _ in part], pa.int64()), pa.array([v for _, v in part], pa.int64())], ["key", "v"]))
+    groups = list(simhash.whole_keys(iter(batches), ("key", "v")))
+    assert [tuple(x) for key, v in groups for x in zip(key.tolist(), v.tolist())] == rows
+    seen = [set(key.tolist()) for key, _ in groups]
+    assert all(not a & b for i, a in enumerate(seen) for b in seen[:i])
