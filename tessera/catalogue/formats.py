@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import blocks
 from ..plans import layout
 from ..runtime import shared_folder
-from ..sources import codecs, files, sinks
+from ..sources import codecs, files, hdf5, sinks
 from ..sources.voxels import Volume, default_axes, dims
 from .registry import tables, volume
 
@@ -39,6 +39,37 @@ def tiff_planes(vox: DataFrame) -> DataFrame:
     return codecs.decoded(codecs.encoded(vox, "tif", by="z"))
 
 
+@volume(ALL)
+def hdf5_files(vox: DataFrame) -> DataFrame:
+    """Blocks as HDF5 files of compressed chunks, and read again chunk by chunk."""
+    return codecs.decoded(codecs.encoded(vox, "h5"))
+
+
+@volume("""SELECT block, max(z) - min(z) + 1 AS nz, max(y) - min(y) + 1 AS ny, max(x) - min(x) + 1 AS nx, min(z) * 2.0::DOUBLE AS z0, 2.0::DOUBLE AS dz, 2 AS levels, sum(v)::BIGINT AS total, sum(v) FILTER (WHERE y % 2 = 0 AND x % 2 = 0)::BIGINT AS total1, max(y) - min(y) + 1 AS bdv_y FROM vox GROUP BY block""")
+def imaris_files(vox: DataFrame) -> DataFrame:
+    """Blocks as Imaris files of two resolution levels, and as BigDataViewer files; dimensions, origin, sizes and data out of these."""
+
+    def run(rows):
+        import numpy as np
+        import pandas as pd
+
+        from ..operators.kernels import dense
+
+        a, first, _ = dense(rows, "v")
+        a, n = a.astype("i4"), dict(zip("zyx", a.shape))
+        size = {"z": 2.0, "y": 1.0, "x": 1.0}
+        ends = {f"ExtM{e}{k}": str(size[c] * (f + m)) for k, (c, f) in enumerate(zip("xyz", first[::-1])) for e, m in (("in", 0), ("ax", n[c]))}
+        level = lambda d: {"TimePoint 0": {"Channel 0": {"Data": d}}}
+        tree = {"DataSet": {"ResolutionLevel 0": level(a), "ResolutionLevel 1": level(a[:, ::2, ::2])}, "DataSetInfo": {"Image": {}}}
+        f = hdf5.File.of(hdf5.Writer((2, 8, 8)).file(tree, {"/DataSetInfo/Image": {**{c.upper(): str(n[c]) for c in "zyx"}, **ends}}))
+        p = hdf5.imaris_props(f)
+        b = hdf5.bdv_props(hdf5.File.of(hdf5.Writer((2, 8, 8)).file({"t00000": {"s00": {"0": {"cells": a}}}})))
+        total = [int(f.array(hdf5.imaris_path(k)).sum(dtype=np.int64)) for k in (0, 1)]
+        return pd.DataFrame([(int(rows["block"].iloc[0]), *(p["dims"][c] for c in "zyx"), p["origin"]["z"], p["elsize"]["z"], p["levels"], *total, b["y"])])
+
+    return vox.select("block", "z", "y", "x", "v").groupBy("block").applyInPandas(run, "block long, nz long, ny long, nx long, z0 double, dz double, levels int, total long, total1 long, bdv_y long")
+
+
 @volume("SELECT z, y, x, floor((v - lo) * (255.0::DOUBLE / (hi - lo))) AS v FROM vox JOIN (SELECT z, min(v) AS lo, max(v) AS hi FROM vox GROUP BY z) USING (z)")
 def png_planes(vox: DataFrame) -> DataFrame:
     """Planes as grey pictures, each stretched from its least to its greatest value, and read again."""

@@ -1,4 +1,4 @@
-"""Binary volumes without foreign libraries: NIfTI, plain TIFF, PNG planes; HDF5 where h5py is installed.
+"""Binary volumes without foreign libraries: NIfTI, plain TIFF, PNG planes, HDF5.
 
 Files come through Spark's ``binaryFile`` source, so any store works, and are
 decoded one file a task; a folder of planes is decoded plane by plane.
@@ -126,21 +126,29 @@ def png(raw: bytes) -> np.ndarray:
     return rows[:, 1:]
 
 
-def hdf5(path: str, dataset: str) -> np.ndarray:
-    """A dataset of an HDF5 file that this machine can open."""
-    try:
-        import h5py
-    except ImportError as e:
-        raise RuntimeError("reading HDF5 (also Imaris and BigDataViewer files) needs h5py, which is not installed") from e
-    with h5py.File(path, "r") as f:
-        return f[dataset][...]
+def hdf5(raw: bytes, dataset: str = "/data") -> np.ndarray:
+    """A dataset of an HDF5 file that is in memory; files on a shared file system are read chunk by chunk by ``hdf5.Hdf5Source``."""
+    from .hdf5 import File
+
+    return File.of(raw).array(dataset)
+
+
+def to_hdf5(a: np.ndarray, dataset: str = "/data", chunk: tuple[int, ...] | None = None, elsize: list[float] | None = None, axes: str = "") -> bytes:
+    """A file with one dataset in nested groups, in compressed chunks if their shape is given, with voxel sizes and axis letters as attributes."""
+    from .hdf5 import Writer
+
+    tree: object = a
+    for name in reversed([n for n in dataset.split("/") if n]):
+        tree = {name: tree}
+    own = {k: v for k, v in (("element_size_um", np.array(elsize, float) if elsize else None), ("DIMENSION_LABELS", axes or None)) if v is not None}
+    return Writer(chunk).file(tree, {dataset: own})
 
 
 def _decoding(axes: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, plane, raw in zip(*(b.column(c).to_pylist() for c in ("path", "plane", "content"))):
-                a = nifti(raw)[0] if ".nii" in path else png(raw)[None] if ".png" in path else tiff(raw)
+                a = nifti(raw)[0] if ".nii" in path else png(raw)[None] if ".png" in path else hdf5(raw) if ".h5" in path else tiff(raw)
                 order = {k: i for i, k in enumerate("xyztc" if ".nii" in path else "zyx")}
                 a = np.moveaxis(a.reshape(a.shape + (1,) * (3 - a.ndim)), [order[k] for k in axes], range(3))
                 for z, page in enumerate(a):
@@ -161,7 +169,7 @@ def encoded(vox: DataFrame, kind: str, by: str = "block", dtype: str = "i4") ->
 
         a, first, _ = dense(rows, "v")
         a = a.astype(dtype)
-        raw = to_nifti(a.T, {}) if kind == "nii" else to_png(a[0]) if kind == "png" else to_tiff(a)
+        raw = to_nifti(a.T, {}) if kind == "nii" else to_png(a[0]) if kind == "png" else to_hdf5(a, chunk=(4, 8, 8)) if kind == "h5" else to_tiff(a)
         ends = [f"{lo:05d}-{lo + n:05d}" for lo, n in zip(first[::-1], a.shape[::-1])]
         return pd.DataFrame({"path": [f"vol_{'_'.join(ends)}.{kind}"], "content": [raw]})
 

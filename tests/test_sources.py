@@ -76,6 +76,56 @@ def test_ome_metadata(spark):
     assert [(r.name, r.nz, r.dx, r.dy) for r in rows] == [("s0", 6, 0.5, 1.0), ("s1", 1, 1.0, 1.0)]
 
 
+def test_hdf5_round_trip(spark, tmp_path):
+    from tessera.sources import hdf5
+
+    r = np.random.default_rng(3)
+    a, many = r.integers(-900, 900, (9, 21, 17)).astype("i2"), {f"set {k:03d}": np.full((2, 2, 2), k, "u2") for k in range(300)}
+    tree = {"group": {"inner": {"data": a, "flat": np.arange(5.0)}, "empty": {}}, "many": many, "half": (a[:1] > 0).astype("u1"), "real": a.astype("f4") / 7}
+    attributes = {"/group": {"size": np.array([2.0, 0.5]), "n": 7}, "/group/inner/data": {"label": "zyx"}}
+    for chunk in (None, (4, 8, 8), (1, 2, 3)):
+        f = hdf5.File.of(hdf5.Writer(chunk).file(tree, attributes))
+        assert f.names() == ["group", "half", "many", "real"] and f.names("/group") == ["empty", "inner"] and f.names("/group/empty") == []
+        assert (f.array("/group/inner/data") == a).all() and (f.array("group/inner/flat") == np.arange(5)).all() and (f.array("/real") == tree["real"]).all()
+        assert len(f.names("/many")) == 300 and (f.array("/many/set 217") == 217).all()
+        assert f.attributes("/group")["n"] == 7 and f.attributes("/group")["size"].tolist() == [2.0, 0.5] and f.attributes("/group/inner/data") == {"label": "zyx"}
+        assert len(f.dataset("/group/inner/data").parts) == {None: 1, (4, 8, 8): 27, (1, 2, 3): 9 * 11 * 6}[chunk]
+    (tmp_path / "v.h5").write_bytes(codecs.to_hdf5(a, "/a/b", (4, 8, 8), [2.0, 1.0, 1.0], "zyx"))
+    spark.dataSource.register(hdf5.Hdf5Source)
+    read = spark.read.format("tessera_hdf5").option("dataset", "/a/b").option("z0", 3).option("z1", 6).option("x1", 8)
+    df = read.load(str(tmp_path / "v.h5"))
+    got = {(x.z, x.y, x.x): x.v for x in df.collect()}
+    assert len(got) == 3 * 21 * 8 and all(a[k] == v for k, v in got.items()) and df.rdd.getNumPartitions() == 2 * 3 * 1
+    for bad in (b"no file at all" * 20, hdf5.MAGIC + bytes(200)):
+        with np.testing.assert_raises(ValueError):
+            hdf5.File.of(bad).names()
+
+
+def test_hdf5_new_style_groups():
+    """Object headers of version 2 with compact links, put together by hand."""
+    import struct
+
+    from tessera.sources import hdf5
+
+    data = np.arange(6, dtype="<u2")
+    out = bytearray(48)
+    at = len(out)
+    out += data.tobytes() + bytes(4)
+
+    def header(*messages: tuple[int, bytes]) -> int:
+        body = b"".join(struct.pack("<BHB", k, len(d), 0) + d for k, d in messages)
+        where = len(out)
+        out.extend(b"OHDR" + bytes([2, 0, len(body)]) + body + bytes(4))
+        return where
+
+    space = struct.pack("<BBBBQQ", 2, 2, 0, 1, 2, 3)
+    leaf = header((1, space), (3, struct.pack("<BBBBIHH", 0x10, 0, 0, 0, 2, 0, 16)), (8, struct.pack("<BBQQ", 3, 1, at, 12)))
+    root = header((6, bytes([1, 0, 4]) + b"leaf" + struct.pack("<Q", leaf)))
+    out[:48] = hdf5.MAGIC + bytes([2, 8, 8, 0]) + struct.pack("<QQQQ", 0, hdf5.NOWHERE, len(out), root) + bytes(4)
+    f = hdf5.File.of(bytes(out))
+    assert f.names() == ["leaf"] and f.array("leaf").tolist() == [[0, 1, 2], [3, 4, 5]]
+
+
 def test_nifti_and_tiff_round_trip(spark, tmp_path):
     a = np.arange(2 * 3 * 4, dtype="u2").reshape(2, 3, 4)
     back, size = codecs.nifti(codecs.to_nifti(a.T, {"x": 0.5, "z": 2.0}))
