@@ -1,7 +1,8 @@
 """Binary volumes without foreign libraries: NIfTI, plain TIFF, PNG planes, HDF5.
 
 Files come through Spark's ``binaryFile`` source, so any store works, and are
-decoded one file a task; a folder of planes is decoded plane by plane.
+decoded one file a task; a folder of planes is decoded plane by plane. Large
+files on a shared file system go through ``PlaneSource``, one plane a partition.
 """
 
 from __future__ import annotations
@@ -9,12 +10,14 @@ from __future__ import annotations
 import gzip
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # NIfTI-1 data types, TIFF field sizes and sample formats.
 NIFTI = {2: "u1", 4: "i2", 8: "i4", 16: "f4", 64: "f8", 256: "i1", 512: "u2", 768: "u4", 1024: "i8", 1280: "u8"}
@@ -56,31 +59,116 @@ def to_nifti(a: np.ndarray, elsize: dict[str, float]) -> bytes:
     return bytes(h) + np.asfortranarray(a).tobytes(order="F")
 
 
-def tiff(raw: bytes) -> np.ndarray:
-    """Pages of an uncompressed or deflated TIFF as one array, page by page."""
-    end = "<" if raw[:2] == b"II" else ">"
-    at, = struct.unpack(end + "I", raw[4:8])
+@dataclass(frozen=True)
+class Page:
+    """One page of a TIFF: its size and type, where its strips are, and whether they are deflated."""
+
+    height: int
+    width: int
+    kind: str
+    strips: tuple[tuple[int, int], ...]
+    deflated: bool
+
+    def array(self, read: Callable[[int, int], bytes]) -> np.ndarray:
+        data = [read(at, n) for at, n in self.strips]
+        data = b"".join(map(zlib.decompress, data) if self.deflated else data)
+        return np.frombuffer(data, np.dtype(self.kind), self.width * self.height).reshape(self.height, self.width)
+
+
+def tiff_pages(read: Callable[[int, int], bytes]) -> list[Page]:
+    """The pages of a TIFF, uncompressed or deflated, from its directories alone; ``read(offset, n)`` gives bytes."""
+    head = read(0, 8)
+    end = "<" if head[:2] == b"II" else ">"
+    at, = struct.unpack(end + "I", head[4:8])
     pages = []
     while at:
-        n, = struct.unpack(end + "H", raw[at : at + 2])
+        n, = struct.unpack(end + "H", read(at, 2))
+        entries = read(at + 2, 12 * n + 4)
         tags = {}
         for k in range(n):
-            tag, kind, count = struct.unpack(end + "HHI", raw[at + 2 + 12 * k : at + 10 + 12 * k])
+            tag, kind, count = struct.unpack_from(end + "HHI", entries, 12 * k)
             if kind in FIELD:
                 form = f"{end}{FIELD[kind] * count}"
                 size = struct.calcsize(form)
-                where = at + 10 + 12 * k
-                where = where if size <= 4 else struct.unpack(end + "I", raw[where : where + 4])[0]
-                tags[tag] = struct.unpack(form, raw[where : where + size])
-        if tags.get(259, (1,))[0] not in (1, 8, 32946):
+                value = entries[12 * k + 8 : 12 * k + 8 + size] if size <= 4 else read(struct.unpack_from(end + "I", entries, 12 * k + 8)[0], size)
+                tags[tag] = struct.unpack(form, value)
+        how = tags.get(259, (1,))[0]
+        if how not in (1, 8, 32946):
             raise ValueError("this TIFF compression is not supported")
         width, height = tags[256][0], tags[257][0]
         kind = np.dtype(end + SAMPLE[tags.get(339, (1,))[0], tags.get(258, (1,))[0]])
-        data = [raw[o : o + c] for o, c in zip(tags[273], tags.get(279, (width * height * kind.itemsize,)))]
-        data = b"".join(data if tags.get(259, (1,))[0] == 1 else map(zlib.decompress, data))
-        pages.append(np.frombuffer(data, kind, width * height).reshape(height, width))
-        at, = struct.unpack(end + "I", raw[at + 2 + 12 * n : at + 6 + 12 * n])
-    return np.stack(pages)
+        strips = tuple(zip(tags[273], tags.get(279, (width * height * kind.itemsize,))))
+        pages.append(Page(height, width, kind.str, strips, how != 1))
+        at, = struct.unpack_from(end + "I", entries, 12 * n)
+    return pages
+
+
+def tiff(raw: bytes) -> np.ndarray:
+    """Pages of an uncompressed or deflated TIFF as one array, page by page."""
+    read = lambda at, n: raw[at : at + n]
+    return np.stack([p.array(read) for p in tiff_pages(read)])
+
+
+def nifti_planes(read: Callable[[int, int], bytes]) -> list[Page]:
+    """The planes along z of an uncompressed NIfTI file of three dimensions, as pages."""
+    head = read(0, 352)
+    end = "<" if struct.unpack("<i", head[:4])[0] == 348 else ">"
+    dim = struct.unpack(end + "8h", head[40:56])
+    kind = np.dtype(end + NIFTI[struct.unpack(end + "h", head[70:72])[0]])
+    offset, slope, inter = struct.unpack(end + "3f", head[108:120])
+    if dim[0] > 3 and any(n > 1 for n in dim[4 : 1 + dim[0]]) or slope and (slope, inter) != (1.0, 0.0):
+        raise ValueError("only plain volumes are read plane by plane")
+    x, y, z = dim[1:4]
+    size = x * y * kind.itemsize
+    return [Page(y, x, kind.str, ((int(offset) + k * size, size),), False) for k in range(max(1, z))]
+
+
+def _reading(path: str) -> Callable[[int, int], bytes]:
+    f = open(path, "rb")
+
+    def read(at: int, n: int) -> bytes:
+        f.seek(at)
+        return f.read(n)
+
+    return read
+
+
+class _PagePart(InputPartition):
+    def __init__(self, z: int, page: Page):
+        self.z, self.page = z, page
+
+
+class _PageReader(DataSourceReader):
+    def __init__(self, path: str, planes: tuple[int, int]):
+        self.path, self.planes = path, planes
+
+    def partitions(self):
+        read, (lo, hi) = _reading(self.path), self.planes
+        pages = nifti_planes(read) if self.path.endswith(".nii") else tiff_pages(read)
+        return [_PagePart(z, p) for z, p in enumerate(pages) if lo <= z < (hi or len(pages))]
+
+    def read(self, part: _PagePart):
+        a = part.page.array(_reading(self.path))
+        y, x = np.indices(a.shape)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(a.size, part.z)), pa.array(y.ravel()), pa.array(x.ravel()), pa.array(a.ravel().astype(float))], ["z", "y", "x", "v"])
+
+
+class PlaneSource(DataSource):
+    """``spark.read.format("tessera_planes").load(path)``: a TIFF or an uncompressed .nii on a file system that all machines share.
+
+    One partition a plane, of which only its bytes are read; options ``z0``
+    and ``z1`` bound the planes. Files elsewhere, and .nii.gz, go through ``read``, one file a task.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "tessera_planes"
+
+    def schema(self) -> str:
+        return "z long, y long, x long, v double"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _PageReader(self.options["path"], (int(self.options.get("z0", 0)), int(self.options.get("z1", 0))))
 
 
 def to_tiff(a: np.ndarray) -> bytes:

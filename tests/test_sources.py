@@ -140,6 +140,17 @@ def test_nifti_and_tiff_round_trip(spark, tmp_path):
         assert len(got) == a.size and all(a[k] == v for k, v in got.items())
 
 
+def test_planes_are_read_alone(spark, tmp_path):
+    a = np.random.default_rng(4).integers(0, 999, (5, 6, 7)).astype("u2")
+    (tmp_path / "v.nii").write_bytes(codecs.to_nifti(a.T, {}))
+    (tmp_path / "v.tif").write_bytes(codecs.to_tiff(a))
+    spark.dataSource.register(codecs.PlaneSource)
+    for name in ("v.nii", "v.tif"):
+        df = spark.read.format("tessera_planes").option("z0", 1).option("z1", 4).load(str(tmp_path / name))
+        got = {(r.z, r.y, r.x): r.v for r in df.collect()}
+        assert len(got) == 3 * 42 and all(a[k] == v for k, v in got.items()) and df.rdd.getNumPartitions() == 3
+
+
 def test_folder_of_planes_and_png(spark, tmp_path):
     a = np.arange(24, dtype="u2").reshape(2, 3, 4)
     for k, plane in enumerate(a):
