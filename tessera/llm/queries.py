@@ -119,6 +119,19 @@ def _op7_sql() -> str:
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN g USING (doc_id)"""
 
 
+#: A repeated run of lines is a union of pairs of lines that occurred before; runs of removed lines are counted where they begin.
+OP10_SQL = r"""
+WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''))),
+p AS (SELECT doc_id, i, line AS a, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM l),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, i) AS k FROM p WHERE b IS NOT NULL AND (regexp_matches(a, '[^\x09-\x0D\x20]') OR regexp_matches(b, '[^\x09-\x0D\x20]'))),
+g AS (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM r WHERE k > 1),
+m AS (SELECT l.doc_id, l.i, line, g.i IS NOT NULL AS gone FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.i = l.i),
+n AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM m),
+t AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_lines_removed, count(*) FILTER (WHERE starts) AS n_chunks_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM n GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines_removed, 0) AS n_lines_removed, coalesce(n_chunks_removed, 0) AS n_chunks_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents LEFT JOIN t USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Fingerprints by XXH64, tokens, trained models and hashed boundaries have no SQL; tests compare those with plain Python."""
-    return {"op1_substrings": OP1_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql()}
+    """Fingerprints by XXH64, tokens and trained models have no SQL; tests compare those with plain Python."""
+    return {"op1_substrings": OP1_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql(), "op10_lines": OP10_SQL}
