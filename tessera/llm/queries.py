@@ -132,6 +132,14 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_lines_removed, 0) AS
 """
 
 
+#: What the model must find where the article is an element of headings and paragraphs, as in all pages of the given tables: its blocks, without markup.
+OP2_SQL = r"""
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM (SELECT page_id, url, array_to_string(list_filter(list_transform(
+ regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(?:p|h1|br)>'),
+ lambda b: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(b, '</?b>', '', 'g'), '&quot;', '"'), '&quot', '"'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g'))), lambda b: b <> ''), chr(10)) AS text FROM pages)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Fingerprints by XXH64, tokens and trained models have no SQL; tests compare those with plain Python."""
-    return {"op1_substrings": OP1_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql(), "op10_lines": OP10_SQL}
+    return {"op1_substrings": OP1_SQL, "op2_html": OP2_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql(), "op10_lines": OP10_SQL}
