@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import profile
+from ..operators import features, profile
 from .registry import tables, volume
 
 E4 = "WITH e AS (SELECT vec_id, label, embedding[1]::DOUBLE AS m1, embedding[2]::DOUBLE AS m2, embedding[3]::DOUBLE AS m3 FROM embeddings)"
@@ -94,3 +94,35 @@ def above_quantile(read) -> DataFrame:
 def features_long(vox: DataFrame) -> DataFrame:
     w = vox.groupBy("c").agg(F.avg("v").alias("mean"), F.median("v").alias("median"), F.max("v").cast("double").alias("top"))
     return w.unpivot("c", ["mean", "median", "top"], "name", "value").withColumn("value", F.round("value", 6))
+
+
+@tables("""WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), m AS (SELECT k, avg(v[k]) AS m FROM e, (SELECT unnest(range(1, 65)) AS k) WHERE vec_id % 2 = 0 GROUP BY k)
+ SELECT vec_id, round(sum((v[k] - m) * (v[k] - m)), 6) AS square FROM e, m WHERE vec_id % 2 = 1 AND vec_id BETWEEN 20 AND 400 GROUP BY vec_id""")
+def embedded_rows(read) -> DataFrame:
+    """A range of test rows on all components fitted on the training rows: a turn, so squared lengths are those from the training mean."""
+    v = _vectors(read)
+    model = profile.fit_pca(v.where("id % 2 = 0"), 64)
+    out = profile.embed(v.where("id % 2 = 1 and id between 20 and 400"), model)
+    return out.select(F.col("id").alias("vec_id"), F.round(F.aggregate("pc", F.lit(0.0), lambda s, x: s + x * x), 6).alias("square"))
+
+
+@tables("""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), d AS (SELECT a.vec_id, b.label, b.vec_id AS other, list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM e a JOIN e b ON a.vec_id % 2 = 1 AND b.vec_id % 2 = 0)
+ SELECT vec_id, label AS predicted FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, other) AS k FROM d) WHERE k = 1""")
+def predicted_from_embedding(read) -> DataFrame:
+    """Test rows embedded by the training rows' components, and predicted by the nearest training row there."""
+    v = _vectors(read)
+    train, test = v.where("id % 2 = 0"), v.where("id % 2 = 1")
+    model = profile.fit_pca(train, 64)
+    places = [profile.embed(t, model).select("id", F.col("pc").alias("v")) for t in (test, train)]
+    near = profile.knn(places[0], 1, among=places[1])
+    return near.join(train.select(F.col("id").alias("other"), "label"), "other").select(F.col("id").alias("vec_id"), F.col("label").alias("predicted"))
+
+
+@tables(E4 + """, f AS (SELECT * FROM e WHERE m1 BETWEEN -0.15 AND 0.15), s AS (SELECT avg(m1) AS a1, stddev_pop(m1) AS s1, avg(m2) AS a2, stddev_pop(m2) AS s2, avg(m3) AS a3, stddev_pop(m3) AS s3 FROM f),
+ n AS (SELECT vec_id, label, (m1 - a1) / s1 AS m1, (m2 - a2) / s2 AS m2, (m3 - a3) / s3 AS m3 FROM f, s), d AS (SELECT * FROM n ORDER BY md5(vec_id::VARCHAR || ':4'), vec_id LIMIT 100)
+ SELECT vec_id, label, round(m1, 5) AS m1, round(m2, 5) AS m2, round(m3, 5) AS m3 FROM d WHERE m2 < 1.1""")
+def sampled_profiles(read) -> DataFrame:
+    """The data of a profile: bounded, normalised, a hundred rows drawn, and those beyond a place of the map left out."""
+    kept = features.bounded(_markers(read), {"m1": (-0.15, 0.15)})
+    rows = profile.drawn(profile.scaled(kept, MARKERS, "standard"), "vec_id", 100, 4)
+    return _rounded(rows.where("m2 < 1.1"), 5)

@@ -27,14 +27,14 @@ def scaled(df: DataFrame, columns: list[str], how: str) -> DataFrame:
     return out.drop(*s.columns)
 
 
-def pca(vectors: DataFrame, k: int = 3, column: str = "v") -> DataFrame:
-    """Adds ``pc``, the first components, from the covariance of all rows; its matrix is columns by columns.
+def fit_pca(vectors: DataFrame, k: int = 3, column: str = "v") -> tuple[np.ndarray, np.ndarray] | None:
+    """Mean and weights of the first components, from the covariance of all rows, whose matrix is columns by columns; None without rows.
 
     Signs are fixed so that each component's largest weight is positive.
     """
     one = vectors.select(column).first()
     if one is None:
-        return vectors.withColumn("pc", F.array(*(F.lit(0.0) for _ in range(k))))
+        return None
     n = len(one[0])
 
     def sums(frames):
@@ -52,22 +52,36 @@ def pca(vectors: DataFrame, k: int = 3, column: str = "v") -> DataFrame:
     mean = full[n] / m
     w = np.linalg.eigh(full[:n] / m - np.outer(mean, mean))[1][:, ::-1][:, :k]
     w = w * np.sign(w[np.abs(w).argmax(axis=0), np.arange(k)])
-    dot = [F.aggregate(F.zip_with(column, F.array(*map(F.lit, w[:, j].tolist())), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) - float(mean @ w[:, j]) for j in range(k)]
+    return mean, w
+
+
+def embed(vectors: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, column: str = "v", k: int = 3) -> DataFrame:
+    """Adds ``pc``, the places of rows on the components of a fitted model; zeros without one."""
+    if model is None:
+        return vectors.withColumn("pc", F.array(*(F.lit(0.0) for _ in range(k))))
+    mean, w = model
+    dot = [F.aggregate(F.zip_with(column, F.array(*map(F.lit, w[:, j].tolist())), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) - float(mean @ w[:, j]) for j in range(w.shape[1])]
     return vectors.withColumn("pc", F.array(*dot))
 
 
-def knn(vectors: DataFrame, k: int, block: int = 2048) -> DataFrame:
-    """Exact neighbours ``(id, rank, other, distance)`` of ``vectors(id, v)``, block by block.
+def pca(vectors: DataFrame, k: int = 3, column: str = "v") -> DataFrame:
+    """Rows with their places on their own first components."""
+    return embed(vectors, fit_pca(vectors, k, column), column, k)
+
+
+def knn(vectors: DataFrame, k: int, block: int = 2048, among: DataFrame | None = None) -> DataFrame:
+    """Exact neighbours ``(id, rank, other, distance)`` of ``vectors(id, v)``, block by block; of other rows, if given, else of themselves.
 
     Every pair of blocks is one task with a bounded matrix; each keeps the k
     best of its rows only, and these are merged. Work is quadratic, as exact neighbours need.
     """
     x = cut(vectors.select("id", F.col("v").cast("array<double>").alias("v")))
-    sides = max(1, ceil(x.count() / block))
-    own = F.pmod(F.xxhash64("id"), F.lit(sides)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(sides - 1)))
-    left = x.select("id", "v", own.alias("a"), every.alias("b"))
-    right = x.select("id", "v", every.alias("a"), own.alias("b"))
+    y = x if among is None else cut(among.select("id", F.col("v").cast("array<double>").alias("v")))
+    rows, columns = (max(1, ceil(t.count() / block)) for t in (x, y))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = x.select("id", "v", own(rows).alias("a"), every(columns).alias("b"))
+    right = y.select("id", "v", every(rows).alias("a"), own(columns).alias("b"))
 
     def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
