@@ -45,6 +45,24 @@ def hdf5_files(vox: DataFrame) -> DataFrame:
     return codecs.decoded(codecs.encoded(vox, "h5"))
 
 
+@volume(ALL)
+def czi_files(vox: DataFrame) -> DataFrame:
+    """Blocks as CZI files of a subblock a plane, and read again."""
+    return codecs.decoded(codecs.encoded(vox, "czi"))
+
+
+@volume("SELECT z, y, x, (v % 60000)::DOUBLE AS v FROM vox")
+def lif_files(vox: DataFrame) -> DataFrame:
+    """Blocks as LIF files of 16-bit values."""
+    return codecs.decoded(codecs.encoded(vox.withColumn("v", F.col("v") % 60000), "lif", dtype="u2"))
+
+
+@volume(ALL)
+def dm3_planes(vox: DataFrame) -> DataFrame:
+    """A folder of micrographs, one a plane."""
+    return codecs.decoded(codecs.encoded(vox, "dm3", by="z"))
+
+
 @volume("""SELECT block, max(z) - min(z) + 1 AS nz, max(y) - min(y) + 1 AS ny, max(x) - min(x) + 1 AS nx, min(z) * 2.0::DOUBLE AS z0, 2.0::DOUBLE AS dz, 2 AS levels, sum(v)::BIGINT AS total, sum(v) FILTER (WHERE y % 2 = 0 AND x % 2 = 0)::BIGINT AS total1, max(y) - min(y) + 1 AS bdv_y FROM vox GROUP BY block""")
 def imaris_files(vox: DataFrame) -> DataFrame:
     """Blocks as Imaris files of two resolution levels, and as BigDataViewer files; dimensions, origin, sizes and data out of these."""

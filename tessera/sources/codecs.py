@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .microscopes import czi_tiles, dm3_image, lif_images, to_czi, to_dm3, to_lif
+
 # NIfTI-1 data types, TIFF field sizes and sample formats.
 NIFTI = {2: "u1", 4: "i2", 8: "i4", 16: "f4", 64: "f8", 256: "i1", 512: "u2", 768: "u4", 1024: "i8", 1280: "u8"}
 FIELD = {1: "B", 2: "c", 3: "H", 4: "I", 5: "II"}
@@ -232,11 +234,27 @@ def to_hdf5(a: np.ndarray, dataset: str = "/data", chunk: tuple[int, ...] | None
     return Writer(chunk).file(tree, {dataset: own})
 
 
+def tiled(raw: bytes, path: str, channel: int = 0) -> np.ndarray:
+    """One channel (z, y, x) of the first image of a CZI, LIF or DM3 file; tiles of a CZI plane are laid side by side."""
+    read = lambda at, n: raw[at : at + n]
+    if path.endswith(".dm3"):
+        return dm3_image(read)[0].array(read)[None]
+    tiles = czi_tiles(read) if path.endswith(".czi") else lif_images(read)[0][2]
+    tiles = [t for t in tiles if t.at.get("C", t.at.get("c", 0)) == channel]
+    at = [(t.at.get("Z", t.at.get("z", 0)), t.at.get("Y", 0), t.at.get("X", 0)) for t in tiles]
+    first = np.min(at, axis=0)
+    shape = np.max([(z + 1, y + t.height, x + t.width) for t, (z, y, x) in zip(tiles, at)], axis=0) - first
+    out = np.zeros(shape, tiles[0].kind)
+    for t, (z, y, x) in zip(tiles, np.array(at) - first):
+        out[z, y : y + t.height, x : x + t.width] = t.array(read)
+    return out
+
+
 def _decoding(axes: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, plane, raw in zip(*(b.column(c).to_pylist() for c in ("path", "plane", "content"))):
-                a = nifti(raw)[0] if ".nii" in path else png(raw)[None] if ".png" in path else hdf5(raw) if ".h5" in path else tiff(raw)
+                a = nifti(raw)[0] if ".nii" in path else tiled(raw, path) if path[-4:] in (".czi", ".lif", ".dm3") else png(raw)[None] if ".png" in path else hdf5(raw) if ".h5" in path else tiff(raw)
                 order = {k: i for i, k in enumerate("xyztc" if ".nii" in path else "zyx")}
                 a = np.moveaxis(a.reshape(a.shape + (1,) * (3 - a.ndim)), [order[k] for k in axes], range(3))
                 for z, page in enumerate(a):
@@ -257,7 +275,7 @@ def encoded(vox: DataFrame, kind: str, by: str = "block", dtype: str = "i4") ->
 
         a, first, _ = dense(rows, "v")
         a = a.astype(dtype)
-        raw = to_nifti(a.T, {}) if kind == "nii" else to_png(a[0]) if kind == "png" else to_hdf5(a, chunk=(4, 8, 8)) if kind == "h5" else to_tiff(a)
+        raw = to_nifti(a.T, {}) if kind == "nii" else to_png(a[0]) if kind == "png" else to_hdf5(a, chunk=(4, 8, 8)) if kind == "h5" else to_czi(a[None]) if kind == "czi" else to_lif(a[None]) if kind == "lif" else to_dm3(a[0]) if kind == "dm3" else to_tiff(a)
         ends = [f"{lo:05d}-{lo + n:05d}" for lo, n in zip(first[::-1], a.shape[::-1])]
         return pd.DataFrame({"path": [f"vol_{'_'.join(ends)}.{kind}"], "content": [raw]})
 

@@ -140,6 +140,27 @@ def test_nifti_and_tiff_round_trip(spark, tmp_path):
         assert len(got) == a.size and all(a[k] == v for k, v in got.items())
 
 
+def test_files_of_microscopes():
+    from tessera.sources import microscopes
+
+    a = np.random.default_rng(6).integers(0, 60000, (2, 3, 5, 7)).astype("u2")
+    reader = lambda raw: lambda at, n: raw[at : at + n]
+    raw = microscopes.to_czi(a)
+    tiles = microscopes.czi_tiles(reader(raw))
+    assert len(tiles) == 6 and all((t.array(reader(raw)) == a[t.at["C"], t.at["Z"]]).all() for t in tiles)
+    raw = microscopes.to_lif(a, "cells", {"x": 5e-7, "z": 2e-6})
+    (name, size, tiles), = microscopes.lif_images(reader(raw))
+    assert name == "cells" and np.allclose([size["x"], size["z"]], [5e-7, 2e-6]) and len(tiles) == 6
+    assert all((t.array(reader(raw)) == a[t.at["c"], t.at["z"]]).all() for t in tiles)
+    for kind in ("u2", "i4", "f4", "u1"):
+        raw = microscopes.to_dm3(a[0, 0].astype(kind), 0.25)
+        tile, size = microscopes.dm3_image(reader(raw))
+        assert (tile.array(reader(raw)) == a[0, 0].astype(kind)).all() and size == {"x": 0.25, "y": 0.25}
+    for f in (microscopes.czi_tiles, microscopes.lif_images, microscopes.dm3_tags):
+        with np.testing.assert_raises(ValueError):
+            f(reader(b"something else altogether " * 9))
+
+
 def test_planes_are_read_alone(spark, tmp_path):
     a = np.random.default_rng(4).integers(0, 999, (5, 6, 7)).astype("u2")
     (tmp_path / "v.nii").write_bytes(codecs.to_nifti(a.T, {}))
