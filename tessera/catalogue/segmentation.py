@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import maths
 from ..operators import iterative, kernels
 from ..sources.voxels import dims
 from .registry import volume
@@ -55,6 +56,21 @@ def fill_holes_3d(vox: DataFrame) -> DataFrame:
     return iterative.fill_holes(vox.withColumn("mask", F.col("v") > 900), dims(vox), SIZE)
 
 
+@volume(""", bg AS (SELECT event_id AS n, z, y, x FROM vox WHERE label = 0),
+ f AS (SELECT a.n AS u, b.n AS w FROM bg a JOIN bg b ON b.z = a.z AND b.y = a.y AND b.x = a.x + 1 UNION ALL SELECT a.n, b.n FROM bg a JOIN bg b ON b.z = a.z AND b.y = a.y + 1 AND b.x = a.x), e AS (SELECT u, w FROM f UNION ALL SELECT w, u FROM f),
+ cc(n, component) USING KEY (n) AS (SELECT n, n FROM bg UNION SELECT e.w, min(cc.component) FROM cc JOIN e ON e.u = cc.n JOIN recurring.cc AS old ON old.n = e.w WHERE cc.component < old.component GROUP BY e.w),
+ bd AS (SELECT DISTINCT component FROM cc JOIN bg USING (n) WHERE y = 0 OR y = 24 OR x = 0 OR x = 19),
+ nb AS (SELECT component, min(v.label) AS lo, max(v.label) AS hi FROM cc JOIN bg USING (n) JOIN vox v ON v.z = bg.z AND abs(v.y - bg.y) + abs(v.x - bg.x) = 1 AND v.label > 0 GROUP BY component),
+ pq AS (SELECT quantile_cont(v, 0.01) AS p0, quantile_cont(v, 0.998) AS p1 FROM vox)
+ SELECT vox.z, vox.y, vox.x, CASE WHEN lo = hi AND component NOT IN (SELECT component FROM bd) THEN lo ELSE label END AS label, round(least(greatest((v - p0) / (p1 - p0 + 2.220446049250313e-16), 0.0), 1.0), 6) AS raw FROM vox JOIN pq ON true LEFT JOIN cc ON cc.n = vox.event_id LEFT JOIN nb USING (component)""")
+def training_pairs(vox: DataFrame) -> DataFrame:
+    """Raw values brought to 0 to 1 by percentiles beside labels whose holes are filled, as pairs for training are taken."""
+    labels = iterative.fill_label_holes(vox.select("z", "y", "x", "label"), dims(vox), SIZE)
+    ends = vox.agg(F.percentile("v", F.array(F.lit(0.01), F.lit(0.998))).alias("p"))
+    raw = vox.join(ends).select("z", "y", "x", F.round(maths.stretch(F.col("v"), F.col("p")[0], F.col("p")[1]), 6).alias("raw"))
+    return labels.join(raw, ["z", "y", "x"])
+
+
 @volume(""", t AS (SELECT a.label AS u, b.label AS w FROM vox a JOIN vox b ON a.z = b.z AND a.y = b.y AND b.x = a.x + 1 WHERE a.x = 9 AND a.label > 0 AND b.label > 0 GROUP BY ALL HAVING count(*) >= 8),
  e AS (SELECT u, w FROM t UNION SELECT w, u FROM t), r AS (SELECT u, u AS w FROM e UNION SELECT r.u, e.w FROM r JOIN e ON e.u = r.w) SELECT u AS label, min(w) AS merged FROM r GROUP BY u""")
 def zip_touching(vox: DataFrame) -> DataFrame:

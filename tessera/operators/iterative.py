@@ -99,6 +99,16 @@ def fill_holes(mask: DataFrame, full_size: dict[str, int], block: dict[str, int]
     return mask.select(*KEY, value).join(holes, list(KEY), "left").select(*KEY, (F.col(value) | F.coalesce("_hole", F.lit(False))).alias(value))
 
 
+def fill_label_holes(labels: DataFrame, full_size: dict[str, int], block: dict[str, int]) -> DataFrame:
+    """``labels(z, y, x, label)`` with the holes of objects filled, plane by plane: background that touches one label only, and no border."""
+    back = cut(components(labels.where("label = 0"), full_size, block, planes=True))
+    edge = (F.col("y") == 0) | (F.col("y") == full_size["y"] - 1) | (F.col("x") == 0) | (F.col("x") == full_size["x"] - 1)
+    beside = spread(labels.where("label > 0"), [(0, 0, 1), (0, 0, -1), (0, 1, 0), (0, -1, 0)], "label").select(*KEY, "label")
+    one = back.join(beside, list(KEY)).groupBy("component").agg(F.min("label").alias("_fill"), F.max("label").alias("_hi")).where("_fill = _hi").drop("_hi")
+    holes = back.join(one, "component").join(back.where(edge).select("component").distinct(), "component", "left_anti").select(*KEY, "_fill")
+    return labels.select(*KEY, "label").join(holes, list(KEY), "left").select(*KEY, F.coalesce("_fill", "label").alias("label"))
+
+
 def strips(labels: DataFrame, seam: str, at: int, margin: int, most: int, least: int = 3) -> DataFrame:
     """``(label, n)``: of each label that touches a seam the margins that a strip must have on both sides to hold it whole.
 

@@ -464,3 +464,15 @@ def test_folders_off_local_masters(spark, monkeypatch):
     import os
 
     assert not os.path.exists(path.removeprefix("file:")) and kept is not None
+
+
+def test_holes_of_one_label_are_filled(spark):
+    a = np.zeros((1, 7, 14), int)
+    a[0, 1:6, 1:6], a[0, 1:6, 7:12] = 1, 2
+    a[0, 3, 3] = a[0, 3, 9] = 0
+    a[0, 2, 6], a[0, 4, 6], a[0, 3, 12] = 1, 2, 2
+    a[0, 3, 11] = 0
+    got = array(iterative.fill_label_holes(table(spark, a, "label"), dict(zip("zyx", a.shape)), dict.fromkeys("zyx", 4)), a.shape, "label")
+    want = a.copy()
+    want[0, 3, 3], want[0, 3, 9], want[0, 3, 11] = 1, 2, 2
+    assert (got == want).all() and got[0, 3, 6] == 0
