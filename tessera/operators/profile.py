@@ -6,7 +6,7 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import REMAINDER, cut, numbered
@@ -55,6 +55,17 @@ def fit_pca(vectors: DataFrame, k: int = 3, column: str = "v") -> tuple[np.ndarr
     return mean, w
 
 
+def keep_model(spark: SparkSession, path: str, model: tuple[np.ndarray, np.ndarray]) -> None:
+    """Persist a fitted projection."""
+    rows = [(k, list(a.shape), a.ravel().tolist()) for k, a in zip(("mean", "weights"), model)]
+    spark.createDataFrame(rows, "name string, shape array<long>, value array<double>").write.mode("overwrite").parquet(path)
+
+
+def kept_model(spark: SparkSession, path: str) -> tuple[np.ndarray, np.ndarray]:
+    got = {r["name"]: np.array(r["value"]).reshape(r["shape"]) for r in spark.read.parquet(path).collect()}
+    return got["mean"], got["weights"]
+
+
 def embed(vectors: DataFrame, model: tuple[np.ndarray, np.ndarray] | None, column: str = "v", k: int = 3) -> DataFrame:
     """Adds ``pc``, the places of rows on the components of a fitted model; zeros without one."""
     if model is None:
