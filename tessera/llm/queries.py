@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, lines, neighbours, packing, secrets, simhash, substrings, toxicity
+from . import alignment, decontaminate, html, infill, langid, lines, neighbours, packing, secrets, simhash, substrings, toxicity
 from .common import held_out, table
 
 
@@ -65,8 +65,21 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_lines_removed", "n_chunks_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table_ = alignment.aligned(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    found = alignment.counted(table_.withColumn("groups_sha256", digest).drop("groups"))
+    return found.select("doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.transformed(table(spark, sf_dir, "documents"))
+    chars = [F.char_length(c).cast("long").alias(f"{c}_chars") for c in ("prefix", "middle")]
+    return found.select("doc_id", "n", "form", *chars, F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    mine = (op1_substrings, op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op8_neighbours, op9_langid, op10_lines)
+    mine = (op1_substrings, op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op8_neighbours, op9_langid, op10_lines, op11_alignment, op12_infill)
     return {f.__name__: f for f in mine}
 
 
@@ -140,6 +153,17 @@ SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM (SELECT
 """
 
 
+#: Units as a list, and its parts put together again; what an output is rebuilt to is the text itself.
+OP12_SQL = r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+n AS (SELECT doc_id, t, u, len(u) AS n, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2, ('0x' || s[17:24])::BIGINT AS h3, ('0x' || s[25:32])::BIGINT AS h4 FROM h),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS q FROM n),
+c AS (SELECT doc_id, t, n, form, array_to_string(u[1:p], '') AS a, array_to_string(u[p + 1:q], '') AS b, array_to_string(u[q + 1:n], '') AS z FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256, sha256(t) AS restored_sha256 FROM c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Fingerprints by XXH64, tokens and trained models have no SQL; tests compare those with plain Python."""
-    return {"op1_substrings": OP1_SQL, "op2_html": OP2_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql(), "op10_lines": OP10_SQL}
+    return {"op1_substrings": OP1_SQL, "op2_html": OP2_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql(), "op10_lines": OP10_SQL, "op12_infill": OP12_SQL}
