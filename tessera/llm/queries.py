@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, decontaminate, html, infill, langid, lines, neighbours, packing, secrets, simhash, substrings, toxicity
+from . import alignment, decontaminate, html, infill, langid, lines, neighbours, packing, secrets, simhash, substrings, topk, toxicity
 from .common import held_out, table
 
 
@@ -78,8 +78,13 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n", "form", *chars, F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(topk.whole("embedding")).select("vec_id", topk.scaled("embedding").alias("v"))
+    return topk.search(rows, rows.where("vec_id % 100 = 0"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    mine = (op1_substrings, op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op8_neighbours, op9_langid, op10_lines, op11_alignment, op12_infill)
+    mine = (op1_substrings, op2_html, op3_decontaminate, op4_toxicity, op5_simhash, op6_packing, op7_secrets, op8_neighbours, op9_langid, op10_lines, op11_alignment, op12_infill, op13_topk)
     return {f.__name__: f for f in mine}
 
 
@@ -164,6 +169,14 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_c
 """
 
 
+OP13_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Fingerprints by XXH64, tokens and trained models have no SQL; tests compare those with plain Python."""
-    return {"op1_substrings": OP1_SQL, "op2_html": OP2_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql(), "op10_lines": OP10_SQL, "op12_infill": OP12_SQL}
+    return {"op1_substrings": OP1_SQL, "op2_html": OP2_SQL, "op3_decontaminate": OP3_SQL, "op7_secrets": _op7_sql(), "op10_lines": OP10_SQL, "op12_infill": OP12_SQL, "op13_topk": OP13_SQL}

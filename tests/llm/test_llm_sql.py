@@ -17,4 +17,4 @@ def test_equals_sql(spark, name):
 
 
 def test_one_query_an_operator():
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{k}" for k in range(1, 14)]
