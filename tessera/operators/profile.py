@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..runtime import REMAINDER, cut, numbered
+from .graphs import diffusion_map, diffusion_pseudotime, leiden, pseudotime  # noqa: F401  (parts of a profile too)
 
 
 def scaled(df: DataFrame, columns: list[str], how: str) -> DataFrame:
@@ -226,74 +227,6 @@ def yeo_johnson_lambda(df: DataFrame, column: str, grid: tuple[float, ...] = tup
     return max(likely)[2]
 
 
-def pseudotime(edges: DataFrame, root: int) -> DataFrame:
-    """``(node, steps)``: the least number of edges from the root, frontier by frontier until none is left; unreached nodes are absent."""
-    both = cut(undirected(edges))
-    seen = front = cut(both.where(F.col("src") == root).select(F.col("src").alias("node"), F.lit(0).alias("steps")).distinct())
-    step = 0
-    while front.limit(1).count():
-        step += 1
-        front = cut(both.join(front, both["src"] == front["node"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("steps", F.lit(step)))
-        seen = seen.unionByName(front)
-    return seen
-
-
-def diffusion_map(edges: DataFrame, k: int = 5, rounds: int = 200, tolerance: float = 1e-4, seed: int = 1, spare: int = 4) -> DataFrame:
-    """``(node, dc)``: the ``k`` leading non-trivial eigenvectors of the random walk on a graph, each times its eigenvalue.
-
-    Orthogonal iteration on the symmetric walk D^-1/2 A D^-1/2, half of it
-    staying in place so that eigenvalues are positive; a round is one join and one
-    grouping over the edges, and only small matrices come to the driver. ``spare`` more vectors
-    make it settle sooner. It ends once the eigenvalues asked for
-    move by less than ``tolerance``, or after ``rounds``. Signs are such that the largest entry is positive.
-    """
-    both = cut(undirected(edges))
-    degree = cut(both.groupBy("src").agg(F.count("*").cast("double").alias("k")).withColumnRenamed("src", "node"))
-    total = degree.agg(F.sum("k")).first()[0]
-    start = [F.sin((F.xxhash64("node", F.lit(seed), F.lit(j)) % 1_000_003).cast("double")) for j in range(k + spare)]
-    # the first one is known: it is the root of the degrees
-    state = degree.select("node", F.sqrt("k").alias("r"), F.array(F.sqrt(F.col("k") / (total or 1.0)), *start).alias("v"))
-    if not total:
-        return state.select("node", F.array(*(F.lit(0.0) for _ in range(k))).alias("dc"))
-    n, before, values = k + 1 + spare, None, np.zeros(k + 1 + spare)
-
-    def gram(a: str, b: str) -> list:
-        return [F.sum(F.col(a)[i] * F.col(b)[j]).alias(f"g{i}_{j}") for i in range(n) for j in range(n)]
-
-    def mixed(matrix: np.ndarray, column: str = "v"):
-        return F.array(*(sum((F.col(column)[i] * float(matrix[i, j]) for i in range(n)), F.lit(0.0)) for j in range(n)))
-
-    for _ in range(rounds):
-        g = np.array(state.agg(*gram("v", "v")).first()).reshape(n, n)
-        state = cut(state.select("node", "r", mixed(np.linalg.inv(np.linalg.cholesky(g + 1e-14 * np.eye(n))).T).alias("v")))
-        near = both.join(state.select(F.col("node").alias("dst"), F.transform("v", lambda x: x / F.col("r")).alias("u")), "dst")
-        walked = near.groupBy("src").agg(F.array(*(F.sum(F.col("u")[i]) for i in range(n))).alias("w")).withColumnRenamed("src", "node")
-        new = cut(state.join(walked, "node").select("node", "r", "v", F.zip_with("v", F.transform("w", lambda x: x / F.col("r")), lambda a, b: (a + b) / 2).alias("w")))
-        ritz, turn = np.linalg.eigh((lambda h: (h + h.T) / 2)(np.array(new.agg(*gram("v", "w")).first()).reshape(n, n)))
-        values, turn = ritz[::-1], turn[:, ::-1]
-        state = new.select("node", "r", mixed(turn, "w").alias("v"))
-        if before is not None and np.abs(values - before)[: k + 1].max() < tolerance:
-            break
-        before = values
-    state = cut(state)
-    g = np.array(state.agg(*gram("v", "v")).first()).reshape(n, n)
-    scale = [(2 * float(values[j]) - 1) / float(np.sqrt(g[j, j])) for j in range(1, k + 1)]
-    dc = state.select("node", *((F.col("v")[j] / F.col("r") * scale[j - 1]).alias(f"d{j}") for j in range(1, k + 1)))
-    sign = dc.agg(*(F.max_by(F.signum(f"d{j}"), F.abs(f"d{j}")).alias(f"s{j}") for j in range(1, k + 1))).first()
-    return dc.select("node", F.array(*(F.col(f"d{j}") * float(sign[f"s{j}"] or 1.0) for j in range(1, k + 1))).alias("dc"))
-
-
-def diffusion_pseudotime(edges: DataFrame, root: int, k: int = 5) -> DataFrame:
-    """``(node, time)``: distance from the root in the diffusion map, over the largest one; 0 for nodes that the root does not reach."""
-    dc = cut(diffusion_map(edges, k))
-    reached = pseudotime(edges, root).select("node")
-    start = dc.where(F.col("node") == root).select(F.col("dc").alias("dc0"))
-    square = F.aggregate(F.zip_with("dc", "dc0", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    far = cut(dc.join(reached, "node").join(start).select("node", F.sqrt(square).alias("d")))
-    top = far.agg(F.max("d").alias("top"))
-    return dc.select("node").join(far.join(top).select("node", F.coalesce(F.try_divide("d", "top"), F.lit(0.0)).alias("time")), "node", "left").select("node", F.coalesce("time", F.lit(0.0)).alias("time"))
-
-
 def drawn(rows: DataFrame, key: str, size: int, seed: int = 0) -> DataFrame:
     """``size`` rows without replacement, all if 0, in an order that a digest of key and seed gives, so that every run draws the same ones."""
     return rows if not size else rows.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(size)
