@@ -110,6 +110,22 @@ def _stepped(x: np.ndarray, move: np.ndarray, pulls: np.ndarray, rate: float) ->
     return x + rate * move / np.sqrt(np.maximum(pulls, 1))[:, None]
 
 
+def _moving(seed: int, epoch: int, rate: float, a: float, b: float):
+    """One epoch of a part: its nodes, and the edges that begin there with the places where they end."""
+
+    def moved(key: tuple, mine: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
+        mine = mine.sort_values("node")
+        nodes, x = mine["node"].to_numpy(), np.stack(mine["place"].to_numpy())
+        if len(ends):
+            ends = ends.sort_values(["src", "dst"])
+            at, y, weight = np.searchsorted(nodes, ends["src"].to_numpy()), np.stack(ends["to"].to_numpy()), ends["weight"].to_numpy()
+            move = _forces(x, at, y, weight, x, np.random.default_rng((seed, epoch, key[0])), a, b)
+            x = _stepped(x, move, np.bincount(at, weight, len(x)), rate)
+        return pd.DataFrame({"node": nodes, "place": [*x]})
+
+    return moved
+
+
 def layout(graph: DataFrame, start: DataFrame, epochs: int = 300, min_dist: float = 0.1, seed: int = 42, alone: int = REMAINDER, part: int = PART) -> DataFrame:
     """``graph(src, dst, weight)``, both directions, and ``start(node, place)`` -> ``(node, place)`` after ``epochs``.
 
@@ -126,19 +142,9 @@ def layout(graph: DataFrame, start: DataFrame, epochs: int = 300, min_dist: floa
     for epoch in range(epochs):
         rate = 1 - epoch / epochs
         dealt = places.withColumn("part", F.pmod(F.xxhash64("node", F.lit(seed + epoch)), F.lit(n)).cast("long"))
-        pulls = edges.join(places.select(F.col("node").alias("dst"), F.col("place").alias("to")), "dst").select(F.pmod(F.xxhash64(F.col("src"), F.lit(seed + epoch)), F.lit(n)).cast("long").alias("part"), "src", "to", "weight")
-
-        def moved(key, mine: pd.DataFrame, ends: pd.DataFrame, epoch=epoch, rate=rate) -> pd.DataFrame:
-            mine = mine.sort_values("node")
-            nodes, x = mine["node"].to_numpy(), np.stack(mine["place"].to_numpy()) if len(mine) else np.zeros((0, 0))
-            if len(ends):
-                ends = ends.sort_values(["src", "weight"])
-                at, y = np.searchsorted(nodes, ends["src"].to_numpy()), np.stack(ends["to"].to_numpy())
-                move = _forces(x, at, y, ends["weight"].to_numpy(), x, np.random.default_rng((seed, epoch, key[0])), a, b)
-                x = _stepped(x, move, np.bincount(at, ends["weight"], len(x)), rate)
-            return pd.DataFrame({"node": nodes, "place": [*x]})
-
-        places = cut(dealt.groupBy("part").cogroup(pulls.groupBy("part")).applyInPandas(moved, "node long, place array<double>"))
+        pulls = edges.join(places.select(F.col("node").alias("dst"), F.col("place").alias("to")), "dst").select(F.pmod(F.xxhash64(F.col("src"), F.lit(seed + epoch)), F.lit(n)).cast("long").alias("part"), "src", "dst", "to", "weight")
+
+        places = cut(dealt.groupBy("part").cogroup(pulls.groupBy("part")).applyInPandas(_moving(seed, epoch, rate, a, b), "node long, place array<double>"))
     return places
 
 
