@@ -33,9 +33,9 @@ from ..runtime import stored
 
 A, B = "byte_bpe_50k", "piece_bpe_32k"
 #: Characters of text, about, in a block.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 #: Units, and characters of units, remembered from block to block; those of the block at hand are all known.
-KNOWN, KNOWN_CHARS = 200_000, 4_000_000
+KNOWN, KNOWN_CHARS = 150_000, 4_000_000
 UNIT = re.compile(r"(?<=\S)(?= )")
 #: Where this is absent, all single spaces follow something else.
 ODD = re.compile(r"\s ")

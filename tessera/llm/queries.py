@@ -170,8 +170,8 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_c
 
 
 OP13_SQL = """
-WITH e AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
