@@ -7,14 +7,16 @@ end, so boundaries follow the content and move with it.
    then place, the same document included) are removed whole.
 2. A repeated run need not begin or end at a boundary. So matches are extended
    line by line: of the chunks that stay, and over the edge from each chunk to
-   the next, two lines in a row that occur at an earlier place go as well. Any
-   repeated run of two or more lines is a union of such pairs and chunks, so
-   it goes wherever it begins, and where the boundaries fall decides only how
-   much is left to compare line by line.
+   the next, two lines in a row that occur at an earlier place go as well, and
+   so does a line with blank ones behind or before it, however many. Any
+   repeated run of two or more lines that are not all blank is a union of these,
+   so it goes wherever it begins, and where the boundaries fall decides only how
+   much is left to compare line by line. No boundary is next to a blank line.
 
 Bytes are compared through the lines: a table of all distinct lines shows that
 no hash of a line stands for two contents (else lines are hashed anew with
-another seed), so equal hashes of lines are equal bytes.
+another seed), so equal hashes of lines are equal bytes. Blank lines in a row
+are told apart by 64 bits of all of them.
 """
 
 from __future__ import annotations
@@ -49,9 +51,28 @@ def boundaries(hashes: np.ndarray) -> np.ndarray:
     rolled ^= rolled >> np.uint64(31)
     rolled *= np.uint64(0xD6E8FEB86659FD93)
     ends = np.flatnonzero((rolled >> np.uint64(33)) % np.uint64(EVERY) == 0) + 1
+    said = (hashes & 1).astype(bool)
+    ends = ends[said[ends - 1] & said[np.minimum(ends, len(h) - 1)]]
     return ends if len(ends) and ends[-1] == len(h) else np.append(ends, len(h))
 
 
+def blank_links(lines: list[bytes], said: np.ndarray, hashes: np.ndarray, seed: int = 0) -> list[tuple[int, int, int, int]]:
+    """(hash of a line, hash of the blank lines behind or before it, first line, end) for every number of these."""
+    import xxhash
+
+    out = []
+    edges = np.flatnonzero(np.diff(np.concatenate([[1], said, [1]])))
+    for start, end in edges.reshape(-1, 2).tolist():
+        # behind the line before them, then before the line behind them
+        for near, order in ((start - 1, range(start, end)), (end, range(end - 1, start - 1, -1))):
+            if 0 <= near < len(lines):
+                whole = xxhash.xxh3_64(seed=2 * seed + 1 + (near == end))
+                for k in order:
+                    whole.update(lines[k] + b"\n")
+                    out.append((int(hashes[near]), whole.intdigest() - (1 << 63), min(near, k), max(near, k) + 1))
+    return sorted(out, key=lambda x: x[2])
+
+
 def _lines(seed: int):
     """Hash and bytes of the lines of texts that have more than one."""
 
@@ -67,25 +88,33 @@ def _lines(seed: int):
 
 
 def _chunking(seed: int):
-    """A row for each chunk: its place, the hashes of its lines, and that of the line behind it."""
+    """A row for each chunk: its place, the hashes of its lines, that of the line behind it, and the links of its blank lines."""
+    links = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("line", pa.int32()), ("upto", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            which, first, hashes, behind = [], [], [], []
+            which, first, hashes, behind, blank = [], [], [], [], []
             for i, t in enumerate(b.column("text").cast(pa.binary())):
                 lines = t.as_py().split(b"\n")
                 if len(lines) > 1:
                     h = np.array([line_hash(x, seed) for x in lines], np.int64)
-                    start = 0
+                    said = h & 1
+                    near = [] if said.all() else blank_links(lines, said, h, seed)
+                    start = at = 0
                     for end in boundaries(h).tolist():
+                        upto = at
+                        while upto < len(near) and near[upto][2] < end:
+                            upto += 1
+                        blank.append([dict(zip(("a", "b", "line", "upto"), x)) for x in near[at:upto]])
+                        at = upto
                         which.append(i)
                         first.append(start)
                         hashes.append(h[start:end])
                         behind.append(int(h[end]) if end < len(h) else None)
                         start = end
             at = pa.array(which, pa.int64())
-            columns = [b.column("doc_id").take(at), b.column("tie").take(at), pa.array(first, pa.int32()), pa.array(hashes, pa.list_(pa.int64())), pa.array(behind, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "line", "hashes", "behind"])
+            columns = [b.column("doc_id").take(at), b.column("tie").take(at), pa.array(first, pa.int32()), pa.array(hashes, pa.list_(pa.int64())), pa.array(behind, pa.int64()), pa.array(blank, links)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "line", "hashes", "behind", "blank"])
 
     return run
 
@@ -96,20 +125,21 @@ def repeats(docs: DataFrame) -> DataFrame:
     seed = 0
     while docs.mapInArrow(_lines(seed), "h long, line binary").distinct().groupBy("h").count().where("count > 1").limit(1).count():
         seed += 1
-    chunks = cut(docs.mapInArrow(_chunking(seed), f"doc_id {kind}, tie long, line int, hashes array<long>, behind long"))
+    chunks = cut(docs.mapInArrow(_chunking(seed), f"doc_id {kind}, tie long, line int, hashes array<long>, behind long, blank array<struct<a:long,b:long,line:int,upto:int>>"))
     place = F.struct("doc_id", "tie", "line")
     # counts are written before they are joined, so that a very common chunk or pair can be split over tasks
     first = cut(chunks.where("size(hashes) > 1 and exists(hashes, h -> h & 1 = 1)").groupBy("hashes").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     marked = chunks.join(first, "hashes", "left").withColumn("gone", F.col("first").isNotNull() & ~place.eqNullSafe(F.col("first")))
-    inside = F.expr("transform(sequence(0, size(hashes) - 2), i -> struct(hashes[i] as a, hashes[i + 1] as b, line + i as line))")
-    over = F.expr("struct(element_at(hashes, -1) as a, behind as b, cast(line + size(hashes) - 1 as int) as line)")
-    none = F.expr("cast(array() as array<struct<a:long,b:long,line:int>>)")
-    pairs = F.concat(F.when(~F.col("gone") & (F.size("hashes") > 1), inside).otherwise(none), F.when(F.col("behind").isNotNull(), F.array(over)).otherwise(none))
-    pairs = marked.select("doc_id", "tie", F.inline(pairs)).where("(a | b) & 1 = 1")
+    inside = F.expr("transform(sequence(0, size(hashes) - 2), i -> struct(hashes[i] as a, hashes[i + 1] as b, line + i as line, line + i + 2 as upto))")
+    over = F.expr("struct(element_at(hashes, -1) as a, behind as b, line + size(hashes) - 1 as line, line + size(hashes) + 1 as upto)")
+    none = F.expr("cast(array() as array<struct<a:long,b:long,line:int,upto:int>>)")
+    both = lambda x: (x["a"].bitwiseAND(x["b"]).bitwiseAND(F.lit(1))) == 1
+    pairs = [F.when(~F.col("gone") & (F.size("hashes") > 1), F.filter(inside, both)).otherwise(none), F.when(F.col("behind").isNotNull(), F.array(over)).otherwise(none)]
+    pairs = marked.select("doc_id", "tie", F.inline(F.concat(*pairs, F.when(F.col("gone"), none).otherwise(F.col("blank")))))
     firsts = cut(pairs.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     later = pairs.join(firsts, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
     runs = marked.where("gone").select("doc_id", "tie", "line", (F.col("line") + F.size("hashes")).alias("upto"))
-    runs = runs.unionByName(later.select("doc_id", "tie", "line", (F.col("line") + 2).alias("upto")))
+    runs = runs.unionByName(later.select("doc_id", "tie", "line", "upto"))
     return runs.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("line", "upto")).alias("gone"))
 
 

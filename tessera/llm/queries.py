@@ -137,12 +137,15 @@ def _op7_sql() -> str:
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN g USING (doc_id)"""
 
 
-#: A repeated run of lines is a union of pairs of lines that occurred before; runs of removed lines are counted where they begin.
+#: A repeated run of lines is a union of runs that occurred before: two lines, or a line and blank ones behind or before it. Runs of removed lines are counted where they begin.
 OP10_SQL = r"""
-WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''))),
-p AS (SELECT doc_id, i, line AS a, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM l),
-r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, i) AS k FROM p WHERE b IS NOT NULL AND (regexp_matches(a, '[^\x09-\x0D\x20]') OR regexp_matches(b, '[^\x09-\x0D\x20]'))),
-g AS (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM r WHERE k > 1),
+WITH l AS (SELECT doc_id, i, ls[i] AS line, regexp_matches(ls[i], '[^\x09-\x0D\x20]') AS said FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''))),
+u AS (SELECT *, sum(said::INT) OVER (PARTITION BY doc_id ORDER BY i) AS u, sum(said::INT) OVER (PARTITION BY doc_id ORDER BY i DESC) AS w, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS b, lead(said) OVER (PARTITION BY doc_id ORDER BY i) AS b_said FROM l),
+p AS (SELECT doc_id, i, i + 1 AS z, 'p' || line || chr(10) || b AS run FROM u WHERE said AND b_said
+ UNION ALL SELECT doc_id, a, i, 'f' || run FROM (SELECT doc_id, i, u, said, min(i) OVER (PARTITION BY doc_id, u) AS a, string_agg(line, chr(10)) OVER (PARTITION BY doc_id, u ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM u) WHERE u > 0 AND NOT said
+ UNION ALL SELECT doc_id, i, z, 'b' || run FROM (SELECT doc_id, i, w, said, max(i) OVER (PARTITION BY doc_id, w) AS z, string_agg(line, chr(10)) OVER (PARTITION BY doc_id, w ORDER BY i DESC ROWS UNBOUNDED PRECEDING) AS run FROM u) WHERE w > 0 AND NOT said),
+r AS (SELECT doc_id, i, z, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS k FROM p),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, z + 1)) AS i FROM r WHERE k > 1),
 m AS (SELECT l.doc_id, l.i, line, g.i IS NOT NULL AS gone FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.i = l.i),
 n AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM m),
 t AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_lines_removed, count(*) FILTER (WHERE starts) AS n_chunks_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM n GROUP BY doc_id)

@@ -1032,6 +1032,21 @@ def test_repeated_runs_go_wherever_they_begin(spark):
         assert (last.text, last.n_lines_removed, last.n_chunks_removed) == (f"own begin {n} 1\nown end {n} 1", n, 1)
 
 
+def test_blank_lines_inside_a_repeated_run_go_with_it(spark):
+    r = random.Random(19)
+    rows = []
+    for k in range(60):
+        gap = [r.choice(["", " ", "\t"]) for _ in range(r.choice([3, 3, 4, 5, 7]))]
+        run = [f"first line of run {k}", *gap, f"last line of run {k}"]
+        for copy in range(2):
+            own = lambda n: [f"own {k} {copy} {n} {j}" for j in range(r.randint(0, 4))]  # noqa: E731,B023
+            rows.append((2 * k + copy, "\n".join([*own(0), *run, *own(1)])))
+    pool = ["", "", "", " ", "a", "b", "c"]
+    rows += [(200 + k, "\n".join(r.choice(pool) for _ in range(r.randint(1, 25)))) for k in range(80)]
+    rows += [(400, "\n" * 50 + "end"), (401, "\n" * 30 + "end"), (402, "begin" + "\n" * 40), (403, "begin" + "\n" * 60), (404, "\n" * 5)]
+    assert lines_found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == lines_by_hand(rows)
+
+
 def test_colliding_hashes_of_lines_are_told_apart(spark, monkeypatch):
     rows = [(1, "alpha beta gamma delta\nepsilon zeta eta theta iota"), (2, "kappa lambda mu nu xi\nomicron pi rho sigma tau"), (3, "alpha beta gamma delta\nepsilon zeta eta theta iota")]
     real, seeds = lines.line_hash, []
