@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import formats, geometry, grids, intensity, labels, manifolds, neighbours, pipelines, profiling, samples, segmentation, tables  # noqa: F401
+from . import assembly, formats, geometry, grids, intensity, labels, manifolds, neighbours, pipelines, profiling, samples, segmentation, tables  # noqa: F401
 from .registry import QUERIES, SQL
 
 
