@@ -61,13 +61,13 @@ UNQUOTED = re.compile(r"[^\s>]*")
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "kids", "chars", "links", "stops", "own", "lead")
+    __slots__ = ("tag", "names", "parent", "kids", "chars", "links", "stops", "own", "lead", "deep", "headed", "told")
 
     def __init__(self, tag: str, names: str, parent: Node | None):
         self.tag, self.names, self.parent = tag, names, parent
         self.kids: list[Node | str] = []
         self.chars = self.links = self.stops = self.own = 0
-        self.lead = ""
+        self.lead, self.deep, self.headed, self.told = "", 0, False, False
 
 
 def tag_rest(source: str, at: int) -> tuple[int, str, bool]:
@@ -210,10 +210,14 @@ def parse(source: str) -> Node:
 AWAY = frozenset("nav navigation navbar menu menubar header head footer foot sidebar side aside ad ads advert adverts advertisement sponsor sponsored promo promotion banner comment comments reply replies disqus cookie cookies consent notice popup modal overlay newsletter subscribe signup share sharing social related recommended breadcrumb breadcrumbs pagination pager widget form login search toolbar masthead copyright legal alert site page box bar slot list links".split())
 TELLING = AWAY - frozenset("site page box bar slot list links head side page".split())
 TOWARDS = frozenset("article content main post entry story body text articlebody prose".split())
+#: Whole lines that head such boxes, in English, German, French and Spanish; a sentence that goes on is none of them.
 SAYS = re.compile(
-    r"(?:\d+ )?(?:comments?|replies|responses|reader comments)(?: \(?\d+\)?)?|leave a (?:comment|reply)|join the discussion|related(?: \w+)?|read (?:more|next|also)|more (?:from|on|stories|articles|news)\b.*|"
-    r"(?:share|tweet)(?: (?:this|on|via)\b.*)?|follow us\b.*|subscribe\b.*|sign (?:up|in)\b.*|log in|newsletter|advertisement|advertorial|sponsored(?: content| links)?|you (?:may|might) also like|recommended(?: for you)?|"
-    r"(?:most )?popular(?: \w+)?|trending(?: now)?|(?:we use |about )?cookies\b.*|(?:tags|categories|archives?|menu|navigation|search|contents)"
+    r"(?:(?:\d+ )?(?:comments?|replies|responses|reader comments)(?: \(?\d+\)?)?|leave a (?:comment|reply)|join the discussion|related(?: (?:articles?|posts?|stories|news|links|content|topics|reading))?|read (?:more|next|also)|"
+    r"more (?:from|on|stories|articles|news)(?: \w+){0,2}|(?:share|tweet)(?: (?:this|on|via)(?: \w+){0,2})?|follow us(?: on \w+)?|subscribe(?: to (?:us|our \w+))?|sign (?:up|in)(?: (?:for|to) (?:our |the )?\w+)?|log in|newsletter|"
+    r"advertisement|advertorial|sponsored(?: content| links)?|you (?:may|might) also like|recommended(?: for you)?|(?:most )?popular(?: \w+)?|trending(?: now)?|(?:we use |about )?cookies(?: policy| settings| notice)?|"
+    r"(?:tags|categories|archives?|menu|navigation|search|contents)|what our readers (?:say|think)|"
+    r"(?:\d+ )?(?:kommentare?|leserkommentare|antworten|commentaires?|réponses|comentarios?|respuestas)(?: \(?\d+\)?)?|kommentar schreiben|laisser un commentaire|deja un comentario|"
+    r"anzeige|werbung|publicité|publicidad|teilen|partager|compartir|mehr zum thema|à lire aussi|lire aussi|te puede interesar|das könnte sie auch interessieren|sur le même sujet)[.!:…]?"
 )
 GROUPS = (
     "article main", "section", "div center", "nav menu", "header hgroup", "footer", "aside", "form fieldset dialog", "h1 h2 h3 h4 h5 h6", "p blockquote pre", "ul ol dl dir", "li dt dd",
@@ -222,7 +226,7 @@ GROUPS = (
 GROUP = {tag: k for k, tags in enumerate(GROUPS) for tag in tags.split()}
 OTHER = len(GROUPS)
 TOP = frozenset("html body #root".split())
-FEATURES = OTHER + 1 + 17
+FEATURES = OTHER + 1 + 18
 
 
 @lru_cache(maxsize=4096)
@@ -245,10 +249,14 @@ def features(nodes: list[Node]) -> np.ndarray:
         every, some, towards = named(n.names) if n.names else (0, 0, 0)
         share = links / chars if chars else 0.0
         group = GROUP.get(n.tag, OTHER)
+        says = bool(n.lead) and SAYS.fullmatch(n.lead) is not None
+        # a box that such a line heads right there, or that is all boilerplate by its names or element, tells what is inside of it, however deep
+        n.headed = says and group != 8 and n.deep < 2 and chars > len(n.lead) + 1 or every == 1 or group in (3, 5)
+        n.told = n.parent is not None and n.parent.tag not in TOP and (n.parent.told or n.parent.headed)
         rows.append(
             (
                 group, every, some, towards, n.tag in NEVER, share, share if group in (10, 11) else 0.0, min(chars, 400) / 400, min(n.stops, 5) / 5, min(n.own, 200) / 200, chars == 0,
-                n.own >= 40 and n.stops > 0 and 2 * links < chars, bool(n.lead) and group != 8 and SAYS.fullmatch(n.lead) is not None, group == 8 and bool(n.lead) and SAYS.fullmatch(n.lead) is not None, n.tag == "h1", n.lead[:1] == "\xa9",
+                n.own >= 40 and n.stops > 0 and 2 * links < chars, says and group != 8, says and group == 8, n.told, n.tag == "h1", n.lead[:1] == "\xa9",
                 n.own / chars if chars else 0.0, n.own / chars if chars and group == 16 else 0.0,
             )
         )
@@ -284,7 +292,10 @@ def ordered(root: Node) -> list[Node]:
                 n.links += k.links
                 n.stops += k.stops
                 n.own += k.own if k.tag not in BLOCK else 0
-                n.lead = n.lead or k.lead
+                if not n.lead:
+                    n.deep = k.deep + (k.tag in BLOCK)
+                # the title of a page heads its article, whatever it says
+                n.lead = n.lead or (" " * (LEAD + 1) if k.tag == "h1" and k.lead else k.lead)
         if n.tag == "a":
             n.links = n.chars
     return nodes
@@ -352,7 +363,7 @@ def _prose(r: random.Random, n: int) -> str:
 MARK = "\x02"  # put before text that is content in a labelled page
 #: Names that say nothing: as likely on content as on boilerplate, some with a word of boilerplate in them.
 NEUTRAL = "wrapper container inner outer row col-md-8 col grid box-a block c12 x7k module part unit section-2 l-main js-hook share-price header-image-text list-item side-by-side form-factor search-history social-history page-body comment-free legal-history".split()
-SAID = ("Comments", "3 comments", "Related articles", "Read more", "Subscribe to us", "Share this", "Advertisement", "Sponsored", "You may also like", "Most popular", "Cookies", "Sign up for news", "Leave a reply", "Tags")
+SAID = ("Kommentare", "Commentaires (4)", "Comentarios", "Anzeige", "Comments", "3 comments", "Related articles", "Read more", "Subscribe to us", "Share this", "Advertisement", "Sponsored", "You may also like", "Most popular", "Cookies", "Sign up for news", "Leave a reply", "Tags")
 
 
 def labelled_page(r: random.Random, family: int = 0) -> str:

@@ -168,6 +168,21 @@ def test_pages_without_the_usual_elements():
     assert text('<p class="x>lost</p><p id="b">More text after the quote, here it is.</p>') == "More text after the quote, here it is."
 
 
+def test_articles_that_begin_like_boxes_stay():
+    def text(page):
+        return html.extract(f"<html><body>{page}</body></html>", html.trained()).split("\n")
+
+    flour = "Cookies need flour, butter and sugar, and an oven that is hot enough."
+    follow = "Follow us through the old town, where the bakers are up at four."
+    assert text(f'<nav><a href=/>Home</a></nav><article class="post"><h1>Cookies</h1><p>{flour}</p><p>{follow}</p></article>') == ["Cookies", flour, follow]
+    assert text("<div>Just a sentence in a box, and another one.</div>") == ["Just a sentence in a box, and another one."]
+    assert text("<article><p>One short paragraph.</p><button>Go</button></article>") == ["One short paragraph."]
+    assert text(f'<article><h1>Review</h1><p>{flour}</p><section class="related-work"><h2>Related work</h2><p>{follow}</p><p>{flour}</p></section></article>') == ["Review", flour, "Related work", follow, flour]
+    assert text(f"<article><h1>Dinner</h1><p>{flour}</p><p>Menu</p><p>{follow}</p><p>{flour}</p></article>") == ["Dinner", flour, "Menu", follow, flour]
+    for head in ("Kommentare", "Commentaires", "Comentarios (2)", "What our readers think"):
+        assert text(f'<article><h1>Dinner</h1><p>{flour}</p><p>{follow}</p></article><div class="c7"><h3>{head}</h3><div><b>Ann</b><p>Nice one, thanks.</p></div><div><b>Bob</b><p>I tried it.</p></div></div>') == ["Dinner", flour, follow]
+
+
 def tree(node):
     return [node.tag, *(k if isinstance(k, str) else tree(k) for k in node.kids)]
 
