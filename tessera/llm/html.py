@@ -349,6 +349,22 @@ def sum_product(parent: list[int], score: list[float], kind: list[int], potentia
     return [1 / (1 + exp(-min(60.0, max(-60.0, z)))) for z in whole]
 
 
+def sum_product_by_level(levels: list[np.ndarray], parent: np.ndarray, score: np.ndarray, kind: np.ndarray, potentials: np.ndarray) -> np.ndarray:
+    """The same marginals for many trees at once; ``levels`` are the nodes of each depth, the roots first."""
+    up, sent = score.astype(float), np.zeros(len(score))
+    for level in levels[:0:-1]:
+        p00, p01, p10, p11 = potentials[kind[level]].T
+        o = np.exp(np.clip(up[level], -60, 60))
+        sent[level] = np.log((p10 + p11 * o) / (p00 + p01 * o))
+        np.add.at(up, parent[level], sent[level])
+    whole = up.copy()
+    for level in levels[1:]:
+        p00, p01, p10, p11 = potentials[kind[level]].T
+        o = np.exp(np.clip(whole[parent[level]] - sent[level], -60, 60))
+        whole[level] = up[level] + np.log((p01 + p11 * o) / (p00 + p10 * o))
+    return 1 / (1 + np.exp(-np.clip(whole, -60, 60)))
+
+
 # Layouts of the labelled pages.
 def _prose(r: random.Random, n: int) -> str:
     syllables = ("ta", "re", "mi", "so", "len", "dor", "ka", "vi", "nu", "pel", "or", "an", "est", "qui")
@@ -496,21 +512,31 @@ def trained(pages: int = 400, rounds: int = 120, seed: int = 11) -> Model:
     of the gradient and its square (Adam).
     """
     r, model = random.Random(seed), Model()
-    data = []
+    xs, ys, parents, depths, kinds, n = [], [], [], [], [], 0
     for _ in range(pages):
         nodes, x, y = example(labelled_page(r))
-        at = {id(n): i for i, n in enumerate(nodes)}
-        data.append((nodes, x, y, np.array([at[id(n.parent)] for n in nodes[1:]], int), np.array(edge_kinds(nodes)[1:], int)))
+        at, depth = {id(node): n + i for i, node in enumerate(nodes)}, {}
+        for node in nodes:
+            depth[id(node)] = depth[id(node.parent)] + 1 if node.parent is not None else 0
+        xs.append(x)
+        ys.append(y)
+        parents += [at[id(node.parent)] if node.parent is not None else -1 for node in nodes]
+        depths += [depth[id(node)] for node in nodes]
+        kinds += edge_kinds(nodes)
+        n += len(nodes)
+    x, y, parent, depth, kind = np.concatenate(xs), np.concatenate(ys), np.array(parents), np.array(depths), np.array(kinds)
+    levels = [np.flatnonzero(depth == d) for d in range(depth.max() + 1)]
+    below = np.flatnonzero(parent >= 0)
+    above, kinds = parent[below], kind[below]
+    seen = np.zeros_like(model.pair)
+    np.add.at(seen, (kinds, y[above].astype(int), y[below].astype(int)), 1)
     moment = np.zeros((2, FEATURES + model.pair.size))
     for turn in range(rounds):
-        gw, gp = -0.002 * model.w * pages, -0.002 * model.pair * pages
-        for nodes, x, y, above, kinds in data:
-            m = model.marginals(nodes, x)
-            gw += x.T @ (y - m)
-            a, b, ma, mb = y[above].astype(int), y[1:].astype(int), m[above], m[1:]
-            np.add.at(gp, (kinds, a, b), 1)
-            e = np.exp(model.pair[kinds]) * np.stack([1 - ma, ma], axis=1)[:, :, None] * np.stack([1 - mb, mb], axis=1)[:, None, :]
-            np.add.at(gp, kinds, -e / e.sum(axis=(1, 2), keepdims=True))
+        m = sum_product_by_level(levels, parent, x @ model.w, kind, np.exp(model.pair).reshape(-1, 4))
+        gw, gp = x.T @ (y - m) - 0.002 * model.w * pages, seen - 0.002 * model.pair * pages
+        ma, mb = m[above], m[below]
+        e = np.exp(model.pair[kinds]) * np.stack([1 - ma, ma], axis=1)[:, :, None] * np.stack([1 - mb, mb], axis=1)[:, None, :]
+        np.add.at(gp, kinds, -e / e.sum(axis=(1, 2), keepdims=True))
         g = np.concatenate([gw, gp.ravel()]) / pages
         moment = np.array([0.9, 0.99])[:, None] * moment + np.array([0.1, 0.01])[:, None] * np.stack([g, g * g])
         step = 0.2 / (1 + turn / 60) * (moment[0] / (1 - 0.9 ** (turn + 1))) / (np.sqrt(moment[1] / (1 - 0.99 ** (turn + 1))) + 1e-6)

@@ -133,6 +133,25 @@ def test_sum_product_equals_enumeration():
     assert np.allclose(got, on / total)
 
 
+def test_trees_level_by_level_have_the_same_marginals():
+    r = np.random.default_rng(8)
+    parent, depth = [-1, -1], [0, 0]
+    for i in range(2, 60):
+        parent.append(int(r.integers(0, i)))
+        depth.append(depth[parent[-1]] + 1)
+    score, kind, pot = r.normal(size=60), r.integers(0, 3, 60), np.exp(r.normal(size=(3, 4)))
+    levels = [np.flatnonzero(np.array(depth) == d) for d in range(max(depth) + 1)]
+    got = html.sum_product_by_level(levels, np.array(parent), score, kind, pot)
+    for root in (0, 1):
+        top = [i for i in range(60)]
+        for i in range(60):
+            top[i] = i if parent[i] < 0 else top[parent[i]]
+        own = [i for i in range(60) if top[i] == root]
+        at = {k: j for j, k in enumerate(own)}
+        want = html.sum_product([at.get(parent[i], -1) for i in own], score[own].tolist(), kind[own].tolist(), pot.tolist())
+        assert np.allclose(got[own], want)
+
+
 ARTICLE = "<html><body><nav><a href=1>Home</a></nav><article><h1>Title here</h1><p>A first paragraph of real text, long enough to count as such.</p>%s<p>Another paragraph that follows it, with words.</p></article><footer>c 2020</footer></body></html>"
 INSIDE = {
     '<div class="share-price"><p>The price rose by three.</p></div>': ["The price rose by three."],
