@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import biasfield, graphs, profile, umap
+from ..operators import biasfield, graphs, near, profile, umap
 from ..sources.voxels import dims
 from .profiling import _vectors
 from .registry import tables, volume
 
 
 def _edges(vectors: DataFrame, k: int) -> DataFrame:
-    near = profile.knn(vectors, k)
-    return near.select(F.col("id").alias("src"), F.col("other").alias("dst"), F.col("distance").alias("weight"))
+    found = profile.knn(vectors, k)
+    return found.select(F.col("id").alias("src"), F.col("other").alias("dst"), F.col("distance").alias("weight"))
 
 
 @tables()
@@ -23,6 +23,12 @@ def diffusion_values(read) -> DataFrame:
     return t.select("node", F.round("time", 6).alias("time"))
 
 
+@tables()
+def knn_graph(read) -> DataFrame:
+    """About five neighbours of every row, without all pairs."""
+    return near.neighbours(_vectors(read), 5, trees=12, block=64, rounds=3).withColumn("distance", F.round("distance", 6))
+
+
 @tables()
 def leiden_communities(read) -> DataFrame:
     """Connected communities of the fuzzy neighbour graph at two resolutions, named by their least row."""

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import catalogue
-from tessera.operators import biasfield, graphs, profile, umap
+from tessera.operators import biasfield, graphs, near, profile, umap
 
 
 def edges_of(spark, pairs, weights=None):
@@ -197,6 +197,34 @@ def test_distances_in_one_task_and_over_all(spark):
     assert one[701] == far[701] == [np.inf, np.inf, 1.0]
 
 
+# neighbours
+
+
+def recall(x, rows, k):
+    d = np.linalg.norm(x[:, None] - x, axis=2)
+    np.fill_diagonal(d, np.inf)
+    least = np.sort(d, axis=1)[:, k - 1]
+    assert all(r.distance == pytest.approx(d[r.id, r.other]) for r in rows)
+    return np.mean([d[r.id, r.other] <= least[r.id] + 1e-9 for r in rows])
+
+
+def test_neighbours_without_all_pairs(spark):
+    x, _ = clusters(5, 12, 50)
+    got = near.neighbours(table_of(spark, x), 6, block=60).collect()
+    assert len(got) == 600 * 6 and len({(r.id, r.other) for r in got}) == len(got) and recall(x, got, 6) >= 0.95
+    x = np.array([r.embedding for r in spark.read.parquet(f"{oracle.DATA}/embeddings.parquet").orderBy("vec_id").collect()], float)
+    assert recall(x, catalogue.queries()["knn_graph"](spark, oracle.DATA).collect(), 5) >= 0.8
+
+
+def test_neighbours_of_copies_and_of_few_rows(spark):
+    x = np.concatenate([np.tile([1.0, 2.0], (150, 1)), np.random.default_rng(6).normal(size=(60, 2))])
+    got = near.neighbours(table_of(spark, x), 3, block=40).collect()
+    assert len(got) == 210 * 3 and all(r.distance == 0 for r in got if r.id < 150) and all(r.id != r.other for r in got)
+    few = near.neighbours(table_of(spark, x[150:153]).unionByName(spark.createDataFrame([(9, None)], "id long, v array<double>")), 5).collect()
+    assert sorted((r.id, r["rank"]) for r in few) == [(i, k) for i in range(3) for k in (1, 2)]
+    assert near.neighbours(table_of(spark, x[:0]), 3).count() == near.neighbours(table_of(spark, x[:1]), 3).count() == 0
+
+
 # layouts
 
 
@@ -220,11 +248,11 @@ def kept_neighbours(places, label, k=10):
 def test_layout_keeps_neighbours(spark, alone, epochs):
     x, label = clusters()
     v = table_of(spark, x)
-    near = profile.knn(v, 10)
-    got = {r.node: r.place for r in umap.umap(v, near, epochs=epochs, alone=alone).collect()}
+    found = profile.knn(v, 10)
+    got = {r.node: r.place for r in umap.umap(v, found, epochs=epochs, alone=alone).collect()}
     places = np.array([got[i] for i in range(len(x))])
     assert places.shape == (len(x), 2) and np.isfinite(places).all() and kept_neighbours(places, label) >= 0.9
-    assert got == {r.node: r.place for r in umap.umap(v, near, epochs=epochs, alone=alone).collect()}
+    assert got == {r.node: r.place for r in umap.umap(v, found, epochs=epochs, alone=alone).collect()}
 
 
 def test_new_rows_are_placed_among_their_own(spark):
@@ -244,17 +272,17 @@ def test_memberships_against_plain_python(spark):
     assert rho.tolist() == [1.0, 0.5, 0.0] and np.exp(-np.maximum(d[0] - 1, 0) / sigma[0]).sum() == pytest.approx(2)
     a, b = umap.curve(0.1)
     assert (a, b) == pytest.approx((1.577, 0.895), abs=2e-3)
-    near = spark.createDataFrame([(1, 1, 2, 1.0), (1, 2, 3, 2.0), (2, 1, 1, 1.0)], "id long, rank int, other long, distance double")
-    g = {(r.src, r.dst): r.weight for r in umap.fuzzy_graph(near).collect()}
+    given = spark.createDataFrame([(1, 1, 2, 1.0), (1, 2, 3, 2.0), (2, 1, 1, 1.0)], "id long, rank int, other long, distance double")
+    g = {(r.src, r.dst): r.weight for r in umap.fuzzy_graph(given).collect()}
     assert g[1, 2] == g[2, 1] == pytest.approx(1) and g[1, 3] == g[3, 1] <= 1 and len(g) == 4
 
 
 def test_rows_far_along_an_axis_are_left_out(spark):
     x, _ = clusters(3, 3, 20)
     v = table_of(spark, x)
-    near = lambda rows: profile.knn(rows, 5)
-    whole = {r.node: r.place[0] for r in umap.umap(v, near(v), epochs=50).collect()}
-    kept, layout = umap.without_far(v, near, 2.0, epochs=50)
+    find = lambda rows: profile.knn(rows, 5)
+    whole = {r.node: r.place[0] for r in umap.umap(v, find(v), epochs=50).collect()}
+    kept, layout = umap.without_far(v, find, 2.0, epochs=50)
     ids = {r.id for r in kept.collect()}
     assert ids == {i for i, a in whole.items() if a < 2.0} == {r.node for r in layout.collect()} and 0 < len(ids) < len(x)
     none = table_of(spark, x[:0])
