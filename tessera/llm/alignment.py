@@ -46,13 +46,13 @@ STEPS = {
     "numbered": "SELECT *, coalesce(sum(together::INT) OVER (ORDER BY e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS g FROM met",
     "groups": "SELECT g, id, b, j, e, lag(e, 1, 0) OVER (ORDER BY e) AS s, s = lag(e, 1, 0) OVER (ORDER BY e) AND b_s = s AS single FROM numbered WHERE together",
     "several": "SELECT g, s, e FROM groups WHERE NOT single",
-    "of_a": "SELECT g, string_agg(id::VARCHAR, ',' ORDER BY numbered.e) AS ids FROM numbered JOIN several USING (g) GROUP BY g",
-    "of_b": "SELECT g, string_agg(id::VARCHAR, ',' ORDER BY r.e) AS ids FROM (SELECT * FROM b WHERE j NOT IN (SELECT j FROM groups WHERE single)) r JOIN several ON r.s >= several.s AND r.e <= several.e GROUP BY g",
+    "of_a": "SELECT g, string_agg(id::VARCHAR, ',') AS ids FROM (SELECT g, id FROM numbered SEMI JOIN several USING (g) ORDER BY numbered.e) GROUP BY g",
+    "of_b": "SELECT g, string_agg(id::VARCHAR, ',') AS ids FROM (SELECT g, r.id FROM (SELECT * FROM b ANTI JOIN (SELECT j FROM groups WHERE single) USING (j)) r JOIN several ON r.s >= several.s AND r.e <= several.e ORDER BY j) GROUP BY g",
     "said": "SELECT g, e, id || '|' || b AS x FROM groups WHERE single UNION ALL SELECT g, e, of_a.ids || '|' || of_b.ids FROM several JOIN of_a USING (g) JOIN of_b USING (g)",
 }
 TEXTS = "SELECT string_agg(x, ';') AS groups, count(*) AS n FROM (SELECT u, x FROM said ASOF JOIN u ON said.e > u.s ORDER BY g) GROUP BY u ORDER BY u"
 LINKS = "INSERT INTO links SELECT u, id::BIGINT << 32 | b FROM groups ASOF JOIN u ON groups.e > u.s"
-PAIRS = "SELECT d, pair, count(*) AS times FROM held JOIN links USING (u) GROUP BY d, pair ORDER BY d, pair"
+PAIRS = "SELECT d, pair, sum(n)::BIGINT AS times FROM (SELECT d, u, count(*) AS n FROM held GROUP BY d, u) JOIN links USING (u) GROUP BY d, pair ORDER BY d, pair"
 
 
 class Numbers(dict):
