@@ -302,14 +302,32 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, shingle: int = 2
     if some.any():
         counted = docs.select("text").mapInArrow(_counting(np.packbits(some), np.unique(used.column("k").to_numpy()).tolist()), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
         counts[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
-    none = "cast(array() as array<struct<start:int,stop:int>>)"
-    out = docs.select(*carry, F.col("text").alias("_text"), F.lit(0).cast("long").alias("n_words"), F.expr(none).alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
-    for k in range(blocks):
+    none = F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:int,stop:int>>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items")
+
+    def block(k: int) -> Items:
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        block = Items([(r[0], r[1]) for r in part.toLocalIterator()], size, shingle, counts)
-        # a worker holds one block at a time, so what earlier blocks have found is written before the next one
-        out = (cut(out) if k else out).mapInArrow(_finding(block), out.schema)
-    return out.drop("_text")
+        return Items([(r[0], r[1]) for r in part.toLocalIterator()], size, shingle, counts)
+
+    if blocks == 1:
+        out = docs.select(*carry, F.col("text").alias("_text"), *none)
+        return out.mapInArrow(_finding(block(0)), out.schema).drop("_text")
+    # texts are written once, with a number each; a block adds narrow rows, of the texts that it has found something in, and driver and workers hold one block at a time
+    texts = cut(docs.select(*carry, F.col("text").alias("_text"), F.monotonically_increasing_id().alias("_row")))
+    asked, found = texts.select("_row", "_text", *none), None
+    for k in range(blocks):
+        own = asked.mapInArrow(_finding(block(k)), asked.schema).drop("_text")
+        own = cut(own.where("size(hits) > 0") if k else own)
+        found = own if found is None else found.unionByName(own)
+    lists = found.groupBy("_row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return texts.drop("_text").join(lists.mapInArrow(_merging, lists.schema), "_row").drop("_row")
+
+
+def _merging(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs that several blocks have found, as maximal ones."""
+    for b in batches:
+        k = b.schema.get_field_index("hits")
+        runs = [[{"start": a, "stop": z} for a, z in merged([(x["start"], x["stop"]) for x in row])] if len(row) > 1 else row for row in b.column(k).to_pylist()]
+        yield b.set_column(k, b.schema.field(k), pa.array(runs, b.schema.types[k]))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

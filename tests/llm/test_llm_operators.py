@@ -488,6 +488,17 @@ def test_an_id_with_many_texts_does_not_flood_the_driver(spark):
     assert toxicity.fit(docs, labels, per_class=20) is not None
 
 
+def test_training_texts_are_bounded_in_words(spark, monkeypatch):
+    rows = toxic_corpus(60, 3)
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda codes, label: seen.append((sum(map(len, codes)), len(codes), label.sum())))
+    df, told = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int")
+    toxicity.fit(df, told)
+    toxicity.fit(df, told, words=500)
+    whole, few = seen
+    assert whole[0] > 1000 >= few[0] > 0 and 0 < few[2] < few[1] < whole[1]
+
+
 @pytest.mark.parametrize("labelled", [[], [(1, 0), (3, 0)], [(1, 1), (3, None)]])
 def test_toxicity_without_both_labels(spark, labelled):
     labels = spark.createDataFrame(labelled, "doc_id long, toxic int")
