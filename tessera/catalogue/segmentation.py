@@ -174,8 +174,9 @@ def watershed_stays_in_its_mask(vox: DataFrame) -> DataFrame:
 def seeds(vox: DataFrame) -> DataFrame:
     """Seeds as segmentation takes them: distance to background times a difference of Gaussians, its peaks numbered, flooded downhill."""
     spacing = (2.0, 1.0, 1.0)
-    find = lambda a: kernels.seeds_of(a, a > 900, spacing, above=8.0, dog=(1.0, 2.0), peak=(1, 0.5), flood=0.5)
-    return kernels.regions_by_block(vox, dims(vox), BLOCK, 6, find)
+    ends = kernels.difference_ends(vox, dims(vox), BLOCK, (1.0, 2.0), spacing)
+    find = lambda a: kernels.seeds_of(a, a > 900, spacing, above=8.0, dog=(1.0, 2.0), peak=(1, 0.5), flood=0.5, ends=ends)
+    return kernels.regions_by_block(vox, dims(vox), BLOCK, kernels.margin_of(2.0), find)
 
 
 SIGMAS = tuple(float(s) for s in np.linspace(0.8, 1.7, 10))

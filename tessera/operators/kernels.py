@@ -354,19 +354,20 @@ def peaks(a: np.ndarray, threshold: float, r: int = 1) -> np.ndarray:
     return (a > threshold) & (a >= best)
 
 
-def normalised(a: np.ndarray, lo: float = 1.0, hi: float = 1.01) -> np.ndarray:
-    """Values brought to the range from ``lo`` to ``hi``; all equal ones to ``lo``."""
-    least, most = float(a.min()), float(a.max())
+def normalised(a: np.ndarray, lo: float = 1.0, hi: float = 1.01, ends: tuple[float, float] | None = None) -> np.ndarray:
+    """Values brought from ``ends``, their own if not given, to the range from ``lo`` to ``hi``; all equal ones to ``lo``."""
+    least, most = ends or (float(a.min()), float(a.max()))
     return lo + (a - least) * ((hi - lo) / (most - least) if most > least else 0.0)
 
 
-def seeds_of(data: np.ndarray, mask: np.ndarray, spacing: tuple[float, ...], above: float | None = None, dog: tuple[float, float] | None = None, threshold: float | None = None, peak: tuple[int, float] | None = None, flood: float | None = None) -> np.ndarray:
+def seeds_of(data: np.ndarray, mask: np.ndarray, spacing: tuple[float, ...], above: float | None = None, dog: tuple[float, float] | None = None, threshold: float | None = None, peak: tuple[int, float] | None = None, flood: float | None = None, ends: tuple[float, float] | None = None) -> np.ndarray:
     """Seeds of objects, step by step as far as each is asked for.
 
     The distance of a mask to its outside; set to zero ``above`` a bound; times the
     normalised difference of two Gaussians of the data (``dog``, in
     micrometres); cut at ``threshold``, or at its peaks in a window over a least height; components
-    of what is left are numbered, and may flood the distance down to ``flood``.
+    of what is left are numbered, and may flood the distance down to ``flood``. In a block the difference is
+    normalised by the extremes of the whole volume, ``ends``, so that seeds do not depend on the grid of blocks.
     """
     edt = distance(mask, spacing)
     edt = np.where(np.isfinite(edt), edt, sum(n * s for n, s in zip(mask.shape, spacing)))  # nothing outside: as far as can be
@@ -374,7 +375,7 @@ def seeds_of(data: np.ndarray, mask: np.ndarray, spacing: tuple[float, ...], abo
         edt = np.where(edt > above, 0, edt)
     if dog:
         one, two = (gaussian(data, tuple(s / v for v in spacing)) for s in dog)
-        edt = edt * normalised(one - two)
+        edt = edt * normalised(one - two, ends=ends)
     on = mask
     if threshold is not None:
         on = edt > threshold
@@ -384,6 +385,16 @@ def seeds_of(data: np.ndarray, mask: np.ndarray, spacing: tuple[float, ...], abo
     return out if flood is None else watershed(-edt, out, edt > flood)
 
 
+def difference_ends(vox: DataFrame, full: dict[str, int], size: dict[str, int], dog: tuple[float, float], spacing: tuple[float, ...]) -> tuple[float, float] | None:
+    """Least and greatest difference of two Gaussians of a whole volume, from blocks; None without voxels."""
+    def kernel(a: np.ndarray) -> np.ndarray:
+        one, two = (gaussian(a, tuple(s / v for v in spacing)) for s in dog)
+        return one - two
+
+    found = by_block(vox, full, size, margin_of(max(dog) / min(spacing)), kernel, to="difference").agg(F.min("difference"), F.max("difference")).first()
+    return None if found[0] is None else (found[0], found[1])
+
+
 def log_blobs(a: np.ndarray, sigmas: tuple[float, ...], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Blobs as peaks over place and scale of the scale-normalised negative Laplacian of Gaussians: (response at the peaks, 0 elsewhere; sigma there).
 

@@ -156,6 +156,8 @@ def seed(tables: dict[str, DataFrame], par: dict) -> DataFrame:
     full, size, margin = _blocks(vox, par)
     spacing = tuple(par.get("elsize", {}).get(a, 1.0) for a in KEY)
     options = {k: tuple(par[k]) if isinstance(par[k], list) else par[k] for k in ("above", "dog", "threshold", "peak", "flood") if k in par}
+    if options.get("dog"):
+        options["ends"] = kernels.difference_ends(vox, full, size, options["dog"], spacing)
     found = kernels.regions_by_block(vox, full, size, margin, lambda v, m: kernels.seeds_of(v, m, spacing, **options), ("v", "mask"))
     return found.withColumnRenamed("region", "label")
 

@@ -36,3 +36,23 @@ def test_no_task_needs_a_plane(spark):
     t = table(spark, np.ones((2, 3, 4), bool), "mask")
     plan = lines.distances(t, {"y": 1.0, "x": 1.0})._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(p#") == 2 and "FlatMapGroups" not in plan
+
+
+def test_seeds_do_not_depend_on_the_grid_of_blocks(spark):
+    r = np.random.default_rng(12)
+    shape = (6, 26, 30)
+    data = kernels.gaussian(r.normal(size=shape), (1, 2, 2)) * 1000 * np.linspace(0.3, 2, shape[2])
+    mask = r.random(shape) < 0.9
+    full, spacing, dog = dict(zip("zyx", shape)), (1.0, 1.0, 1.0), (0.5, 1.0)
+    vox = table(spark, data, "v").join(table(spark, mask, "mask"), ["z", "y", "x"])
+    size = {"z": 6, "y": 13, "x": 10}
+    ends = kernels.difference_ends(vox, full, size, dog, spacing)
+    one, two = (kernels.gaussian(data, (s,) * 3) for s in dog)
+    assert ends == pytest.approx(((one - two).min(), (one - two).max()))
+    found = lambda v, m, **more: (kernels.seeds_of(v, m, spacing, dog=dog, threshold=1.005, **more) > 0).astype(int)
+    whole = found(data, mask)
+    for given, same in ((ends, True), (None, False)):
+        got = np.zeros(shape, int)
+        for x in kernels.by_block(vox, full, size, 5, lambda v, m, e=given: found(v, m, ends=e), ("v", "mask"), kind="long").collect():
+            got[x.z, x.y, x.x] = x.out
+        assert (got == whole).all() == same
