@@ -1,4 +1,4 @@
-"""Binary volumes without foreign libraries: NIfTI, plain TIFF, PNG planes, HDF5.
+"""Binary volumes without foreign libraries: NIfTI, TIFF, PNG planes, HDF5.
 
 Files come through Spark's ``binaryFile`` source, so any store works, and are
 decoded one file a task; a folder of planes is decoded plane by plane. Large
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from . import unpack
 from .microscopes import czi_tiles, dm3_image, lif_images, to_czi, to_dm3, to_lif
 
 # NIfTI-1 data types, TIFF field sizes and sample formats.
@@ -63,22 +64,31 @@ def to_nifti(a: np.ndarray, elsize: dict[str, float]) -> bytes:
 
 @dataclass(frozen=True)
 class Page:
-    """One page of a TIFF: its size and type, where its strips are, and whether they are deflated."""
+    """One page of a TIFF: its size and type, where its strips or tiles are and how large, and how these are packed."""
 
     height: int
     width: int
     kind: str
     strips: tuple[tuple[int, int], ...]
-    deflated: bool
+    how: int = 1
+    predictor: int = 1
+    block: tuple[int, int] | None = None
+    padded: bool = False
 
     def array(self, read: Callable[[int, int], bytes]) -> np.ndarray:
-        data = [read(at, n) for at, n in self.strips]
-        data = b"".join(map(zlib.decompress, data) if self.deflated else data)
-        return np.frombuffer(data, np.dtype(self.kind), self.width * self.height).reshape(self.height, self.width)
+        kind, (high, wide) = np.dtype(self.kind), self.block or (self.height, self.width)
+        across, out = -(-self.width // wide), np.zeros((self.height, self.width), kind)
+        for k, (at, n) in enumerate(self.strips):
+            y, x = k // across * high, k % across * wide
+            rows = high if self.padded else min(high, self.height - y)
+            a = np.frombuffer(unpack.UNPACK[self.how](read(at, n)), kind, rows * wide).reshape(rows, wide)
+            a = unpack.summed(a) if self.predictor == 2 else a
+            out[y : y + rows, x : x + wide] = a[: self.height - y, : self.width - x]
+        return out
 
 
 def tiff_pages(read: Callable[[int, int], bytes]) -> list[Page]:
-    """The pages of a TIFF, uncompressed or deflated, from its directories alone; ``read(offset, n)`` gives bytes."""
+    """The pages of a TIFF of one sample a pixel, in strips or tiles, from its directories alone; ``read(offset, n)`` gives bytes."""
     head = read(0, 8)
     end = "<" if head[:2] == b"II" else ">"
     at, = struct.unpack(end + "I", head[4:8])
@@ -95,18 +105,21 @@ def tiff_pages(read: Callable[[int, int], bytes]) -> list[Page]:
                 value = entries[12 * k + 8 : 12 * k + 8 + size] if size <= 4 else read(struct.unpack_from(end + "I", entries, 12 * k + 8)[0], size)
                 tags[tag] = struct.unpack(form, value)
         how = tags.get(259, (1,))[0]
-        if how not in (1, 8, 32946):
-            raise ValueError("this TIFF compression is not supported")
+        predictor = tags.get(317, (1,))[0]
+        if how not in unpack.UNPACK or predictor not in (1, 2) or tags.get(277, (1,))[0] != 1:
+            raise ValueError("this TIFF compression, predictor or number of samples is not supported")
         width, height = tags[256][0], tags[257][0]
         kind = np.dtype(end + SAMPLE[tags.get(339, (1,))[0], tags.get(258, (1,))[0]])
-        strips = tuple(zip(tags[273], tags.get(279, (width * height * kind.itemsize,))))
-        pages.append(Page(height, width, kind.str, strips, how != 1))
+        tiles = 324 in tags
+        strips = tuple(zip(tags[324], tags[325])) if tiles else tuple(zip(tags[273], tags.get(279, (width * height * kind.itemsize,))))
+        block = (tags[323][0], tags[322][0]) if tiles else (min(tags.get(278, (height,))[0], height), width)
+        pages.append(Page(height, width, kind.str, strips, how, predictor, block, tiles))
         at, = struct.unpack_from(end + "I", entries, 12 * n)
     return pages
 
 
 def tiff(raw: bytes) -> np.ndarray:
-    """Pages of an uncompressed or deflated TIFF as one array, page by page."""
+    """Pages of a TIFF as one array, page by page."""
     read = lambda at, n: raw[at : at + n]
     return np.stack([p.array(read) for p in tiff_pages(read)])
 
@@ -122,7 +135,7 @@ def nifti_planes(read: Callable[[int, int], bytes]) -> list[Page]:
         raise ValueError("only plain volumes are read plane by plane")
     x, y, z = dim[1:4]
     size = x * y * kind.itemsize
-    return [Page(y, x, kind.str, ((int(offset) + k * size, size),), False) for k in range(max(1, z))]
+    return [Page(y, x, kind.str, ((int(offset) + k * size, size),)) for k in range(max(1, z))]
 
 
 def _reading(path: str) -> Callable[[int, int], bytes]:
@@ -202,18 +215,20 @@ def to_png(plane: np.ndarray) -> bytes:
 
 
 def png(raw: bytes) -> np.ndarray:
-    """A grey 8-bit PNG whose rows are not filtered, as ``to_png`` writes them."""
-    at, data, shape = 8, b"", (0, 0)
+    """A grey PNG of 8 or 16 bits, filtered in any way, not interlaced; its transparency, if any, is left out."""
+    at, data, head = 8, [], (0, 0, 8, 0, 0, 0, 0)
     while at < len(raw):
         n, name = struct.unpack(">I4s", raw[at : at + 8])
         body = raw[at + 8 : at + 8 + n]
-        shape = struct.unpack(">II", body[:8])[::-1] if name == b"IHDR" else shape
-        data += body if name == b"IDAT" else b""
+        head = struct.unpack(">IIBBBBB", body) if name == b"IHDR" else head
+        data += [body] if name == b"IDAT" else []
         at += 12 + n
-    rows = np.frombuffer(zlib.decompress(data), "u1").reshape(shape[0], shape[1] + 1)
-    if rows[:, 0].any():
-        raise ValueError("rows of this PNG are filtered")
-    return rows[:, 1:]
+    width, height, bits, colour, _, _, interlaced = head
+    if bits not in (8, 16) or colour not in (0, 4) or interlaced:
+        raise ValueError("only grey PNG files of 8 or 16 bits that are not interlaced are read")
+    step = bits // 8 * (1 + colour // 4)
+    rows = np.frombuffer(zlib.decompress(b"".join(data)), "u1").reshape(height, width * step + 1)
+    return unpack.unfiltered(rows, step).view(f">u{bits // 8}").reshape(height, width, -1)[:, :, 0].astype(f"u{bits // 8}")
 
 
 def hdf5(raw: bytes, dataset: str = "/data") -> np.ndarray:
