@@ -131,10 +131,10 @@ def expand_labels(vox: DataFrame) -> DataFrame:
     return stencil.expand_labels(vox, 1.5).select("event_id", "label")
 
 
-@volume(", p(k, v) AS (VALUES (1, 3), (2, 7)) SELECT a.event_id, coalesce(k, 0) AS point FROM vox a LEFT JOIN p ON a.z = 0 AND a.y = k AND a.x = p.v WHERE a.z = 0")
+@volume(", p(k, v) AS (VALUES (1, 3), (2, 7)) SELECT a.event_id, coalesce(k, 0) AS point FROM vox a LEFT JOIN p ON a.y = k AND a.x = p.v")
 def points_to_labels(vox: DataFrame) -> DataFrame:
-    p = vox.sparkSession.createDataFrame([(0, 1, 3, 1), (0, 2, 7, 2)], "z long, y long, x long, point int")
-    return vox.where("z = 0").join(p, ["z", "y", "x"], "left").select("event_id", F.coalesce("point", F.lit(0)).alias("point"))
+    p = vox.sparkSession.createDataFrame([(1, 3, 1), (2, 7, 2)], "y long, x long, point int")
+    return vox.join(p, ["y", "x"], "left").select("event_id", F.coalesce("point", F.lit(0)).alias("point"))
 
 
 @tables("SELECT p_partkey, CAST(2 * ceil(p_size / 0.7) + 1 AS BIGINT) AS extent FROM part")
