@@ -229,7 +229,6 @@ TOP = frozenset("html body #root".split())
 FEATURES = OTHER + 1 + 18
 
 
-@lru_cache(maxsize=4096)
 def named(names: str) -> tuple[int, int, int]:
     """Whether all words of a node's names are those of boilerplate, the last one is, and some are those of articles."""
     words = [w.lower() for w in WORDY.findall(names)]
@@ -239,6 +238,19 @@ def named(names: str) -> tuple[int, int, int]:
     return int(every), int(not every and telling), int(not every and any(w in TOWARDS for w in words))
 
 
+class Known(dict):
+    """What ``named`` says of the names met so far; a few thousand at a time. (A cache of the standard library would not travel to executors.)"""
+
+    def __missing__(self, names: str) -> tuple[int, int, int]:
+        if len(self) >= 4096:
+            self.clear()
+        out = self[names] = named(names)
+        return out
+
+
+KNOWN = Known()
+
+
 def features(nodes: list[Node]) -> np.ndarray:
     """A row for each node; the first column is constant, the next ones its tag's group."""
     x = np.zeros((len(nodes), FEATURES), np.float32)
@@ -246,7 +258,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     rows = []
     for n in nodes:
         chars, links = n.chars, n.links
-        every, some, towards = named(n.names) if n.names else (0, 0, 0)
+        every, some, towards = KNOWN[n.names] if n.names else (0, 0, 0)
         share = links / chars if chars else 0.0
         group = GROUP.get(n.tag, OTHER)
         says = bool(n.lead) and SAYS.fullmatch(n.lead) is not None
