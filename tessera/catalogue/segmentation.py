@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,11 +119,11 @@ def smooth_sql(name: str, sigma: dict[str, float], source: str = "vox", value: s
 
 @volume(f", {smooth_sql('sm', {'x': 1.0, 'y': 1.0})} SELECT z, y, x, round(s, 4) AS smooth FROM sm")
 def gaussian_inplane(vox: DataFrame) -> DataFrame:
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        a, _, at = kernels.dense(rows, "v")
-        return rows[["z", "y", "x"]].assign(smooth=np.round(kernels.gaussian(a, (0, 1.0, 1.0))[at], 4))
-
-    return vox.select("z", "y", "x", "v").groupBy("z").applyInPandas(run, "z long, y long, x long, smooth double")
+    """A Gaussian in planes, line by line."""
+    out = vox.select("z", "y", "x", F.col("v").alias("f"))
+    for axis in ("x", "y"):
+        out = lines.along(out, axis, lambda a: kernels.gaussian(a, (0.0, 1.0)))
+    return out.select("z", "y", "x", F.round("f", 4).alias("smooth"))
 
 
 @volume(f", {smooth_sql('sm', {'x': 0.7, 'y': 0.7, 'z': 0.7})} SELECT z, y, x, round(s, 4) AS out FROM sm")
