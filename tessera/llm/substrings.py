@@ -8,7 +8,9 @@ byte a only its context matters, the ``span - GRAM`` bytes before it and
 
 1. Anchors are counted by hash. Equal contexts of an anchor meet by a hash of
    128 bits; they are repeated as they are, so one of them stands for all. (Two different
-   contexts of one anchor are taken for equal with a chance of 2^-128 a pair.)
+   contexts of one anchor are taken for equal with a chance of 2^-128 a pair;
+   when a document is cut, one of its contexts is taken for a repeated one
+   with a chance of 2^-64 for each that the document has.)
 2. Of each anchor with a context that occurs once, every different context is sent to
    the task of the anchor, where they are
    sorted as suffixes from the anchor on, and as reversed prefixes up to it,
