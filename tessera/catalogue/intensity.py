@@ -140,7 +140,7 @@ def percentile_stretch(vox: DataFrame) -> DataFrame:
 @volume("SELECT event_id, round((v - m) / coalesce(nullif(s, 0), 1e-12), 5) AS z_score FROM vox, (SELECT avg(v) AS m, sqrt((count(*)*sum(v*v)::BIGINT-sum(v)::BIGINT*sum(v)::BIGINT)/(count(*)*(count(*)-1)::DOUBLE)) AS s FROM vox)")
 def zscore(vox: DataFrame) -> DataFrame:
     n, v = F.count("*"), F.col("v")
-    s = vox.agg(F.avg("v").alias("m"), F.sqrt((n * F.sum(v * v) - F.sum("v") * F.sum("v")) / (n * (n - 1).cast("double"))).alias("s"))
+    s = vox.agg(F.avg("v").alias("m"), F.sqrt(maths.exact_spread(n, F.sum(v * v), F.sum("v"), F.sum("v")) / (n * (n - 1).cast("double"))).alias("s"))
     return vox.join(s).select("event_id", F.round((v - F.col("m")) / F.coalesce(F.expr("nullif(s, 0)"), F.lit(1e-12)), 5).alias("z_score"))
 
 

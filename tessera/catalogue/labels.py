@@ -56,7 +56,7 @@ def moments_raw(vox: DataFrame) -> DataFrame:
  SELECT label, round(sum((z-mz)^2), 5) AS mu200, round(sum((y-my)^2), 5) AS mu020, round(sum((x-mx)^2), 5) AS mu002, round(sum((z-mz)*(y-my)), 5) + 0.0 AS mu110, round(sum((z-mz)^2) / pow(max(n), 5.0 / 3), 6) AS nu200 FROM vox JOIN c USING (label) GROUP BY label""")
 def moments_central(vox: DataFrame) -> DataFrame:
     s = vox.where("label <> 0").groupBy("label").agg(F.count("*").alias("n"), *(F.sum(a).alias(f"s{a}") for a in "zyx"), *(F.sum(F.col(a) * F.col(b)).alias(f"s{a}{b}") for a, b in ("zz", "yy", "xx", "zy")))
-    mu = lambda a, b: (F.col("n") * F.col(f"s{a}{b}") - F.col(f"s{a}") * F.col(f"s{b}")) / F.col("n")
+    mu = lambda a, b: maths.exact_spread(F.col("n"), F.col(f"s{a}{b}"), F.col(f"s{a}"), F.col(f"s{b}")) / F.col("n")
     return s.select("label", F.round(mu("z", "z"), 5).alias("mu200"), F.round(mu("y", "y"), 5).alias("mu020"), F.round(mu("x", "x"), 5).alias("mu002"), (F.round(mu("z", "y"), 5) + 0.0).alias("mu110"), F.round(mu("z", "z") / F.pow("n", F.lit(5.0 / 3)), 6).alias("nu200"))
 
 

@@ -8,10 +8,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def exact_spread(n: Column, ab: Column, a: Column, b: Column) -> Column:
+    """``n * ab - a * b`` of sums as a double; products of integer sums are decimals, since they outgrow a long."""
+    wide = F.lit(1).cast("decimal(1,0)")
+    return (wide * n * ab - wide * a * b).cast("double")
+
+
 def variance(name: str) -> Column:
     """Population variance of an integer column from exact sums."""
     n, x = F.count(name), F.col(name)
-    return F.try_divide(n * F.sum(x * x) - F.sum(x) * F.sum(x), n * n.cast("double"))
+    return F.try_divide(exact_spread(n, F.sum(x * x), F.sum(x), F.sum(x)), n * n.cast("double"))
 
 
 def sd(name: str) -> Column:

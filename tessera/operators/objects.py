@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.maths import variance
+from ..functions.maths import exact_spread, variance
 from ..runtime import numbered
 
 AXES = ("z", "y", "x")
@@ -36,7 +36,7 @@ def inertia(vox: DataFrame, by: tuple[str, ...] = ("label",), label: str = "labe
     pairs = [("z", "z"), ("y", "y"), ("x", "x"), ("z", "y"), ("z", "x"), ("y", "x")]
     g = vox.where(F.col(label) != 0).groupBy(*by).agg(F.count("*").alias("n"), *(F.sum(a).alias(f"s{a}") for a in AXES), *(F.sum(F.col(a) * F.col(b)).alias(f"s{a}{b}") for a, b in pairs))
     for a, b in pairs:
-        g = g.withColumn(f"m{a}{b}", (F.col("n") * F.col(f"s{a}{b}") - F.col(f"s{a}") * F.col(f"s{b}")) / (F.col("n") * F.col("n").cast("double")))
+        g = g.withColumn(f"m{a}{b}", exact_spread(F.col("n"), F.col(f"s{a}{b}"), F.col(f"s{a}"), F.col(f"s{b}")) / (F.col("n") * F.col("n").cast("double")))
     tr = F.col("mzz") + F.col("myy") + F.col("mxx")
     a, b, c = tr - F.col("mzz"), tr - F.col("myy"), tr - F.col("mxx")
     d, e, f = -F.col("mzy"), -F.col("mzx"), -F.col("myx")
