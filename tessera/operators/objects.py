@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import prod
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from ..functions.maths import exact_spread, variance
 from ..runtime import numbered
 
 AXES = ("z", "y", "x")
+#: The first number, about, that a long does not hold.
+LONG = 2.0**63
 
 
 def regions(vox: DataFrame, by: tuple[str, ...] = ("label",), label: str = "label") -> DataFrame:
@@ -59,11 +63,36 @@ def eigen3(rows: DataFrame) -> DataFrame:
     return out.withColumn("eig1", 3 * F.col("q") - F.col("eig0") - F.col("eig2"))
 
 
+def _bounds(inner: DataFrame, order: int, by: tuple[str, ...]) -> tuple[float, float, list[float]]:
+    """What no moment of an object exceeds; and the number of voxels of the largest object with the largest coordinates: a row to the driver."""
+    far = [F.abs(F.col(a).cast("double")) for a in AXES]
+    each = F.pow(F.greatest(far[0], F.lit(1.0)) * F.greatest(far[1], F.lit(1.0)) * F.greatest(far[2], F.lit(1.0)), F.lit(order))
+    g = inner.groupBy(*by).agg(F.sum(each).alias("top"), F.count("*").alias("n"), *(F.max(f).alias(a) for a, f in zip(AXES, far)))
+    r = g.agg(F.max("top").alias("top"), F.max("n").alias("n"), *(F.max(a).alias(a) for a in AXES)).first()
+    return (r["top"] or 0.0) * (1 + 1e-6), float(r["n"] or 0), [r[a] or 0.0 for a in AXES]
+
+
 def moments(vox: DataFrame, order: int = 3, by: tuple[str, ...] = ("label",), label: str = "label") -> DataFrame:
-    """Raw moments up to ``order`` a axis in long form: (…, i, j, k, value)."""
+    """Raw moments up to ``order`` a axis in long form: (…, i, j, k, value).
+
+    Values are exact. They are longs where a long holds them all, and else decimals of 38 digits: the third
+    powers of three large coordinates outgrow a long.
+    """
     powers = [(i, j, k) for i in range(order + 1) for j in range(order + 1) for k in range(order + 1)]
-    term = lambda a, n: F.lit(1).cast("long") if n == 0 else F.pow(F.col(a).cast("double"), F.lit(n)).cast("long")
-    g = vox.where(F.col(label) != 0).groupBy(*by).agg(*(F.sum(term("z", i) * term("y", j) * term("x", k)).alias(f"m{i}{j}{k}") for i, j, k in powers))
+    inner = vox.where(F.col(label) != 0)
+    top, count, end = _bounds(inner, order, by)
+    kind = "long" if top < LONG else "decimal(38,0)"
+
+    def term(*n: int) -> Column:
+        # most moments stay below a long even so, and are summed as such
+        wide = kind != "long" and count * prod(max(e, 1.0) ** m for e, m in zip(end, n)) >= LONG
+        x = F.lit(1).cast("decimal(38,0)" if wide else "long")
+        for a, m in zip(AXES, n):
+            for _ in range(m):
+                x = (x * F.col(a)).cast("decimal(38,0)") if wide else x * F.col(a)
+        return F.sum(x).cast(kind)
+
+    g = inner.groupBy(*by).agg(*(term(*n).alias(f"m{''.join(map(str, n))}") for n in powers))
     rows = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k"), F.col(f"m{i}{j}{k}").alias("value")) for i, j, k in powers))
     return g.select(*by, F.inline(rows))
 

@@ -2,6 +2,8 @@
 
 import math
 
+from pyspark.sql import functions as F
+
 from tessera.catalogue import intensity
 from tessera.operators import objects
 
@@ -17,3 +19,13 @@ def test_inertia_and_variance_where_products_outgrow_a_long(spark):
     t = spark.createDataFrame([(far + k, 0, 0, far + 2 * k, 1) for k in (-1, 0, 1)], "z long, y long, x long, v long, label long")
     assert objects.intensities(t).first().variance == 8 / 3
     assert math.isclose(objects.inertia(t).first().eig0, 2 / 3)
+
+
+def test_moments_that_outgrow_a_long_are_exact_decimals(spark):
+    places = [(100_000 + k, 24 + k, 19 + k) for k in range(3)]
+    t = spark.createDataFrame([(*p, 1) for p in places], "z long, y long, x long, label long")
+    found = objects.moments(t)
+    assert dict(found.dtypes)["value"] == "decimal(38,0)"
+    assert {(r.i, r.j, r.k): int(r.value) for r in found.collect()} == {(i, j, k): sum(z**i * y**j * x**k for z, y, x in places) for i in range(4) for j in range(4) for k in range(4)}
+    assert sum(z**3 * y**3 * x**3 for z, y, x in places) > 2**63
+    assert dict(objects.moments(t.withColumn("z", F.col("z") - 100_000)).dtypes)["value"] == "bigint"
