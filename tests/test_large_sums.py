@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from tessera.catalogue import intensity
-from tessera.operators import objects
+from tessera.operators import features, objects
 
 
 def test_zscore_where_products_of_sums_outgrow_a_long(spark):
@@ -29,3 +29,10 @@ def test_moments_that_outgrow_a_long_are_exact_decimals(spark):
     assert {(r.i, r.j, r.k): int(r.value) for r in found.collect()} == {(i, j, k): sum(z**i * y**j * x**k for z, y, x in places) for i in range(4) for j in range(4) for k in range(4)}
     assert sum(z**3 * y**3 * x**3 for z, y, x in places) > 2**63
     assert dict(objects.moments(t.withColumn("z", F.col("z") - 100_000)).dtypes)["value"] == "bigint"
+
+
+def test_the_maximal_set_where_moments_outgrow_a_long(spark):
+    places = [(100_000 + k, 24 + k, 19 + k) for k in range(3)]
+    t = spark.createDataFrame([(*p, 1) for p in places], "z long, y long, x long, label long")
+    wide = features.morphology(t, "maximal").first()
+    assert int(wide["moments-63"]) == sum(z**3 * y**3 * x**3 for z, y, x in places)
