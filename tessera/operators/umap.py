@@ -1,9 +1,10 @@
 """Layouts of neighbour graphs: fuzzy weights, edges that pull and drawn nodes that push, places for new rows.
 
 Neighbours come from ``profile.knn``. Up to ``alone`` edges one task makes all
-epochs with numpy. Beyond that an epoch is one join, which brings the places of both
+epochs with numpy. Beyond that the epochs are made in some rounds, each one join, which brings the places of both
 ends together, and one grouping into parts dealt anew each time: a node is pulled by all
-its edges and pushed by nodes drawn from its part. So no task sees all places.
+its edges, of which those that end in other parts end where the round began, and pushed by nodes
+drawn from its part. Where there is more than a part no task sees all places.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from ..runtime import REMAINDER, cut
 
 #: Nodes, about, in a part of an epoch, and pushes a pull.
 PART, PUSHES = 20_000, 5
+#: Rounds, at most, in which the epochs are made where there are several parts.
+ROUNDS = 20
 
 
 def smooth(d: np.ndarray, known: np.ndarray, rounds: int = 64) -> tuple[np.ndarray, np.ndarray]:
@@ -110,8 +113,8 @@ def _stepped(x: np.ndarray, move: np.ndarray, pulls: np.ndarray, rate: float) ->
     return x + rate * move / np.sqrt(np.maximum(pulls, 1))[:, None]
 
 
-def _moving(seed: int, epoch: int, rate: float, a: float, b: float):
-    """One epoch of a part: its nodes, and the edges that begin there with the places where they end."""
+def _moving(seed: int, first: int, last: int, epochs: int, a: float, b: float):
+    """Some epochs of a part: its nodes, and the edges that begin there with the places where they end. Ends in the part move along, others wait for the next round."""
 
     def moved(key: tuple, mine: pd.DataFrame, ends: pd.DataFrame) -> pd.DataFrame:
         mine = mine.sort_values("node")
@@ -119,8 +122,12 @@ def _moving(seed: int, epoch: int, rate: float, a: float, b: float):
         if len(ends):
             ends = ends.sort_values(["src", "dst"])
             at, y, weight = np.searchsorted(nodes, ends["src"].to_numpy()), np.stack(ends["to"].to_numpy()), ends["weight"].to_numpy()
-            move = _forces(x, at, y, weight, x, np.random.default_rng((seed, epoch, key[0])), a, b)
-            x = _stepped(x, move, np.bincount(at, weight, len(x)), rate)
+            dst = ends["dst"].to_numpy()
+            own = np.minimum(np.searchsorted(nodes, dst), len(nodes) - 1)
+            here, pulls = nodes[own] == dst, np.bincount(at, weight, len(x))
+            for epoch in range(first, last):
+                y[here] = x[own[here]]
+                x = _stepped(x, _forces(x, at, y, weight, x, np.random.default_rng((seed, epoch, key[0])), a, b), pulls, 1 - epoch / epochs)
         return pd.DataFrame({"node": nodes, "place": [*x]})
 
     return moved
@@ -134,17 +141,19 @@ def layout(graph: DataFrame, start: DataFrame, epochs: int = 300, min_dist: floa
     """
     a, b = curve(min_dist)
     places = cut(start.select(F.col("node").cast("long").alias("node"), F.col("place").cast("array<double>").alias("place")))
-    edges = graph.join(places.select(F.col("node").alias("src")), "src", "left_semi").join(places.select(F.col("node").alias("dst")), "dst", "left_semi")
+    edges = graph.join(places.select(F.col("node").alias("src")).hint("merge"), "src", "left_semi").join(places.select(F.col("node").alias("dst")).hint("merge"), "dst", "left_semi")
     edges = cut(edges.select("src", "dst", "weight"))
     if edges.count() <= alone:
         return _in_one_layout(edges, places, epochs, a, b, seed)
     n = max(1, ceil(places.count() / part))
-    for epoch in range(epochs):
-        rate = 1 - epoch / epochs
-        dealt = places.withColumn("part", F.pmod(F.xxhash64("node", F.lit(seed + epoch)), F.lit(n)).cast("long"))
-        pulls = edges.join(places.select(F.col("node").alias("dst"), F.col("place").alias("to")), "dst").select(F.pmod(F.xxhash64(F.col("src"), F.lit(seed + epoch)), F.lit(n)).cast("long").alias("part"), "src", "dst", "to", "weight")
-
-        places = cut(dealt.groupBy("part").cogroup(pulls.groupBy("part")).applyInPandas(_moving(seed, epoch, rate, a, b), "node long, place array<double>"))
+    # the rounds do not depend on the rows, so neither does what the driver keeps of them; sorted joins send it no table
+    rounds = 1 if n == 1 else min(epochs, ROUNDS)
+    for turn in range(rounds):
+        first, last = epochs * turn // rounds, epochs * (turn + 1) // rounds
+        dealt = places.withColumn("part", F.pmod(F.xxhash64("node", F.lit(seed + turn)), F.lit(n)).cast("long"))
+        ends = places.select(F.col("node").alias("dst"), F.col("place").alias("to")).hint("merge")
+        pulls = edges.join(ends, "dst").select(F.pmod(F.xxhash64(F.col("src"), F.lit(seed + turn)), F.lit(n)).cast("long").alias("part"), "src", "dst", "to", "weight")
+        places = cut(dealt.groupBy("part").cogroup(pulls.groupBy("part")).applyInPandas(_moving(seed, first, last, epochs, a, b), "node long, place array<double>"))
     return places
 
 

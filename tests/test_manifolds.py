@@ -377,3 +377,16 @@ def test_a_row_is_sent_a_few_times_however_many_there_are():
     i, j, d = profile._near(p, np.arange(1100), q, np.arange(5000, 7500), 3)
     want = np.sqrt(((p[:, None] - q) ** 2).sum(axis=2))
     assert (np.bincount(i) == 3).all() and np.allclose(d.reshape(1100, 3), np.sort(want, axis=1)[:, :3])
+
+
+def test_a_layout_of_many_parts_keeps_neighbours_in_few_rounds(spark, monkeypatch):
+    x, label = clusters()
+    v, rounds = table_of(spark, x), []
+    graph = umap.fuzzy_graph(profile.knn(v, 10))
+    start = profile.pca(v, 2).selectExpr("id as node", "transform(pc, x -> x) as place")
+    moving = umap._moving
+    monkeypatch.setattr(umap, "_moving", lambda *how: (rounds.append(how[1:3]), moving(*how))[1])
+    got = {r.node: r.place for r in umap.layout(graph, start, 200, alone=0, part=60).collect()}
+    places = np.array([got[i] for i in range(len(x))])
+    assert len(rounds) == umap.ROUNDS and [k for lo, hi in rounds for k in range(lo, hi)] == list(range(200))
+    assert np.isfinite(places).all() and kept_neighbours(places, label) >= 0.9
