@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import REMAINDER, components, cut, roots
+from ..runtime import GRAPH, REMAINDER, components, cut, roots
 
 Edges = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -330,7 +330,7 @@ def _connected(at: np.ndarray, to: np.ndarray, label: np.ndarray) -> np.ndarray:
     return out
 
 
-def leiden(edges: DataFrame, resolution: float = 1.0, patience: int = 2, alone: int = REMAINDER) -> DataFrame:
+def leiden(edges: DataFrame, resolution: float = 1.0, patience: int = 2, alone: int = GRAPH) -> DataFrame:
     """Communities ``(node, community)`` by moves, refinement and aggregation; each is connected and named after its least node.
 
     On each level nodes move to the community that raises modularity most; communities are then parted anew from single
@@ -355,18 +355,18 @@ def leiden(edges: DataFrame, resolution: float = 1.0, patience: int = 2, alone:
         before, after = strength.count(), part.select("part").distinct().count()
         if after == before:
             break
-        up = cut(up.withColumnRenamed("part", "node_").join(part.withColumnRenamed("node", "node_"), "node_").select("node", "part"))
-        strength = cut(strength.join(part, "node").groupBy(F.col("part").alias("node")).agg(F.sum("k").alias("k")))
-        ends = level.join(part.select(F.col("node").alias("src"), F.col("part").alias("p")), "src").join(part.select(F.col("node").alias("dst"), F.col("part").alias("q")), "dst")
+        up = cut(up.withColumnRenamed("part", "node_").join(part.withColumnRenamed("node", "node_").hint("merge"), "node_").select("node", "part"))
+        strength = cut(strength.join(part.hint("merge"), "node").groupBy(F.col("part").alias("node")).agg(F.sum("k").alias("k")))
+        ends = level.join(part.select(F.col("node").alias("src"), F.col("part").alias("p")).hint("merge"), "src").join(part.select(F.col("node").alias("dst"), F.col("part").alias("q")).hint("merge"), "dst")
         level = cut(ends.where("p != q").groupBy(F.col("p").alias("src"), F.col("q").alias("dst")).agg(F.sum("weight").alias("weight")))
-        start = cut(part.join(label, "node").groupBy(F.col("part").alias("node")).agg(F.min("community").alias("community")))
+        start = cut(part.join(label.hint("merge"), "node").groupBy(F.col("part").alias("node")).agg(F.min("community").alias("community")))
         if level.count() <= alone:
             label = _last_levels(level, strength, start, resolution, patience)
             break
-    whole = up.join(label.withColumnRenamed("node", "part"), "part").select("node", "community")
+    whole = up.join(label.withColumnRenamed("node", "part").hint("merge"), "part").select("node", "community")
     # a community in several parts is one a part: none of its edges is lost, and chance would give fewer
-    inside = both.join(whole.select(F.col("node").alias("src"), F.col("community").alias("c")), "src").join(whole.select(F.col("node").alias("dst"), F.col("community").alias("d")), "dst").where("c = d")
-    return whole.select("node").join(components(inside.select("src", "dst")), "node", "left").select("node", F.coalesce("root", "node").alias("community"))
+    inside = both.join(whole.select(F.col("node").alias("src"), F.col("community").alias("c")).hint("merge"), "src").join(whole.select(F.col("node").alias("dst"), F.col("community").alias("d")).hint("merge"), "dst").where("c = d")
+    return whole.select("node").join(components(inside.select("src", "dst")).hint("merge"), "node", "left").select("node", F.coalesce("root", "node").alias("community"))
 
 
 def _last_levels(level: DataFrame, strength: DataFrame, start: DataFrame, resolution: float, patience: int) -> DataFrame:
@@ -396,23 +396,23 @@ def _moved_over_all(level: DataFrame, strength: DataFrame, label: DataFrame, tot
     """The rounds of ``_moved`` as joins."""
 
     def quality(x: DataFrame) -> float:
-        ends = level.join(x.select(F.col("node").alias("src"), F.col("community").alias("c")), "src").join(x.select(F.col("node").alias("dst"), F.col("community").alias("d")), "dst")
-        held = x.join(strength, "node").groupBy("community").agg(F.sum("k").alias("held"))
+        ends = level.join(x.select(F.col("node").alias("src"), F.col("community").alias("c")).hint("merge"), "src").join(x.select(F.col("node").alias("dst"), F.col("community").alias("d")).hint("merge"), "dst")
+        held = x.join(strength.hint("merge"), "node").groupBy("community").agg(F.sum("k").alias("held"))
         return (ends.where("c = d").agg(F.sum("weight")).first()[0] or 0.0) / total - resolution * held.agg(F.sum(F.col("held") * F.col("held"))).first()[0] / total / total
 
     best, top, worse, turn = label, quality(label), 0, 0
     while worse < 2 * patience:
         turn += 1
-        held = label.join(strength, "node").groupBy("community").agg(F.sum("k").alias("held"))
-        here = label.join(strength, "node").join(held, "community").select("node", F.col("community").alias("mine"), "k", F.col("held").alias("mine_held"))
-        links = level.join(label.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
-        free = here.select("node").join(held.select(F.col("community").alias("node")), "node", "left_anti").select("node", F.col("node").alias("community"), F.lit(0.0).alias("w"))
-        around = links.unionByName(free).join(here, "node").join(held, "community", "left")
+        held = label.join(strength.hint("merge"), "node").groupBy("community").agg(F.sum("k").alias("held"))
+        here = label.join(strength.hint("merge"), "node").join(held.hint("merge"), "community").select("node", F.col("community").alias("mine"), "k", F.col("held").alias("mine_held"))
+        links = level.join(label.withColumnRenamed("node", "dst").hint("merge"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
+        free = here.select("node").join(held.select(F.col("community").alias("node")).hint("merge"), "node", "left_anti").select("node", F.col("node").alias("community"), F.lit(0.0).alias("w"))
+        around = links.unionByName(free).join(here.hint("merge"), "node").join(held.hint("merge"), "community", "left")
         gain = F.col("w") - resolution * F.col("k") * (F.coalesce("held", F.lit(0.0)) - F.when(F.col("community") == F.col("mine"), F.col("k")).otherwise(0.0)) / total
         leave = F.max(-resolution * F.col("k") * (F.col("mine_held") - F.col("k")) / total)
         pick = around.withColumn("gain", gain).groupBy("node").agg(F.max(F.struct("gain", (-F.col("community")).alias("name"))).alias("to"), F.coalesce(F.max(F.when(F.col("community") == F.col("mine"), F.col("gain"))), leave).alias("stay"))
         goes = pick.where(F.col("to.gain") > F.col("stay") + 1e-12).where(_named_half(turn)).select("node", (-F.col("to.name")).alias("new"))
-        label = cut(label.join(goes, "node", "left").select("node", F.coalesce("new", "community").alias("community")))
+        label = cut(label.join(goes.hint("merge"), "node", "left").select("node", F.coalesce("new", "community").alias("community")))
         now = quality(label)
         best, top, worse = (label, now, 0) if now > top + 1e-12 else (best, top, worse + 1)
     return best
@@ -420,18 +420,18 @@ def _moved_over_all(level: DataFrame, strength: DataFrame, label: DataFrame, tot
 
 def _refined_over_all(level: DataFrame, strength: DataFrame, label: DataFrame, total: float, resolution: float) -> DataFrame:
     """The rounds of ``_refined`` as joins: ``(node, part)``."""
-    ends = level.join(label.select(F.col("node").alias("src"), F.col("community").alias("c")), "src").join(label.select(F.col("node").alias("dst"), F.col("community").alias("d")), "dst")
+    ends = level.join(label.select(F.col("node").alias("src"), F.col("community").alias("c")).hint("merge"), "src").join(label.select(F.col("node").alias("dst"), F.col("community").alias("d")).hint("merge"), "dst")
     inside = cut(ends.where("c = d").select("src", "dst", "weight"))
     part, idle, turn = cut(label.select("node", F.col("node").alias("part"))), 0, 0
     while idle < 4:
         turn += 1
-        held = part.join(strength, "node").groupBy("part").agg(F.sum("k").alias("held"), F.count("*").alias("n"))
-        now = part.join(held, "part").select("node", "part", "held", ((F.col("n") == 1) & _named_half(turn)).alias("mover"))
-        links = inside.join(now.where("mover").select(F.col("node").alias("src")), "src").join(now.where("not mover").select(F.col("node").alias("dst"), "part", "held"), "dst")
-        gains = links.groupBy(F.col("src").alias("node"), "part").agg(F.sum("weight").alias("w"), F.first("held").alias("held")).join(strength, "node")
+        held = part.join(strength.hint("merge"), "node").groupBy("part").agg(F.sum("k").alias("held"), F.count("*").alias("n"))
+        now = part.join(held.hint("merge"), "part").select("node", "part", "held", ((F.col("n") == 1) & _named_half(turn)).alias("mover"))
+        links = inside.join(now.where("mover").select(F.col("node").alias("src")).hint("merge"), "src").join(now.where("not mover").select(F.col("node").alias("dst"), "part", "held").hint("merge"), "dst")
+        gains = links.groupBy(F.col("src").alias("node"), "part").agg(F.sum("weight").alias("w"), F.first("held").alias("held")).join(strength.hint("merge"), "node")
         gain = F.col("w") - resolution * F.col("k") * F.col("held") / total
         to = gains.withColumn("gain", gain).where("gain > 1e-12").groupBy("node").agg((-F.max(F.struct("gain", (-F.col("part")).alias("name")))["name"]).alias("new"))
-        new = cut(part.join(to, "node", "left").select("node", F.coalesce("new", "part").alias("part"), F.col("new").isNotNull().alias("went")))
+        new = cut(part.join(to.hint("merge"), "node", "left").select("node", F.coalesce("new", "part").alias("part"), F.col("new").isNotNull().alias("went")))
         idle = 0 if new.where("went").limit(1).count() else idle + 1
         part = new.select("node", "part")
     return part

@@ -390,3 +390,16 @@ def test_a_layout_of_many_parts_keeps_neighbours_in_few_rounds(spark, monkeypatc
     places = np.array([got[i] for i in range(len(x))])
     assert len(rounds) == umap.ROUNDS and [k for lo, hi in rounds for k in range(lo, hi)] == list(range(200))
     assert np.isfinite(places).all() and kept_neighbours(places, label) >= 0.9
+
+
+@pytest.mark.parametrize("find", [profile.communities, graphs.leiden])
+def test_communities_of_a_middling_graph_take_the_driver_no_rounds(spark, monkeypatch, find):
+    def rounds(*_):
+        raise AssertionError("rounds over all tasks")
+
+    monkeypatch.setattr(profile, "modularity", rounds)
+    monkeypatch.setattr(graphs, "_moved_over_all", rounds)
+    # 60,000 groups of four nodes, each linked with all of its own: 720,000 edges in both directions
+    edges = spark.range(60_000).selectExpr("explode(array(struct(0, 1), struct(0, 2), struct(0, 3), struct(1, 2), struct(1, 3), struct(2, 3))) as e", "4 * id as id").selectExpr("id + e.col1 as src", "id + e.col2 as dst")
+    found = find(edges)
+    assert found.where("community div 4 != node div 4").count() == 0 and found.count() == 240_000
