@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import biasfield, graphs, near, profile, umap
+from ..runtime import cut
 from ..sources.voxels import dims
 from .profiling import _vectors
 from .registry import tables, volume
@@ -32,7 +33,7 @@ def knn_graph(read) -> DataFrame:
 @tables()
 def leiden_communities(read) -> DataFrame:
     """Connected communities of the fuzzy neighbour graph at two resolutions, named by their least row."""
-    g = umap.fuzzy_graph(profile.knn(_vectors(read), 5))
+    g = cut(umap.fuzzy_graph(profile.knn(_vectors(read), 5)))  # both resolutions read it
     one, two = (graphs.leiden(g, r).withColumnRenamed("community", f"leiden_{r:.2f}".replace(".", "_")) for r in (0.4, 0.8))
     return one.join(two, "node")
 
