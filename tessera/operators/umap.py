@@ -17,10 +17,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import REMAINDER, cut
+from ..runtime import GRAPH, cut
 
 #: Nodes, about, in a part of an epoch, and pushes a pull.
 PART, PUSHES = 20_000, 5
+#: Edges whose forces are made at a time.
+SOME = 4096
 #: Rounds, at most, in which the epochs are made where there are several parts.
 ROUNDS = 20
 
@@ -95,17 +97,23 @@ def _forces(x: np.ndarray, at: np.ndarray, y: np.ndarray, weight: np.ndarray, ot
     """What moves the nodes at ``x``: pulls by the ends ``y`` of edges of node ``at``, as likely as their weight, and pushes by drawn others."""
     on = r.random(len(at)) < weight
     at, y = at[on], y[on]
-    move = np.zeros_like(x)
-    diff = x[at] - y
-    d2 = (diff**2).sum(axis=1)
-    pull = np.where(d2 > 0, -2 * a * b * np.maximum(d2, 1e-12) ** (b - 1) / (1 + a * d2**b), 0)
-    np.add.at(move, at, np.clip(pull[:, None] * diff, -4, 4))
-    for _ in range(PUSHES):
-        diff = x[at] - others[r.integers(0, len(others), len(at))]
-        d2 = (diff**2).sum(axis=1)
-        push = np.where(d2 > 0, 2 * b / ((0.001 + d2) * (1 + a * d2**b)), 0)
-        np.add.at(move, at, np.clip(push[:, None] * diff, -4, 4))
-    return move
+    drawn = [r.integers(0, len(others), len(at)) for _ in range(PUSHES)]
+    moves = np.empty((x.shape[1], PUSHES + 1, len(at)))
+    columns, ends = np.ascontiguousarray(x.T), [np.ascontiguousarray(y.T), *[np.ascontiguousarray(others.T)] * PUSHES]
+    for lo in range(0, len(at), SOME):  # pieces that stay in a core's cache
+        part = slice(lo, lo + SOME)
+        here = [c[at[part]] for c in columns]
+        for k, end in enumerate(ends):
+            diff = [h - c[drawn[k - 1][part] if k else part] for h, c in zip(here, end)]
+            d2 = sum(d**2 for d in diff)
+            if k:
+                force = np.where(d2 > 0, 2 * b / ((0.001 + d2) * (1 + a * d2**b)), 0)
+            else:
+                force = np.where(d2 > 0, -2 * a * b * np.maximum(d2, 1e-12) ** (b - 1) / (1 + a * d2**b), 0)
+            for m, d in zip(moves, diff):
+                m[k, part] = np.clip(force * d, -4, 4)
+    at = np.tile(at, PUSHES + 1)
+    return np.stack([np.bincount(at, m.ravel(), len(x)) for m in moves], axis=1)
 
 
 def _stepped(x: np.ndarray, move: np.ndarray, pulls: np.ndarray, rate: float) -> np.ndarray:
@@ -133,7 +141,7 @@ def _moving(seed: int, first: int, last: int, epochs: int, a: float, b: float):
     return moved
 
 
-def layout(graph: DataFrame, start: DataFrame, epochs: int = 300, min_dist: float = 0.1, seed: int = 42, alone: int = REMAINDER, part: int = PART) -> DataFrame:
+def layout(graph: DataFrame, start: DataFrame, epochs: int = 300, min_dist: float = 0.1, seed: int = 42, alone: int = GRAPH, part: int = PART) -> DataFrame:
     """``graph(src, dst, weight)``, both directions, and ``start(node, place)`` -> ``(node, place)`` after ``epochs``.
 
     The rate falls to 0 over the epochs. Draws follow from the seed, the epoch and the part, so a task run again
@@ -187,7 +195,7 @@ def placed(near: DataFrame, places: DataFrame) -> DataFrame:
     return each.groupBy(F.col("src").alias("node")).agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x"))), lambda s: s["x"]).alias("place"))
 
 
-def umap(vectors: DataFrame, near: DataFrame, components: int = 2, epochs: int = 300, min_dist: float = 0.1, seed: int = 42, alone: int = REMAINDER) -> DataFrame:
+def umap(vectors: DataFrame, near: DataFrame, components: int = 2, epochs: int = 300, min_dist: float = 0.1, seed: int = 42, alone: int = GRAPH) -> DataFrame:
     """``vectors(id, v)`` and their neighbours ``near`` -> ``(node, place)``: a layout that starts from the first principal components, ten wide.
 
     A little noise that follows from the id parts equal rows. No rows give no rows.

@@ -1,7 +1,11 @@
 """Graphs over many rows: what is read once, and steps over all tasks held against those of one."""
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from tessera.catalogue import manifolds
 from tessera.catalogue.registry import QUERIES
+from tessera.operators import graphs, umap
 
 DATA = "/root/testdata/sf0.001"
 
@@ -11,3 +15,20 @@ def test_both_resolutions_read_one_written_graph(spark, monkeypatch):
     monkeypatch.setattr(manifolds.graphs, "leiden", lambda g, r: (got.append(g._jdf.queryExecution().toString()), leiden(g, r))[1])
     QUERIES["leiden_communities"](spark, DATA)
     assert len(got) == 2 and not any("CoGroup" in p for p in got)
+
+
+def test_a_layout_of_more_than_200_000_edges_takes_no_rounds_over_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(umap, "_moving", None)
+    n, k = 3000, 70
+    g = spark.range(n * k).select((F.col("id") % n).alias("src"), ((F.col("id") % n + 1 + F.expr(f"id div {n}")) % n).alias("dst"), F.lit(0.5).alias("weight"))
+    start = spark.range(n).select(F.col("id").alias("node"), F.array(F.sin("id"), F.cos("id")).alias("place"))
+    assert umap.layout(g, start, 1, part=100).count() == n
+
+
+def test_forces_in_pieces_are_those_of_one_piece(monkeypatch):
+    r = np.random.default_rng(0)
+    at, x, w = np.sort(r.integers(0, 50, 900)), r.normal(size=(50, 2)), r.random(900)
+    y = x[r.integers(0, 50, 900)]
+    whole = umap._forces(x, at, y, w, x, np.random.default_rng(1), 1.5, 0.9)
+    monkeypatch.setattr(umap, "SOME", 7)
+    assert (umap._forces(x, at, y, w, x, np.random.default_rng(1), 1.5, 0.9) == whole).all()
