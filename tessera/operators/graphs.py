@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import GRAPH, REMAINDER, components, cut, roots
+from ..runtime import GRAPH, WALK, components, cut, roots
 
 Edges = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -66,8 +66,10 @@ def lanczos(product: Callable[[np.ndarray], np.ndarray], known: np.ndarray, k: i
     """
     n = len(known)
     q = np.random.default_rng(1).normal(size=n)
-    basis, alpha, beta = np.empty((0, n)), [], []
+    # memory is taken row by row as the basis grows, which a round does not copy
+    room, alpha, beta = np.empty((max(1, min(rounds, n)), n)), [], []
     while True:
+        basis = room[: len(alpha)]
         for _ in range(2):
             q = q - known * (known @ q) - basis.T @ (basis @ q)
         length = float(np.linalg.norm(q))
@@ -80,9 +82,10 @@ def lanczos(product: Callable[[np.ndarray], np.ndarray], known: np.ndarray, k: i
                 raise NotConverged(f"{k} eigenvectors of {n} nodes, residual {off:.2g} after {rounds} rounds")
         elif length < 1e-13:
             return np.zeros(0), np.zeros((n, 0))
-        basis = np.vstack([basis, q / length])
-        q = product(basis[-1])
-        alpha.append(float(basis[-1] @ q))
+        last = room[len(alpha)]
+        last[:] = q / length
+        q = product(last)
+        alpha.append(float(last @ q))
 
 
 def _walk(at: np.ndarray, to: np.ndarray, weight: np.ndarray, n: int, k: int, rounds: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,7 +112,8 @@ def _eigen_over_all(both: DataFrame, k: int, rounds: int, tolerance: float) -> t
         for _ in range(2):
             dots = state.agg(F.sum(F.col("w") * known), *(F.sum(F.col("w") * F.col("basis")[j]) for j in range(m))).first()
             less = F.aggregate(F.zip_with("basis", F.array(*map(F.lit, dots[1:])).cast("array<double>"), lambda a, b: a * b), F.col("w") - known * dots[0], lambda s, x: s - x)
-            state, along = cut(state.select("node", "r", "basis", less.alias("w"))), [*along, dots[-1]]
+            state, along = state.select("node", "r", "basis", less.alias("w")), [*along, dots[-1]]
+        state = cut(state)
         length = float(np.sqrt(state.agg(F.sum(F.col("w") * F.col("w"))).first()[0]))
         if alpha:
             alpha[-1] += sum(along)
@@ -139,7 +143,7 @@ def _signed(v: np.ndarray) -> np.ndarray:
     return v * np.where(v[np.abs(np.round(v, 9)).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0) if len(v) else v
 
 
-def diffusion_map(edges: DataFrame, k: int = 5, rounds: int = 300, tolerance: float = 1e-7, alone: int = REMAINDER) -> DataFrame:
+def diffusion_map(edges: DataFrame, k: int = 5, rounds: int = 300, tolerance: float = 1e-7, alone: int = WALK) -> DataFrame:
     """``(node, dc)``: the ``k`` leading non-trivial eigenvectors of the random walk on a graph, each times its eigenvalue.
 
     Eigenvectors of the symmetric walk D^-1/2 A D^-1/2 by Lanczos steps, over the roots of the
@@ -174,7 +178,7 @@ def _reached(at: np.ndarray, to: np.ndarray, n: int, root: int) -> np.ndarray:
         steps[front] = turn
 
 
-def pseudotime(edges: DataFrame, root: int, alone: int = REMAINDER) -> DataFrame:
+def pseudotime(edges: DataFrame, root: int, alone: int = WALK) -> DataFrame:
     """``(node, steps)``: the least number of edges from the root; unreached nodes are absent, as is all if the root has no edge."""
     both = cut(weighted(edges))
     if both.count() <= alone:
@@ -196,7 +200,7 @@ def pseudotime(edges: DataFrame, root: int, alone: int = REMAINDER) -> DataFrame
     return seen
 
 
-def diffusion_pseudotime(edges: DataFrame, root: int, k: int = 5, rounds: int = 300, tolerance: float = 1e-7, alone: int = REMAINDER) -> DataFrame:
+def diffusion_pseudotime(edges: DataFrame, root: int, k: int = 5, rounds: int = 300, tolerance: float = 1e-7, alone: int = WALK) -> DataFrame:
     """``(node, time)``: diffusion distance from the root over the largest one; 0 for nodes that the root does not reach.
 
     The distance sums walks of all lengths: eigenvectors of the symmetric walk on the
@@ -440,7 +444,7 @@ def _refined_over_all(level: DataFrame, strength: DataFrame, label: DataFrame, t
 # branches of a trajectory
 
 
-def distances(edges: DataFrame, sources: list[int], alone: int = REMAINDER) -> DataFrame:
+def distances(edges: DataFrame, sources: list[int], alone: int = WALK) -> DataFrame:
     """``(node, d)``: length of the shortest way from each source, the weights of edges being lengths; infinite where there is none.
 
     The number of sources is bounded by the caller; a round lengthens all ways by one edge.
@@ -459,14 +463,15 @@ def distances(edges: DataFrame, sources: list[int], alone: int = REMAINDER) -> D
             for j, s in enumerate(sources):
                 d[nodes == s, j] = 0
             first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-            for lo in range(0, len(sources), 16):  # some sources at a time, so that edges times sources stay small
-                part = d[:, lo : lo + 16]
+            some = max(1, min(16, 16_000_000 // max(1, len(at))))
+            for lo in range(0, len(sources), some):  # some sources at a time, so that edges times sources stay small
+                part = d[:, lo : lo + some]
                 while True:
                     new = np.minimum(part, np.minimum.reduceat(part[to] + weight[:, None], first))
                     if (new == part).all():
                         break
                     part = new
-                d[:, lo : lo + 16] = part
+                d[:, lo : lo + some] = part
             return pd.DataFrame({"node": nodes, "d": [*d]})
 
         return _in_one_task(both, work, "node long, d array<double>")
@@ -520,7 +525,7 @@ def branch_model(d: np.ndarray, rounds: int = 20) -> dict:
     return {"history": history, "scale": scale, "side": np.where(t > fork, side, 0.0), "fork": fork}
 
 
-def branches(edges: DataFrame, root: int, waypoints: int = 250, alone: int = REMAINDER) -> DataFrame:
+def branches(edges: DataFrame, root: int, waypoints: int = 250, alone: int = WALK) -> DataFrame:
     """``(node, time, branch)`` of a trajectory that parts once: branch 1 before the fork, 2 and 3 after it, 2 that of the latest waypoint.
 
     Weights of edges are lengths. Waypoints, ``waypoints`` at most and the root among them, are drawn

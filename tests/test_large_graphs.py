@@ -32,3 +32,12 @@ def test_forces_in_pieces_are_those_of_one_piece(monkeypatch):
     whole = umap._forces(x, at, y, w, x, np.random.default_rng(1), 1.5, 0.9)
     monkeypatch.setattr(umap, "SOME", 7)
     assert (umap._forces(x, at, y, w, x, np.random.default_rng(1), 1.5, 0.9) == whole).all()
+
+
+def test_graphs_of_more_than_200_000_edges_take_no_rounds_over_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(graphs, "_eigen_over_all", None)
+    n, k = 3000, 40
+    g = spark.range(n * k).select((F.col("id") % n).alias("src"), F.pmod(F.xxhash64("id"), F.lit(n)).alias("dst"))
+    assert g.count() * 2 > 230_000
+    found = graphs.diffusion_pseudotime(g, 0, 3).agg(F.count("*").alias("n"), F.max("time").alias("top")).first()
+    assert (found.n, round(found.top, 9)) == (n, 1.0)
