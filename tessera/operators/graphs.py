@@ -533,6 +533,7 @@ def branches(edges: DataFrame, root: int, waypoints: int = 250, alone: int = WAL
     branch 1 if no two waypoints disagree by a tenth of the whole time. Nodes that the root does not reach have time 0
     and branch 0. A root without edges reaches nothing.
     """
+    edges = cut(edges)  # read three times
     nodes = cut(weighted(edges).select(F.col("src").alias("node")).distinct())
     reached = cut(distances(edges, [root], alone)).where(F.col("d")[0] < float("inf"))
     drawn = reached.where(F.col("node") != root).orderBy(F.md5(F.col("node").cast("string")), "node").limit(waypoints - 1)

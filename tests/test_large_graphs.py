@@ -41,3 +41,10 @@ def test_graphs_of_more_than_200_000_edges_take_no_rounds_over_all_tasks(spark,
     assert g.count() * 2 > 230_000
     found = graphs.diffusion_pseudotime(g, 0, 3).agg(F.count("*").alias("n"), F.max("time").alias("top")).first()
     assert (found.n, round(found.top, 9)) == (n, 1.0)
+
+
+def test_branches_find_neighbours_once(spark, monkeypatch):
+    got, real = [], graphs.distances
+    monkeypatch.setattr(graphs, "distances", lambda e, s, alone: (got.append(e._jdf.queryExecution().toString()), real(e, s, alone))[1])
+    QUERIES["trajectory_branches"](spark, DATA)
+    assert len(got) == 2 and not any("CoGroup" in p for p in got)
