@@ -2,7 +2,7 @@
 
 A step tries many transforms at once: all voxels of the fixed volume, under each of
 them, share themselves out between the eight moving voxels around the place that they come
-to, and one aggregate yields the joint histogram of each transform. The histograms, of a
+to, block by block, and the sums are the joint histogram of each transform. The histograms, of a
 bounded number of bins, come to the driver, which goes to the best transform and halves the step
 where none is better. Coarse levels come first. Up to ``alone`` voxels one task
 takes all steps.
@@ -23,6 +23,9 @@ from ..runtime import cut
 
 AXES = ("z", "y", "x")
 ALONE = 2_000_000
+#: Voxels, at most, of a block along each axis where a volume is more than one task's: a block has a megabyte.
+SIDE = 64
+_BLOCK = "kz long, ky long, kx long, first array<long>, shape array<long>, bins binary"
 #: First steps of turns (radians), shifts (voxels of the level), logarithms of scales, and shears.
 STEPS = np.array([0.08] * 3 + [2.0] * 3 + [0.05] * 3 + [0.05] * 3)
 
@@ -82,17 +85,22 @@ def _bins(v: np.ndarray, lo: float, hi: float, bins: int) -> np.ndarray:
 
 def joint_in_one_task(places: np.ndarray, own: np.ndarray, moving: np.ndarray, m: np.ndarray, bins: int) -> np.ndarray:
     """Joint histogram of one transform: ``places`` (n, 3) with their bins, and the bins of a dense moving volume, -1 where it has none."""
-    at = places @ m[:, :3].T + m[:, 3]
+    at = np.ascontiguousarray((places @ m[:, :3].T + m[:, 3]).T)
     first = np.floor(at).astype(np.int64)
     rest = at - first
-    out = np.zeros(bins * bins)
-    for corner in product((0, 1), repeat=3):
-        q = first + corner
-        w = np.prod(np.where(corner, rest, 1 - rest), axis=1)
-        ok = ((q >= 0) & (q < moving.shape)).all(axis=1) & (w > 0)
-        b = moving[tuple(q[ok].T)]
+    inside = [[(q >= 0) & (q < n) for q in (f, f + 1)] for f, n in zip(first, moving.shape)]
+    # where all places lie on voxels along an axis, the upper ones have no share
+    upper = [(0, 1) if r.any() else (0,) for r in rest]
+    steps = (moving.shape[1] * moving.shape[2], moving.shape[2], 1)
+    flat, out = moving.ravel(), np.zeros(bins * bins)
+    for corner in product(*upper):
+        ok = np.flatnonzero(np.logical_and.reduce([i[c] for i, c in zip(inside, corner)]))
+        if not len(ok):
+            continue
+        b = flat[sum((f[ok] + c) * s for f, c, s in zip(first, corner, steps))]
+        w = np.multiply.reduce([r[ok] if c else 1 - r[ok] for r, c in zip(rest, corner)])
         seen = b >= 0
-        out += np.bincount(own[ok][seen] * bins + b[seen], w[ok][seen], bins * bins)
+        out += np.bincount(own[ok][seen] * bins + b[seen], w[seen], bins * bins)
     return out.reshape(bins, bins)
 
 
@@ -119,22 +127,83 @@ def coarser(voxels: DataFrame, by: int) -> DataFrame:
     return voxels.groupBy(*(F.floor(F.col(a) / by).cast("long").alias(a) for a in AXES)).agg(F.avg("v").alias("v"))
 
 
-def _scorer(fixed: DataFrame, moving: DataFrame, ends: list[tuple[float, float]], bins: int) -> Callable[[list[np.ndarray]], np.ndarray]:
-    """Joint histograms of several transforms by one aggregate over all voxels."""
+def _packed(t: DataFrame, lo: float, hi: float, bins: int) -> DataFrame:
+    """Blocks of a volume, a row each: number along each axis, first place, shape, and the bins of the values, -1 where there are none."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        at = rows[[*AXES]].to_numpy()
+        first = at.min(axis=0)
+        out = np.full(at.max(axis=0) - first + 1, -1, np.int32)
+        out[tuple((at - first).T)] = _bins(rows["v"].to_numpy(float), lo, hi, bins)
+        return pd.DataFrame({**{f"k{a}": [n] for a, n in zip(AXES, key)}, "first": [first.tolist()], "shape": [list(out.shape)], "bins": [out.tobytes()]})
+
+    places = t.select(*(F.col(a).cast("long").alias(a) for a in AXES), F.col("v").cast("double").alias("v"))
+    number = [F.floor(F.col(a) / SIDE).cast("long").alias(f"k{a}") for a in AXES]
+    return places.groupBy(*number).applyInPandas(run, _BLOCK)
+
+
+def _unpacked(row) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(row.first), np.frombuffer(row.bins, np.int32).reshape(row.shape)
 
-    def binned(t: DataFrame, lo: float, hi: float, to: str) -> DataFrame:
-        return t.select(*AXES, F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor((F.col("v") - lo) / ((hi - lo) or 1.0) * bins))).cast("int").alias(to))
 
-    own, other = cut(binned(fixed, *ends[0], "i")), cut(binned(moving, *ends[1], "j").select(*(F.col(a).alias(f"q{a}") for a in AXES), "j"))
+def _meetings(first: np.ndarray, shape: np.ndarray, ms: list[np.ndarray]) -> dict[tuple[int, ...], list[int]]:
+    """The blocks that a box comes to, with the transforms that bring it there."""
+    out: dict[tuple[int, ...], list[int]] = {}
+    corners = first + np.array(list(product((0, 1), repeat=3))) * (shape - 1)
+    for k, m in enumerate(ms):
+        at = corners @ m[:, :3].T + m[:, 3]
+        # a place has its share of eight voxels around it; products may be off by rounding
+        lo, hi = np.floor(at.min(axis=0) - 1e-6).astype(int) // SIDE, (np.floor(at.max(axis=0) + 1e-6).astype(int) + 1) // SIDE
+        for block in product(*(range(a, b + 1) for a, b in zip(lo.tolist(), hi.tolist()))):
+            out.setdefault(block, []).append(k)
+    return out
+
+
+def _scorer(fixed: DataFrame, moving: DataFrame, ends: list[tuple[float, float]], bins: int) -> Callable[[list[np.ndarray]], list[np.ndarray]]:
+    """Joint histograms of several transforms by one pass over pairs of blocks.
+
+    A histogram is a sum over moving voxels, so each pair of a fixed block and a moving
+    one that it comes to is counted on its own. Blocks are written once, in four bytes a voxel; a round
+    sends each fixed block to the few moving ones around its place, whatever the number of transforms.
+    """
+    own, other = cut(_packed(fixed, *ends[0], bins)), cut(_packed(moving, *ends[1], bins))
+    keys = [f"k{a}" for a in AXES]
 
     def joints(ms: list[np.ndarray]) -> list[np.ndarray]:
-        tried = F.array(*(F.struct(F.lit(k).alias("k"), _corners(_mapped(m)).alias("at")) for k, m in enumerate(ms)))
-        spread = own.select("i", F.explode(tried).alias("t")).select("i", "t.k", F.inline("t.at")).where("w > 0")
-        got = spread.join(other, [f"q{a}" for a in AXES]).groupBy("k", "i", "j").agg(F.sum("w").alias("w")).collect()
-        out = [np.zeros((bins, bins)) for _ in ms]
-        for r in got:
-            out[r["k"]][r["i"], r["j"]] = r["w"]
-        return out
+        def sent(frames):
+            for f in frames:
+                for row in f.itertuples():
+                    met = _meetings(np.array(row.first), np.array(row.shape), ms)
+                    for at in range(0, len(met), 8):
+                        part = list(met.items())[at : at + 8]
+                        yield pd.DataFrame({**{n: [b[i] for b, _ in part] for i, n in enumerate(keys)}, "first": [row.first] * len(part), "shape": [row.shape] * len(part), "bins": [row.bins] * len(part), "ks": [k for _, k in part]})
+
+        def count(here: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+            out: dict[int, np.ndarray] = {}
+            for there_row in there.itertuples():
+                lo, dense = _unpacked(there_row)
+                for row in here.itertuples():
+                    first, own_bins = _unpacked(row)
+                    at = np.nonzero(own_bins >= 0)
+                    places, i = np.stack(at, axis=1) + first, own_bins[at]
+                    for k in row.ks:
+                        out[k] = out.get(k, 0) + joint_in_one_task(places, i, dense, np.hstack([ms[k][:, :3], (ms[k][:, 3] - lo)[:, None]]), bins).ravel()
+            return pd.DataFrame({"k": pd.Series(list(out), dtype="int32"), "w": pd.Series([w.tolist() for w in out.values()], dtype=object)})
+
+        def added(frames):
+            out: dict[int, np.ndarray] = {}
+            for f in frames:
+                for k, w in zip(f["k"], f["w"]):
+                    out[k] = out.get(k, 0) + np.asarray(w)
+            for k, w in out.items():
+                on = np.flatnonzero(w)
+                yield pd.DataFrame({"k": k, "cell": on, "w": w[on]})
+
+        pairs = own.mapInPandas(sent, f"{_BLOCK}, ks array<int>").groupBy(*keys).cogroup(other.groupBy(*keys)).applyInPandas(count, "k int, w array<double>")
+        out = [np.zeros(bins * bins) for _ in ms]
+        for r in pairs.mapInPandas(added, "k int, cell long, w double").groupBy("k", "cell").agg(F.sum("w").alias("w")).collect():
+            out[r["k"]][r["cell"]] = r["w"]
+        return [j.reshape(bins, bins) for j in out]
 
     return joints
 

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import kernels, registration
 
@@ -72,6 +73,24 @@ def test_steps_over_all_tasks_score_as_one_task_does(spark):
     assert registration.registered(one, two, "shift", levels=(1,), alone=0, least=0.6)[0].shape == (3, 4)
 
 
+def test_pairs_of_small_blocks_score_as_one_task_does(spark, monkeypatch):
+    """Also where blocks are cut below zero, and where a block comes to places that the moving volume has not got."""
+    monkeypatch.setattr(registration, "SIDE", 4)
+    shape, away = (5, 12, 14), np.array([-3, -7, 40])
+    fixed, moving, _ = moved(shape, [0.05, 0, 0, 0, 1, -1])
+    moving = np.where(np.isnan(moving), 0, moving)
+    one, two = (table(spark, a).select(*((F.col(n) + int(d)).alias(n) for n, d in zip("zyx", away)), "v") for a in (fixed, moving))
+    ends = [(float(a.min()), float(a.max())) for a in (fixed, moving)]
+    ms = [registration.matrix(np.array(q), np.array([2.0, 5.5, 6.5]) + away) for q in ([0.0], [0, 0, 0, 0, 2, -1], [0.05, 0.1, 0, 0.3, 0.4, 30.0], [0, 0.1, 0, 0.3, 0.4, 0.5, 0.1])]
+    joints = registration._scorer(one, two, ends, 8)(ms)
+    places = np.stack([c.ravel() for c in np.indices(shape)], 1) + away
+    own, dense = registration._bins(fixed.ravel(), *ends[0], 8), registration._bins(moving, *ends[1], 8)
+    for m, j in zip(ms, joints):
+        assert np.allclose(j, registration.joint_in_one_task(places, own, dense, np.hstack([m[:, :3], (m[:, 3] - away)[:, None]]), 8))
+    met = registration._meetings(np.array([0, 0, 0]), np.array([4, 4, 4]), ms[:1] * 9)
+    assert set(met) == set(np.ndindex(2, 2, 2)) and all(k == [*range(9)] for k in met.values())
+
+
 def test_labels_take_the_nearest_and_nothing_gives_the_identity(spark):
     labels = spark.createDataFrame([(0, 0, 0, 5), (0, 0, 1, 7)], "z long, y long, x long, label long")
     places = spark.createDataFrame([(0, 0, k) for k in range(4)], "z long, y long, x long")
