@@ -152,8 +152,8 @@ def _meetings(first: np.ndarray, shape: np.ndarray, ms: list[np.ndarray]) -> dic
     corners = first + np.array(list(product((0, 1), repeat=3))) * (shape - 1)
     for k, m in enumerate(ms):
         at = corners @ m[:, :3].T + m[:, 3]
-        # a place has its share of eight voxels around it; products may be off by rounding
-        lo, hi = np.floor(at.min(axis=0) - 1e-6).astype(int) // SIDE, (np.floor(at.max(axis=0) + 1e-6).astype(int) + 1) // SIDE
+        # the eight voxels around each place; what rounding leaves out has a share of that size
+        lo, hi = np.floor(at.min(axis=0)).astype(int) // SIDE, np.ceil(at.max(axis=0)).astype(int) // SIDE
         for block in product(*(range(a, b + 1) for a, b in zip(lo.tolist(), hi.tolist()))):
             out.setdefault(block, []).append(k)
     return out

@@ -87,7 +87,7 @@ def test_pairs_of_small_blocks_score_as_one_task_does(spark, monkeypatch):
     own, dense = registration._bins(fixed.ravel(), *ends[0], 8), registration._bins(moving, *ends[1], 8)
     for m, j in zip(ms, joints):
         assert np.allclose(j, registration.joint_in_one_task(places, own, dense, np.hstack([m[:, :3], (m[:, 3] - away)[:, None]]), 8))
-    met = registration._meetings(np.array([0, 0, 0]), np.array([4, 4, 4]), ms[:1] * 9)
+    met = registration._meetings(np.array([0, 0, 0]), np.array([4, 4, 4]), [registration.matrix(np.array([0, 0, 0, 0.5, 0.5, 0.5]), np.zeros(3))] * 9)
     assert set(met) == set(np.ndindex(2, 2, 2)) and all(k == [*range(9)] for k in met.values())
 
 
