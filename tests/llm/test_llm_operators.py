@@ -438,6 +438,36 @@ def score_by_hand(net, text):
     return 1 / (1 + exp(-(z + float(net.moved[lang]))))
 
 
+def test_all_labelled_rows_are_learned_from(spark, monkeypatch):
+    """Shards learn what one task does, wherever rows lie; a bound on the rows drawn does not touch it."""
+    monkeypatch.setattr(toxicity, "SHARD", 300)
+    monkeypatch.setattr(toxicity, "PER_CLASS", 1)
+    rows = toxic_corpus(1500, 1)
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    net = toxicity.fit_all(docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, net).collect()}
+    out = [(got[k] >= toxicity.CUT, y) for k, _, y in rows if zlib.crc32(str(k).encode()) % 3 == 1]
+    tp = sum(p and y for p, y in out)
+    assert tp / sum(p for p, _ in out) > 0.95 and tp / sum(y for _, y in out) > 0.95
+    again = toxicity.fit_all(docs.repartition(5), labels.repartition(3))
+    assert np.allclose(toxicity._numbers(net), toxicity._numbers(again), atol=1e-4) and np.allclose(net.moved, again.moved, atol=1e-2)
+    rest = [(k, y) for k, _, y in rows if zlib.crc32(str(k).encode()) % 3 != 1]
+    seen = []
+    monkeypatch.setattr(toxicity, "_primed_by_all", lambda net, rows, n: seen.append((n, rows.count())))
+    monkeypatch.setattr(toxicity, "_epoch", lambda net, rows, *_: seen.append(rows.count()))
+    monkeypatch.setattr(toxicity, "_calibrated", lambda net, rows: seen.append(rows.count()))
+    toxicity.fit_all(docs, labels)
+    assert len(seen) == toxicity.EPOCHS + 2 and sum(seen[0][0].values()) == seen[0][1] == seen[1] and seen[0][1] + seen[-1] == len(rest)
+
+
+@pytest.mark.parametrize("labelled", [[], [(1, 0), (3, 0)], [(1, 1), (3, None)]])
+def test_learning_from_all_rows_without_both_labels(spark, labelled):
+    labels = spark.createDataFrame(labelled, "doc_id long, toxic int")
+    rows = toxicity.scored(documents(spark), toxicity.fit_all(documents(spark), labels)).collect()
+    assert len(rows) == len(TEXTS) and all(0 <= r.score < toxicity.CUT for r in rows)
+
+
 def test_scores_equal_plain_python(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").limit(25)
     net = toxicity.fit(spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet"))
