@@ -18,6 +18,8 @@ from ..runtime import cut
 from ..runtime import numbered as in_order
 from ..sources.voxels import dims
 from . import kernels
+from .flood import parted
+from .lines import distances
 from .stencil import KEY, cross, erode, expand_labels, spread
 
 
@@ -125,13 +127,14 @@ def margins_that_fit(size: dict[str, int], margin: int, cap: int = 10) -> int:
     return min(cap, min(size.values()) // margin) if margin else 0
 
 
-def zip_watershed(labels: DataFrame, seam: str, at: int, margin: int, most: int = 1, least: int = 1, spacing: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
+def zip_watershed(labels: DataFrame, seam: str, at: int, margin: int, most: int = 1, least: int = 1, spacing: tuple[float, float] = (1.0, 1.0), side: int = 64) -> DataFrame:
     """Segment anew what touches a seam: ``(z, y, x, label)`` of the strip of ``most`` margins on both sides.
 
     Only labels that touch the seam and fit into a strip of ``least`` up to ``most``
     margins as a whole are flagged; their voxels are parted by distance peaks
-    and flooding, one connected group of them at a time, so no task holds
-    a whole seam. New labels are negative numbers of the first voxel, so they meet no
+    and flooding, as ``kernels.seeded`` does, over blocks of at most ``side`` voxels an
+    axis, so no task holds a whole seam, nor a whole group of labels that touch each other.
+    New labels are negative numbers of the first voxel, so they meet no
     old one and need no running maximum; all other voxels keep theirs.
     """
     full = dims(labels)
@@ -139,15 +142,12 @@ def zip_watershed(labels: DataFrame, seam: str, at: int, margin: int, most: int
     strip = labels.where((F.col(seam) >= at - reach) & (F.col(seam) < at + reach)).select(*KEY, "label")
     flagged = strips(labels, seam, at, margin, most, least).select("label", F.lit(True).alias("flag"))
     marked = cut(strip.join(flagged, "label", "left").select(*KEY, "label", F.coalesce("flag", F.lit(False)).alias("flag")))
-    groups = components(marked.where("flag").select(*KEY), full, dict.fromkeys(KEY, max(8, 2 * reach)), full=True)
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        mask, _, at_ = kernels.dense(rows.assign(on=True), "on", False)
-        new = kernels.seeded(mask, spacing)[at_]
-        number = (rows["z"] * full["y"] + rows["y"]) * full["x"] + rows["x"]
-        return rows[[*KEY]].assign(label=-number.groupby(new).transform("min") - 1)
-
-    new = groups.groupBy("component").applyInPandas(run, "z long, y long, x long, label long")
+    # whatever is not flagged, or not there at all, is background; of it only what touches flagged voxels in the plane can be the nearest
+    ring = spread(marked.where("flag").select(*KEY), [o for o in cross() if o[0] == 0]).groupBy(*KEY).agg(F.max("own").alias("mask"))
+    depth = distances(ring, {"y": spacing[0], "x": spacing[1]}).withColumnRenamed("distance", "f")
+    # a narrow strip is not cut lengthwise
+    size = {**dict.fromkeys(KEY, side), seam: full[seam] if 2 * reach <= side else side}
+    new = parted(depth, full, size).select(*KEY, (-F.col("region") - 1).alias("label"))
     return marked.where("not flag").select(*KEY, "label").unionByName(new)
 
 

@@ -139,6 +139,38 @@ def ranked(a: np.ndarray, offsets: list[tuple[int, ...]], how: str) -> np.ndarra
     return np.nanmedian(stack, axis=0)
 
 
+def joined(up: np.ndarray, seeded: np.ndarray, a: np.ndarray, b: np.ndarray, outside: int = -1) -> np.ndarray:
+    """``up`` of each node once every region without a seed has joined its neighbour over its least edge, round by round.
+
+    Edges from ``a`` to ``b`` come in their order, least first. The node ``outside``, a seeded one, stands for all that
+    is not looked at: a region whose least edge leads there stays as it is, since what it would join is not known.
+    """
+    up = up.copy()
+    node = np.arange(len(up))
+    while True:
+        ra, rb = up[a], up[b]
+        live = (ra != rb) & ~(seeded[ra] & seeded[rb])
+        a, b, ra, rb = a[live], b[live], ra[live], rb[live]
+        best = np.full(len(up), len(a), np.int64)
+        edge = np.arange(len(a))
+        np.minimum.at(best, ra, edge)
+        np.minimum.at(best, rb, edge)
+        joins = np.flatnonzero((best < len(a)) & ~seeded)
+        e = best[joins]
+        other = np.where(ra[e] == joins, rb[e], ra[e])
+        joins, other = joins[other != outside], other[other != outside]
+        if not len(joins):
+            return up
+        to = node.copy()
+        to[joins] = other
+        # two regions that chose each other: the one that comes first stays
+        mutual = joins[(to[other] == joins) & (joins < other)]
+        to[mutual] = mutual
+        while (to != to[to]).any():
+            to = to[to]
+        up = to[up]
+
+
 def watershed(image: np.ndarray, seeds: np.ndarray, mask: np.ndarray) -> np.ndarray:
     """Flooding from seeds: each voxel joins the seed that it reaches over the lowest pass; faces connect.
 
@@ -168,27 +200,7 @@ def watershed(image: np.ndarray, seeds: np.ndarray, mask: np.ndarray) -> np.ndar
         up[on] = on[first[which]]
     seeded = np.zeros(mask.size, bool)
     seeded[up[on]] = True
-    while True:
-        ra, rb = up[a], up[b]
-        live = (ra != rb) & ~(seeded[ra] & seeded[rb])
-        a, b, ra, rb = a[live], b[live], ra[live], rb[live]
-        if not len(a):
-            break
-        best = np.full(mask.size, len(a), np.int64)
-        edge = np.arange(len(a))
-        np.minimum.at(best, ra, edge)
-        np.minimum.at(best, rb, edge)
-        joins = np.flatnonzero((best < len(a)) & ~seeded)
-        e = best[joins]
-        other = np.where(ra[e] == joins, rb[e], ra[e])
-        to = np.arange(mask.size)
-        to[joins] = other
-        # two regions that chose each other: the one that comes first stays
-        mutual = joins[(to[other] == joins) & (joins < other)]
-        to[mutual] = mutual
-        while (to != to[to]).any():
-            to = to[to]
-        up = to[up]
+    up = joined(up, seeded, a, b)
     out = np.where(seeded[up], flat[up], 0)
     return out.reshape(mask.shape).astype(seeds.dtype)
 
