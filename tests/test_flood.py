@@ -63,3 +63,15 @@ def test_a_seam_of_packed_labels_is_not_one_task(spark, largest, seam):
     mask = label > 0
     assert (got[mask] == -first_numbers(mask, kernels.seeded(mask)) - 1).all() and (got[~mask] == 0).all()
     assert 0 < largest[0] <= mask.sum() / 4
+
+
+def test_covers_of_a_long_seam(spark, largest):
+    """The registered query over packed labels of many planes: its SQL's rows, and no group that is the whole strip."""
+    from tessera.catalogue import tables
+
+    mask = np.ones((200, 25, 20), bool)
+    z, y, x = np.indices(mask.shape)
+    label = np.where(np.random.default_rng(3).random(mask.shape) < 0.2, 0, 1 + x // 5 + 4 * (y // 5) + 20 * (z // 4)).astype(np.int64)
+    got = {r.z: (r.n_labelled, r.n) for r in tables.zip_covers(rows(spark, mask, label=label).repartition(4)).collect()}
+    assert got == {k: (int((label[k, :, 4:16] > 0).sum()), 25 * 12) for k in range(200)}
+    assert 0 < largest[0] <= (label[:, :, 5:15] > 0).sum() / 2
