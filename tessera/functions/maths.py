@@ -14,6 +14,12 @@ def exact_spread(n: Column, ab: Column, a: Column, b: Column) -> Column:
     return (wide * n * ab - wide * a * b).cast("double")
 
 
+def exact_sum(x: Column) -> Column:
+    """The sum of longs as a decimal, from the sums of their upper and lower halves, neither of which outgrows a long."""
+    half = lambda c: F.sum(c).cast("decimal(20,0)")
+    return half(F.shiftright(x, 32)) * F.lit(1 << 32).cast("decimal(10,0)") + half(x.bitwiseAND(F.lit((1 << 32) - 1)))
+
+
 def variance(name: str) -> Column:
     """Population variance of an integer column from exact sums."""
     n, x = F.count(name), F.col(name)

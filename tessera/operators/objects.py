@@ -7,7 +7,7 @@ from math import prod
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.maths import exact_spread, variance
+from ..functions.maths import exact_spread, exact_sum, variance
 from ..runtime import numbered
 
 AXES = ("z", "y", "x")
@@ -34,11 +34,11 @@ def shape(props: DataFrame) -> DataFrame:
 def inertia(vox: DataFrame, by: tuple[str, ...] = ("label",), label: str = "label") -> DataFrame:
     """Eigenvalues of the inertia tensor, descending, from sums of coordinates and their products.
 
-    Integer sums stay exact; the symmetric 3 x 3 problem has a closed form,
+    Integer sums stay exact, also where those of products outgrow a long; the symmetric 3 x 3 problem has a closed form,
     whose cosine's argument is kept within [-1, 1].
     """
     pairs = [("z", "z"), ("y", "y"), ("x", "x"), ("z", "y"), ("z", "x"), ("y", "x")]
-    g = vox.where(F.col(label) != 0).groupBy(*by).agg(F.count("*").alias("n"), *(F.sum(a).alias(f"s{a}") for a in AXES), *(F.sum(F.col(a) * F.col(b)).alias(f"s{a}{b}") for a, b in pairs))
+    g = vox.where(F.col(label) != 0).groupBy(*by).agg(F.count("*").alias("n"), *(F.sum(a).alias(f"s{a}") for a in AXES), *(exact_sum((F.col(a) * F.col(b)).cast("long")).alias(f"s{a}{b}") for a, b in pairs))
     for a, b in pairs:
         g = g.withColumn(f"m{a}{b}", exact_spread(F.col("n"), F.col(f"s{a}{b}"), F.col(f"s{a}"), F.col(f"s{b}")) / (F.col("n") * F.col("n").cast("double")))
     tr = F.col("mzz") + F.col("myy") + F.col("mxx")

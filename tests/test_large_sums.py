@@ -36,3 +36,15 @@ def test_the_maximal_set_where_moments_outgrow_a_long(spark):
     t = spark.createDataFrame([(*p, 1) for p in places], "z long, y long, x long, label long")
     wide = features.morphology(t, "maximal").first()
     assert int(wide["moments-63"]) == sum(z**3 * y**3 * x**3 for z, y, x in places)
+
+
+def test_the_maximal_set_where_sums_of_squares_outgrow_a_long(spark):
+    """Keys shifted so far that a square still fits into a long, but not the sum of an object's squares."""
+    far, n = 1_200_000_000, 9
+    places = [(far + k, 24 - k, k) for k in range(n)]
+    assert sum(z * z for z, _, _ in places) > 2**63 > far * far
+    wide = features.morphology(spark.createDataFrame([(*p, 1) for p in places], "z long, y long, x long, label long"), "maximal").first()
+    assert int(wide["moments-63"]) == sum(z**3 * y**3 * x**3 for z, y, x in places)
+    assert math.isclose(wide["inertia_tensor_eigvals-0"], 3 * (n * n - 1) / 12, rel_tol=1e-6) and abs(wide["inertia_tensor_eigvals-2"]) < 1e-6
+    below = spark.createDataFrame([(-far - k, 0, 0, 1) for k in range(n)], "z long, y long, x long, label long")
+    assert math.isclose(objects.inertia(below).first().eig0, (n * n - 1) / 12, rel_tol=1e-6)
