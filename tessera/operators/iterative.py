@@ -9,6 +9,7 @@ diameter in voxels.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +19,10 @@ from ..runtime import cut
 from ..runtime import numbered as in_order
 from ..sources.voxels import dims
 from . import kernels
+from .blocks import halo_join
 from .flood import parted
 from .lines import distances
-from .stencil import KEY, cross, erode, expand_labels, spread
+from .stencil import KEY, ball, cross, spread
 
 
 def _in_blocks(mask: DataFrame, size: dict[str, int], full: bool) -> DataFrame:
@@ -45,7 +47,11 @@ def components(mask: DataFrame, full_size: dict[str, int], block: dict[str, int]
     """
     block = {**block, "z": 1} if planes else block
     number = (F.col("z") * full_size["y"] + F.col("y")) * full_size["x"] + F.col("x")
-    inner = cut(_in_blocks(mask.select(*KEY).withColumn("voxel", number), block, full))
+    return _stitched(cut(_in_blocks(mask.select(*KEY).withColumn("voxel", number), block, full)), block, full, planes)
+
+
+def _stitched(inner: DataFrame, block: dict[str, int], full: bool = False, planes: bool = False) -> DataFrame:
+    """``inner(z, y, x, id)``, the components of each block by their first voxels, joined where they touch across blocks."""
     steps = [o for o in ((dz, dy, dx) for dz in (-1, 0, 1) for dy in (-1, 0, 1) for dx in (-1, 0, 1)) if o > (0, 0, 0) and (full or sum(d != 0 for d in o) == 1) and not (planes and o[0])]
     faces = F.lit(False)
     for a in KEY[planes:]:
@@ -151,23 +157,64 @@ def zip_watershed(labels: DataFrame, seam: str, at: int, margin: int, most: int
     return marked.where("not flag").select(*KEY, "label").unionByName(new)
 
 
-def split_large(mask: DataFrame, full: dict[str, int], block: dict[str, int], passes: list[tuple[int, float]], least: int = 3, reach: float = 3**0.5) -> DataFrame:
+def _cores(rows: DataFrame, full: dict[str, int], size: dict[str, int], times: int) -> DataFrame:
+    """``rows(z, y, x, on)`` -> (z, y, x, id): what is left of the true ones after erosions by the cross, and its components in each block.
+
+    A voxel may come twice, it is true if it is so once. Neighbours without a row do not count.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("on")
+        on, first, _ = kernels.dense(rows, "on", False)
+        core = kernels.dense(rows, "is_core", False)[0]
+        here = kernels.dense(rows.assign(here=True), "here", False)[0]
+        for _ in range(times):
+            on = kernels.ranked(on | ~here, cross(), "min")
+        on &= core
+        z, y, x = (k + lo for k, lo in zip(np.nonzero(on), first))
+        number = (z * full["y"] + y) * full["x"] + x
+        _, start, which = np.unique(kernels.components(on)[on], return_index=True, return_inverse=True)
+        return pd.DataFrame({"z": z, "y": y, "x": x, "id": number[start[which]]})
+
+    return halo_join(rows, full, size, times).groupBy("at_block").applyInPandas(run, "z long, y long, x long, id long")
+
+
+def _grown(parts: DataFrame, within: DataFrame, full: dict[str, int], size: dict[str, int], reach: float) -> DataFrame:
+    """``parts(z, y, x, component)`` grown by ``reach`` into voxels of ``within``, each to the nearest, ties to the smaller name."""
+    offsets = ball(reach)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        # voxels of parts come twice; their label is the greater
+        rows = rows.sort_values("label")
+        labels, first, _ = kernels.dense(rows, "label", 0)
+        core = kernels.dense(rows, "is_core", False)[0]
+        out = kernels.nearest_labels(labels, reach, (1.0, 1.0, 1.0), offsets)
+        on = core & (out > 0)
+        z, y, x = (k + lo for k, lo in zip(np.nonzero(on), first))
+        return pd.DataFrame({"z": z, "y": y, "x": x, "component": out[on] - 1})
+
+    rows = within.select(*KEY, F.lit(0).cast("long").alias("label")).unionByName(parts.select(*KEY, (F.col("component") + 1).alias("label")))
+    return halo_join(rows, full, size, int(reach)).groupBy("at_block").applyInPandas(run, "z long, y long, x long, component long")
+
+
+def split_large(mask: DataFrame, full: dict[str, int], block: dict[str, int], passes: list[tuple[int, float]], least: int = 3, reach: float = 3**0.5, side: int = 64) -> DataFrame:
     """``mask(z, y, x, mask)`` -> (z, y, x, component): components parted where they are thin, one pass after another.
 
     In each pass components of so many voxels or more are eroded (by the cross, as
     often as the pass says), labelled again, parts under ``least`` voxels
     dropped, and the others grown back by ``reach`` within the old one; new parts are named after
-    their first voxel, so they meet no old name.
+    their first voxel, so they meet no old name. Blocks of fewer than ``side`` voxels along an axis
+    are worked on together; erosion and growth see their margins, and no voxel is sent once a neighbour.
     """
-    parts = cut(components(mask.where("mask"), full, block))
+    size = {a: n * max(1, side // n) for a, n in block.items()}
+    off = F.lit(False).alias("on")
+    on = F.lit(True).alias("on")
+    parts = cut(_stitched(cut(_cores(mask.where("mask").select(*KEY, on), full, size, 0)), size))
     for large_from, times in passes:
-        n = parts.groupBy("component").count()
-        large = parts.join(n.where(F.col("count") >= large_from).select("component"), "component", "left_semi")
-        small = parts.join(n.where(F.col("count") < large_from).select("component"), "component", "left_semi")
-        here = core = mask.select(*KEY).join(large, list(KEY), "left").withColumn("mask", F.col("component").isNotNull()).select(*KEY, "mask")
-        for _ in range(int(times)):
-            core = erode(core, cross())
-        split = cut(without_small(components(core.where("mask"), full, block), least))
-        grown = expand_labels(here.select(*KEY).join(split.withColumnRenamed("component", "label"), list(KEY), "left").withColumn("label", F.coalesce(F.col("label") + 1, F.lit(0).cast("long"))), reach)
-        parts = cut(grown.where("label > 0").join(large.select(*KEY), list(KEY), "left_semi").select(*KEY, (F.col("label") - 1).alias("component")).unionByName(small.select(*KEY, "component")))
+        n = parts.groupBy("component").count().where(F.col("count") >= large_from).select("component", F.lit(True).alias("large"))
+        parts = cut(parts.join(n, "component", "left"))
+        large, small = parts.where("large"), parts.where("large is null")
+        cores = cut(_cores(mask.select(*KEY, off).unionByName(large.select(*KEY, on)), full, size, int(times)))
+        split = without_small(cut(_stitched(cores, size)), least)
+        parts = cut(_grown(split, large, full, size, reach).unionByName(small.select(*KEY, "component")))
     return parts

@@ -105,11 +105,12 @@ def shifted(a: np.ndarray, offset: tuple[int, ...]) -> tuple[tuple[slice, ...],
     return here, there
 
 
-def nearest_labels(labels: np.ndarray, reach: float, spacing: tuple[float, ...]) -> np.ndarray:
-    """Background within ``reach`` takes the label of the nearest object, of equally near ones the smaller; voxels may be longer along an axis."""
+def nearest_labels(labels: np.ndarray, reach: float, spacing: tuple[float, ...], near: list[tuple[int, ...]] | None = None) -> np.ndarray:
+    """Background within ``reach``, or where ``near`` is given at these offsets, takes the label of the nearest object, of equally near ones the smaller; voxels may be longer along an axis."""
     r = [int(reach / s) for s in spacing]
     square = lambda o: round(sum((d * s) ** 2 for d, s in zip(o, spacing)), 9)
-    offsets = sorted((square(o), o) for o in product(*(range(-k, k + 1) for k in r)) if 0 < square(o) <= reach * reach + 1e-9)
+    near = [o for o in product(*(range(-k, k + 1) for k in r)) if square(o) <= reach * reach + 1e-9] if near is None else near
+    offsets = sorted((square(o), o) for o in near if square(o) > 0)
     out = labels.copy()
     none = np.iinfo(np.int64).max
     for _, ring in groupby(offsets, lambda x: x[0]):
