@@ -147,7 +147,9 @@ def zip_watershed(labels: DataFrame, seam: str, at: int, margin: int, most: int
     reach = most * margin
     strip = labels.where((F.col(seam) >= at - reach) & (F.col(seam) < at + reach)).select(*KEY, "label")
     flagged = strips(labels, seam, at, margin, most, least).select("label", F.lit(True).alias("flag"))
-    marked = cut(strip.join(flagged, "label", "left").select(*KEY, "label", F.coalesce("flag", F.lit(False)).alias("flag")))
+    # background, one label of many voxels, is never flagged and stays out of the join
+    named = strip.where("label > 0").join(flagged, "label", "left").select(*KEY, "label", F.coalesce("flag", F.lit(False)).alias("flag"))
+    marked = cut(named.unionByName(strip.where("label <= 0 or label is null").withColumn("flag", F.lit(False))))
     # whatever is not flagged, or not there at all, is background; of it only what touches flagged voxels in the plane can be the nearest
     ring = spread(marked.where("flag").select(*KEY), [o for o in cross() if o[0] == 0]).groupBy(*KEY).agg(F.max("own").alias("mask"))
     depth = distances(ring, {"y": spacing[0], "x": spacing[1]}).withColumnRenamed("distance", "f")
