@@ -9,10 +9,15 @@ beyond that a step is a join and a grouping over all edges.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
+from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -241,9 +246,19 @@ def diffusion_pseudotime(edges: DataFrame, root: int, k: int = 5, rounds: int =
 # communities
 
 
-def _half(node, turn: int):
-    """Whether a node may move in a round: each half in one of two rounds, halves drawn anew for each pair."""
-    return (node % 1_000_003 * 7_919 + turn // 2 * 104_729) % 65_537 % 2 == turn % 2
+def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Numbers as good as drawn, of whole numbers and a seed."""
+    h = (x.astype(np.int64).view(np.uint64) + np.uint64(seed * 0x9E3779B9 + 1)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ h >> np.uint64(31)) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(29)
+
+
+def _half(node: np.ndarray, turn: int) -> np.ndarray:
+    """Whether a node may move in a round: each half in one of two rounds, halves drawn anew for each pair.
+
+    Two neighbours that stay in one half for long chase each other, so no half may follow from the one before.
+    """
+    return (_mixed(node, turn // 2) & np.uint64(1)).astype(np.int64) == turn % 2
 
 
 def _links(at: np.ndarray, near: np.ndarray, weight: np.ndarray, n: int) -> Edges:
@@ -286,19 +301,20 @@ def _moved(at, to, weight, k, label, total, resolution: float, patience: int) ->
     return best
 
 
-def _refined(at, to, weight, k, label, total, resolution: float) -> np.ndarray:
+def _refined(at, to, weight, k, label, total, resolution: float, name: np.ndarray | None = None) -> np.ndarray:
     """Communities parted anew: nodes on their own join a neighbour of their community, and only those that stay put take them in.
 
     A part grows by nodes that are linked with it and loses none, so it is connected.
     """
     n = len(k)
+    name = np.arange(n) if name is None else name
     part, idle, turn = np.arange(n), 0, 0
     inside = label[at] == label[to]
     at, to, weight = at[inside], to[inside], weight[inside]
     while idle < 4 and len(at):
         turn += 1
         alone = np.bincount(part, minlength=n)[part] == 1
-        mover = alone & _half(np.arange(n), turn)
+        mover = alone & _half(name, turn)
         ok = mover[at] & ~mover[to]
         node, near, w = _links(at[ok], part[to[ok]], weight[ok], n)
         gain = w - resolution * k[node] * np.bincount(part, k, n)[near] / total
@@ -339,8 +355,8 @@ def leiden(edges: DataFrame, resolution: float = 1.0, patience: int = 2, alone:
 
     On each level nodes move to the community that raises modularity most; communities are then parted anew from single
     nodes, inside of each; and the parts are the nodes of the next level, which starts from the communities. The higher the
-    ``resolution``, the smaller the communities. A level over all tasks takes a few joins over the edges a
-    round; levels of up to ``alone`` edges are one task's. No edges give no rows.
+    ``resolution``, the smaller the communities. Levels of up to ``alone`` edges are one task's; in a larger one nodes move in blocks, a
+    job a round, and communities are parted each in one task. No edges give no rows.
     """
     both = cut(weighted(edges))
     if both.count() <= alone:
@@ -355,26 +371,34 @@ def leiden(edges: DataFrame, resolution: float = 1.0, patience: int = 2, alone:
     level, start, up = both, strength.select("node", F.col("node").alias("community")), strength.select("node", F.col("node").alias("part"))
     while True:
         label = _moved_over_all(level, strength, start, total, resolution, patience)
-        part = _refined_over_all(level, strength, label, total, resolution)
+        inside = cut(_inside(level, label))
+        part = _refined_over_all(inside, strength, label, total, resolution, alone)
         before, after = strength.count(), part.select("part").distinct().count()
         if after == before:
+            label = label.select("node").join(components(inside).hint("merge"), "node", "left").select("node", F.coalesce("root", "node").alias("community"))
             break
         up = cut(up.withColumnRenamed("part", "node_").join(part.withColumnRenamed("node", "node_").hint("merge"), "node_").select("node", "part"))
+        start = cut(part.join(label.hint("merge"), "node").groupBy(F.col("part").alias("node")).agg(F.min("community").alias("community")))
         strength = cut(strength.join(part.hint("merge"), "node").groupBy(F.col("part").alias("node")).agg(F.sum("k").alias("k")))
         ends = level.join(part.select(F.col("node").alias("src"), F.col("part").alias("p")).hint("merge"), "src").join(part.select(F.col("node").alias("dst"), F.col("part").alias("q")).hint("merge"), "dst")
         level = cut(ends.where("p != q").groupBy(F.col("p").alias("src"), F.col("q").alias("dst")).agg(F.sum("weight").alias("weight")))
-        start = cut(part.join(label.hint("merge"), "node").groupBy(F.col("part").alias("node")).agg(F.min("community").alias("community")))
         if level.count() <= alone:
             label = _last_levels(level, strength, start, resolution, patience)
             break
-    whole = up.join(label.withColumnRenamed("node", "part").hint("merge"), "part").select("node", "community")
-    # a community in several parts is one a part: none of its edges is lost, and chance would give fewer
-    inside = both.join(whole.select(F.col("node").alias("src"), F.col("community").alias("c")).hint("merge"), "src").join(whole.select(F.col("node").alias("dst"), F.col("community").alias("d")).hint("merge"), "dst").where("c = d")
-    return whole.select("node").join(components(inside.select("src", "dst")).hint("merge"), "node", "left").select("node", F.coalesce("root", "node").alias("community"))
+    # a community in several parts was one a part: none of its edges is lost, and chance would give fewer
+    whole = cut(up.join(label.withColumnRenamed("node", "part").hint("merge"), "part").select("node", "community"))
+    name = whole.groupBy("community").agg(F.min("node").alias("name"))
+    return whole.join(name.hint("merge"), "community").select("node", F.col("name").alias("community"))
+
+
+def _inside(level: DataFrame, label: DataFrame) -> DataFrame:
+    """Edges inside of communities, with these."""
+    one, two = (label.select(F.col("node").alias(end), F.col("community").alias(c)).hint("merge") for end, c in (("src", "c"), ("dst", "d")))
+    return level.join(one, "src").join(two, "dst").where("c = d").select("src", "dst", "weight", F.col("c").alias("community"))
 
 
 def _last_levels(level: DataFrame, strength: DataFrame, start: DataFrame, resolution: float, patience: int) -> DataFrame:
-    """The levels of one task, from the communities that the levels before have found."""
+    """The levels of one task, from the communities that the levels before have found; a community in several parts is one a part."""
     rows = strength.join(start, "node").select(F.col("node").alias("src"), F.lit(None).cast("long").alias("dst"), F.col("k").alias("weight"), "community")
     rows = rows.unionByName(level.withColumn("community", F.lit(None).cast("long")))
 
@@ -387,50 +411,189 @@ def _last_levels(level: DataFrame, strength: DataFrame, start: DataFrame, resolu
             nodes, k = own["src"].to_numpy().astype(np.int64), own["weight"].to_numpy()
             label = np.unique(own["community"].to_numpy(), return_inverse=True)[1]
             at, to = (np.searchsorted(nodes, e[c].to_numpy().astype(np.int64)) for c in ("src", "dst"))
-            yield pd.DataFrame({"node": nodes, "community": nodes[_leiden(at, to, e["weight"].to_numpy(), k, label, resolution, patience)]})
+            found = _leiden(at, to, e["weight"].to_numpy(), k, label, resolution, patience)
+            yield pd.DataFrame({"node": nodes, "community": nodes[_connected(at, to, found)]})
 
     return rows.coalesce(1).mapInPandas(run, "node long, community long")
 
 
-def _named_half(turn: int):
-    return _half(F.pmod("node", F.lit(1_000_003)), turn)
+def _block(me: int, nodes: np.ndarray, k: np.ndarray, src: np.ndarray, dst: np.ndarray, q: np.ndarray, weight: np.ndarray) -> dict:
+    """Nodes of a part of a level, in order, their strengths, and the edges that begin at them.
+
+    The nodes where edges end stand by part ``q`` and in order, so that ``to`` points into what the parts tell one after
+    another. Edges go both ways: what a part is to be told by another is what that one has edges from, in the same order.
+    """
+    at, order = np.searchsorted(nodes, src), np.lexsort((dst, q))
+    new = np.ones(len(order), bool)
+    new[1:] = dst[order][1:] != dst[order][:-1]
+    to = np.empty(len(order), np.int64)
+    to[order] = np.cumsum(new) - 1
+    pair = np.unique(q * len(nodes) + at)
+    send = {int(o): (pair[pair // len(nodes) == o] % len(nodes)).astype(np.int32) for o in np.unique(q)}
+    return {"me": me, "nodes": nodes, "k": k, "weight": weight, "at": at.astype(np.int32), "to": to.astype(np.int32), "send": send}
+
+
+def _ask(b: dict, label: np.ndarray, parts: int):
+    """What a block's nodes add to their communities, for the parts that add these up; names of nodes are asked for too, since they may be free."""
+    name, place = np.unique(np.concatenate([label, b["nodes"]]), return_inverse=True)
+    adds = np.bincount(place[: len(label)], b["k"], len(name))
+    owner = (_mixed(name) % np.uint64(parts)).astype(np.int64)
+    for o in np.unique(owner):
+        yield int(o), (name[owner == o], adds[owner == o])
+
+
+def _tell(b: dict, label: np.ndarray, answers: list) -> tuple[np.ndarray, np.ndarray, dict]:
+    """Of a block's nodes: strengths of their communities, whether their own names are free, and what other parts are told."""
+    name, held = (np.concatenate(x) for x in zip(*answers))
+    order = np.argsort(name)
+    name, held = name[order], held[order]
+    mine = held[np.searchsorted(name, label)]
+    return mine, held[np.searchsorted(name, b["nodes"])] == 0, {q: (label[i], mine[i]) for q, i in b["send"].items()}
+
+
+def _block_moved(b: dict, label: np.ndarray, mine: np.ndarray, free: np.ndarray, told: list, total: float, resolution: float, turn: int) -> tuple[np.ndarray, float, float]:
+    """A round of ``_moved``: labels after it; before it, the weight inside communities and the sum of strengths times those of their communities."""
+    nodes, k, at, to, weight = (b[x] for x in ("nodes", "k", "at", "to", "weight"))
+    ends, held = (np.concatenate(x) for x in zip(*told)) if told else (np.zeros(0, np.int64), np.zeros(0))
+    name, first, place = np.unique(ends, return_index=True, return_inverse=True)
+    inner = weight[label[at] == ends[to]].sum()
+    node, near, w = _links(at.astype(np.int64), place[to], weight, max(1, len(name)))
+    held, near = held[first][near], name[near]
+    own = near == label[node]
+    gain = w - resolution * k[node] * (held - np.where(own, k[node], 0)) / total
+    stay = -resolution * k * (mine - k) / total
+    stay[node[own]] = gain[own]
+    alone = np.flatnonzero(free)
+    node, near, gain = np.concatenate([node, alone]), np.concatenate([near, nodes[alone]]), np.concatenate([gain, np.zeros(len(alone))])
+    lead = _best(node, gain, near)
+    goes = (gain[lead] > stay[node[lead]] + 1e-12) & _half(nodes[node[lead]], turn)
+    new = label.copy()
+    new[node[lead][goes]] = near[lead][goes]
+    return new, float(inner), float((k * mine).sum())
+
+
+def _blocks(level: DataFrame, strength: DataFrame, label: DataFrame, parts: int):
+    """A ``_block`` and the labels of its nodes a partition, or None, as many partitions as parts at least."""
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
+    no = F.lit(None).cast("long")
+    rows = level.select(part("src").alias("p"), "src", "dst", part("dst").alias("q"), "weight", no.alias("community"))
+    rows = rows.unionByName(strength.join(label.hint("merge"), "node").select(part("node").alias("p"), F.col("node").alias("src"), no.alias("dst"), F.lit(None).cast("int").alias("q"), F.col("k").alias("weight"), "community"))
+
+    def packed(key: tuple, t: pa.Table) -> pa.Table:
+        is_node = pc.is_null(t["dst"])
+        own, e = t.filter(is_node).sort_by("src"), t.filter(pc.invert(is_node)).sort_by([("src", "ascending"), ("dst", "ascending")])
+        nodes, k, label = (own[c].to_numpy() for c in ("src", "weight", "community"))
+        block = _block(key[0].as_py(), nodes, k, *(e[c].to_numpy().astype(np.int64) for c in ("src", "dst", "q")), e["weight"].to_numpy())
+        return pa.table({"p": [key[0].as_py()], "block": [pickle.dumps((block, label))]}, pa.schema([("p", pa.int32()), ("block", pa.binary())]))
+
+    held = rows.groupBy("p").applyInArrow(packed, "p int, block binary").rdd.map(tuple).partitionBy(parts, int)
+    return held.mapPartitions(lambda it: [next((pickle.loads(block) for _, block in it), None)])
 
 
 def _moved_over_all(level: DataFrame, strength: DataFrame, label: DataFrame, total: float, resolution: float, patience: int) -> DataFrame:
-    """The rounds of ``_moved`` as joins."""
-
-    def quality(x: DataFrame) -> float:
-        ends = level.join(x.select(F.col("node").alias("src"), F.col("community").alias("c")).hint("merge"), "src").join(x.select(F.col("node").alias("dst"), F.col("community").alias("d")).hint("merge"), "dst")
-        held = x.join(strength.hint("merge"), "node").groupBy("community").agg(F.sum("k").alias("held"))
-        return (ends.where("c = d").agg(F.sum("weight")).first()[0] or 0.0) / total - resolution * held.agg(F.sum(F.col("held") * F.col("held"))).first()[0] / total / total
+    """The rounds of ``_moved`` over blocks of edges that stay where they are, a job a round.
 
-    best, top, worse, turn = label, quality(label), 0, 0
-    while worse < 2 * patience:
+    In a round strengths of communities are added up, each by the part that its name falls to, and sent back; parts tell
+    each other the communities of the nodes where edges end; and nodes move. The driver sees two sums a part. All edges of a node are in one block.
+    """
+    m, sc = level.count(), level.sparkSession.sparkContext
+    parts = max(2, min(64, ceil(m / 500_000)), ceil(m / GRAPH))
+    blocks = _blocks(level, strength, label, parts)
+    blocks.checkpoint()
+    state = blocks.map(lambda b: b and (b[1], 0.0, 0.0)).persist(StorageLevel.MEMORY_AND_DISK)
+    # what is asked and told needs no edges, what moves needs no lists of what to tell
+    light, heavy = (blocks.map(lambda b, no=no: b and {x: y for x, y in b[0].items() if x not in no}).persist(StorageLevel.MEMORY_AND_DISK) for no in (("weight", "at", "to"), ("send",)))
+
+    def whole(messages):
+        """All that came to a partition, as one element."""
+        return messages.partitionBy(parts, int).mapPartitions(lambda it: [[x for _, x in it]])
+
+    def asked(x):
+        b, now = x
+        return [(o, (b["me"], *rest)) for o, rest in _ask(b, now[0], parts)] if b else []
+
+    def answered(messages):
+        if messages:
+            name, place = np.unique(np.concatenate([x[1] for x in messages]), return_inverse=True)
+            held, lo = np.bincount(place, np.concatenate([x[2] for x in messages]), len(name)), 0
+            for p, names, _ in messages:
+                yield p, (names, held[place[lo : lo + len(names)]])
+                lo += len(names)
+
+    def told(x):
+        (b, now), answers = x
+        if b:
+            mine, free, out = _tell(b, now[0], answers)
+            yield b["me"], (-1, now[0], mine, free)
+            yield from ((q, (b["me"], *what)) for q, what in out.items())
+
+    def turned(turn: int):
+        def moved(x):
+            b, messages = x
+            if b:
+                (_, *own), *ends = sorted(messages, key=lambda m: m[0])
+                return _block_moved(b, *own, [m[1:] for m in ends], total, resolution, turn)
+
+        return moved
+
+    best, top, worse, turn = state, -np.inf, 0, 0
+    while True:
         turn += 1
-        held = label.join(strength.hint("merge"), "node").groupBy("community").agg(F.sum("k").alias("held"))
-        here = label.join(strength.hint("merge"), "node").join(held.hint("merge"), "community").select("node", F.col("community").alias("mine"), "k", F.col("held").alias("mine_held"))
-        links = level.join(label.withColumnRenamed("node", "dst").hint("merge"), "dst").groupBy(F.col("src").alias("node"), "community").agg(F.sum("weight").alias("w"))
-        free = here.select("node").join(held.select(F.col("community").alias("node")).hint("merge"), "node", "left_anti").select("node", F.col("node").alias("community"), F.lit(0.0).alias("w"))
-        around = links.unionByName(free).join(here.hint("merge"), "node").join(held.hint("merge"), "community", "left")
-        gain = F.col("w") - resolution * F.col("k") * (F.coalesce("held", F.lit(0.0)) - F.when(F.col("community") == F.col("mine"), F.col("k")).otherwise(0.0)) / total
-        leave = F.max(-resolution * F.col("k") * (F.col("mine_held") - F.col("k")) / total)
-        pick = around.withColumn("gain", gain).groupBy("node").agg(F.max(F.struct("gain", (-F.col("community")).alias("name"))).alias("to"), F.coalesce(F.max(F.when(F.col("community") == F.col("mine"), F.col("gain"))), leave).alias("stay"))
-        goes = pick.where(F.col("to.gain") > F.col("stay") + 1e-12).where(_named_half(turn)).select("node", (-F.col("to.name")).alias("new"))
-        label = cut(label.join(goes.hint("merge"), "node", "left").select("node", F.coalesce("new", "community").alias("community")))
-        now = quality(label)
-        best, top, worse = (label, now, 0) if now > top + 1e-12 else (best, top, worse + 1)
-    return best
+        both = light.zip(state)
+        answers = whole(whole(both.flatMap(asked)).flatMap(answered))
+        messages = whole(both.zip(answers).flatMap(told))
+        new = heavy.zip(messages).map(turned(turn)).persist(StorageLevel.MEMORY_AND_DISK)
+        if turn % 8 == 0:
+            new.checkpoint()
+        sums = new.map(lambda x: x and x[1:]).filter(bool).collect()
+        now = sum(x[0] for x in sums) / total - resolution * sum(x[1] for x in sums) / total / total
+        old, (best, top, worse) = {state, best}, (state, now, 0) if now > top + 1e-12 else (best, top, worse + 1)
+        state = new
+        if worse >= 2 * patience:
+            break
+        for x in old - {best}:
+            x.unpersist()
+    names = light.zip(best).filter(lambda x: x[0]).map(lambda x: (x[0]["nodes"].tobytes(), x[1][0].tobytes()))
+
+    def rows(frames):
+        for f in frames:
+            for node, community in zip(f["node"], f["community"]):
+                yield pd.DataFrame({"node": np.frombuffer(node, np.int64), "community": np.frombuffer(community, np.int64)})
+
+    found = cut(level.sparkSession.createDataFrame(names, "node binary, community binary", verifySchema=False).mapInPandas(rows, "node long, community long"))
+    for x in (state, best, light, heavy):
+        x.unpersist()
+    return found
+
+
+def _refined_over_all(inside: DataFrame, strength: DataFrame, label: DataFrame, total: float, resolution: float, alone: int) -> DataFrame:
+    """``_refined`` of each community in one task: ``(node, part)``; by joins if one has more than ``alone`` edges."""
+    m, most = inside.groupBy("community").count().agg(F.sum("count"), F.max("count")).first()
+    if (most or 0) > max(alone, 100_000):
+        return _refined_by_joins(inside, strength, label, total, resolution)
+    rows = strength.join(label.hint("merge"), "node").select(F.col("node").alias("src"), F.lit(None).cast("long").alias("dst"), F.col("k").alias("weight"), "community").unionByName(inside)
+
+    def parted(frames):
+        held = [t for t in frames if len(t)]
+        if held:
+            f = pd.concat(held)
+            own, e = f[f["dst"].isna()].sort_values("src"), f[f["dst"].notna()].sort_values(["src", "dst"])
+            nodes = own["src"].to_numpy().astype(np.int64)
+            at, to = (np.searchsorted(nodes, e[c].to_numpy().astype(np.int64)) for c in ("src", "dst"))
+            part = _refined(at, to, e["weight"].to_numpy(), own["weight"].to_numpy(), np.zeros(len(nodes), int), total, resolution, nodes)
+            yield pd.DataFrame({"node": nodes, "part": nodes[part]})
+
+    return cut(rows.repartition(max(2, ceil((m or 0) / 100_000)), "community").mapInPandas(parted, "node long, part long"))
 
 
-def _refined_over_all(level: DataFrame, strength: DataFrame, label: DataFrame, total: float, resolution: float) -> DataFrame:
-    """The rounds of ``_refined`` as joins: ``(node, part)``."""
-    ends = level.join(label.select(F.col("node").alias("src"), F.col("community").alias("c")).hint("merge"), "src").join(label.select(F.col("node").alias("dst"), F.col("community").alias("d")).hint("merge"), "dst")
-    inside = cut(ends.where("c = d").select("src", "dst", "weight"))
+def _refined_by_joins(inside: DataFrame, strength: DataFrame, label: DataFrame, total: float, resolution: float) -> DataFrame:
+    """The rounds of ``_refined`` as joins."""
     part, idle, turn = cut(label.select("node", F.col("node").alias("part"))), 0, 0
     while idle < 4:
         turn += 1
+        half = F.pmod(F.xxhash64("node", F.lit(turn // 2)), F.lit(2)) == turn % 2
         held = part.join(strength.hint("merge"), "node").groupBy("part").agg(F.sum("k").alias("held"), F.count("*").alias("n"))
-        now = part.join(held.hint("merge"), "part").select("node", "part", "held", ((F.col("n") == 1) & _named_half(turn)).alias("mover"))
+        now = part.join(held.hint("merge"), "part").select("node", "part", "held", ((F.col("n") == 1) & half).alias("mover"))
         links = inside.join(now.where("mover").select(F.col("node").alias("src")).hint("merge"), "src").join(now.where("not mover").select(F.col("node").alias("dst"), "part", "held").hint("merge"), "dst")
         gains = links.groupBy(F.col("src").alias("node"), "part").agg(F.sum("weight").alias("w"), F.first("held").alias("held")).join(strength.hint("merge"), "node")
         gain = F.col("w") - resolution * F.col("k") * F.col("held") / total

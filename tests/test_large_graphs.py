@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tessera.catalogue import manifolds
 from tessera.catalogue.registry import QUERIES
 from tessera.operators import graphs, near, umap
+from tessera.runtime import shared_folder
 
 DATA = "/root/testdata/sf0.001"
 
@@ -56,3 +57,26 @@ def test_cells_of_the_approximate_search_are_written_without_vectors(spark, monk
     rows = spark.range(60).select("id", F.array(F.sin("id"), F.cos("id")).alias("v"))
     assert near.neighbours(rows, 3, trees=4, block=16, rounds=1).count() == 180
     assert [c for c in written if "tree" in c] == [["id", "tree", "code"]]
+
+
+def test_halves_do_not_follow_from_the_ones_before():
+    node = np.arange(10_000)
+    same = [(h := graphs._half(node, turn))[1:] == h[:-1] for turn in range(0, 40, 2)]
+    assert all(0.45 < (a != b).mean() < 0.55 for a, b in zip(same, same[1:]))
+
+
+def test_rounds_over_all_tasks_are_those_of_one_and_write_no_table_each(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    a, b = r.integers(0, 60, (2, 240))
+    pairs = sorted({(int(i), int(j)) for i, j in zip([*a, *b], [*b, *a]) if i != j and (i < 30) == (j < 30)})
+    at, to = np.array(pairs).T
+    k, total = np.bincount(at).astype(float), float(len(at))
+    want = graphs._moved(at, to, np.ones(len(at)), k, np.arange(60), total, 1.0, 2)
+    level = spark.createDataFrame([(*p, 1.0) for p in pairs], "src long, dst long, weight double")
+    strength = spark.createDataFrame([(i, float(x)) for i, x in enumerate(k)], "node long, k double")
+    cuts, cut = [], graphs.cut
+    monkeypatch.setattr(graphs, "cut", lambda df: (cuts.append(1), cut(df))[1])
+    shared_folder(spark)
+    got = graphs._moved_over_all(level, strength, strength.select("node", F.col("node").alias("community")), total, 1.0, 2)
+    assert {x.node: x.community for x in got.collect()} == dict(enumerate(want)) and len(set(want)) > 1
+    assert len(cuts) == 1
