@@ -80,3 +80,14 @@ def test_rounds_over_all_tasks_are_those_of_one_and_write_no_table_each(spark, m
     got = graphs._moved_over_all(level, strength, strength.select("node", F.col("node").alias("community")), total, 1.0, 2)
     assert {x.node: x.community for x in got.collect()} == dict(enumerate(want)) and len(set(want)) > 1
     assert len(cuts) == 1
+
+
+def test_communities_are_refined_alike_by_joins(spark):
+    pairs = [(a, b) for base in (0, 5) for a in range(base, base + 5) for b in range(base, base + 5) if a != b]
+    inside = spark.createDataFrame([(*p, 1.0, p[0] // 5) for p in pairs], "src long, dst long, weight double, community long")
+    strength = spark.createDataFrame([(i, 4.0) for i in range(10)], "node long, k double")
+    label = strength.selectExpr("node", "node div 5 as community")
+    shared_folder(spark)
+    for parts in (graphs._refined_over_all(inside, strength, label, 40.0, 1.0, 10), graphs._refined_by_joins(inside, strength, label, 40.0, 1.0)):
+        got = {r.node: r.part for r in parts.collect()}
+        assert len(got) == 10 and len(set(got.values())) < 10 and all(a // 5 == b // 5 for a, b in got.items())
